@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def constant_array(values: Sequence, element: str) -> Column:
+    """A literal array from one string; Spark folds it once, however long it is."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{element}>")
+
+
 def dense_to_sparse(df: DataFrame, features: str = "features") -> DataFrame:
     """Replace a dense array by ``indices``/``values``: zeros (also -0.0) go, NaN stays."""
     entries = F.filter(

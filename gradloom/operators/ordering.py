@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradloom.functions.hashing import seeded_md5
+from gradloom.functions.vectors import constant_array
 from gradloom.session import reliable_checkpoint
 
 HASH_BUCKETS = 4096
@@ -28,7 +29,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Data
         shift[row["_range"]] = start
         start += row["total"]
     before = W.partitionBy("_range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
-    starts = F.lit([shift.get(i, 0) for i in range(max(shift, default=0) + 1)])
+    starts = constant_array([shift.get(i, 0) for i in range(max(shift, default=0) + 1)], "bigint")
     return ranged.withColumn(
         out, F.coalesce(F.sum(value).over(before), F.lit(0)) + F.get(starts, F.col("_range"))
     ).drop("_range")
@@ -59,7 +60,7 @@ def number_by_hash(df: DataFrame, seed: int, row_id: str = "row_id", out: str =
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", row_id))
     return (
         hashed.withColumn("_bucket", bucket)
-        .withColumn(out, F.get(F.lit(starts), F.col("_bucket")).cast("bigint") + rank - 1)
+        .withColumn(out, F.get(constant_array(starts, "bigint"), F.col("_bucket")) + rank - 1)
         .drop("_hash", "_bucket")
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradloom.functions.hashing import hash_thousandth
+from gradloom.functions.vectors import constant_array
 from gradloom.operators.ordering import dense_positions, number_by_hash, shuffle_rows
 from gradloom.session import BROADCAST_ROWS
 
@@ -35,8 +36,8 @@ class StandardScaler:
 
     def apply(self, df: DataFrame, features: str = "features") -> DataFrame:
         """(x - mean) / deviation; a constant column is only centred."""
-        mean = F.lit(self.means)
-        divisor = F.lit([d if d else 1.0 for d in self.deviations])
+        mean = constant_array(self.means, "double")
+        divisor = constant_array([d if d else 1.0 for d in self.deviations], "double")
         scaled = F.transform(F.col(features), lambda v, i: (v - F.get(mean, i)) / F.get(divisor, i))
         return df.withColumn(features, scaled)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradloom.session import local_table, BROADCAST_ROWS
+from gradloom.session import BROADCAST_ROWS, local_table
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
