@@ -41,28 +41,83 @@ def dense_positions(df: DataFrame, keys: Sequence[str], out: str = "position") -
     return counted.drop("_one")
 
 
-def number_by_hash(df: DataFrame, seed: int, row_id: str = "row_id", out: str = "position") -> DataFrame:
+def number_by_hash(
+    df: DataFrame,
+    seed: int,
+    row_id: str = "row_id",
+    out: str = "position",
+    wanted: Sequence[tuple[int, int]] | None = None,
+) -> DataFrame:
     """Position of every row in the seeded hash order of its id.
 
     The hash is uniform, so its leading 12 bits cut the table into at most 4096 even buckets; bucket sizes are
-    counted first and rows are then ranked inside their bucket only.
+    counted first and rows are then ranked inside their bucket only. With ``wanted`` position ranges [low, high),
+    buckets outside of them are left out before anything is shuffled.
     """
-    hashed = df.withColumn("_hash", seeded_md5(seed, F.col(row_id)))
-    bucket = F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int")
-    sizes = hashed.groupBy(bucket.alias("bucket")).count().collect()  # at most 4096 rows
-    counts = [0] * HASH_BUCKETS
-    for row in sizes:
-        counts[row["bucket"]] = row["count"]
-    starts, total = [], 0
-    for count in counts:
-        starts.append(total)
-        total += count
+    hashed = df.withColumn("_hash", seeded_md5(seed, F.col(row_id))).withColumn("_bucket", _hash_bucket())
+    starts = _bucket_starts(hashed)
+    if wanted is not None:
+        touched = [
+            b for b in range(HASH_BUCKETS) if any(starts[b] < high and starts[b + 1] > low for low, high in wanted)
+        ]
+        if len(touched) < HASH_BUCKETS:
+            member = set(touched)
+            flags = constant_array([int(b in member) for b in range(HASH_BUCKETS)], "int")
+            hashed = hashed.where(F.get(flags, F.col("_bucket")) == 1)
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", row_id))
-    return (
-        hashed.withColumn("_bucket", bucket)
-        .withColumn(out, F.get(constant_array(starts, "bigint"), F.col("_bucket")) + rank - 1)
-        .drop("_hash", "_bucket")
-    )
+    placed = hashed.withColumn(out, F.get(constant_array(starts, "bigint"), F.col("_bucket")) + rank - 1)
+    if wanted is not None:
+        inside = F.lit(False)
+        for low, high in wanted:
+            inside |= F.col(out).between(low, high - 1)
+        placed = placed.where(inside)
+    return placed.drop("_hash", "_bucket")
+
+
+def _hash_bucket() -> Column:
+    return F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int")
+
+
+def _bucket_starts(hashed: DataFrame) -> list[int]:
+    """First position of every bucket, and the number of rows at the end."""
+    counts = {r["_bucket"]: r["count"] for r in hashed.groupBy("_bucket").count().collect()}  # at most 4096 rows
+    starts = [0]
+    for bucket in range(HASH_BUCKETS):
+        starts.append(starts[-1] + counts.get(bucket, 0))
+    return starts
+
+
+def before_hash_position(df: DataFrame, seed: int, place: int, row_id: str = "row_id") -> Column:
+    """Whether a row comes before position ``place`` in hash order.
+
+    Only the one bucket that holds the position is ranked; all other rows are told apart by their hash.
+    """
+    hashed = df.select(row_id, seeded_md5(seed, F.col(row_id)).alias("_hash")).withColumn("_bucket", _hash_bucket())
+    starts = _bucket_starts(hashed)
+    if place >= starts[-1]:
+        return F.lit(True)
+    bucket = max(b for b in range(HASH_BUCKETS) if starts[b] <= place < starts[b + 1])
+    ranked = dense_positions(hashed.where(F.col("_bucket") == bucket).select("_hash", row_id), ["_hash", row_id])
+    edge = ranked.where(F.col("position") == place - starts[bucket]).head()
+    own = seeded_md5(seed, F.col(row_id))
+    return (own < edge["_hash"]) | ((own == edge["_hash"]) & (F.col(row_id) < F.lit(edge[row_id])))
+
+
+def kth_smallest(df: DataFrame, column: str, k: int):
+    """The value at position k (from 0) of a unique numeric column, or None beyond its end.
+
+    A quantile sketch names a narrow range around it; only the values in that range are ranked.
+    """
+    rows = df.count()
+    if k >= rows:
+        return None
+    around = [max(0.0, k / rows - 0.01), min(1.0, (k + 1) / rows + 0.01)]
+    low, high = df.agg(F.percentile_approx(column, around, F.lit(1000))).head()[0]
+    below = df.where(F.col(column) < F.lit(low)).count()
+    inside = df.where(F.col(column).between(F.lit(low), F.lit(high))).select(column)
+    if not below <= k < below + inside.count():
+        inside, below = df.select(column), 0
+    return dense_positions(inside, [column]).where(F.col("position") == k - below).head()[column]
 
 
 def shuffle_rows(df: DataFrame, seed: int, row_id: str = "row_id") -> DataFrame:

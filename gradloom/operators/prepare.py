@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gradloom.functions.hashing import hash_thousandth
 from gradloom.functions.vectors import constant_array
-from gradloom.operators.ordering import dense_positions, number_by_hash, shuffle_rows
+from gradloom.operators.ordering import before_hash_position, dense_positions, kth_smallest, number_by_hash
 from gradloom.session import BROADCAST_ROWS
 
 
@@ -115,18 +115,17 @@ def categorical_apply(df: DataFrame, mapping: DataFrame, columns: Sequence[str])
 def csv_test_split(
     df: DataFrame, test_split: float, shuffle: bool = False, seed: int = 0, row_id: str = "row_id"
 ) -> DataFrame:
-    """Hold out the last fraction of the rows, in seeded hash order if ``shuffle``, else in id order."""
-    rows = df.count()
-    cut = int(rows * (1 - test_split) + 1e-9)
+    """Hold out the last fraction of the rows, in seeded hash order if ``shuffle``, else in id order.
+
+    Rows are not moved: the id (or hash) at the cut is found first, and every row is compared with it.
+    """
+    cut = int(df.count() * (1 - test_split) + 1e-9)
     if shuffle:
-        placed = number_by_hash(df, seed, row_id, "_place")
-        held_out = F.col("_place") >= cut
+        kept = before_hash_position(df, seed, cut, row_id)
     else:
-        places = dense_positions(df.select(row_id), [row_id], "_place")
-        boundary = places.where(F.col("_place") == cut).select(row_id).head()  # a single id
-        placed = df
-        held_out = F.lit(False) if boundary is None else F.col(row_id) >= F.lit(boundary[0])
-    return placed.withColumn("split", F.when(held_out, F.lit("test")).otherwise(F.lit("train"))).drop("_place")
+        edge = kth_smallest(df, row_id, cut)
+        kept = F.lit(True) if edge is None else F.col(row_id) < F.lit(edge)
+    return df.withColumn("split", F.when(kept, F.lit("train")).otherwise(F.lit("test")))
 
 
 def assign_minibatch(

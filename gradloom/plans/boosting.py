@@ -23,6 +23,8 @@ from gradloom.session import local_table, map_arrow, reliable_checkpoint
 HISTOGRAM_BYTES = 64 * 1024 * 1024
 # Rounds after which margins are stored with the rows, so that tasks replay only newer trees.
 REFRESH_ROUNDS = 10
+# Tasks per pass: each sends one set of histograms, so their number should not grow with the data.
+HISTOGRAM_TASKS = 20_000
 # Quantiles asked of one aggregation pass.
 COLUMNS_PER_PASS = 256
 
@@ -414,7 +416,8 @@ def train_trees(
     if any(len(cut) >= p.max_bin for cut in edges):
         raise ValueError(f"the model has more cuts than max_bin={p.max_bin} allows")
     start = F.array(*[F.lit(model.start)] * nout)
-    table = bin_rows(source, edges, keep).withColumn("margin", start).persist(StorageLevel.MEMORY_AND_DISK)
+    table = bin_rows(source, edges, keep).coalesce(HISTOGRAM_TASKS).withColumn("margin", start)
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     stored, dart = 0, booster == "dart"
     try:
         for _ in range(iterations):

@@ -72,9 +72,14 @@ def matrix(batch: pa.RecordBatch, width: int) -> Dense | Sparse:
 
 
 def feature_width(df: DataFrame) -> int:
-    """Array length, or the largest feature id plus one; always taken from the training rows."""
-    size = F.size("features") if "features" in df.columns else F.array_max("indices") + 1
-    return int(df.agg(F.max(size)).head()[0] or 0)
+    """Length of the dense arrays, or the largest feature id plus one; always taken from the training rows.
+
+    Dense rows of another length raise when they are read as a matrix, so one row tells.
+    """
+    if "features" in df.columns:
+        first = df.select(F.size("features")).head()
+        return first[0] if first else 0
+    return int(df.agg(F.max(F.array_max("indices") + 1)).head()[0] or 0)
 
 
 def check_broadcast(size: int, what: str) -> None:

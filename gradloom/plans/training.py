@@ -46,19 +46,18 @@ class TrainingRows:
     batches_per_group: int | None = None
 
     @classmethod
-    def cached(cls, rows: DataFrame, size: int) -> TrainingRows:
-        """Kept in executor memory, spilling to their disks; small tables in few partitions."""
-        few = max(1, size // PARTITION_BYTES)
-        if few < rows.sparkSession.sparkContext.defaultParallelism:
-            rows = rows.coalesce(few)
+    def cached(cls, rows: DataFrame, size: int | None = None) -> TrainingRows:
+        """Kept in executor memory, spilling to their disks; tables of known, small size in few partitions."""
+        if size is not None and size // PARTITION_BYTES < rows.sparkSession.sparkContext.defaultParallelism:
+            rows = rows.coalesce(max(1, size // PARTITION_BYTES))
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         parts = rows.select(F.spark_partition_id().alias("part")).distinct().count()
         return cls(rows, max(parts, 1))
 
     @classmethod
-    def stored(cls, rows: DataFrame, size: int, batches: int, path: str) -> TrainingRows:
+    def stored(cls, rows: DataFrame, size: int, steps: int, path: str) -> TrainingRows:
         """Written to one folder per group of batches, so that an iteration opens its own files only."""
-        per_group = max(1, int(batches * GROUP_BYTES // size))
+        per_group = max(1, steps * GROUP_BYTES // size)
         grouped = rows.withColumn("batch_group", F.floor(F.col("batch_id") / F.lit(per_group)))
         grouped.write.partitionBy("batch_group").parquet(path)
         parts = max(1, min(size, GROUP_BYTES) // PARTITION_BYTES) * 2
@@ -188,17 +187,18 @@ class NeuralNetwork:
         if "row_id" in train.columns:
             wanted.insert(0, "row_id")
         rows = train.select(*wanted)
-        total = rows.count()
-        taken = batch_size * solver.iter_size if batch_size else total
-        batches = max(1, -(-total // max(taken, 1)))
+        if not batch_size:
+            return TrainingRows.cached(rows), 1
+        total, taken = rows.count(), batch_size * solver.iter_size
+        batches = max(1, -(-total // taken))
         if batches == 1:
             return TrainingRows.cached(rows, total * self.model.width * 8), 1
         # Iterations wrap around after `batches` steps; rows no planned iteration visits are not kept.
         first, steps = self.state.step % batches, min(solver.iterations, batches)
-        placed = number_by_hash(rows, self.seed, out="_place")
-        placed = placed.withColumn("batch_id", F.floor(F.col("_place") / F.lit(taken))).drop("_place")
-        ahead = F.pmod(F.col("batch_id") - F.lit(first), F.lit(batches))
-        visited = placed.where(ahead < F.lit(steps))
+        last = first + steps
+        wanted = [(first * taken, last * taken)] + ([(0, (last - batches) * taken)] if last > batches else [])
+        visited = number_by_hash(rows, self.seed, out="_place", wanted=wanted)
+        visited = visited.withColumn("batch_id", F.floor(F.col("_place") / F.lit(taken))).drop("_place")
         size = steps * taken * self.model.width * 8
         if size <= CACHED_BATCH_BYTES:
             return TrainingRows.cached(visited, size), batches

@@ -22,7 +22,7 @@ def _tokens():
 
 def read_svmlight(spark: SparkSession, path: str, zero_based: bool = True, numbered: bool = True) -> DataFrame:
     """Labelled rows. A line with a label only is an all-zero row; blank lines and comments are no rows."""
-    lines = read_lines(spark, path).withColumn("_tokens", _tokens()).where(F.size("_tokens") > 0)
+    lines = read_lines(spark, path, keep=F.size(_tokens()) > 0).withColumn("_tokens", _tokens())
     if numbered:
         lines = with_row_id(lines)
     label = F.get("_tokens", F.lit(0)).cast("double").cast("int")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradloom.session import BROADCAST_ROWS, local_table
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``value``, ``file_path``, ``block`` and a sequence that rises along each file split."""
+def read_lines(spark: SparkSession, path: str, glob: str | None = None, keep: Column | None = None) -> DataFrame:
+    """``value``, ``file_path``, ``block`` and a sequence that counts the kept lines along each file split."""
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    lines = reader.text(path)
+    return (lines if keep is None else lines.where(keep)).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
