@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradloom.operators.ordering import dense_positions
-from gradloom.session import BROADCAST_ROWS, map_arrow
+from gradloom.session import BROADCAST_ROWS, map_arrow, reliable_checkpoint
 from gradloom.sources.tables import from_triples
 
 
@@ -65,13 +65,14 @@ def text_features(df: DataFrame, text: str = "text", row_id: str = "row_id") ->
     """Bag of words: sparse word counts of every text, and the word vocabulary behind them.
 
     Counts are formed per (row, word) before words meet their positions, so a word found in every text costs
-    one entry per text, and the adaptive join splits it.
+    one entry per text, and the adaptive join splits it. The counts are checkpointed: texts are taken apart once,
+    though counts serve the vocabulary and the entries.
     """
     words = df.select(
         F.col(row_id).alias("row_id"),
         F.explode(F.filter(F.split(F.lower(text), r"[ \t\r\n]+"), lambda w: w != "")).alias("feature"),
     )
-    counts = words.groupBy("row_id", "feature").agg(F.count("*").cast("double").alias("value"))
+    counts = reliable_checkpoint(words.groupBy("row_id", "feature").agg(F.count("*").cast("double").alias("value")))
     vocabulary = dense_positions(counts.select("feature").distinct(), ["feature"])
     entries = counts.join(vocabulary, "feature").select("row_id", F.col("position").alias("col"), "value")
     return from_triples(entries, df.select(F.col(row_id).alias("row_id"))), vocabulary

@@ -17,7 +17,7 @@ from gradloom.functions.hashing import uniform_draws
 from gradloom.functions.vectors import sparse_to_dense
 from gradloom.plans import objectives
 from gradloom.plans.kernels import check_broadcast, feature_width
-from gradloom.session import local_table, map_arrow, reliable_checkpoint
+from gradloom.session import local_table, map_arrow, persist_balanced, reliable_checkpoint
 
 # One task's histogram buffer; levels with more nodes are done in several passes.
 HISTOGRAM_BYTES = 64 * 1024 * 1024
@@ -107,7 +107,7 @@ def bin_edges(df: DataFrame, width: int, max_bin: int) -> list[np.ndarray]:
     A feature with few, well-filled values gets each of them as a cut, which makes its splits exact.
     """
     grid = F.lit([i / max_bin for i in range(1, max_bin)])
-    accuracy = F.lit(100 * max_bin)
+    accuracy = F.lit(max(1000, 16 * max_bin))
     edges: list[np.ndarray] = []
     for start in range(0, width, COLUMNS_PER_PASS):
         wanted = range(start, min(start + COLUMNS_PER_PASS, width))
@@ -417,7 +417,7 @@ def train_trees(
         raise ValueError(f"the model has more cuts than max_bin={p.max_bin} allows")
     start = F.array(*[F.lit(model.start)] * nout)
     table = bin_rows(source, edges, keep).coalesce(HISTOGRAM_TASKS).withColumn("margin", start)
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    table, _ = persist_balanced(table, width + 8 * nout + 16)
     stored, dart = 0, booster == "dart"
     try:
         for _ in range(iterations):

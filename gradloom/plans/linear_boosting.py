@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 from gradloom.plans import objectives
 from gradloom.plans.boosting import BoosterParams
 from gradloom.plans.kernels import check_broadcast, feature_names, feature_width, matrix, sum_partials
-from gradloom.session import map_arrow
+from gradloom.session import map_arrow, persist_balanced
 
 
 @dataclass
@@ -99,9 +98,8 @@ def train_linear(train, objective, nclasses, iterations, base_score, seed, p: Bo
         weight = F.when(F.col("label") == 1, float(p.scale_pos_weight)).otherwise(1.0)
     ids = ["row_id"] if p.subsample < 1.0 else []
     rows = train.select(*ids, F.col("label").cast("double").alias("label"), weight.alias("weight"), *feature_names(train))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows, parts = persist_balanced(rows, 8 * model.width + 16)
     try:
-        parts = max(1, rows.select(F.spark_partition_id().alias("p")).distinct().count())
         for round_ in range(iterations):
             model = linear_round(rows, model, parts, p, seed, round_)
             if after_round is not None:

@@ -18,7 +18,7 @@ from gradloom.plans.kernels import feature_names, feature_width
 from gradloom.plans.network import NetworkModel, network_gradient, network_scores
 from gradloom.plans.repository import RunFolder, load_arrays
 from gradloom.plans.solver import SolverConfig, SolverState, solver_step
-from gradloom.session import scratch_path
+from gradloom.session import persist_balanced, scratch_path
 
 
 def measure(scored: DataFrame, metrics: Sequence[str], nclasses: int) -> list[tuple[str, str, float]]:
@@ -46,13 +46,11 @@ class TrainingRows:
     batches_per_group: int | None = None
 
     @classmethod
-    def cached(cls, rows: DataFrame, size: int | None = None) -> TrainingRows:
+    def cached(cls, rows: DataFrame, width: int, size: int | None = None) -> TrainingRows:
         """Kept in executor memory, spilling to their disks; tables of known, small size in few partitions."""
         if size is not None and size // PARTITION_BYTES < rows.sparkSession.sparkContext.defaultParallelism:
             rows = rows.coalesce(max(1, size // PARTITION_BYTES))
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        parts = rows.select(F.spark_partition_id().alias("part")).distinct().count()
-        return cls(rows, max(parts, 1))
+        return cls(*persist_balanced(rows, 8 * width))
 
     @classmethod
     def stored(cls, rows: DataFrame, size: int, steps: int, path: str) -> TrainingRows:
@@ -188,11 +186,11 @@ class NeuralNetwork:
             wanted.insert(0, "row_id")
         rows = train.select(*wanted)
         if not batch_size:
-            return TrainingRows.cached(rows), 1
+            return TrainingRows.cached(rows, self.model.width), 1
         total, taken = rows.count(), batch_size * solver.iter_size
         batches = max(1, -(-total // taken))
         if batches == 1:
-            return TrainingRows.cached(rows, total * self.model.width * 8), 1
+            return TrainingRows.cached(rows, self.model.width), 1
         # Iterations wrap around after `batches` steps; rows no planned iteration visits are not kept.
         first, steps = self.state.step % batches, min(solver.iterations, batches)
         last = first + steps
@@ -201,7 +199,7 @@ class NeuralNetwork:
         visited = visited.withColumn("batch_id", F.floor(F.col("_place") / F.lit(taken))).drop("_place")
         size = steps * taken * self.model.width * 8
         if size <= CACHED_BATCH_BYTES:
-            return TrainingRows.cached(visited, size), batches
+            return TrainingRows.cached(visited, self.model.width, size), batches
         return TrainingRows.stored(visited, size, steps, scratch_path(train.sparkSession, "batches")), batches
 
     def _measure(self, run: str, iteration: int, checks: DataFrame, metrics: Sequence[str]) -> list[tuple]:

@@ -8,13 +8,17 @@ import zipfile
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 # Largest table (or model) the library ships to every executor. Anything beyond goes through a shuffle.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Smallest share of a cached table worth a partition of its own.
+BALANCE_BYTES = 4 * 1024 * 1024
 
 
 def local_session(cpus: int | str = "*", app: str = "gradloom") -> SparkSession:
@@ -59,6 +63,38 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a plain scan out over all cores if it comes in fewer partitions; larger tables stay as they are.
+
+    For scans only: asking a table that needs a shuffle for its partitions would run that shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else _dealt(df, cores)
+
+
+def _dealt(df: DataFrame, parts: int) -> DataFrame:
+    """By a hash of the row: the same deal on every retry, without the sort a round-robin needs for that."""
+    return df.repartition(parts, F.xxhash64(*df.columns))
+
+
+def persist_balanced(df: DataFrame, row_bytes: int) -> tuple[DataFrame, int]:
+    """Cache rows that are gone over many times; also the number of partitions that hold rows.
+
+    A table of which few partitions hold rows (one large file block, say) is dealt out once, 4 MB or more per
+    partition and at most one partition per core. Larger tables have more partitions than that already.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = cached.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    found = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("filled")).head()
+    target = min(df.sparkSession.sparkContext.defaultParallelism, found["n"] * row_bytes // BALANCE_BYTES)
+    if target <= max(found["filled"], 1):
+        return cached, max(found["filled"], 1)
+    dealt = _dealt(cached, target).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()
+    cached.unpersist()
+    return dealt, target
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a table, without starting Python workers."""
     fields = T.StructType.fromDDL(schema)

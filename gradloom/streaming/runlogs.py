@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from gradloom.functions.logs import LINE_SCHEMA, LOG_FILE_PATTERN, log_name, parse_log_line
+from gradloom.functions.logs import LINE_SCHEMA, LOG_FILE_PATTERN, log_name
+from gradloom.operators.runlog import drop_bad_lines, parse_lines
 from gradloom.session import attach
 from gradloom.sources.journals import LOG_GLOB
 
@@ -45,42 +46,44 @@ def stream_run_logs(
     return lines.select(log_name(F.col("file_path"), pattern).alias("log"), "file_path", "line_no", "value")
 
 
-class RisingIterations(StatefulProcessor):
-    """Per log, remembers the largest iteration seen and lets only larger ones pass.
+def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
+    """The processor behind ``follow``; a local class, so that it travels by value to every kind of worker."""
 
-    With a timeout, a processing-time timer is renewed by every batch of lines; when it fires the run is over.
-    """
+    class RisingIterations(StatefulProcessor):
+        """Per log, remembers the largest iteration seen and lets only larger ones pass.
+
+        With a timeout, a processing-time timer is renewed by every batch of lines; when it fires the run is over.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.top = handle.getValueState("top", "iteration double")
+            self.timer = handle.getValueState("timer", "at bigint")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            if timeout_ms is not None:
+                if self.timer.exists():
+                    self.handle.deleteTimer(self.timer.get()[0])
+                due = timerValues.getCurrentProcessingTimeInMs() + timeout_ms
+                self.handle.registerTimer(due)
+                self.timer.update((due,))
+            lines = pd.concat(list(rows)).sort_values(["file_path", "line_no"], kind="stable")  # one micro-batch of a log
+            top = self.top.get()[0] if self.top.exists() else 0.0
+            before = lines["iteration"].cummax().shift(fill_value=top).clip(lower=top)
+            kept = lines[lines["iteration"] > before]
+            if len(kept):
+                self.top.update((float(kept["iteration"].iloc[-1]),))
+                yield kept.assign(log=key[0], ended=False)[FOLLOWED.names]
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.timer.clear()
+            row = {name: None for name in LINE_SCHEMA.names}
+            yield pd.DataFrame({"log": [key[0]], **{n: pd.Series([v], dtype="float64") for n, v in row.items()}, "ended": [True]})
+
+        def close(self) -> None:
+            pass
 
-    def __init__(self, timeout_ms: int | None):
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.top = handle.getValueState("top", "iteration double")
-        self.timer = handle.getValueState("timer", "at bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.timeout_ms is not None:
-            if self.timer.exists():
-                self.handle.deleteTimer(self.timer.get()[0])
-            due = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
-            self.handle.registerTimer(due)
-            self.timer.update((due,))
-        lines = pd.concat(list(rows)).sort_values(["file_path", "line_no"], kind="stable")  # one micro-batch of a log
-        top = self.top.get()[0] if self.top.exists() else 0.0
-        before = lines["iteration"].cummax().shift(fill_value=top).clip(lower=top)
-        kept = lines[lines["iteration"] > before]
-        if len(kept):
-            self.top.update((float(kept["iteration"].iloc[-1]),))
-            yield kept.assign(log=key[0], ended=False)[FOLLOWED.names]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
-        row = {name: None for name in LINE_SCHEMA.names}
-        yield pd.DataFrame({"log": [key[0]], **{n: pd.Series([v], dtype="float64") for n, v in row.items()}, "ended": [True]})
-
-    def close(self) -> None:
-        pass
+    return RisingIterations()
 
 
 def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
@@ -89,10 +92,9 @@ def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
     attach(spark)
     if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
         spark.conf.set(STATE_STORE, ROCKSDB)  # per-key state with timers needs this store
-    parsed = lines.withColumn("_p", parse_log_line(F.col("value"))).where(F.col("_p.iteration").isNotNull())
-    wanted = parsed.select("log", "file_path", "line_no", "_p.*")
+    wanted = drop_bad_lines(parse_lines(lines))
     return wanted.groupBy("log").transformWithStateInPandas(
-        statefulProcessor=RisingIterations(None if timeout is None else int(timeout * 1000)),
+        statefulProcessor=rising_iterations(None if timeout is None else int(timeout * 1000)),
         outputStructType=FOLLOWED,
         outputMode="Append",
         timeMode="None" if timeout is None else "ProcessingTime",

@@ -116,7 +116,7 @@ def test_metrics_of_degenerate_sets(spark):
 LINES = [
     "{'iteration': 1, 'mcll': 2.0, 'other': 5}", "noise", "{'iteration': 1, 'mcll': 1.9}", "{'iteration': 3, 'acc': NaN}",
     "{'iteration': 2, 'mcll': 1}", "{'iteration': 0, 'mcll': 1}", "{'iteration': 4, 'mcll': nan}", "{'iteration': 5, 'm",
-    "{'mcll': 1.0}", "{'status': {'iteration': 9}}", "{'iteration': true, 'mcll': 1.0}", "{'iteration': 7.5, 'auc': 0.5}",
+    "{'mcll': 1.0}", "{'status': {'iteration': 9}}", "{'iteration': true, 'mcll': 1.0}", "{'iteration': NaN, 'mcll': 1.0}", "{'iteration': 7.5, 'auc': 0.5}",
 ]
 
 
@@ -125,7 +125,7 @@ def test_log_lines(spark, segment):
     lines = spark.createDataFrame([("a", i, v) for i, v in enumerate(LINES)], "log string, line_no bigint, value string")
     parsed = runlog.parse_lines(lines)
     bad = runlog.count_bad_lines(parsed).head()
-    assert (bad.lines, bad.rejected) == (12, 6)
+    assert (bad.lines, bad.rejected) == (13, 6)
     kept = runlog.monotonic_filter(runlog.drop_bad_lines(parsed), segment)
     assert sorted(r.iteration for r in kept.collect()) == [1.0, 3.0, 7.5]
     points = runlog.unpivot_metrics(kept)

@@ -9,7 +9,7 @@ from gradloom.streaming.runlogs import FOLLOWED, drain, follow, stream_run_logs
 
 
 def put(folder, name, iterations):
-    text = "".join(f"{{'iteration': {i}, 'mcll': {i / 10}}}\n" if i is not None else "noise\n" for i in iterations)
+    text = "".join(f"{{'iteration': {i}, 'mcll': 1.5}}\n" if i is not None else "noise\n" for i in iterations)
     (folder / name).write_text(text)
 
 
@@ -19,7 +19,7 @@ def test_follow_equals_batch_over_restarts(spark, tmp_path):
     put(folder, "b-0001.txt", [5, 0])
     drain(follow(stream_run_logs(spark, str(folder))), sink, progress)
     put(folder, "a-0002.txt", [1, 3])
-    put(folder, "a-0003.txt", [2, 10, 4])
+    put(folder, "a-0003.txt", [2, "NaN", 10, 4])
     put(folder, "c-0001.txt", [7])
     drain(follow(stream_run_logs(spark, str(folder))), sink, progress)
     drain(follow(stream_run_logs(spark, str(folder))), sink, progress)

@@ -12,6 +12,7 @@ from gradloom.plans.network import NetworkModel, batch_gradient, network_gradien
 from gradloom.plans.repository import RunFolder
 from gradloom.plans.solver import RULES, SolverConfig, SolverState, solver_step
 from gradloom.plans.training import NeuralNetwork, SoftmaxRegression
+from gradloom.plans.wide_softmax import WideSoftmaxRegression
 from gradloom.sources.tables import from_dense
 
 pytestmark = pytest.mark.filterwarnings("ignore")
@@ -257,6 +258,26 @@ def test_sparse_rows_boost_like_dense(rows):
     assert models[0] == models[1]
 
 
+def test_weights_as_a_table_equal_broadcast_weights(rows):
+    sparse = dense_to_sparse(rows.withColumn("features", F.transform("features", lambda v: F.when(F.abs(v) < 0.3, 0.0).otherwise(v))))
+    solver = SolverConfig(iterations=3, base_lr=1.0, momentum=0.9, weight_decay=0.05, lr_policy="step", gamma=0.5, stepsize=2)
+    balance = [1.0 + 0.1 * i for i in range(10)]
+    small = SoftmaxRegression(10)
+    small.fit(sparse, solver=solver, batch_size=None, class_weights=balance)
+    wide = WideSoftmaxRegression(10).fit(sparse, solver, balance)
+    for r in wide.weights.collect():
+        assert r.w == pytest.approx(small.model.weights["w0"][r.feature].tolist(), abs=1e-12)
+    assert wide.bias == pytest.approx(small.model.weights["b0"].tolist(), abs=1e-12)
+    a, b = ({r.row_id: r.scores for r in m.predict_proba(sparse).collect()} for m in (small, wide))
+    assert len(a) == len(b) == rows.count() and all(a[i] == pytest.approx(b[i], abs=1e-9) for i in a)
+
+
+def test_models_beyond_the_broadcast_bound_are_refused(rows, monkeypatch):
+    monkeypatch.setattr(kernels, "BROADCAST_BYTES", 1000)
+    with pytest.raises(ValueError, match="may be broadcast"):
+        SoftmaxRegression(10).fit(rows, solver=SolverConfig(iterations=1))
+
+
 def test_draws_depend_on_row_only():
     ids = np.arange(1000)
     draws = uniform_draws(1, 2, ids, 5)

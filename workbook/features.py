@@ -25,7 +25,7 @@ from gradloom.operators.prepare import (
 )
 from gradloom.operators.vocabulary import text_features
 from gradloom.sources.tables import drop_ignored, keep_id, offset_label
-from workbook.inputs import SPARSE_SQL, SPLIT_SEED, hash_sql, split_vectors, table, vectors, with_zeros
+from workbook.inputs import SPARSE_SQL, SPLIT_SEED, dealt_table, hash_sql, split_vectors, table, vectors, with_zeros
 
 R6 = lambda c: F.round(c, 6)
 WEIGHTS = [0.5 * (k + 1) for k in range(10)]
@@ -129,7 +129,7 @@ def b17_assign_minibatch(spark, sf_dir):
 
 
 def b18_text_features(spark, sf_dir):
-    rows, _ = text_features(table(spark, sf_dir, "documents"), "text", "doc_id")
+    rows, _ = text_features(dealt_table(spark, sf_dir, "documents", "doc_id", "text"), "text", "doc_id")
     return rows.select("row_id", F.inline(F.arrays_zip("indices", "values"))).withColumnsRenamed(
         {"indices": "word", "values": "n"}
     )

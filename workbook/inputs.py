@@ -9,7 +9,7 @@ from gradloom.operators.metrics import with_prediction
 from gradloom.operators.prepare import train_test_split
 from gradloom.plans.solver import SolverConfig
 from gradloom.plans.training import SoftmaxRegression
-from gradloom.session import scratch_path
+from gradloom.session import scratch_path, spread
 from gradloom.sources.tables import from_dense
 
 SPLIT_SEED = 7
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table that takes work per row; a file of one row group would keep all of it in one task."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_dense(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", "label")
 
@@ -61,7 +66,7 @@ EVENT_METRICS = {"click": "mcll", "view": "accp", "signup": "f1", "purchase": "t
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as training-log lines, one log per user; ``error`` events become cut-off lines."""
-    events = table(spark, sf_dir, "events")
+    events = dealt_table(spark, sf_dir, "events", "user_id", "event_id", "event_type", "value", "props")
     names = F.create_map(*[F.lit(x) for pair in EVENT_METRICS.items() for x in pair])
     head = F.concat(
         F.lit("{'iteration': "), F.get_json_object("props", "$.k"), F.lit(", '"), F.element_at(names, F.col("event_type")), F.lit("': ")
@@ -70,10 +75,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.col("user_id").cast("string").alias("log"), F.col("event_id").alias("line_no"), line.alias("value"))
 
 
+def in_line_order(lines: DataFrame) -> DataFrame:
+    """Ranges of (log, line); their number is named, so that small data is still written by many tasks."""
+    ranges = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartitionByRange(ranges, "log", "line_no").sortWithinPartitions("log", "line_no")
+
+
 def written_logs(spark: SparkSession, sf_dir: str) -> str:
     """The log lines as text files, ``log=<user>/part-….txt``; range partitions keep file order and split long logs."""
     path = scratch_path(spark, "logs")
-    lines = log_lines(spark, sf_dir).repartitionByRange("log", "line_no").sortWithinPartitions("log", "line_no")
+    lines = in_line_order(log_lines(spark, sf_dir))
     lines.select("log", "value").write.partitionBy("log").text(path)
     return path
 

@@ -17,6 +17,7 @@ from workbook.inputs import (
     NCLASSES,
     WIDTH,
     X_SQL,
+    dealt_table,
     predictions,
     probabilities,
     softmax_chain,
@@ -77,7 +78,8 @@ def c03_fit_mlp(spark, sf_dir):
 # -- boosting -------------------------------------------------------------------------------------------------
 
 def _line_features(spark, sf_dir, label, columns):
-    rows = table(spark, sf_dir, "lineitem")
+    used = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_linestatus", "l_returnflag"]
+    rows = dealt_table(spark, sf_dir, "lineitem", *used)
     return rows.select(label.alias("label"), F.array(*[F.col(c).cast("double") for c in columns]).alias("features"))
 
 
@@ -233,7 +235,7 @@ def c18_refit(spark, sf_dir):
 
 
 def c19_regression(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = dealt_table(spark, sf_dir, "lineitem", "l_quantity", "l_discount", "l_tax", "l_extendedprice").select(
         F.array(F.col("l_quantity") / 50.0, F.col("l_discount"), F.col("l_tax")).alias("features"),
         F.array(F.col("l_extendedprice") / 100000.0).alias("targets"),
     )
