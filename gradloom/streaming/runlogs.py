@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gradloom.functions.logs import LINE_SCHEMA, LOG_FILE_PATTERN, log_name
+from gradloom.operators.ordering import earlier_max
 from gradloom.operators.runlog import drop_bad_lines, parse_lines
-from gradloom.session import attach
+from gradloom.session import attach, local_table
 from gradloom.sources.journals import LOG_GLOB
 
 # Fixed value: seconds without a new line after which a run counts as over.
@@ -25,20 +26,18 @@ FOLLOWED = T.StructType([T.StructField("log", T.StringType()), *LINE_SCHEMA, T.S
 
 
 def stream_run_logs(
-    spark: SparkSession, path: str, pattern: str = LOG_FILE_PATTERN, files_per_trigger: int = 1000
+    spark: SparkSession, path: str, pattern: str = LOG_FILE_PATTERN, files_per_trigger: int | None = None
 ) -> DataFrame:
     """``log``, ``file_path``, ``line_no``, ``value`` of every new log file under ``path``.
 
-    Writers roll small files with sortable names; a file is read whole, so its lines keep their numbers. The
-    number of files per trigger bounds what one micro-batch, and so one log in it, can hold.
+    Writers roll small files with sortable names; a file is read whole, so its lines keep their numbers. Files of
+    one trigger are put in order by name. With ``files_per_trigger`` the source hands files out in order of their
+    modification time, so a log's files must then have been finished one after the other.
     """
-    files = (
-        spark.readStream.option("wholetext", True)
-        .option("pathGlobFilter", LOG_GLOB)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .text(path)
-    )
+    reader = spark.readStream.option("pathGlobFilter", LOG_GLOB).option("recursiveFileLookup", True)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    files = reader.text(path, wholetext=True)
     lines = files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("line_no", "value"),
@@ -87,7 +86,10 @@ def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
 
 
 def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
-    """Accepted lines of streamed logs, one state per log; with ``timeout`` (seconds) also an ``ended`` row per idle run."""
+    """Accepted lines of streamed logs, one state per log; with ``timeout`` (seconds) also an ``ended`` row per idle run.
+
+    One task orders what a trigger brings of a log; ``follow_in_batches`` has no such limit, and no timers.
+    """
     spark = lines.sparkSession
     attach(spark)
     if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
@@ -101,6 +103,44 @@ def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
     )
 
 
+def follow_in_batches(lines: DataFrame, folder: str) -> DataFrame:
+    """Process everything there is as ``follow`` does, however large a single log, and return all accepted lines.
+
+    Every trigger is an ordinary batch: lines are filtered file by file with carried maxima, so a log of any
+    length is shared by many tasks. The largest iteration per log is a table with one version per trigger; a
+    trigger that is repeated after a failure reads the version before it and overwrites its own output. Call it
+    again with the same ``folder`` (in shared storage) to go on where it ended.
+    """
+    spark = lines.sparkSession
+    tops, kept = "log string, top double", T.StructType([f for f in FOLLOWED if f.name != "ended"])
+
+    def version(number: int) -> DataFrame:
+        if number < 0:
+            return local_table(spark, [], tops)
+        return spark.read.schema(tops).parquet(f"{folder}/tops/{number}")
+
+    def one_trigger(batch: DataFrame, number: int) -> None:
+        fresh = drop_bad_lines(parse_lines(batch))
+        known = version(number - 1)
+        seen = earlier_max(fresh, "log", ["line_no"], "iteration", F.col("file_path"), "_seen")
+        floor = F.coalesce(F.greatest("_seen", "top"), F.lit(0.0))
+        passed = seen.join(known, "log", "left").where(F.col("iteration") > F.greatest(floor, F.lit(0.0)))
+        passed.select(*kept.names).write.mode("overwrite").parquet(f"{folder}/kept/trigger={number}")
+        written = spark.read.schema(kept).parquet(f"{folder}/kept/trigger={number}")
+        newest = written.groupBy("log").agg(F.max("iteration").alias("top")).unionByName(known)
+        newest = newest.groupBy("log").agg(F.max("top").alias("top"))
+        newest.write.mode("overwrite").parquet(f"{folder}/tops/{number}")
+
+    query = (
+        lines.writeStream.foreachBatch(one_trigger)
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(kept).option("recursiveFileLookup", True).parquet(f"{folder}/kept")
+
+
 def drain(stream: DataFrame, sink: str, checkpoint: str) -> None:
     """Process everything there is and stop; run again with the same checkpoint to go on where it ended.
 

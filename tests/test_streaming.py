@@ -1,11 +1,14 @@
+import os
+import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from gradloom.operators import runlog
 from gradloom.session import scratch_path
 from gradloom.sources.journals import read_run_logs
-from gradloom.streaming.runlogs import FOLLOWED, drain, follow, stream_run_logs
+from gradloom.streaming.runlogs import FOLLOWED, drain, follow, follow_in_batches, stream_run_logs
 
 
 def put(folder, name, iterations):
@@ -13,22 +16,56 @@ def put(folder, name, iterations):
     (folder / name).write_text(text)
 
 
-def test_follow_equals_batch_over_restarts(spark, tmp_path):
+@pytest.mark.parametrize("way", ["state", "batches"])
+def test_follow_equals_batch_over_restarts(spark, tmp_path, way):
     folder, sink, progress = tmp_path, scratch_path(spark, "sink"), scratch_path(spark, "progress")
+
+    def go_on():
+        lines = stream_run_logs(spark, str(folder))
+        if way == "batches":
+            return follow_in_batches(lines, sink)
+        drain(follow(lines), sink, progress)
+        return spark.read.schema(FOLLOWED).parquet(sink)
+
     put(folder, "a-0001.txt", [1, 2, None, 2])
     put(folder, "b-0001.txt", [5, 0])
-    drain(follow(stream_run_logs(spark, str(folder))), sink, progress)
+    go_on()
     put(folder, "a-0002.txt", [1, 3])
     put(folder, "a-0003.txt", [2, "NaN", 10, 4])
     put(folder, "c-0001.txt", [7])
-    drain(follow(stream_run_logs(spark, str(folder))), sink, progress)
-    drain(follow(stream_run_logs(spark, str(folder))), sink, progress)
-    got = sorted((r.log, r.iteration) for r in spark.read.schema(FOLLOWED).parquet(sink).collect())
+    go_on()
+    got = sorted((r.log, r.iteration) for r in go_on().collect())
     batch = runlog.monotonic_filter(runlog.drop_bad_lines(runlog.parse_lines(read_run_logs(spark, str(folder)))))
     assert got == sorted((r.log, r.iteration) for r in batch.collect())
     assert got == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 10.0), ("b", 5.0), ("c", 7.0)]
 
 
+def test_streamed_lines_are_numbered(spark, tmp_path):
+    put(tmp_path, "a-0001.txt", [1, None, 2])
+    sink = scratch_path(spark, "sink")
+    drain(stream_run_logs(spark, str(tmp_path)), sink, scratch_path(spark, "progress"))
+    rows = spark.read.schema("log string, file_path string, line_no int, value string").parquet(sink).orderBy("line_no")
+    assert [(r.log, r.line_no) for r in rows.collect()] == [("a", 0), ("a", 1), ("a", 2)]
+    assert rows.collect()[1].value == "noise"
+
+
+def test_log_in_many_files_of_one_trigger(spark, tmp_path):
+    """One log over forty files against a sequential pass, in small triggers and in one."""
+    rng = random.Random(2)
+    values = [[rng.randint(1, 400) + 5 * i for _ in range(20)] for i in range(40)]
+    for i, part in enumerate(values):
+        put(tmp_path, f"hot-{i:04d}.txt", part)
+        os.utime(tmp_path / f"hot-{i:04d}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    top, expected = 0, []
+    for v in (v for part in values for v in part):
+        if v > top:
+            top = v
+            expected.append(float(v))
+    for files in (None, 7):
+        kept = follow_in_batches(stream_run_logs(spark, str(tmp_path), files_per_trigger=files), scratch_path(spark, "s"))
+        assert sorted(r.iteration for r in kept.collect()) == expected
+
+
 def test_idle_logs_end_once(spark, tmp_path):
     put(tmp_path, "a-0001.txt", [1, 2])
     put(tmp_path, "b-0001.txt", [1])
