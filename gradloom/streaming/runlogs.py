@@ -16,9 +16,6 @@ from gradloom.operators.runlog import drop_bad_lines, parse_lines
 from gradloom.session import attach, local_table
 from gradloom.sources.journals import LOG_GLOB
 
-# Fixed value: seconds without a new line after which a run counts as over.
-IDLE_SECONDS = 20.0
-
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -86,7 +83,8 @@ def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
 
 
 def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
-    """Accepted lines of streamed logs, one state per log; with ``timeout`` (seconds) also an ``ended`` row per idle run.
+    """Accepted lines of streamed logs, one state per log; with ``timeout`` (seconds, usually
+    ``IDLE_SECONDS``) also an ``ended`` row per idle run.
 
     One task orders what a trigger brings of a log; ``follow_in_batches`` has no such limit, and no timers.
     """
