@@ -4,8 +4,11 @@ import pytest
 
 import __spark_entry__ as book
 from workbook.compare import differences, duck
+from workbook import CHAPTERS
 
-QUERIES, SQL = book.queries(), book.oracle_sql()
+NAMES = {query.__name__ for chapter in CHAPTERS for query in chapter.QUERIES}
+QUERIES = {name: query for name, query in book.queries().items() if name in NAMES}
+SQL = {name: text for name, text in book.oracle_sql().items() if name in NAMES}
 
 
 @pytest.fixture(scope="module")
