@@ -19,7 +19,12 @@ def number_in_groups(df: DataFrame, group: str, out: str) -> DataFrame:
     own rows, and only one count per (partition, group) is shuffled; a group that holds a third of all rows is
     spread over as many tasks as before. Groups must not be null.
     """
-    placed = reliable_checkpoint(df).withColumn("_part", F.spark_partition_id())
+    return number_placed(reliable_checkpoint(df), group, out)
+
+
+def number_placed(checkpointed: DataFrame, group: str, out: str) -> DataFrame:
+    """``number_in_groups`` for a table that is checkpointed already."""
+    placed = checkpointed.withColumn("_part", F.spark_partition_id())
     at = placed.columns.index(group)
 
     def rank(batches):

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradloom.llm.jaccard import link_components
 from gradloom.llm.numbering import number_in_groups
+from gradloom.llm.packing import packed_documents
+from gradloom.llm.pii import find_personal_data, span_list
 from gradloom.llm.quality import MEASURES, fit_line_field, judge_quality
 from gradloom.llm.sharding import shard_rows, shard_tree
 from gradloom.llm.urls import filter_urls
@@ -32,6 +35,16 @@ def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 1024 tokens."""
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles overlap by 90 of 100 or more."""
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back by byte ranges."""
     archive = scratch_path(spark, "warc")
@@ -47,6 +60,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_context_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base matches and what contexts add, for every document."""
+    return find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", span_list(F.col("spans")).alias("spans")
+    )
+
+
 def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the line field's verdict for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -54,7 +74,10 @@ def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs.select("doc_id", "text"), field).select("doc_id", *MEASURES, "base_failed", "kept", "content_share")
 
 
-QUERIES = [op1_weighted_hash_tree, op6_warc_round_trip, op7_url_filter, op10_line_field]
+QUERIES = [
+    op1_weighted_hash_tree, op2_shortest_pack_first, op4_jaccard_components, op6_warc_round_trip, op7_url_filter,
+    op8_context_bootstrap, op10_line_field,
+]
 
 SQL = {
     "op7_url_filter": r"""
