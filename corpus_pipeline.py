@@ -1,7 +1,76 @@
-"""From raw documents to packed sequences: quality rules, near-duplicate removal, personal data, packing."""
+"""From raw documents to packed sequences: quality rules, near-duplicate removal, personal data, packing.
+
+Every stage takes the table its predecessor left, and all but the last return the columns they were given. Rows of one
+doc_id are one document here: the second stage keeps the first of them.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-QUERIES = []
-SQL = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gradloom.llm.jaccard import link_components
+from gradloom.llm.packing import packed_documents
+from gradloom.llm.pii import redact
+from gradloom.llm.quality import fit_line_field, judge_quality
+from gradloom.session import scratch_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the line field keep."""
+    field = fit_line_field(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judge_quality(docs, field).where("kept").select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates: the one with the smallest doc_id.
+
+    Rows that go are named, not those that stay, so the table that is joined stays small in a clean corpus. A doc_id that
+    stands on several rows keeps one of them. Rows without a doc_id stay where nothing with one is like them.
+    """
+    found = scratch_path(spark, "components")
+    link_components(docs).write.parquet(found)
+    found = spark.read.parquet(found)
+    gone = found.where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id").distinct()
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"])
+    kept = docs.join(gone, same, "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.head(1):
+        single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+        several = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+        return single.unionByName(several.dropDuplicates(["doc_id"]))
+    return kept
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by the name of its kind."""
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and place in it."""
+    return packed_documents(docs)
+
+
+STAGES = [("quality rules", quality), ("near-duplicates", deduplicate), ("personal data", personal_data), ("packing", packing)]
+# The line field and the packing order are no SQL; tests hold each stage against a plain version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline as a query."""
+    return run(spark, sf_dir)
+
+
+QUERIES = [pipeline]
+SQL = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradloom.llm.jaccard import link_components
+from gradloom.llm.licenses import scan_licenses
+from gradloom.llm.neighbours import nearest_neighbours
 from gradloom.llm.numbering import number_in_groups
 from gradloom.llm.packing import packed_documents
+from gradloom.llm.pieces import round_trip
 from gradloom.llm.pii import find_personal_data, span_list
 from gradloom.llm.quality import MEASURES, fit_line_field, judge_quality
 from gradloom.llm.sharding import shard_rows, shard_tree
@@ -40,11 +43,21 @@ def op2_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document, and whether decoding gives the text back."""
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles overlap by 90 of 100 or more."""
     return link_components(table(spark, sf_dir, "documents"))
 
 
+def op5_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents, with the words they cover."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back by byte ranges."""
     archive = scratch_path(spark, "warc")
@@ -67,6 +80,11 @@ def op8_context_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth vec_id."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the line field's verdict for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -75,8 +93,8 @@ def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    op1_weighted_hash_tree, op2_shortest_pack_first, op4_jaccard_components, op6_warc_round_trip, op7_url_filter,
-    op8_context_bootstrap, op10_line_field,
+    op1_weighted_hash_tree, op2_shortest_pack_first, op3_sampled_pieces, op4_jaccard_components, op5_patience_licenses,
+    op6_warc_round_trip, op7_url_filter, op8_context_bootstrap, op9_inverted_multi_index, op10_line_field,
 ]
 
 SQL = {
