@@ -64,6 +64,15 @@ def sparse_to_text(indices: str = "indices", values: str = "values") -> Column:
     )
 
 
+def typed_label(label: Column, kind: str = "int") -> Column:
+    """A label as ``kind``. Whole-number kinds take whole numbers only; anything else raises instead of being cut."""
+    if kind in ("double", "float"):
+        return label.cast(kind)
+    whole = label.cast("double")
+    told = F.concat(F.lit("label "), label.cast("string"), F.lit(f" is no {kind}; read it with label_type='double'"))
+    return F.when(whole.isNull() | (whole == F.floor(whole)), whole.cast(kind)).otherwise(F.raise_error(told).cast(kind))
+
+
 def predicted_class(scores: Column | str) -> Column:
     """Position of the largest score; ties and all-zero rows go to the lowest class."""
     scores = F.col(scores) if isinstance(scores, str) else scores

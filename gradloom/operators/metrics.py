@@ -30,18 +30,16 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
 
 def per_class(confusion: DataFrame, nclasses: int) -> DataFrame:
     """Precision, recall, f1 and support of every class 0..nclasses-1; 0/0 counts as 0."""
-    classes = F.sequence(F.lit(0), F.lit(nclasses - 1))
-    exploded = confusion.withColumn("class", F.explode(classes))
-    hit = (F.col("label") == F.col("class")) & (F.col("pred") == F.col("class"))
-
-    def total(condition):
-        return F.sum(F.when(condition, F.col("n")).otherwise(0)).cast("double")
-
-    counts = exploded.groupBy("split", "class").agg(
-        total(hit).alias("tp"),
-        total(F.col("pred") == F.col("class")).alias("predicted"),
-        total(F.col("label") == F.col("class")).alias("support"),
-    )
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(zero)
+    # A cell counts once for its label and once for its prediction; classes without cells come from the list of classes.
+    by_label = confusion.select("split", F.col("label").alias("class"), hit.alias("tp"), zero.alias("predicted"), F.col("n").alias("support"))
+    by_pred = confusion.select("split", F.col("pred").alias("class"), zero.alias("tp"), F.col("n").alias("predicted"), zero.alias("support"))
+    every = confusion.select("split").distinct().select(
+        "split", F.explode(F.sequence(F.lit(0), F.lit(nclasses - 1))).alias("class"), zero.alias("tp"), zero.alias("predicted"), zero.alias("support")
+    )
+    cells = by_label.unionByName(by_pred).unionByName(every).where(F.col("class").between(0, nclasses - 1))
+    counts = cells.groupBy("split", "class").agg(*[F.sum(c).cast("double").alias(c) for c in ("tp", "predicted", "support")])
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     recall = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     both = F.col("predicted") + F.col("support")

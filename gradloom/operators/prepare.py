@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -117,10 +119,13 @@ def csv_test_split(
 ) -> DataFrame:
     """Hold out the last fraction of the rows, in seeded hash order if ``shuffle``, else in id order.
 
+    Seed -1 draws another order each time.
+
     Rows are not moved: the id (or hash) at the cut is found first, and every row is compared with it.
     """
     cut = int(df.count() * (1 - test_split) + 1e-9)
     if shuffle:
+        seed = secrets.randbelow(2**31) if seed == -1 else seed
         kept = before_hash_position(df, seed, cut, row_id)
     else:
         edge = kth_smallest(df, row_id, cut)

@@ -19,18 +19,22 @@ def feature_vocabulary(df: DataFrame) -> DataFrame:
 
 
 def apply_vocabulary(df: DataFrame, vocabulary: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Replace feature ids by vocabulary positions and leave unknown ids out.
+    """Replace feature ids by vocabulary positions, in their order, and leave unknown ids out.
 
     A vocabulary of checked size travels to the executors and rows stay where they are. A larger one is joined
-    by id; a feature that most rows carry is then split by the adaptive skew join.
+    by id; a feature that most rows carry is then split by the adaptive skew join. Both ways give the same rows, whether
+    row ids are unique or not.
     """
     if vocabulary.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return _apply_in_place(df, vocabulary)
-    entries = df.select("row_id", F.inline(F.arrays_zip("indices", "values"))).withColumnRenamed("indices", "feature")
-    known = entries.join(vocabulary, "feature").select("row_id", F.col("position").alias("col"), F.col("values").alias("value"))
-    others = [c for c in df.columns if c not in ("indices", "values")]
-    packed = from_triples(known, df.select("row_id"))
-    return df.select(*others).join(packed, "row_id")
+    # Checkpointed, so that a row keeps its number while its entries are away.
+    held = reliable_checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    entries = held.select("_row", F.inline(F.arrays_zip("indices", "values"))).withColumnRenamed("indices", "feature")
+    known = entries.join(vocabulary, "feature").select(
+        F.col("_row").alias("row_id"), F.col("position").alias("col"), F.col("values").alias("value")
+    )
+    packed = from_triples(known, held.select(F.col("_row").alias("row_id"))).withColumnRenamed("row_id", "_row")
+    return held.drop("indices", "values").join(packed, "_row").select(*df.columns)
 
 
 def _apply_in_place(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -49,11 +53,13 @@ def _apply_in_place(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
             kept = np.zeros(len(flat), dtype=bool)
             inside = place < len(ids)
             kept[inside] = ids[place[inside]] == flat[inside]
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(rows[kept], minlength=batch.num_rows))])
+            rows, place, values = rows[kept], place[kept], np.asarray(values, np.float64)[kept]
+            order = np.lexsort((values, place, rows))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
             offsets = pa.array(offsets.astype(np.int32))
             columns = {
-                "indices": pa.ListArray.from_arrays(offsets, pa.array(place[kept].astype(np.int32))),
-                "values": pa.ListArray.from_arrays(offsets, pa.array(values[kept].astype(np.float64))),
+                "indices": pa.ListArray.from_arrays(offsets, pa.array(place[order].astype(np.int32))),
+                "values": pa.ListArray.from_arrays(offsets, pa.array(values[order])),
             }
             names = batch.schema.names
             yield pa.RecordBatch.from_arrays([columns.get(n, batch.column(n)) for n in names], names=names)

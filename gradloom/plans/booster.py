@@ -13,16 +13,15 @@ from gradloom.operators.prepare import validation_bundle
 from gradloom.plans import objectives
 from gradloom.plans.boosting import BoosterParams, TreeEnsemble, ensemble_scores, train_trees
 from gradloom.plans.linear_boosting import LinearEnsemble, linear_scores, train_linear
-from gradloom.plans.repository import RunFolder, load_arrays
+from gradloom.plans.repository import RunFolder, latest_path, load_arrays
 from gradloom.plans.training import measure
-from gradloom.session import local_table, scratch_path
+from gradloom.session import scratch_path
 
 
 class BoostedModel:
     def __init__(self, nclasses: int = 2, repository: str = "", name: str = "", resume: bool = False, weights: str = ""):
         self.nclasses, self.repository, self.name = nclasses, repository, name
         self.resume, self.weights = resume, weights
-        self.runs = 0
         self.model: TreeEnsemble | LinearEnsemble | None = None
 
     def fit(
@@ -41,21 +40,25 @@ class BoostedModel:
         metrics: Sequence[str] = ("auc", "acc"),
         **booster_params,
     ) -> DataFrame:
-        """Train and return the log. ``nthread`` has no effect: Spark decides how many tasks run."""
+        """Train and return the log: the metrics of the validation sets, or without any the training loss.
+
+        Training starts from the snapshot that ``weights`` names, with ``resume`` from the latest one, else afresh.
+        ``nthread`` has no effect: Spark decides how many tasks run.
+        """
         if booster not in objectives.BOOSTERS:
             raise ValueError(f"booster {booster!r} is not one of {objectives.BOOSTERS}")
         p = BoosterParams.of(booster_params)
         spark = train.sparkSession
         self.repository = self.repository or scratch_path(spark, "model")
         folder = RunFolder(spark, self.repository)
-        self.runs += 1
-        run = f"{self.name or 'run'}_{self.runs}"
         folder.append_call("fit", {"objective": objective, "booster": booster, "iterations": iterations, **booster_params})
-        if self.resume:
+        latest = folder.latest() if self.resume and not self.weights else None
+        self.model = None
+        if self.weights or latest is not None:
             self._load(folder)
-        else:
-            self.model = None
-        begun = folder.latest_iteration() or 0 if self.resume else 0
+        run = latest[0] if latest else folder.start_run(self.name)
+        begun = latest[1] if latest else 0
+        own = train.select(*[c for c in train.columns if c not in ("split", "targets")]).withColumn("split", F.lit("train"))
         wanted = tuple(dict.fromkeys([*metrics, eval_metric]))
         checks = validation_bundle(validation_data)
         if checks is not None:
@@ -67,10 +70,13 @@ class BoostedModel:
             done += 1
             last = done == begun + iterations
             self.model = model
-            if checks is not None and (last or test_interval and done % test_interval == 0):
-                pending += [(run, float(done), s, m, v) for s, m, v in self._measure(checks, wanted)]
+            if last or test_interval and done % test_interval == 0:
+                if checks is not None:
+                    pending += [(run, float(done), s, m, v) for s, m, v in self._measure(checks, wanted)]
+                else:
+                    pending += [(run, float(done), s, "train_loss", v) for s, _, v in self._measure(own, ("mcll",))]
             if last or save_period and done % save_period == 0:
-                folder.save_snapshot(done, model.arrays())
+                folder.save_snapshot(done, model.arrays(), run)
                 folder.append_log(pending)
                 pending = []
 
@@ -82,8 +88,6 @@ class BoostedModel:
         finally:
             if checks is not None:
                 checks.unpersist()
-        if checks is None:
-            return local_table(spark, [], "log string, iteration double, split string, metric string, value double")
         return folder.log().where(F.col("log") == run)
 
     def _measure(self, checks: DataFrame, metrics: Sequence[str]):
@@ -94,11 +98,9 @@ class BoostedModel:
         return measure(scored, metrics, self.nclasses)
 
     def _load(self, folder: RunFolder) -> None:
-        latest = folder.latest_iteration()
-        if self.weights or latest is not None:
-            arrays = load_arrays(folder.spark, self.weights or folder.snapshot_path(latest))
-            linear = "linear.weights" in arrays
-            self.model = LinearEnsemble.from_arrays(arrays) if linear else TreeEnsemble.from_arrays(arrays)
+        arrays = load_arrays(folder.spark, self.weights or latest_path(folder))
+        linear = "linear.weights" in arrays
+        self.model = LinearEnsemble.from_arrays(arrays) if linear else TreeEnsemble.from_arrays(arrays)
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """``scores`` per row: class probabilities, or one number for the regression objectives."""

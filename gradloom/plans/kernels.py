@@ -21,7 +21,10 @@ class Dense:
     """A batch of ``features array<double>`` rows."""
 
     def __init__(self, batch: pa.RecordBatch, width: int):
-        flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+        lists = batch.column("features")
+        if not (lists.value_lengths().to_numpy(zero_copy_only=False) == width).all():
+            raise ValueError(f"dense rows must all hold {width} features")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
         self.x = np.asarray(flat, dtype=np.float64).reshape(batch.num_rows, width)
 
     def times(self, w: np.ndarray) -> np.ndarray:
@@ -39,6 +42,8 @@ class Sparse:
 
     def __init__(self, batch: pa.RecordBatch, width: int):
         lists = batch.column("indices")
+        if not lists.value_lengths().equals(batch.column("values").value_lengths()):
+            raise ValueError("a sparse row needs as many values as indices")
         idx = lists.flatten().to_numpy(zero_copy_only=False)
         val = np.asarray(batch.column("values").flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
         row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))

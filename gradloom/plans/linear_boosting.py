@@ -1,4 +1,4 @@
-"""Linear booster: one aggregate pass per round, then soft-thresholded coordinate updates."""
+"""Linear booster: soft-thresholded coordinate descent on sums that each round gathers from the rows."""
 
 from __future__ import annotations
 
@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradloom.functions.hashing import uniform_draws
 from gradloom.plans import objectives
 from gradloom.plans.boosting import BoosterParams
-from gradloom.plans.kernels import check_broadcast, feature_names, feature_width, matrix, sum_partials
+from gradloom.plans.kernels import Dense, check_broadcast, feature_names, feature_width, matrix, sum_partials
 from gradloom.session import map_arrow, persist_balanced
 
 
@@ -53,38 +54,72 @@ def _coordinate_change(g, h, w, l1: float, l2: float):
     return np.where(h < 1e-5, 0.0, change)
 
 
+# Features whose second-order products are gathered in one pass.
+BLOCK_FEATURES = 512
+
+
 def linear_round(rows: DataFrame, model: LinearEnsemble, parts: int, p: BoosterParams, seed: int, round_: int) -> LinearEnsemble:
-    """Bias first, then all features from the same pass: Σg, Σh, Σgx, Σhx and Σhx²."""
+    """The bias, then one coordinate after the other, each seeing the changes before it.
+
+    First and second derivatives are taken at the round's start. A pass over the rows gathers, for one block of
+    features, their gradient sums and the products of their columns weighted by h; with these the coordinates of the block
+    are updated one by one without looking at rows again. Wide models take one pass per block, whose gradients already
+    hold the blocks before.
+    """
     d, k = model.weights.shape
     check_broadcast(8 * model.weights.size, "the linear model")
-    shipped = rows.sparkSession.sparkContext.broadcast(model)
+    change, shift = np.zeros((d, k)), np.zeros(k)
+    for low in range(0, max(d, 1), BLOCK_FEATURES):
+        high = min(d, low + BLOCK_FEATURES)
+        sums = _block_sums(rows, model, change, shift, low, high, parts, p, seed, round_)
+        g, h, gx, hx, products = sums
+        if low == 0:
+            shift = p.eta * -(g + p.lambda_bias * model.bias) / np.maximum(h + p.lambda_bias, 1e-16)
+            gx = gx + hx * shift
+        for j in range(high - low):
+            held = model.weights[low + j]
+            step = p.eta * _coordinate_change(gx[j], products[:, j, j], held, p.reg_alpha, p.reg_lambda)
+            change[low + j] = step
+            gx = gx + products[:, :, j].T * step
+    return LinearEnsemble(model.objective, model.start, model.weights + change, model.bias + shift)
+
+
+def _block_sums(rows, model, change, shift, low, high, parts, p, seed, round_):
+    """Σg, Σh, Σgx, Σhx and Σh·x·x of the features low..high, g as it is after ``change`` and ``shift``."""
+    d, k = model.weights.shape
+    width = high - low
+    size = k * (2 + 2 * width + width * width)
+    shipped = rows.sparkSession.sparkContext.broadcast((model, change, shift))
 
     def kernel(batches):
-        held, total, seen = shipped.value, np.zeros((2 + 3 * d) * k), 0.0
+        held, changed, shifted = shipped.value
+        total, seen = np.zeros(size), 0.0
+        pick = np.zeros((d, width))
+        pick[np.arange(low, high), np.arange(width)] = 1.0
         for batch in batches:
             x = matrix(batch, d)
             label = batch.column("label").to_numpy(zero_copy_only=False)
             weight = batch.column("weight").to_numpy(zero_copy_only=False)
             if p.subsample < 1.0:
-                from gradloom.functions.hashing import uniform_draws
-
                 ids = batch.column("row_id").to_numpy(zero_copy_only=False)
                 weight = weight * (uniform_draws(seed, round_, ids, 1)[:, 0] < p.subsample)
             g, h = objectives.gradients(held.objective, held.margins(x), label, weight)
-            sums = [g.sum(axis=0), h.sum(axis=0), x.transposed_times(g), x.transposed_times(h), x.squared_transposed_times(h)]
-            total += np.concatenate([s.ravel() for s in sums])
+            if low:
+                g = g + h * (x.times(changed) + shifted)
+            block = x.x[:, low:high] if isinstance(x, Dense) else x.times(pick)
+            products = [block.T @ (block * h[:, [c]]) for c in range(k)]
+            parts_ = [g.sum(axis=0), h.sum(axis=0), block.T @ g, block.T @ h, *products]
+            total += np.concatenate([s.ravel() for s in parts_])
             seen += weight.sum()
         return 0.0, seen, total
 
     try:
-        _, _, total = sum_partials(rows, kernel, parts, (2 + 3 * d) * k)
+        _, _, total = sum_partials(rows, kernel, parts, size)
     finally:
         shipped.destroy()
     g, h = total[:k], total[k : 2 * k]
-    gx, hx, hxx = (total[2 * k + i * d * k :][: d * k].reshape(d, k) for i in range(3))
-    shift = p.eta * -(g + p.lambda_bias * model.bias) / np.maximum(h + p.lambda_bias, 1e-16)
-    change = p.eta * _coordinate_change(gx + hx * shift, hxx, model.weights, p.reg_alpha, p.reg_lambda)
-    return LinearEnsemble(model.objective, model.start, model.weights + change, model.bias + shift)
+    gx, hx = (total[2 * k + i * width * k :][: width * k].reshape(width, k) for i in range(2))
+    return g, h, gx, hx, total[2 * k * (1 + width) :].reshape(k, width, width)
 
 
 def train_linear(train, objective, nclasses, iterations, base_score, seed, p: BoosterParams, model=None, after_round=None):

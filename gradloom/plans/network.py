@@ -71,6 +71,13 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def checked_classes(labels: np.ndarray, classes: int) -> np.ndarray:
+    """Labels as class numbers; anything but 0 .. classes - 1 raises."""
+    if len(labels) and not ((labels >= 0) & (labels < classes) & (labels == np.floor(labels))).all():
+        raise ValueError(f"labels must be whole numbers from 0 to {classes - 1}")
+    return labels.astype(np.int64)
+
+
 def forward(model: NetworkModel, x, masks=None):
     """Outputs of a batch, with what back-propagation needs from each hidden layer."""
     held, w = [], model.weights
@@ -124,7 +131,7 @@ def network_gradient(
             if held.regression:
                 answers = answers.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, held.outputs)
             else:
-                answers = answers.to_numpy(zero_copy_only=False)
+                answers = checked_classes(answers.to_numpy(zero_copy_only=False), held.outputs)
             row_weights = (
                 np.ones(batch.num_rows) if weights_by_class is None or held.regression else weights_by_class[answers]
             )

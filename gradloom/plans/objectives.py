@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from gradloom.plans.network import softmax
+from gradloom.plans.network import checked_classes, softmax
 
 # Names of the objectives and of the boosters.
 OBJECTIVES = ("multi:softprob", "binary:logistic", "reg:linear", "reg:logistic")
@@ -29,11 +29,15 @@ def gradients(objective: str, margin: np.ndarray, label: np.ndarray, weight: np.
     if objective == "multi:softprob":
         p = softmax(margin)
         g = p.copy()
-        g[np.arange(len(label)), label.astype(np.int64)] -= 1.0
+        g[np.arange(len(label)), checked_classes(label, margin.shape[1])] -= 1.0
         h = np.maximum(2.0 * p * (1.0 - p), 1e-16)
     elif objective == "reg:linear":
         g, h = margin - label[:, None], np.ones_like(margin)
     else:
+        if objective == "binary:logistic":
+            label = checked_classes(label, 2)
+        elif not ((label >= 0) & (label <= 1)).all():
+            raise ValueError("targets of reg:logistic must lie in 0 .. 1")
         p = 1.0 / (1.0 + np.exp(-margin))
         g, h = p - label[:, None], np.maximum(p * (1.0 - p), 1e-16)
     return g * weight[:, None], h * weight[:, None]

@@ -16,7 +16,7 @@ from gradloom.operators.ordering import number_by_hash
 from gradloom.operators.prepare import validation_bundle
 from gradloom.plans.kernels import feature_names, feature_width
 from gradloom.plans.network import NetworkModel, network_gradient, network_scores
-from gradloom.plans.repository import RunFolder, load_arrays
+from gradloom.plans.repository import RunFolder, latest_path, load_arrays
 from gradloom.plans.solver import SolverConfig, SolverState, solver_step
 from gradloom.session import persist_balanced, scratch_path
 
@@ -96,7 +96,6 @@ class NeuralNetwork:
         self.layers, self.activation, self.dropout = tuple(layers), activation, dropout
         self.repository, self.resume, self.finetuning, self.weights = repository, resume, finetuning, weights
         self.name, self.seed = name, seed
-        self.runs = 0
         self.model: NetworkModel | None = None
         self.state = SolverState()
 
@@ -120,10 +119,9 @@ class NeuralNetwork:
         solver = solver or SolverConfig()
         spark = train.sparkSession
         folder = self._folder(spark)
-        self.runs += 1
-        run = f"{self.name or 'run'}_{self.runs}"
         folder.append_call("fit", solver)
-        self._start(spark, folder, train)
+        going_on = self._start(folder, train)
+        run = going_on or folder.start_run(self.name)
 
         rows, batches = self._prepare(train, solver, batch_size)
         checks = validation_bundle(validation_data)
@@ -152,7 +150,7 @@ class NeuralNetwork:
                 if checks is not None and (tested or done == last):
                     pending += self._measure(run, done, checks, metrics)
                 if solver.snapshot and done % solver.snapshot == 0 or done == last:
-                    folder.save_snapshot(done, self._arrays())
+                    folder.save_snapshot(done, self._arrays(), run)
                     folder.append_log(pending)
                     pending = []
         finally:
@@ -166,18 +164,19 @@ class NeuralNetwork:
             self.repository = scratch_path(spark, "model")
         return RunFolder(spark, self.repository)
 
-    def _start(self, spark: SparkSession, folder: RunFolder, train: DataFrame) -> None:
-        """Fresh weights, or those of the named or latest snapshot."""
-        latest = folder.latest_iteration() if self.resume or self.finetuning else None
+    def _start(self, folder: RunFolder, train: DataFrame) -> str | None:
+        """Fresh weights, or those of the named or latest snapshot; the run that goes on, if one does."""
+        latest = folder.latest() if self.resume or self.finetuning else None
         if self.weights or latest is not None:
-            path = self.weights or folder.snapshot_path(latest)
-            self._restore(load_arrays(spark, path), keep_state=self.resume)
-        else:
-            outputs = self.ntargets if self.regression else self.nclasses
-            self.model = NetworkModel.initial(
-                feature_width(train), outputs, self.layers, self.activation, self.regression, self.seed
-            )
-            self.state = SolverState()
+            path = self.weights or folder.snapshot_path(latest[1], latest[0])
+            self._restore(load_arrays(folder.spark, path), keep_state=self.resume)
+            return latest[0] if self.resume and not self.weights else None
+        outputs = self.ntargets if self.regression else self.nclasses
+        self.model = NetworkModel.initial(
+            feature_width(train), outputs, self.layers, self.activation, self.regression, self.seed
+        )
+        self.state = SolverState()
+        return None
 
     def _prepare(self, train: DataFrame, solver: SolverConfig, batch_size: int | None):
         """The training rows and the number of batches they are cut into."""
@@ -239,7 +238,7 @@ class NeuralNetwork:
         if self.model is None:
             spark = df.sparkSession
             folder = RunFolder(spark, self.repository)
-            path = self.weights or folder.snapshot_path(folder.latest_iteration())
+            path = self.weights or latest_path(folder)
             self._restore(load_arrays(spark, path), keep_state=False)
         return network_scores(df, self.model)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradloom.functions.vectors import format_value, sparse_to_text
+from gradloom.functions.vectors import format_value, sparse_to_text, typed_label
 from gradloom.sources.textlines import read_lines, with_row_id
 
 
@@ -16,19 +16,23 @@ def _entries(df: DataFrame, tokens: str, base: int) -> DataFrame:
 
 
 def _tokens():
-    body = F.trim(F.split_part(F.col("value"), F.lit("#"), F.lit(1)))
-    return F.filter(F.split(body, r"[ \t]+"), lambda t: t != "")
+    return F.filter(F.split(_body(), r"[ \t]+"), lambda t: t != "")
 
 
-def read_svmlight(spark: SparkSession, path: str, zero_based: bool = True, numbered: bool = True) -> DataFrame:
-    """Labelled rows. A line with a label only is an all-zero row; blank lines and comments are no rows."""
-    lines = read_lines(spark, path, keep=F.size(_tokens()) > 0).withColumn("_tokens", _tokens())
-    if numbered:
-        lines = with_row_id(lines)
-    label = F.get("_tokens", F.lit(0)).cast("double").cast("int")
+def _body():
+    return F.trim(F.split_part(F.col("value"), F.lit("#"), F.lit(1)))
+
+
+def read_svmlight(spark: SparkSession, path: str, zero_based: bool = True, label_type: str = "int") -> DataFrame:
+    """Labelled rows. A line with a label only is an all-zero row; blank lines and comments are no rows.
+
+    ``label_type="double"`` keeps labels as they stand in the file; with ``int`` a label like 2.7 raises.
+    """
+    lines = with_row_id(read_lines(spark, path, keep=F.translate(_body(), "\t", "") != "")).withColumn("_tokens", _tokens())
+    label = typed_label(F.get("_tokens", F.lit(0)).cast("double"), label_type)
     rows = lines.withColumn("label", label).withColumn("_tokens", F.slice("_tokens", 2, F.greatest(F.size("_tokens"), F.lit(1))))
     rows = _entries(rows, "_tokens", 0 if zero_based else 1)
-    return rows.select(*(["row_id"] if numbered else []), "label", "indices", "values")
+    return rows.select("row_id", "label", "indices", "values")
 
 
 def read_svmlight_unlabelled(spark: SparkSession, path: str, zero_based: bool = True) -> DataFrame:

@@ -9,14 +9,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradloom.functions.vectors import typed_label
 
-def from_dense(df: DataFrame, feature_cols: Sequence[str] | str, row_id: str, label: str | None = None) -> DataFrame:
-    """Numeric columns, or one array column, as ``features array<double>``."""
+
+def from_dense(
+    df: DataFrame, feature_cols: Sequence[str] | str, row_id: str, label: str | None = None, label_type: str = "int"
+) -> DataFrame:
+    """Numeric columns, or one array column, as ``features array<double>``; labels as ``label_type``."""
     if isinstance(feature_cols, str):
         features = F.col(feature_cols).cast("array<double>")
     else:
         features = F.array(*[F.col(c).cast("double") for c in feature_cols])
-    labels = [] if label is None else [F.col(label).cast("int").alias("label")]
+    labels = [] if label is None else [typed_label(F.col(label), label_type).alias("label")]
     return df.select(F.col(row_id).cast("bigint").alias("row_id"), *labels, features.alias("features"))
 
 
@@ -43,10 +47,11 @@ def read_csv_features(
     ignore: Sequence[str] = (),
     id: str | None = None,
     label_offset: int = 0,
+    label_type: str = "int",
 ) -> DataFrame:
-    """CSV rows with an explicit schema, the label shifted and named ``label``, the id named ``row_id``."""
+    """CSV rows with an explicit schema, the label shifted and named ``label`` (as ``label_type``), the id named ``row_id``."""
     rows = spark.read.csv(path, schema=schema, sep=separator, header=header, mode="FAILFAST")
-    rows = offset_label(drop_ignored(rows, ignore).withColumnRenamed(label, "label"), label_offset)
+    rows = offset_label(drop_ignored(rows, ignore).withColumnRenamed(label, "label"), label_offset, label_type)
     return keep_id(rows, id) if id else rows
 
 
@@ -59,13 +64,13 @@ def keep_id(df: DataFrame, id: str) -> DataFrame:
     return df.select(F.col(id).alias("row_id"), *[c for c in df.columns if c != id])
 
 
-def offset_label(df: DataFrame, label_offset: int) -> DataFrame:
-    return df.withColumn("label", (F.col("label") + F.lit(label_offset)).cast("int"))
+def offset_label(df: DataFrame, label_offset: int, label_type: str = "int") -> DataFrame:
+    return df.withColumn("label", typed_label(F.col("label") + F.lit(label_offset), label_type))
 
 
-def feature_columns(df: DataFrame) -> list[str]:
-    """Columns that are neither identifier, label nor split tag."""
-    return [c for c in df.columns if c not in ("row_id", "label", "split", "weight", "targets")]
+def with_targets(df: DataFrame, *columns: str) -> DataFrame:
+    """``targets array<double>`` for regression from one or more columns, by default from ``label``."""
+    return df.withColumn("targets", F.array(*[F.col(c).cast("double") for c in columns or ("label",)]))
 
 
 def materialize_features(df: DataFrame, path: str) -> DataFrame:

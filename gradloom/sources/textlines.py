@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +22,16 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None, keep: Co
     )
 
 
-def with_row_id(lines: DataFrame, per_file: bool = False, out: str = "row_id") -> DataFrame:
-    """Number lines 0, 1, 2, … by file path and place in the file (or afresh in every file).
+def with_row_id(
+    lines: DataFrame,
+    out: str = "row_id",
+    group: Callable[[str], Hashable] | None = None,
+    order: Callable[[str], tuple] | None = None,
+) -> DataFrame:
+    """Number lines 0, 1, 2, … by file path and place in the file.
+
+    ``order`` gives files another order than that of their paths. With ``group`` numbers start afresh for every
+    value it takes from a path.
 
     The first pass counts lines per file split. That table has one row per split, the same number the driver
     holds when it plans the scan. The second pass adds the split's offset to the place inside the split, so no
@@ -33,10 +43,12 @@ def with_row_id(lines: DataFrame, per_file: bool = False, out: str = "row_id") -
         .agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
         .collect()
     )
+    named = [(group(r["file_path"]) if group else "", r) for r in splits]
+    place_of = order or (lambda path: (path,))
     offsets, start, previous = [], 0, None
-    for row in sorted(splits, key=lambda r: (r["file_path"], r["block"])):
-        if per_file and row["file_path"] != previous:
-            start, previous = 0, row["file_path"]
+    for name, row in sorted(named, key=lambda x: (x[0], place_of(x[1]["file_path"]), x[1]["block"])):
+        if name != previous:
+            start, previous = 0, name
         offsets.append((row["file_path"], row["block"], start - row["first_seq"], row["first_seq"], row["n"]))
         start += row["n"]
     table = local_table(

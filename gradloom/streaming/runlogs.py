@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from gradloom.functions.logs import LINE_SCHEMA, LOG_FILE_PATTERN, log_name
+from gradloom.functions.logs import LINE_SCHEMA, log_name, roll_number
 from gradloom.operators.ordering import earlier_max
 from gradloom.operators.runlog import drop_bad_lines, parse_lines
 from gradloom.session import attach, local_table
-from gradloom.sources.journals import LOG_GLOB
+from gradloom.sources.journals import log_glob
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,15 +23,19 @@ FOLLOWED = T.StructType([T.StructField("log", T.StringType()), *LINE_SCHEMA, T.S
 
 
 def stream_run_logs(
-    spark: SparkSession, path: str, pattern: str = LOG_FILE_PATTERN, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, pattern: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
     """``log``, ``file_path``, ``line_no``, ``value`` of every new log file under ``path``.
 
-    Writers roll small files with sortable names; a file is read whole, so its lines keep their numbers. Files of
-    one trigger are put in order by name. With ``files_per_trigger`` the source hands files out in order of their
+    A file is a log, named by its path, unless ``pattern`` takes the log from the path. Writers that roll files then
+    number their names; a file is read whole, so its lines keep their numbers, and the files of one trigger follow
+    each other by those numbers. With ``files_per_trigger`` the source hands files out in order of their
     modification time, so a log's files must then have been finished one after the other.
     """
-    reader = spark.readStream.option("pathGlobFilter", LOG_GLOB).option("recursiveFileLookup", True)
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    glob = log_glob(spark, path)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     files = reader.text(path, wholetext=True)
@@ -63,7 +67,8 @@ def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
                 due = timerValues.getCurrentProcessingTimeInMs() + timeout_ms
                 self.handle.registerTimer(due)
                 self.timer.update((due,))
-            lines = pd.concat(list(rows)).sort_values(["file_path", "line_no"], kind="stable")  # one micro-batch of a log
+            lines = pd.concat(list(rows))  # one micro-batch of a log
+            lines = lines.sort_values(["roll", "file_path", "line_no"], kind="stable")
             top = self.top.get()[0] if self.top.exists() else 0.0
             before = lines["iteration"].cummax().shift(fill_value=top).clip(lower=top)
             kept = lines[lines["iteration"] > before]
@@ -92,7 +97,7 @@ def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
     attach(spark)
     if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
         spark.conf.set(STATE_STORE, ROCKSDB)  # per-key state with timers needs this store
-    wanted = drop_bad_lines(parse_lines(lines))
+    wanted = drop_bad_lines(parse_lines(lines)).withColumn("roll", roll_number(F.col("file_path")).cast("double"))
     return wanted.groupBy("log").transformWithStateInPandas(
         statefulProcessor=rising_iterations(None if timeout is None else int(timeout * 1000)),
         outputStructType=FOLLOWED,
@@ -120,7 +125,8 @@ def follow_in_batches(lines: DataFrame, folder: str) -> DataFrame:
     def one_trigger(batch: DataFrame, number: int) -> None:
         fresh = drop_bad_lines(parse_lines(batch))
         known = version(number - 1)
-        seen = earlier_max(fresh, "log", ["line_no"], "iteration", F.col("file_path"), "_seen")
+        place = F.struct(roll_number(F.col("file_path")), F.col("file_path"))
+        seen = earlier_max(fresh, "log", ["line_no"], "iteration", place, "_seen")
         floor = F.coalesce(F.greatest("_seen", "top"), F.lit(0.0))
         passed = seen.join(known, "log", "left").where(F.col("iteration") > F.greatest(floor, F.lit(0.0)))
         passed.select(*kept.names).write.mode("overwrite").parquet(f"{folder}/kept/trigger={number}")

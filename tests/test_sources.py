@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gradloom.functions.logs import log_name
+from gradloom.functions.logs import ROLLED_FILE_PATTERN, log_name
 from gradloom.functions.vectors import (
     class_weight,
     dense_to_sparse,
@@ -14,12 +14,12 @@ from gradloom.functions.vectors import (
     sparse_to_dense,
     sparse_to_text,
 )
-from gradloom.operators.scores import best_n, scatter_scores
+from gradloom.operators.scores import best_n, best_n_scores, long_scores, scatter_scores
 from gradloom.operators.vocabulary import apply_vocabulary, feature_vocabulary
 from gradloom.session import scratch_path
 from gradloom.sources.journals import read_run_logs
 from gradloom.sources.svmlight import read_svmlight, read_svmlight_unlabelled, write_svmlight
-from gradloom.sources.tables import from_triples, materialize_features, read_csv_features
+from gradloom.sources.tables import from_dense, from_triples, materialize_features, read_csv_features, with_targets
 from gradloom.sources.textlines import read_lines, with_row_id
 
 
@@ -69,7 +69,7 @@ def test_row_ids_follow_files_and_splits(spark, tmp_path):
         lines = read_lines(spark, str(tmp_path))
         assert lines.rdd.getNumPartitions() > 3
         got = [r.value for r in with_row_id(lines).orderBy("row_id").collect()]
-        fresh = with_row_id(lines, per_file=True).groupBy("file_path").agg(F.max("row_id").alias("m")).orderBy("file_path").collect()
+        fresh = with_row_id(lines, group=lambda path: path).groupBy("file_path").agg(F.max("row_id").alias("m")).orderBy("file_path").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"{i}:{j}" for i, n in enumerate((3000, 1, 2000)) for j in range(n)]
@@ -94,7 +94,12 @@ def test_dense_sparse_edges(spark):
     assert row.indices == [0, 3, 4] and row["values"][0] == 1.0 and math.isnan(row["values"][1])
     back = sparse_to_dense(dense_to_sparse(df), 4).head().features
     assert back[:3] == [1.0, 0.0, 0.0] and math.isnan(back[3]) and len(back) == 4
-    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+    rows = spark.createDataFrame([(0,), (5,)], "row_id bigint")
+    assert {r.row_id: r.scores for r in scatter_scores(long, 3, rows).collect()}[5] == [0.0, 0.0, 0.0]
+    dense = spark.createDataFrame([(0, [0.2, 0.5, 0.5]), (1, [1.0, 0.0, 0.0])], "row_id bigint, scores array<double>")
+    for n in (1, 2, -1):
+        assert sorted(map(tuple, best_n_scores(dense, n).collect())) == sorted(map(tuple, best_n(long_scores(dense), n).collect()))
+    with pytest.raises(Exception, match="repeated"):
         twice = spark.createDataFrame([([1, 1], [1.0, 2.0])], "indices array<int>, values array<double>")
         sparse_to_dense(twice, 3).collect()
 
@@ -137,6 +142,23 @@ def test_vocabulary_both_ways(spark, limit):
     assert sorted(tuple(r) for r in vocabulary.collect()) == [(2, 0), (9, 1)]
     got = {r.row_id: (r.indices, r["values"]) for r in apply_vocabulary(other, vocabulary, limit).collect()}
     assert got == {5: ([0, 1], [2.0, 3.0]), 6: ([], []), 7: ([], [])}
+    same = spark.createDataFrame([(1, [9, 2, 9], [1.0, 2.0, 0.5])] * 2, train.schema)
+    assert [(r.indices, r["values"]) for r in apply_vocabulary(same, vocabulary, limit).collect()] == [([0, 1, 1], [2.0, 0.5, 1.0])] * 2
+
+
+def test_labels_are_kept_or_refused(spark, tmp_path):
+    path = write_file(tmp_path, "a.svm", "2.7 0:1\n-1 1:2\n \t \n3\n")
+    assert [r.label for r in read_svmlight(spark, path, label_type="double").orderBy("row_id").collect()] == [2.7, -1.0, 3.0]
+    with pytest.raises(Exception, match="label 2.7"):
+        read_svmlight(spark, path).collect()
+    rows = with_targets(read_svmlight(spark, path, label_type="double"))
+    assert sorted(r.targets for r in rows.collect()) == [[-1.0], [2.7], [3.0]]
+    table = spark.createDataFrame([(1, 0.5, 2.0)], "id bigint, y double, a double")
+    assert from_dense(table, ["a"], "id", "y", "double").head().label == 0.5
+    with pytest.raises(Exception, match="label 0.5"):
+        from_dense(table, ["a"], "id", "y").collect()
+    csv = write_file(tmp_path, "c.csv", "y,a\n1.5,2\n")
+    assert read_csv_features(spark, csv, "y double, a double", "y", label_type="double").head().label == 1.5
 
 
 def test_scores(spark):
@@ -144,7 +166,12 @@ def test_scores(spark):
     assert {r.row_id: r.scores for r in scatter_scores(long, 3).collect()} == {0: [0.5, 0.0, 0.5], 1: [0.0, 0.7, 0.0]}
     best = {(r.row_id, r.cat) for r in best_n(long, 1).collect()}
     assert best == {(0, 0), (1, 1)} and best_n(long, -1).count() == 3
-    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+    rows = spark.createDataFrame([(0,), (5,)], "row_id bigint")
+    assert {r.row_id: r.scores for r in scatter_scores(long, 3, rows).collect()}[5] == [0.0, 0.0, 0.0]
+    dense = spark.createDataFrame([(0, [0.2, 0.5, 0.5]), (1, [1.0, 0.0, 0.0])], "row_id bigint, scores array<double>")
+    for n in (1, 2, -1):
+        assert sorted(map(tuple, best_n_scores(dense, n).collect())) == sorted(map(tuple, best_n(long_scores(dense), n).collect()))
+    with pytest.raises(Exception, match="repeated"):
         scatter_scores(long.union(long), 3).collect()
     rows = spark.createDataFrame([([0.4, 0.4, 0.2],), ([0.0, 0.0, 0.0],), ([0.1, 0.2, 0.7],)], "scores array<double>")
     assert [r.p for r in rows.select(predicted_class("scores").alias("p")).collect()] == [0, 0, 2]
@@ -160,8 +187,17 @@ def test_run_logs(spark, tmp_path):
     write_file(tmp_path, "run-0002.txt", "c\n")
     write_file(tmp_path, "other.txt", "z\n")
     write_file(tmp_path, "skip.log", "no\n")
-    rows = read_run_logs(spark, str(tmp_path)).orderBy("line_no").collect()
-    assert [(r.log, r.value) for r in rows] == [("other", "z"), ("run", "a"), ("run", "b"), ("run", "c")]
+    write_file(tmp_path, "run-10.txt", "e\n")
+    write_file(tmp_path, "run-9.txt", "d\n")
+    rows = read_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN).orderBy("log", "line_no").collect()
+    assert [(r.log, r.line_no, r.value) for r in rows] == [("other", 0, "z"), *[("run", i, v) for i, v in enumerate("abcde")]]
+    each = {(r.log.rsplit("/", 1)[1], r.line_no, r.value) for r in read_run_logs(spark, str(tmp_path)).collect()}
+    assert each == {("run-0001.txt", 0, "a"), ("run-0001.txt", 1, "b"), ("run-0002.txt", 0, "c"), ("other.txt", 0, "z"),
+                    ("run-9.txt", 0, "d"), ("run-10.txt", 0, "e")}
     assert read_run_logs(spark, str(tmp_path / "other.txt")).count() == 1
-    names = spark.createDataFrame([("/x/my-run-12.txt",), ("/x/plain.txt",)], "p string").select(log_name(F.col("p")).alias("n"))
+    assert read_run_logs(spark, str(tmp_path / "skip.log")).head().value == "no"
+    (tmp_path / "deep").mkdir()
+    write_file(tmp_path / "deep", "logs.json", "x\ny\n")
+    assert read_run_logs(spark, str(tmp_path / "deep")).count() == 2
+    names = spark.createDataFrame([("/x/my-run-12.txt",), ("/x/plain.txt",)], "p string").select(log_name(F.col("p"), ROLLED_FILE_PATTERN).alias("n"))
     assert [r.n for r in names.collect()] == ["my-run", "plain"]

@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from gradloom.functions.logs import ROLLED_FILE_PATTERN
 from gradloom.operators import runlog
 from gradloom.session import scratch_path
 from gradloom.sources.journals import read_run_logs
@@ -21,7 +22,7 @@ def test_follow_equals_batch_over_restarts(spark, tmp_path, way):
     folder, sink, progress = tmp_path, scratch_path(spark, "sink"), scratch_path(spark, "progress")
 
     def go_on():
-        lines = stream_run_logs(spark, str(folder))
+        lines = stream_run_logs(spark, str(folder), ROLLED_FILE_PATTERN)
         if way == "batches":
             return follow_in_batches(lines, sink)
         drain(follow(lines), sink, progress)
@@ -35,7 +36,7 @@ def test_follow_equals_batch_over_restarts(spark, tmp_path, way):
     put(folder, "c-0001.txt", [7])
     go_on()
     got = sorted((r.log, r.iteration) for r in go_on().collect())
-    batch = runlog.monotonic_filter(runlog.drop_bad_lines(runlog.parse_lines(read_run_logs(spark, str(folder)))))
+    batch = runlog.monotonic_filter(runlog.drop_bad_lines(runlog.parse_lines(read_run_logs(spark, str(folder), ROLLED_FILE_PATTERN))))
     assert got == sorted((r.log, r.iteration) for r in batch.collect())
     assert got == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 10.0), ("b", 5.0), ("c", 7.0)]
 
@@ -43,7 +44,7 @@ def test_follow_equals_batch_over_restarts(spark, tmp_path, way):
 def test_streamed_lines_are_numbered(spark, tmp_path):
     put(tmp_path, "a-0001.txt", [1, None, 2])
     sink = scratch_path(spark, "sink")
-    drain(stream_run_logs(spark, str(tmp_path)), sink, scratch_path(spark, "progress"))
+    drain(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), sink, scratch_path(spark, "progress"))
     rows = spark.read.schema("log string, file_path string, line_no int, value string").parquet(sink).orderBy("line_no")
     assert [(r.log, r.line_no) for r in rows.collect()] == [("a", 0), ("a", 1), ("a", 2)]
     assert rows.collect()[1].value == "noise"
@@ -62,7 +63,7 @@ def test_log_in_many_files_of_one_trigger(spark, tmp_path):
             top = v
             expected.append(float(v))
     for files in (None, 7):
-        kept = follow_in_batches(stream_run_logs(spark, str(tmp_path), files_per_trigger=files), scratch_path(spark, "s"))
+        kept = follow_in_batches(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN, files_per_trigger=files), scratch_path(spark, "s"))
         assert sorted(r.iteration for r in kept.collect()) == expected
 
 
@@ -70,7 +71,7 @@ def test_idle_logs_end_once(spark, tmp_path):
     put(tmp_path, "a-0001.txt", [1, 2])
     put(tmp_path, "b-0001.txt", [1])
     query = (
-        follow(stream_run_logs(spark, str(tmp_path)), timeout=2.0)
+        follow(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), timeout=2.0)
         .writeStream.format("memory").queryName("ended_runs").outputMode("append")
         .option("checkpointLocation", scratch_path(spark, "progress")).trigger(processingTime="1 second").start()
     )

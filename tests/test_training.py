@@ -284,3 +284,62 @@ def test_draws_depend_on_row_only():
     assert 0.48 < draws.mean() < 0.52 and draws.min() >= 0 and draws.max() < 1
     assert (uniform_draws(1, 2, ids[::-1], 5)[::-1] == draws).all()
     assert abs(np.corrcoef(draws.T)[0, 1]) < 0.1 and (uniform_draws(1, 3, ids, 5) != draws).any()
+
+
+def test_linear_booster_converges_on_equal_columns(spark):
+    """Twelve equal columns: every round lowers the loss, and sparse rows and several blocks give the same model."""
+    x = F.col("id") % 7 / 7.0
+    rows = spark.range(400).select((3.0 * x - 1.0).alias("label"), F.array(*[x] * 12).alias("features"))
+    losses = []
+    for rounds in (1, 2, 5, 10):
+        model = BoostedModel()
+        model.fit(rows, objective="reg:linear", booster="gblinear", iterations=rounds, base_score=0.0)
+        losses.append(model.predict(rows).agg(F.avg((F.col("pred") - F.col("label")) ** 2)).head()[0])
+    assert all(b < a for a, b in zip(losses, losses[1:])) and losses[-1] < 0.05
+
+
+def test_linear_blocks_equal_one_block(spark, monkeypatch):
+    from gradloom.plans import linear_boosting
+
+    rows = spark.range(300).select(
+        (F.col("id") % 2).cast("int").alias("label"), F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(7)]).alias("features")
+    )
+    fitted = []
+    for width, table in ((512, rows), (3, rows), (3, dense_to_sparse(rows))):
+        monkeypatch.setattr(linear_boosting, "BLOCK_FEATURES", width)
+        model = BoostedModel()
+        model.fit(table, objective="binary:logistic", booster="gblinear", iterations=3)
+        fitted.append(model.model.weights)
+    assert fitted[1] == pytest.approx(fitted[0], abs=1e-10) and fitted[2] == pytest.approx(fitted[0], abs=1e-10)
+
+
+def test_a_refit_in_a_used_folder_is_what_reloads(rows):
+    model = SoftmaxRegression(10)
+    model.fit(rows, solver=SolverConfig(iterations=3, base_lr=1.0), batch_size=None)
+    again = SoftmaxRegression(10, repository=model.repository)
+    log = again.fit(rows, solver=SolverConfig(iterations=1, base_lr=0.1), batch_size=None)
+    assert log.count() == 1
+    loaded = SoftmaxRegression(10, repository=model.repository)
+    loaded.predict(rows)
+    assert loaded.model.weights["w0"] == pytest.approx(again.model.weights["w0"], abs=0)
+    trees = BoostedModel(10, repository=model.repository + "-trees")
+    trees.fit(rows, iterations=3, max_depth=2)
+    fewer = BoostedModel(10, repository=trees.repository)
+    log = fewer.fit(rows, iterations=1, max_depth=1)
+    assert [(r.iteration, r.metric) for r in log.collect()] == [(1.0, "train_loss")]
+    loaded = BoostedModel(10, repository=trees.repository)
+    assert loaded.predict(rows).exceptAll(fewer.predict(rows)).count() == 0
+    started = BoostedModel(10, weights=RunFolder(rows.sparkSession, trees.repository).snapshot_path(3, "run_1"))
+    started.fit(rows, iterations=1, max_depth=1)
+    assert started.predict(rows).exceptAll(fewer.predict(rows)).count() > 0
+
+
+def test_labels_outside_the_classes_raise(spark, rows):
+    odd = rows.withColumn("label", F.when(F.col("label") == 3, -1).otherwise(F.col("label")))
+    with pytest.raises(Exception, match="whole numbers from 0 to 9"):
+        SoftmaxRegression(10).fit(odd, solver=SolverConfig(iterations=1), batch_size=None)
+    with pytest.raises(Exception, match="whole numbers from 0 to 9"):
+        BoostedModel(10).fit(odd, iterations=1, max_depth=1)
+    ragged = spark.createDataFrame([([1.0, 2.0],), ([1.0],), ([1.0, 2.0, 3.0],)], "features array<double>").withColumn("label", F.lit(0))
+    with pytest.raises(Exception, match="must all hold"):
+        SoftmaxRegression(2).fit(ragged, solver=SolverConfig(iterations=1), batch_size=None)

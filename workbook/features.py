@@ -12,7 +12,7 @@ from gradloom.functions.vectors import (
     sparse_to_dense,
     sparse_to_text,
 )
-from gradloom.operators.ordering import number_by_hash
+from gradloom.operators.ordering import dense_positions, shuffle_rows
 from gradloom.operators.prepare import (
     StandardScaler,
     assign_minibatch,
@@ -24,6 +24,7 @@ from gradloom.operators.prepare import (
     minmax_fit,
 )
 from gradloom.operators.vocabulary import text_features
+from gradloom.session import reliable_checkpoint
 from gradloom.sources.tables import drop_ignored, keep_id, offset_label
 from workbook.inputs import SPARSE_SQL, SPLIT_SEED, dealt_table, hash_sql, split_vectors, table, vectors, with_zeros
 
@@ -110,7 +111,10 @@ def b13_categorical_apply(spark, sf_dir):
 
 
 def b14_shuffle_rows(spark, sf_dir):
-    return number_by_hash(table(spark, sf_dir, "orders").select("o_orderkey"), 5, "o_orderkey")
+    """Rows in seeded order; the order is kept as the place inside of the ordered partitions."""
+    ordered = shuffle_rows(table(spark, sf_dir, "orders").select("o_orderkey"), 5, "o_orderkey")
+    placed = reliable_checkpoint(ordered).withColumn("seq", F.monotonically_increasing_id())
+    return dense_positions(placed, ["seq"]).select("o_orderkey", "position")
 
 
 def b15_csv_test_split(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gradloom.functions.vectors import dense_to_sparse, predicted_class
-from gradloom.operators.scores import best_n, long_scores, scatter_scores
+from gradloom.operators.scores import best_n_scores, long_scores, scatter_scores
 from gradloom.plans.training import SoftmaxRegression
 from gradloom.session import scratch_path
 from gradloom.sources.svmlight import read_svmlight, write_svmlight
@@ -25,13 +25,14 @@ def d01_predict_proba(spark, sf_dir):
 def d02_scatter_scores(spark, sf_dir):
     """Dense rows from the classes above one tenth only; the rest is absent and becomes 0."""
     likely = _long(spark, sf_dir).where(F.col("prob") > 0.1)
-    return scatter_scores(likely, NCLASSES).select(
+    return scatter_scores(likely, NCLASSES, vectors(spark, sf_dir).select("row_id")).select(
         "row_id", *[R6(F.get("scores", F.lit(k))).alias(f"p{k}") for k in range(NCLASSES)]
     )
 
 
 def d03_best_n(spark, sf_dir):
-    return best_n(_long(spark, sf_dir), 3).select("row_id", "cat", "place")
+    scored = one_step_model(spark, sf_dir).predict_proba(vectors(spark, sf_dir))
+    return best_n_scores(scored, 3).select("row_id", "cat", "place")
 
 
 def d04_predict_class(spark, sf_dir):
@@ -72,7 +73,7 @@ _ABSENT = ", ".join(f"round(coalesce(max(p) FILTER (k = {k} AND p > 0.1), 0), 6)
 
 SQL = {
     "d01_predict_proba": f"{scored_sql()} SELECT row_id, k::INT AS cat, round(p, 6) AS prob FROM prob",
-    "d02_scatter_scores": f"{scored_sql()} SELECT row_id, {_ABSENT} FROM prob GROUP BY row_id HAVING max(p) > 0.1",
+    "d02_scatter_scores": f"{scored_sql()} SELECT row_id, {_ABSENT} FROM prob GROUP BY row_id",
     "d03_best_n": f"""{scored_sql()}
 SELECT row_id, k::INT AS cat, row_number() OVER (PARTITION BY row_id ORDER BY p DESC, k)::INT AS place FROM prob
 QUALIFY place <= 3""",

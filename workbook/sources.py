@@ -118,14 +118,7 @@ def a10_dataset_bundle(spark, sf_dir):
 def a11_read_run_logs(spark, sf_dir):
     lines = read_run_logs(spark, written_logs(spark, sf_dir), LOG_FOLDER_PATTERN)
     iteration = F.regexp_extract("value", r"'iteration': (\d+)", 1).cast("double")
-    shifted = F.col("line_no") - F.min("line_no").over(_by_log())
-    return lines.select("log", shifted.alias("place"), iteration.alias("iteration"))
-
-
-def _by_log():
-    from pyspark.sql import Window as W
-
-    return W.partitionBy("log")
+    return lines.select("log", F.col("line_no").alias("place"), iteration.alias("iteration"))
 
 
 def a12_stream_run_logs(spark, sf_dir):

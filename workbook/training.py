@@ -138,7 +138,7 @@ def c09_linear_booster(spark, sf_dir):
     model = BoostedModel()
     rows = _line_features(spark, sf_dir, _open_label(), FOUR)
     options = {"lambda": 2.0, "alpha": 0.5, "lambda_bias": 1.0, "eta": 0.5}
-    model.fit(rows, objective="binary:logistic", booster="gblinear", iterations=1, **options)
+    model.fit(rows, objective="binary:logistic", booster="gblinear", iterations=3, **options)
     fitted = model.model
     weights = [(f, float(w)) for f, w in enumerate([*fitted.weights[:, 0], fitted.bias[0]])]
     return local_table(spark, weights, "f int, w double").withColumn("w", R6("w"))
@@ -219,7 +219,7 @@ def c16_resume(spark, sf_dir):
 def c17_start_from_snapshot(spark, sf_dir):
     """Predictions of the first of two snapshots, read by name."""
     model = _fit(spark, sf_dir, SolverConfig(iterations=2, base_lr=1.0, snapshot=1))
-    weights = RunFolder(spark, model.repository).snapshot_path(1)
+    weights = RunFolder(spark, model.repository).snapshot_path(1, "run_1")
     chosen = SoftmaxRegression(NCLASSES, repository=model.repository, weights=weights)
     return chosen.predict(split_vectors(spark, sf_dir)).select("row_id", "pred")
 
@@ -310,13 +310,43 @@ _LINEAR_COLUMNS = ["l_quantity / 50", "l_discount", "l_tax", "1"]
 
 
 def _delta(g: str, h: str, w: str = "0", l1: float = 0.5, l2: float = 2.0) -> str:
-    """Soft-thresholded coordinate update from zero."""
+    """Soft-thresholded coordinate change of w that never crosses zero."""
     return (
-        f"CASE WHEN {h} < 1e-5 THEN 0 WHEN -({g}) / ({h} + {l2}) >= 0 THEN greatest(-({g} + {l1}) / ({h} + {l2}), 0) "
-        f"ELSE least(-({g} - {l1}) / ({h} + {l2}), 0) END"
+        f"CASE WHEN {h} < 1e-5 THEN 0 WHEN {w} - ({g} + {l2} * {w}) / ({h} + {l2}) >= 0 "
+        f"THEN greatest(-({g} + {l2} * {w} + {l1}) / ({h} + {l2}), -{w}) "
+        f"ELSE least(-({g} + {l2} * {w} - {l1}) / ({h} + {l2}), -{w}) END"
     )
 
 
+def _linear_sql(columns: list[str], rounds: int, eta: float = 0.5) -> str:
+    """Rounds of cyclic coordinate descent from zero: one row of weights per round, one row of sums per pass."""
+    n = len(columns)
+    names = ", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate(columns))
+    parts = [
+        f"x AS (SELECT {_Y}::DOUBLE AS y, {names} FROM lineitem)",
+        "w0 AS (SELECT 0::DOUBLE AS b, " + ", ".join(f"0::DOUBLE AS w{i}" for i in range(n)) + ")",
+    ]
+    margin = "b + " + " + ".join(f"w{i} * x{i}" for i in range(n))
+    for r in range(rounds):
+        sums = ["sum(p - y) AS g, sum(p * (1 - p)) AS h"]
+        sums += [f"sum((p - y) * x{i}) AS g{i}, sum(p * (1 - p) * x{i}) AS h{i}" for i in range(n)]
+        sums += [f"sum(p * (1 - p) * x{i} * x{j}) AS q{i}{j}" for i in range(n) for j in range(i + 1)]
+        parts.append(f"s{r} AS (SELECT {', '.join(sums)} FROM (SELECT x.*, 1 / (1 + exp(-({margin}))) AS p FROM x, w{r}))")
+        parts.append(f"c{r} AS (SELECT *, {eta} * -(g + b) / (h + 1) AS d FROM s{r}, w{r})")
+        before = f"c{r}"
+        for i in range(n):
+            seen = "".join(f" + q{i}{j} * d{j}" for j in range(i))
+            parts.append(
+                f"e{r}_{i} AS (SELECT *, {eta} * ({_delta(f'r{i}', f'q{i}{i}', f'w{i}')}) AS d{i} "
+                f"FROM (SELECT *, g{i} + h{i} * d{seen} AS r{i} FROM {before}))"
+            )
+            before = f"e{r}_{i}"
+        parts.append(f"w{r + 1} AS (SELECT b + d AS b, " + ", ".join(f"w{i} + d{i} AS w{i}" for i in range(n)) + f" FROM {before})")
+    rows = [f"SELECT {i} AS f, round(w{i}, 6) + 0.0 AS w FROM w{rounds}" for i in range(n)]
+    rows.append(f"SELECT {n}, round(b, 6) + 0.0 FROM w{rounds}")
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(rows)
+
+
 def _regression_chain(steps: int, rate: float) -> str:
     parts = ["r0 AS (SELECT f, 0::DOUBLE AS w FROM range(4) t(f))"]
     for t in range(steps):
@@ -373,13 +403,7 @@ WITH {X_SQL}, {softmax_chain(3, [1.0, 1.0, 0.5], mu=0.9, decay=0.01, class_weigh
         "0.5 - l_discount * 10", "0.25::DOUBLE", ["l_quantity", "l_tax", "l_linenumber"]
     ),
     "c08_dart": _stump_sql(_G, "0.25::DOUBLE", FOUR, rounds=2, scale=1 / 1.3),
-    "c09_linear_booster": f"""
-WITH s AS (SELECT sum({_G}) AS g, sum(0.25::DOUBLE) AS h FROM lineitem),
-b AS (SELECT 0.5 * -g / (h + 1) AS bias FROM s),
-d AS (SELECT unnest(range(4)) AS f, {_G} AS g, unnest([{', '.join(f'{c}::DOUBLE' for c in FOUR)}]) AS v FROM lineitem),
-c AS (SELECT f, sum(g * v) + any_value(bias) * sum(0.25 * v) AS gx, sum(0.25 * v * v) AS hx FROM d, b GROUP BY f)
-SELECT f::INT AS f, round(0.5 * ({_delta('gx', 'hx')}), 6) + 0.0 AS w FROM c
-UNION ALL SELECT 4, round(bias, 6) + 0.0 FROM b""",
+    "c09_linear_booster": _linear_sql(FOUR, 3),
     "c10_booster_parameters": _stump_sql(
         _G, "0.25::DOUBLE", FOUR, eta=0.1, lam=2.0, alpha=1.0, gamma=0.01, child=500, step=0.005,
         weight="CASE l_linestatus WHEN 'O' THEN 1.02::DOUBLE ELSE 1::DOUBLE END",
