@@ -181,7 +181,7 @@ class LineField:
 def fit_field(sequences: list[tuple[np.ndarray, int]]) -> LineField:
     """Conditional log-likelihood by gradient ascent (Adam); each sequence is (lines x features, label of all its lines).
 
-    Sums over label sequences are taken by forward and backward passes over all sequences at once, line by line.
+    Sums over label sequences are taken by forward and backward passes, the t-th lines of all sequences at once.
     Without both labels among the sequences the field finds content everywhere.
     """
     width = len(FEATURES)
@@ -190,26 +190,21 @@ def fit_field(sequences: list[tuple[np.ndarray, int]]) -> LineField:
     if len({y for _, y in sequences}) < 2:
         return field
     sequences.sort(key=lambda s: -len(s[0]))
-    lengths = np.array([len(x) for x, _ in sequences])
+    lengths = np.array([len(lines) for lines, _ in sequences])
     labels = np.array([y for _, y in sequences])
-    # Both labels weigh the same, however the sample divides.
-    share = np.array([(labels == 0).sum(), (labels == 1).sum()], dtype=np.float64)
-    weight = (len(labels) / 2.0 / share)[labels] / lengths
-    x = np.zeros((len(sequences), lengths[0], width))
-    for i, (lines, _) in enumerate(sequences):
-        x[i, : len(lines)] = lines
-    alive = np.arange(lengths[0])[None, :] < lengths[:, None]
-    truth = np.zeros((len(sequences), lengths[0], 2))
-    truth[np.arange(len(sequences)), :, labels] = 1.0
+    weight = 1.0 / lengths  # every document weighs the same
+    x = np.concatenate([lines for lines, _ in sequences])
+    line_weight, truth = np.repeat(weight, lengths), np.eye(2)[np.repeat(labels, lengths)]
+    # The t-th lines of all sequences that have one: the longest sequences come first.
+    heads = np.cumsum(lengths) - lengths
+    places = [heads[: int((lengths > t).sum())] + t for t in range(int(lengths[0]))]
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (labels, labels), weight * (lengths - 1))
     moments = [[np.zeros_like(a), np.zeros_like(a)] for a in (field.emit, field.step)]
     for t in range(1, FIT_STEPS + 1):
-        marginal, pairs = _marginals(x @ field.emit, field.step, alive)
-        gap = (truth - marginal) * (alive * weight[:, None])[:, :, None]
-        grad_emit = np.einsum("nlf,nlk->fk", x, gap) / weight.sum() - FIT_L2 * field.emit
-        steps = np.maximum(lengths - 1, 0)
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (labels, labels), weight * steps)
-        grad_step = (seen - np.einsum("nij,n->ij", pairs, weight)) / weight.sum() - FIT_L2 * field.step
+        marginal, pairs = _marginals(x @ field.emit, field.step, places, weight)
+        grad_emit = x.T @ ((truth - marginal) * line_weight[:, None]) / weight.sum() - FIT_L2 * field.emit
+        grad_step = (seen - pairs) / weight.sum() - FIT_L2 * field.step
         for value, grad, (m, v) in zip((field.emit, field.step), (grad_emit, grad_step), moments):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad**2 - v)
@@ -217,24 +212,27 @@ def fit_field(sequences: list[tuple[np.ndarray, int]]) -> LineField:
     return field
 
 
-def _marginals(scores: np.ndarray, step: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Label marginals per line, and expected label pairs summed over each sequence."""
-    n, length, _ = scores.shape
-    ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
-    ahead[:, 0] = scores[:, 0]
-    for t in range(1, length):
-        into = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step[None], axis=1) + scores[:, t]
-        ahead[:, t] = np.where(alive[:, t, None], into, ahead[:, t - 1])
-    for t in range(length - 2, -1, -1):
-        out = np.logaddexp.reduce(step[None] + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
-        behind[:, t] = np.where(alive[:, t + 1, None], out, 0.0)
-    total = np.logaddexp.reduce(ahead[:, -1], axis=1)
-    marginal = np.exp(ahead + behind - total[:, None, None]) * alive[:, :, None]
-    pairs = np.zeros((n, 2, 2))
-    for t in range(1, length):
-        both = ahead[:, t - 1, :, None] + step[None] + (scores[:, t] + behind[:, t])[:, None, :] - total[:, None, None]
-        pairs += np.exp(both) * alive[:, t, None, None]
-    return marginal, pairs
+def _marginals(scores: np.ndarray, step: np.ndarray, places: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Label marginals of every line, and expected label pairs over all sequences, weighted by sequence.
+
+    Chances are scaled to sum to one at every line, so nothing under- or overflows on long documents.
+    """
+    local = np.exp(scores - scores.max(axis=1, keepdims=True))
+    leap = np.exp(step - step.max())
+    ahead, behind = np.empty_like(local), np.ones_like(local)
+    ahead[places[0]] = local[places[0]] / local[places[0]].sum(axis=1, keepdims=True)
+    for at in places[1:]:
+        into = (ahead[at - 1] @ leap) * local[at]
+        ahead[at] = into / into.sum(axis=1, keepdims=True)
+    pairs = np.zeros((2, 2))
+    for at in reversed(places[1:]):
+        coming = local[at] * behind[at]
+        out = coming @ leap.T
+        behind[at - 1] = out / out.sum(axis=1, keepdims=True)
+        both = ahead[at - 1][:, :, None] * leap[None] * coming[:, None, :]
+        pairs += np.einsum("nij,n->ij", both / both.sum(axis=(1, 2), keepdims=True), weight[: len(at)])
+    marginal = ahead * behind
+    return marginal / marginal.sum(axis=1, keepdims=True), pairs
 
 
 def fit_line_field(documents: DataFrame, labels: DataFrame) -> LineField:
