@@ -16,7 +16,7 @@ from gradloom.session import map_arrow, scratch_path
 
 # The codebooks are fitted on at most this many vectors, in seeded hash order.
 FIT_VECTORS, FIT_ROUNDS = 20_000, 10
-LEAST_CENTROIDS, MOST_CENTROIDS = 8, 1024
+LEAST_CENTROIDS, MOST_CENTROIDS = 32, 1024
 # A query visits cells until they hold this share of all vectors, and this many. On vectors without structure, recall
 # follows the share; the value is the smallest round one that gives 0.9 on nearly isotropic vectors.
 VISIT_SHARE, VISIT_LEAST = 0.5, 2_000

@@ -24,7 +24,8 @@ def shard_tree(base: int, added: int = 0, weights: dict[int, float] | None = Non
     """``base`` shards in racks of two and regions of two racks; each of the ``added`` ones is a region of its own.
 
     A node weighs what its children weigh. An added shard leaves every old node's weight alone, so rows move into it
-    and nowhere else. A changed weight moves rows at the levels above that shard only.
+    and nowhere else. A weight that grows draws rows into the shard, its rack and its region, at each level from siblings
+    only; subtrees whose weights stay exchange no rows.
     """
     weights = weights or {}
     leaves = [Node(3_000_000_000 + i, weights.get(i, 1.0)) for i in range(base + added)]
