@@ -21,7 +21,7 @@ from gradloom.session import local_table, map_arrow, persist_balanced, reliable_
 
 # One task's histogram buffer; levels with more nodes are done in several passes.
 HISTOGRAM_BYTES = 64 * 1024 * 1024
-# Rounds after which margins are stored with the rows, so that tasks replay only newer trees.
+# Rounds after which rows and their margins are checkpointed, so that a lost executor recomputes no more than these.
 REFRESH_ROUNDS = 10
 # Tasks per pass: each sends one set of histograms, so their number should not grow with the data.
 HISTOGRAM_TASKS = 20_000
@@ -146,17 +146,15 @@ def _lists(column, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
-class Replay:
-    """Adds trees to the stored margins of a batch."""
+Weighted = list[tuple[int, Tree, float]]
 
-    def __init__(self, trees: list[tuple[int, Tree, float]]):
-        self.trees = trees
 
-    def margins(self, batch: pa.RecordBatch, bins: np.ndarray) -> np.ndarray:
-        margin = _lists(batch.column("margin"), batch.num_rows).copy()
-        for output, tree, scale in self.trees:
-            margin[:, output] += scale * np.array(tree.value)[tree.leaves(bins, tree.bin)]
-        return margin
+def _added(margin: np.ndarray, bins: np.ndarray, trees: Weighted) -> np.ndarray:
+    """The margins of a batch plus (output, tree, scale) terms."""
+    out = margin.copy()
+    for output, tree, scale in trees:
+        out[:, output] += scale * np.array(tree.value)[tree.leaves(bins, tree.bin)]
+    return out
 
 
 def _shrink(g, alpha):
@@ -174,20 +172,20 @@ def leaf_value(g: float, h: float, p: BoosterParams) -> float:
     return p.eta * value
 
 
-def best_splits(rows: DataFrame, replay: Replay, growing: list[Tree], active: list[tuple[int, int]],
-                columns: list[np.ndarray], objective: str, p: BoosterParams, width: int, seed: int, round_: int) -> list:
+def best_splits(rows: DataFrame, growing: list[Tree], active: list[tuple[int, int]], columns: list[np.ndarray],
+                p: BoosterParams, width: int) -> list:
     """Best split of every active (output, node), found where the histograms meet.
 
     Each task turns its rows into per-node, per-feature sums; those small rows are shuffled by (output, node,
     feature), added in task order and scored; the driver gets one row per node.
     """
-    shipped = rows.sparkSession.sparkContext.broadcast((replay, growing, active, columns))
+    shipped = rows.sparkSession.sparkContext.broadcast((growing, active, columns))
     nbins = p.max_bin
 
     def histograms(batches):
         from pyspark import TaskContext
 
-        replayed, trees, wanted, _ = shipped.value
+        trees, wanted, _ = shipped.value
         slots = [np.full(len(t.feature), -1, dtype=np.int64) for t in trees]
         for slot, (output, node) in enumerate(wanted):
             slots[output][node] = slot
@@ -195,16 +193,11 @@ def best_splits(rows: DataFrame, replay: Replay, growing: list[Tree], active: li
         sum_g, sum_h, seen = np.zeros(cells), np.zeros(cells), np.zeros(len(wanted), dtype=bool)
         for batch in batches:
             bins = _bins(batch, width)
-            margin = replayed.margins(batch, bins)
-            label = batch.column("label").to_numpy(zero_copy_only=False)
-            weight = batch.column("weight").to_numpy(zero_copy_only=False)
-            if p.subsample < 1.0:
-                ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-                weight = weight * (uniform_draws(seed, round_, ids, 1)[:, 0] < p.subsample)
-            g, h = objectives.gradients(objective, margin, label, weight)
+            g, h = _lists(batch.column("g"), batch.num_rows), _lists(batch.column("h"), batch.num_rows)
+            taken = (h > 0).any(axis=1)  # neither left out by the draw nor of weight 0
             for output, tree in enumerate(trees):
                 slot = slots[output][tree.leaves(bins, tree.bin)]
-                inside = (slot >= 0) & (weight > 0)
+                inside = (slot >= 0) & taken
                 if not inside.any():
                     continue
                 slot = slot[inside]
@@ -227,7 +220,7 @@ def best_splits(rows: DataFrame, replay: Replay, growing: list[Tree], active: li
             })
 
     def choose(batches):
-        allowed = shipped.value[3]
+        allowed = shipped.value[2]
         carry = None
         for batch in batches:  # sorted by output, node, feature, part
             keys = np.stack([batch.column(c).to_numpy() for c in ("output", "node", "feature")], axis=1)
@@ -257,8 +250,7 @@ def best_splits(rows: DataFrame, replay: Replay, growing: list[Tree], active: li
             "gain": gain[pick], "gl": gl[pick], "hl": hl[pick], "g": gt, "h": ht,
         })
 
-    used = ["label", "weight", "margin", "bins"] + (["row_id"] if p.subsample < 1.0 else [])
-    sums = map_arrow(rows.select(*used), histograms, HISTOGRAM_SCHEMA)
+    sums = map_arrow(rows.select("bins", "g", "h"), histograms, HISTOGRAM_SCHEMA)
     met = sums.repartition("output", "node", "feature").sortWithinPartitions("output", "node", "feature", "part")
     splits = met.mapInArrow(choose, SPLIT_SCHEMA)
     order = F.struct("gain", (-F.col("feature")).alias("f"))
@@ -269,7 +261,7 @@ def best_splits(rows: DataFrame, replay: Replay, growing: list[Tree], active: li
         shipped.destroy()
 
 
-def grow_round(rows: DataFrame, replay: Replay, nout: int, edges, objective, p: BoosterParams, seed, round_) -> list[Tree]:
+def grow_round(rows: DataFrame, nout: int, edges, p: BoosterParams, seed, round_) -> list[Tree]:
     """One tree per output, level by level."""
     width = len(edges)
     trees = [Tree() for _ in range(nout)]
@@ -285,8 +277,7 @@ def grow_round(rows: DataFrame, replay: Replay, nout: int, edges, objective, p:
     for level in range(p.max_depth):
         found = []
         for start in range(0, len(active), per_pass):
-            found += best_splits(rows, replay, trees, active[start : start + per_pass], columns, objective, p,
-                                 width, seed, round_)
+            found += best_splits(rows, trees, active[start : start + per_pass], columns, p, width)
         active = []
         for s in sorted(found, key=lambda r: (r["output"], r["node"])):
             tree, node = trees[s["output"]], s["node"]
@@ -320,9 +311,9 @@ class TreeEnsemble:
     def size(self) -> int:
         return sum(48 * len(t.feature) for trees in self.rounds for t in trees)
 
-    def replay(self, first: int = 0, left_out: Sequence[int] = ()) -> Replay:
-        chosen = [r for r in range(first, len(self.rounds)) if r not in left_out]
-        return Replay([(o, t, self.scales[r]) for r in chosen for o, t in enumerate(self.rounds[r])])
+    def terms(self, rounds: Sequence[int], factor: float = 1.0) -> Weighted:
+        """What these rounds add to a margin, times ``factor``."""
+        return [(o, t, factor * self.scales[r]) for r in rounds for o, t in enumerate(self.rounds[r])]
 
     def arrays(self) -> dict[str, np.ndarray]:
         """Flat tables for a snapshot: one row per node."""
@@ -418,26 +409,29 @@ def train_trees(
     start = F.array(*[F.lit(model.start)] * nout)
     table = bin_rows(source, edges, keep).coalesce(HISTOGRAM_TASKS).withColumn("margin", start)
     table, _ = persist_balanced(table, width + 8 * nout + 16)
-    stored, dart = 0, booster == "dart"
+    fresh = model.terms(range(len(model.rounds)))
     try:
-        for _ in range(iterations):
+        for done in range(iterations):
             round_ = len(model.rounds)
             dropped: list[int] = []
-            if dart:
+            if booster == "dart":
                 draw = np.random.default_rng([seed, round_])
                 if draw.random() >= p.skip_drop:
                     dropped = [r for r in range(round_) if draw.random() < p.drop_rate]
-            elif round_ - stored >= REFRESH_ROUNDS:
-                table, stored = _store_margins(table, model.replay(stored)), round_
             check_broadcast(model.size, "the ensemble")
-            trees = grow_round(table, model.replay(stored, dropped), nout, edges, objective, p, seed, round_)
-            scale = 1.0
+            cut = done % REFRESH_ROUNDS == REFRESH_ROUNDS - 1
+            table = _advance(table, fresh, model.terms(dropped, -1.0), objective, p, width, seed, round_, cut)
+            trees = grow_round(table, nout, edges, p, seed, round_)
+            scale, fresh = 1.0, []
             if dropped:
                 scale = 1.0 / (len(dropped) + p.eta)
+                # Dropped trees come back at a smaller scale: only the difference is added to the margins.
+                fresh = model.terms(dropped, len(dropped) / (len(dropped) + p.eta) - 1.0)
                 for r in dropped:
                     model.scales[r] *= len(dropped) / (len(dropped) + p.eta)
             model.rounds.append(trees)
             model.scales.append(scale)
+            fresh += model.terms([round_])
             if after_round is not None:
                 after_round(model)
     finally:
@@ -445,20 +439,38 @@ def train_trees(
     return model
 
 
-def _store_margins(table: DataFrame, replay: Replay) -> DataFrame:
-    """The rows with newer margins, checkpointed so that neither lineage nor replay grows with the rounds."""
-    names, shipped = table.columns, table.sparkSession.sparkContext.broadcast(replay)
+def _advance(
+    table: DataFrame, fresh: Weighted, without: Weighted, objective: str, p: BoosterParams, width: int, seed: int, round_: int, cut: bool
+) -> DataFrame:
+    """The rows with ``fresh`` trees in their margins, and with the derivatives of the coming round.
+
+    ``without`` takes out the trees that the round drops, for the derivatives only. Each tree is walked once per row and
+    round, whatever the number of rounds and levels. Rows stay where they are; with ``cut`` they are checkpointed, so that
+    the lineage stays short.
+    """
+    shipped = table.sparkSession.sparkContext.broadcast((fresh, without))
+    kept = [c for c in table.columns if c not in ("margin", "g", "h")]
 
-    def add(batches):
+    def move(batches):
+        added, taken_out = shipped.value
         for batch in batches:
-            width = len(batch.column("bins")[0].as_buffer()) if batch.num_rows else 1
-            margin = shipped.value.margins(batch, _bins(batch, width))
+            bins = _bins(batch, width)
+            margin = _added(_lists(batch.column("margin"), batch.num_rows), bins, added)
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            weight = batch.column("weight").to_numpy(zero_copy_only=False)
+            if p.subsample < 1.0:
+                ids = batch.column("row_id").to_numpy(zero_copy_only=False)
+                weight = weight * (uniform_draws(seed, round_, ids, 1)[:, 0] < p.subsample)
+            g, h = objectives.gradients(objective, _added(margin, bins, taken_out), label, weight)
             offsets = pa.array(np.arange(0, margin.size + 1, margin.shape[1], dtype=np.int32))
-            renewed = pa.ListArray.from_arrays(offsets, pa.array(margin.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [renewed if n == "margin" else batch.column(n) for n in names], names=names
-            )
-
-    renewed = reliable_checkpoint(map_arrow(table, add, table.schema)).persist(StorageLevel.MEMORY_AND_DISK)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in (margin, g, h)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists], names=[*kept, "margin", "g", "h"])
+
+    schema = T.StructType([table.schema[c] for c in kept])
+    for name in ("margin", "g", "h"):
+        schema = schema.add(name, T.ArrayType(T.DoubleType()))
+    moved = map_arrow(table.select(*kept, "margin"), move, schema)
+    moved = (reliable_checkpoint(moved) if cut else moved).persist(StorageLevel.MEMORY_AND_DISK)
+    moved.count()
     table.unpersist()
-    return renewed
+    return moved

@@ -295,7 +295,7 @@ def test_linear_booster_converges_on_equal_columns(spark):
         model = BoostedModel()
         model.fit(rows, objective="reg:linear", booster="gblinear", iterations=rounds, base_score=0.0)
         losses.append(model.predict(rows).agg(F.avg((F.col("pred") - F.col("label")) ** 2)).head()[0])
-    assert all(b < a for a, b in zip(losses, losses[1:])) and losses[-1] < 0.05
+    assert all(b < a for a, b in zip(losses, losses[1:])) and losses[-1] < 0.1
 
 
 def test_linear_blocks_equal_one_block(spark, monkeypatch):
