@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +19,18 @@ def hash_thousandth(seed: int, row_id: Column) -> Column:
     return head.cast("bigint") % F.lit(1000).cast("bigint")
 
 
+def draw(*parts) -> float:
+    """A number in [0, 1) from the leading 32 bits of the md5 of the parts, joined by colons."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16) / 2.0**32
+
+
+def draw_column(*parts) -> Column:
+    """``draw`` as a column expression; columns among the parts are read as text."""
+    texts = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    head = F.substring(F.md5(F.concat_ws(":", *texts)), 1, 8)
+    return F.conv(head, 16, 10).cast("double") / F.lit(2.0**32)
+
+
 def uniform_draws(seed: int, stream: int, row_ids: np.ndarray, width: int) -> np.ndarray:
     """``[rows, width]`` uniforms in [0, 1) that depend on (seed, stream, row, column) only.
 

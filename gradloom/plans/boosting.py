@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradloom.functions.hashing import uniform_draws
+from gradloom.functions.hashing import draw, draw_column
 from gradloom.functions.vectors import sparse_to_dense
 from gradloom.plans import objectives
 from gradloom.plans.kernels import check_broadcast, feature_width
@@ -268,8 +268,8 @@ def grow_round(rows: DataFrame, nout: int, edges, p: BoosterParams, seed, round_
     columns = []
     for output in range(nout):
         if p.colsample < 1.0:
-            draw = np.random.default_rng([seed, round_, output])
-            columns.append(np.sort(draw.choice(width, max(1, round(p.colsample * width)), replace=False)))
+            order = sorted(range(width), key=lambda j: (draw(seed, round_, output, j), j))
+            columns.append(np.sort(order[: max(1, round(p.colsample * width))]))
         else:
             columns.append(np.arange(width))
     active = [(output, 0) for output in range(nout)]
@@ -415,9 +415,8 @@ def train_trees(
             round_ = len(model.rounds)
             dropped: list[int] = []
             if booster == "dart":
-                draw = np.random.default_rng([seed, round_])
-                if draw.random() >= p.skip_drop:
-                    dropped = [r for r in range(round_) if draw.random() < p.drop_rate]
+                if draw(seed, round_, "skip") >= p.skip_drop:
+                    dropped = [r for r in range(round_) if draw(seed, round_, "drop", r) < p.drop_rate]
             check_broadcast(model.size, "the ensemble")
             cut = done % REFRESH_ROUNDS == REFRESH_ROUNDS - 1
             table = _advance(table, fresh, model.terms(dropped, -1.0), objective, p, width, seed, round_, cut)
@@ -459,8 +458,7 @@ def _advance(
             label = batch.column("label").to_numpy(zero_copy_only=False)
             weight = batch.column("weight").to_numpy(zero_copy_only=False)
             if p.subsample < 1.0:
-                ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-                weight = weight * (uniform_draws(seed, round_, ids, 1)[:, 0] < p.subsample)
+                weight = weight * (batch.column("drawn").to_numpy(zero_copy_only=False) < p.subsample)
             g, h = objectives.gradients(objective, _added(margin, bins, taken_out), label, weight)
             offsets = pa.array(np.arange(0, margin.size + 1, margin.shape[1], dtype=np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in (margin, g, h)]
@@ -469,7 +467,8 @@ def _advance(
     schema = T.StructType([table.schema[c] for c in kept])
     for name in ("margin", "g", "h"):
         schema = schema.add(name, T.ArrayType(T.DoubleType()))
-    moved = map_arrow(table.select(*kept, "margin"), move, schema)
+    drawn = [draw_column(seed, round_, F.col("row_id")).alias("drawn")] if p.subsample < 1.0 else []
+    moved = map_arrow(table.select(*kept, "margin", *drawn), move, schema)
     moved = (reliable_checkpoint(moved) if cut else moved).persist(StorageLevel.MEMORY_AND_DISK)
     moved.count()
     table.unpersist()

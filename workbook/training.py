@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradloom.functions.hashing import draw
 from gradloom.functions.schedules import rate_column
 from gradloom.plans.booster import BoostedModel
 from gradloom.plans.network import NetworkModel, network_gradient
@@ -77,10 +78,14 @@ def c03_fit_mlp(spark, sf_dir):
 
 # -- boosting -------------------------------------------------------------------------------------------------
 
-def _line_features(spark, sf_dir, label, columns):
-    used = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_linestatus", "l_returnflag"]
+LINE_ID = "l_orderkey * 10 + l_linenumber"
+
+
+def _line_features(spark, sf_dir, label, columns, row_id=None):
+    used = ["l_orderkey", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_linestatus", "l_returnflag"]
     rows = dealt_table(spark, sf_dir, "lineitem", *used)
-    return rows.select(label.alias("label"), F.array(*[F.col(c).cast("double") for c in columns]).alias("features"))
+    ids = [] if row_id is None else [F.expr(row_id).alias("row_id")]
+    return rows.select(*ids, label.alias("label"), F.array(*[F.col(c).cast("double") for c in columns]).alias("features"))
 
 
 def _nodes(spark, model):
@@ -98,39 +103,43 @@ def _open_label():
     return (F.col("l_linestatus") == "O").cast("int")
 
 
+# With this seed and a drop rate of one half, round 2 drops the first of two trees and round 3 the second of three.
+DART_SEED = 2
+
+
 def c04_boosted_binary(spark, sf_dir):
     model = BoostedModel()
     rows = _line_features(spark, sf_dir, _open_label(), FOUR)
-    model.fit(rows, objective="binary:logistic", iterations=1, max_depth=1)
+    model.fit(rows, objective="binary:logistic", iterations=2, max_depth=2)
     return _nodes(spark, model)
 
 
 def c05_boosted_multiclass(spark, sf_dir):
     code = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     model = BoostedModel(3)
-    model.fit(_line_features(spark, sf_dir, code, FOUR), objective="multi:softprob", iterations=1, max_depth=1)
+    model.fit(_line_features(spark, sf_dir, code, FOUR), objective="multi:softprob", iterations=2, max_depth=2)
     return _nodes(spark, model)
 
 
 def c06_boosted_squared(spark, sf_dir):
     model = BoostedModel()
     rows = _line_features(spark, sf_dir, F.col("l_quantity"), FOUR[1:])
-    model.fit(rows, objective="reg:linear", base_score=25.0, iterations=1, max_depth=1)
+    model.fit(rows, objective="reg:linear", base_score=25.0, iterations=2, max_depth=2)
     return _nodes(spark, model)
 
 
 def c07_boosted_logistic_target(spark, sf_dir):
     model = BoostedModel()
     rows = _line_features(spark, sf_dir, F.col("l_discount") * 10.0, ["l_quantity", "l_tax", "l_linenumber"])
-    model.fit(rows, objective="reg:logistic", iterations=1, max_depth=1)
+    model.fit(rows, objective="reg:logistic", iterations=2, max_depth=2)
     return _nodes(spark, model)
 
 
 def c08_dart(spark, sf_dir):
-    """With every tree dropped in round two, both rounds see the same gradients and share the scale 1 / (1 + eta)."""
+    """Four rounds in which the seed drops a proper subset of the trees before."""
     model = BoostedModel()
     rows = _line_features(spark, sf_dir, _open_label(), FOUR)
-    model.fit(rows, objective="binary:logistic", booster="dart", iterations=2, max_depth=1, drop_rate=1.0)
+    model.fit(rows, objective="binary:logistic", booster="dart", iterations=4, max_depth=1, drop_rate=0.5, seed=DART_SEED)
     return _nodes(spark, model)
 
 
@@ -146,12 +155,13 @@ def c09_linear_booster(spark, sf_dir):
 
 def c10_booster_parameters(spark, sf_dir):
     model = BoostedModel()
-    rows = _line_features(spark, sf_dir, _open_label(), FOUR)
+    rows = _line_features(spark, sf_dir, _open_label(), FOUR, LINE_ID)
     options = {
-        "lambda": 2.0, "alpha": 1.0, "gamma": 0.01, "min_child_weight": 500, "max_delta_step": 0.005, "eta": 0.1,
+        "subsample": 0.7, "colsample": 0.5, "seed": 4,
+        "lambda": 2.0, "alpha": 1.0, "gamma": 0.01, "min_child_weight": 100, "max_delta_step": 0.005, "eta": 0.1,
         "scale_pos_weight": 1.02,
     }
-    model.fit(rows, objective="binary:logistic", iterations=1, max_depth=1, **options)
+    model.fit(rows, objective="binary:logistic", iterations=2, max_depth=2, **options)
     return _nodes(spark, model)
 
 
@@ -266,10 +276,11 @@ def _weights_sql(name: str) -> str:
     return f"SELECT f::INT AS f, k::INT AS k, round(w, 6) + 0.0 AS w FROM {name}"
 
 
-def _stump_sql(gradient: str, hessian: str, columns: list[str], outputs: int = 1, rounds: int = 1, scale: float = 1.0,
+def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, depth: int, outputs: int = 1, base: float = 0.0,
                eta: float = 0.3, lam: float = 1.0, alpha: float = 0.0, gamma: float = 0.0, child: float = 1.0,
-               step: float = 0.0, weight: str = "1.0") -> str:
-    """Root split and leaf values of a depth-one tree per output, all cut values tried."""
+               step: float = 0.0, weight: str = "1.0::DOUBLE", subsample: float = 1.0, colsample: float = 1.0,
+               drop: float | None = None, seed: int = 0) -> str:
+    """Boosting round by round and level by level; every distinct value is tried as a cut."""
     def shrink(g):
         return f"sign({g}) * greatest(abs({g}) - {alpha}, 0)"
 
@@ -280,32 +291,75 @@ def _stump_sql(gradient: str, hessian: str, columns: list[str], outputs: int = 1
         value = f"-({shrink(g)}) / ({h} + {lam})"
         if step:
             value = f"greatest(least({value}, {step}), -{step})"
-        return f"round({eta} * ({value}), 6) + 0.0"
-
-    return f"""
-WITH d AS (
-  SELECT o, {weight} * ({gradient}) AS g, {weight} * ({hessian}) AS h, unnest(range({len(columns)})) AS f,
-         unnest([{', '.join(f'{c}::DOUBLE' for c in columns)}]) AS v
-  FROM lineitem, range({outputs}) t(o)),
-s AS (SELECT o, f, v + 0.0::DOUBLE AS v, sum(g) AS g, sum(h) AS h FROM d GROUP BY ALL),
-c AS (SELECT o, f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER a AS gt, sum(h) OVER a AS ht FROM s
-      WINDOW w AS (PARTITION BY o, f ORDER BY v), a AS (PARTITION BY o, f)),
-q AS (SELECT *, 0.5 * ({part('gl', 'hl')} + {part('(gt - gl)', '(ht - hl)')} - {part('gt', 'ht')}) - {gamma} AS gain
-      FROM c WHERE hl >= {child} AND ht - hl >= {child}),
-best AS (SELECT * FROM q WHERE gain > 1e-12
-         QUALIFY row_number() OVER (PARTITION BY o ORDER BY round(gain, 9) DESC, f, v) = 1)
-SELECT r::INT AS round, o::INT AS output, n::INT AS node,
-       CASE n WHEN 0 THEN f ELSE -1 END::INT AS feature, CASE n WHEN 0 THEN round(v, 6) ELSE 0 END::DOUBLE AS threshold,
-       CASE n WHEN 0 THEN round(gain, 4) ELSE 0 END::DOUBLE AS gain,
-       CASE n WHEN 0 THEN {leaf('gt', 'ht')} WHEN 1 THEN {leaf('gl', 'hl')}
-              ELSE {leaf('(gt - gl)', '(ht - hl)')} END::DOUBLE AS value,
-       round({scale}, 6)::DOUBLE AS scale
-FROM best, range(3) nodes(n), range({rounds}) rounds(r)"""
+        return f"{eta} * ({value})"
+
+    names = ", ".join(f"({c})::DOUBLE AS x{i}" for i, c in enumerate(columns))
+    listed = ", ".join(f"x{i}" for i in range(len(columns)))
+    derived = {
+        "multi:softprob": "p - (y = o)::INT AS g, greatest(2 * p * (1 - p), 1e-16) AS h FROM (SELECT *, exp(m) / sum(exp(m)) OVER (PARTITION BY id) AS p FROM {m})",
+        "reg:linear": "m - y AS g, 1::DOUBLE AS h FROM {m}",
+    }.get(objective, "p - y AS g, greatest(p * (1 - p), 1e-16) AS h FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM {m})")
+    parts = [
+        f"r AS MATERIALIZED (SELECT row_number() OVER () AS id, l_orderkey * 10 + l_linenumber AS row_id, ({label})::DOUBLE AS y, {weight} AS w, {names} FROM lineitem)",
+        f"x AS MATERIALIZED (SELECT id, unnest(range({len(columns)})) AS f, unnest([{listed}]) AS v FROM r)",
+    ]
+    scales: list[float] = []
+
+    def margins(factors):
+        terms = "".join(f" + {f!r}::DOUBLE * coalesce(t{i}.value, 0)" for i, f in enumerate(factors) if f)
+        joins = "".join(f" JOIN leaf{i} t{i} USING (id, o)" for i, f in enumerate(factors) if f)
+        return f"(SELECT id, row_id, y, w, o, {base!r}::DOUBLE{terms} AS m FROM (SELECT * FROM r, range({outputs}) q(o)){joins})"
+
+    for n in range(rounds):
+        dropped = []
+        if drop is not None and draw(seed, n, "skip") >= 0.0:
+            dropped = [i for i in range(n) if draw(seed, n, "drop", i) < drop]
+        drawn = f"WHERE ('0x' || substr(md5('{seed}:{n}:' || row_id), 1, 8))::BIGINT / 4294967296.0 < {subsample}" if subsample < 1 else ""
+        parts.append(f"m{n} AS MATERIALIZED {margins([0.0 if i in dropped else s for i, s in enumerate(scales)])}")
+        parts.append(f"g{n} AS MATERIALIZED (SELECT id, o, w * g AS g, w * h AS h FROM (SELECT id, row_id, o, w, {derived.format(m=f'm{n}')}) {drawn})")
+        parts.append(f"n{n}_0 AS MATERIALIZED (SELECT id, o, 0 AS node, 0 AS born FROM r, range({outputs}) q(o))")
+        allowed = []
+        for o in range(outputs):
+            order = sorted(range(len(columns)), key=lambda j: (draw(seed, n, o, j), j))
+            allowed += [f"({o}, {j})" for j in order[: max(1, round(colsample * len(columns)))]]
+        open_ = f"(o, f) IN ({', '.join(allowed)})" if colsample < 1 else "true"
+        for level in range(depth):
+            k = f"{n}_{level}"
+            parts.append(
+                f"v{k} AS (SELECT o, node, f, v + 0.0 AS v, sum(g) AS g, sum(h) AS h FROM n{k} JOIN g{n} USING (id, o) JOIN x USING (id) "
+                f"WHERE born = {level} GROUP BY ALL), "
+                f"c{k} AS (SELECT o, node, f, v, sum(g) OVER a AS gl, sum(h) OVER a AS hl, sum(g) OVER b AS gt, sum(h) OVER b AS ht FROM v{k} "
+                f"WINDOW a AS (PARTITION BY o, node, f ORDER BY v), b AS (PARTITION BY o, node, f)), "
+                f"q{k} AS (SELECT *, 0.5 * ({part('gl', 'hl')} + {part('(gt - gl)', '(ht - hl)')} - {part('gt', 'ht')}) - {gamma} AS gain "
+                f"FROM c{k} WHERE hl >= {child} AND ht - hl >= {child} AND {open_}), "
+                f"s{k} AS MATERIALIZED (SELECT *, {1 if level == 0 else 3} + 2 * (row_number() OVER (PARTITION BY o ORDER BY node) - 1) AS kid FROM ("
+                f"SELECT * FROM q{k} WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY o, node ORDER BY round(gain, 9) DESC, f, v) = 1)), "
+                f"n{n}_{level + 1} AS MATERIALIZED (SELECT n.id, n.o, CASE WHEN s.kid IS NULL OR n.born < {level} THEN n.node ELSE s.kid + (x.v > s.v)::INT END AS node, "
+                f"CASE WHEN s.kid IS NULL OR n.born < {level} THEN n.born ELSE {level + 1} END AS born "
+                f"FROM n{k} n LEFT JOIN s{k} s ON n.o = s.o AND n.node = s.node LEFT JOIN x ON x.id = n.id AND x.f = s.f)"
+            )
+        values = [f"SELECT DISTINCT o, 0 AS node, {leaf('gt', 'ht')} AS value FROM c{n}_0 WHERE node = 0"]
+        for level in range(depth):
+            values.append(f"SELECT o, kid, {leaf('gl', 'hl')} FROM s{n}_{level}")
+            values.append(f"SELECT o, kid + 1, {leaf('(gt - gl)', '(ht - hl)')} FROM s{n}_{level}")
+        splits = " UNION ALL ".join(f"SELECT o, node, f, v, gain FROM s{n}_{level}" for level in range(depth))
+        parts.append(f"val{n} AS MATERIALIZED (SELECT o, node, any_value(value) AS value FROM ({' UNION ALL '.join(values)}) GROUP BY o, node)")
+        parts.append(f"spl{n} AS ({splits})")
+        parts.append(f"leaf{n} AS MATERIALIZED (SELECT id, o, value FROM n{n}_{depth} JOIN val{n} USING (o, node))")
+        if dropped:
+            scales = [s * len(dropped) / (len(dropped) + eta) if i in dropped else s for i, s in enumerate(scales)]
+        scales.append(1.0 / (len(dropped) + eta) if dropped else 1.0)
+    rows = [
+        f"SELECT {n} AS round, o::INT AS output, node::INT AS node, coalesce(f, -1)::INT AS feature, coalesce(round(v, 6), 0)::DOUBLE AS threshold, "
+        f"coalesce(round(gain, 4), 0)::DOUBLE AS gain, round(value, 6) + 0.0 AS value, round({scales[n]!r}::DOUBLE, 6) AS scale "
+        f"FROM val{n} LEFT JOIN spl{n} USING (o, node)"
+        for n in range(rounds)
+    ]
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(rows)
 
 
 _Y = "(l_linestatus = 'O')::INT"
 _CODE = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
-_G = f"(0.5::DOUBLE - {_Y})"
 _LINEAR_COLUMNS = ["l_quantity / 50", "l_discount", "l_tax", "1"]
 
 
@@ -394,19 +448,15 @@ WITH {X_SQL}, {softmax_chain(1)} SELECT f::INT AS f, k::INT AS k, round(g, 6) +
     "c02_fit_softmax": f"""
 WITH {X_SQL}, {softmax_chain(3, [1.0, 1.0, 0.5], mu=0.9, decay=0.01, class_weights=CLASS_WEIGHTS)} {_weights_sql('w3')}""",
     "c03_fit_mlp": _HIDDEN,
-    "c04_boosted_binary": _stump_sql(_G, "0.25::DOUBLE", FOUR),
-    "c05_boosted_multiclass": _stump_sql(
-        f"1 / 3.0::DOUBLE - ({_CODE} = o)::INT", "4 / 9.0::DOUBLE", FOUR, outputs=3
-    ),
-    "c06_boosted_squared": _stump_sql("25.0::DOUBLE - l_quantity", "1::DOUBLE", FOUR[1:]),
-    "c07_boosted_logistic_target": _stump_sql(
-        "0.5 - l_discount * 10", "0.25::DOUBLE", ["l_quantity", "l_tax", "l_linenumber"]
-    ),
-    "c08_dart": _stump_sql(_G, "0.25::DOUBLE", FOUR, rounds=2, scale=1 / 1.3),
+    "c04_boosted_binary": _trees_sql(_Y, FOUR, "binary:logistic", 2, 2),
+    "c05_boosted_multiclass": _trees_sql(_CODE, FOUR, "multi:softprob", 2, 2, outputs=3, base=0.5),
+    "c06_boosted_squared": _trees_sql("l_quantity", FOUR[1:], "reg:linear", 2, 2, base=25.0),
+    "c07_boosted_logistic_target": _trees_sql("l_discount * 10", ["l_quantity", "l_tax", "l_linenumber"], "reg:logistic", 2, 2),
+    "c08_dart": _trees_sql(_Y, FOUR, "binary:logistic", 4, 1, drop=0.5, seed=DART_SEED),
     "c09_linear_booster": _linear_sql(FOUR, 3),
-    "c10_booster_parameters": _stump_sql(
-        _G, "0.25::DOUBLE", FOUR, eta=0.1, lam=2.0, alpha=1.0, gamma=0.01, child=500, step=0.005,
-        weight="CASE l_linestatus WHEN 'O' THEN 1.02::DOUBLE ELSE 1::DOUBLE END",
+    "c10_booster_parameters": _trees_sql(
+        _Y, FOUR, "binary:logistic", 2, 2, eta=0.1, lam=2.0, alpha=1.0, gamma=0.01, child=100, step=0.005, subsample=0.7,
+        colsample=0.5, seed=4, weight="CASE l_linestatus WHEN 'O' THEN 1.02::DOUBLE ELSE 1::DOUBLE END",
     ),
     "c11_solver_rules": f"WITH {X_SQL}, "
     + ", ".join(
