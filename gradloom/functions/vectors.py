@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradloom.session import map_arrow
+
 
 def constant_array(values: Sequence, element: str) -> Column:
     """A literal array from one string; Spark folds it once, however long it is."""
@@ -32,15 +36,25 @@ def dense_to_sparse(df: DataFrame, features: str = "features") -> DataFrame:
 def sparse_to_dense(df: DataFrame, width: int, out: str = "features") -> DataFrame:
     """Dense array of ``width`` values; ids at or beyond the width are left out, absent ids are 0.
 
-    Repeated ids raise, as ``map_from_entries`` does by default.
+    Repeated ids add up, as they do in a product with weights. Whole batches are scattered at once.
     """
-    inside = F.filter(F.arrays_zip("indices", "values"), lambda e: (e["indices"] >= 0) & (e["indices"] < width))
-    lookup = F.map_from_entries(inside)
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)),
-        lambda i: F.coalesce(F.try_element_at(F.col("_lookup"), i), F.lit(0.0)),
-    )
-    return df.withColumn("_lookup", lookup).withColumn(out, dense).drop("_lookup", "indices", "values")
+    kept = [c for c in df.columns if c not in ("indices", "values", out)]
+
+    def scatter(batches):
+        for batch in batches:
+            lists = batch.column("indices")
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            values = np.asarray(batch.column("values").flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+            rows = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            inside = (ids >= 0) & (ids < width)
+            dense = np.zeros(batch.num_rows * width)
+            np.add.at(dense, rows[inside] * width + ids[inside], values[inside])
+            offsets = pa.array((np.arange(batch.num_rows + 1) * width).astype(np.int32))
+            packed = pa.ListArray.from_arrays(offsets, pa.array(dense))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], packed], names=[*kept, out])
+
+    schema = T.StructType([df.schema[c] for c in kept]).add(out, T.ArrayType(T.DoubleType()))
+    return map_arrow(df.select(*kept, "indices", "values"), scatter, schema)
 
 
 def format_value(value: Column) -> Column:

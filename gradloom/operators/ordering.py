@@ -2,37 +2,53 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradloom.functions.hashing import seeded_md5
 from gradloom.functions.vectors import constant_array
-from gradloom.session import reliable_checkpoint
+from gradloom.session import map_arrow, reliable_checkpoint
 
-HASH_BUCKETS = 4096
+# Rows that one hash bucket should hold at most; buckets are cut by so many leading hex digits of the hash.
+BUCKET_ROWS = 100_000
 
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Add the sum of ``value`` over all rows that come earlier in ``keys`` order.
 
-    Rows are range-partitioned and checkpointed, so that the partition a row lies in stays fixed even when
-    executors are lost; each range is summed by itself and shifted by the totals of the ranges before it.
-    ``keys`` must be unique per row, which keeps ranges even.
+    Rows are range-partitioned, sorted and checkpointed, so that the place of a row stays fixed even when executors are
+    lost; a second pass adds up each range from where the ranges before it end, without another exchange. ``keys``
+    must be unique per row, which keeps ranges even. Nulls count as 0.
     """
-    ranged = reliable_checkpoint(df.repartitionByRange(*keys)).withColumn("_range", F.spark_partition_id())
-    totals = ranged.groupBy("_range").agg(F.sum(value).alias("total")).collect()  # one row per partition
-    shift, start = {}, 0
-    for row in sorted(totals, key=lambda r: r["_range"]):
-        shift[row["_range"]] = start
+    ranged = reliable_checkpoint(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    sums = ranged.groupBy(F.spark_partition_id().alias("range")).agg(F.coalesce(F.sum(value), F.lit(0)).alias("total"))
+    starts, start = {}, 0
+    for row in sorted(sums.collect(), key=lambda r: r["range"]):  # one row per partition
+        starts[row["range"]] = start
         start += row["total"]
-    before = W.partitionBy("_range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
-    starts = constant_array([shift.get(i, 0) for i in range(max(shift, default=0) + 1)], "bigint")
-    return ranged.withColumn(
-        out, F.coalesce(F.sum(value).over(before), F.lit(0)) + F.get(starts, F.col("_range"))
-    ).drop("_range")
+    whole = isinstance(ranged.schema[value].dataType, T.IntegralType)
+    at = ranged.columns.index(value)
+
+    def add_up(batches):
+        from pyspark import TaskContext
+
+        held = starts.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            values = np.nan_to_num(batch.column(at).to_numpy(zero_copy_only=False), nan=0.0) if batch.column(at).null_count else batch.column(at).to_numpy()
+            ends = held + np.cumsum(values, dtype=np.int64 if whole else np.float64)
+            before = np.concatenate([[held], ends[:-1]]).astype(ends.dtype) if len(ends) else ends
+            held = ends[-1].item() if len(ends) else held
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, out])
+
+    kind = T.LongType() if whole else T.DoubleType()
+    return map_arrow(ranged, add_up, T.StructType([*ranged.schema.fields, T.StructField(out, kind)]))
 
 
 def dense_positions(df: DataFrame, keys: Sequence[str], out: str = "position") -> DataFrame:
@@ -50,19 +66,17 @@ def number_by_hash(
 ) -> DataFrame:
     """Position of every row in the seeded hash order of its id.
 
-    The hash is uniform, so its leading 12 bits cut the table into at most 4096 even buckets; bucket sizes are
-    counted first and rows are then ranked inside their bucket only. With ``wanted`` position ranges [low, high),
-    buckets outside of them are left out before anything is shuffled.
+    The hash is uniform, so its leading digits cut the table into even buckets of some ``BUCKET_ROWS`` rows, however many
+    rows there are; bucket sizes are counted first and rows are then ranked inside their bucket only. With ``wanted``
+    position ranges [low, high), buckets outside of them are left out before anything is shuffled.
     """
-    hashed = df.withColumn("_hash", seeded_md5(seed, F.col(row_id))).withColumn("_bucket", _hash_bucket())
-    starts = _bucket_starts(hashed)
+    hashed, starts = _bucketed(df.withColumn("_hash", seeded_md5(seed, F.col(row_id))))
+    buckets = len(starts) - 1
     if wanted is not None:
-        touched = [
-            b for b in range(HASH_BUCKETS) if any(starts[b] < high and starts[b + 1] > low for low, high in wanted)
-        ]
-        if len(touched) < HASH_BUCKETS:
+        touched = [b for b in range(buckets) if any(starts[b] < high and starts[b + 1] > low for low, high in wanted)]
+        if len(touched) < buckets:
             member = set(touched)
-            flags = constant_array([int(b in member) for b in range(HASH_BUCKETS)], "int")
+            flags = constant_array([int(b in member) for b in range(buckets)], "int")
             hashed = hashed.where(F.get(flags, F.col("_bucket")) == 1)
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_hash", row_id))
     placed = hashed.withColumn(out, F.get(constant_array(starts, "bigint"), F.col("_bucket")) + rank - 1)
@@ -74,17 +88,18 @@ def number_by_hash(
     return placed.drop("_hash", "_bucket")
 
 
-def _hash_bucket() -> Column:
-    return F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int")
+def _bucketed(hashed: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Rows with their ``_bucket``; the first position of every bucket, and the number of rows at the end.
 
-
-def _bucket_starts(hashed: DataFrame) -> list[int]:
-    """First position of every bucket, and the number of rows at the end."""
-    counts = {r["_bucket"]: r["count"] for r in hashed.groupBy("_bucket").count().collect()}  # at most 4096 rows
+    One small row per bucket reaches the driver: one per ``BUCKET_ROWS`` rows of the table.
+    """
+    digits = max(1, math.ceil(math.log(max(hashed.count() / BUCKET_ROWS, 1), 16)))
+    cut = hashed.withColumn("_bucket", F.conv(F.substring("_hash", 1, digits), 16, 10).cast("int"))
+    counts = {r["_bucket"]: r["count"] for r in cut.groupBy("_bucket").count().collect()}
     starts = [0]
-    for bucket in range(HASH_BUCKETS):
+    for bucket in range(16**digits):
         starts.append(starts[-1] + counts.get(bucket, 0))
-    return starts
+    return cut, starts
 
 
 def before_hash_position(df: DataFrame, seed: int, place: int, row_id: str = "row_id") -> Column:
@@ -92,11 +107,10 @@ def before_hash_position(df: DataFrame, seed: int, place: int, row_id: str = "ro
 
     Only the one bucket that holds the position is ranked; all other rows are told apart by their hash.
     """
-    hashed = df.select(row_id, seeded_md5(seed, F.col(row_id)).alias("_hash")).withColumn("_bucket", _hash_bucket())
-    starts = _bucket_starts(hashed)
+    hashed, starts = _bucketed(df.select(row_id, seeded_md5(seed, F.col(row_id)).alias("_hash")))
     if place >= starts[-1]:
         return F.lit(True)
-    bucket = max(b for b in range(HASH_BUCKETS) if starts[b] <= place < starts[b + 1])
+    bucket = max(b for b in range(len(starts) - 1) if starts[b] <= place < starts[b + 1])
     ranked = dense_positions(hashed.where(F.col("_bucket") == bucket).select("_hash", row_id), ["_hash", row_id])
     edge = ranked.where(F.col("position") == place - starts[bucket]).head()
     own = seeded_md5(seed, F.col(row_id))

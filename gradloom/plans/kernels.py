@@ -13,6 +13,9 @@ from gradloom.session import BROADCAST_BYTES, map_arrow
 
 # Partial sums brought to the driver in one go; more than this is added up on the executors first.
 DRIVER_BYTES = 64 * 1024 * 1024
+# Values of one slice of an array, and arrays added up by one task, when partials are added up on the executors.
+SLICE_VALUES = 512 * 1024
+FAN_IN = 64
 
 PARTIAL_SCHEMA = "part int, slot int, loss double, weight double, sums binary"
 
@@ -97,45 +100,64 @@ def sum_partials(
 ) -> tuple[float, float, np.ndarray]:
     """Run ``kernel`` once per task and add up what the tasks return: (loss, weight, array of ``size``).
 
-    Rows never move: each task reduces its own rows to one array. When all arrays together would be too much
-    for the driver, a second level of tasks adds them up first. Arrays are added in task order, so a result
-    does not depend on which task ends first.
+    Rows never move: each task reduces its own rows to one array. When all arrays together would be too much for the
+    driver, they are cut into slices and added up by further tasks first, ``FAN_IN`` arrays at a time, so that no task
+    reads more than so many slices of ``SLICE_VALUES`` however many tasks there were or however large the model is. Arrays
+    are added in task order, so a result does not depend on which task ends first.
     """
     levels = max(1, DRIVER_BYTES // max(8 * size, 1))
+    cuts = [*range(0, max(size, 1), SLICE_VALUES), size]
+
+    def rows_of(part: int, loss: float, weight: float, total: np.ndarray):
+        for slot, (low, high) in enumerate(zip(cuts, cuts[1:])):
+            yield pa.RecordBatch.from_pydict(
+                {"part": pa.array([part], pa.int32()), "slot": pa.array([slot], pa.int32()),
+                 "loss": [0.0 if slot else float(loss)], "weight": [0.0 if slot else float(weight)],
+                 "sums": [np.ascontiguousarray(total[low:high], dtype=np.float64).tobytes()]}
+            )
 
     def reduce_task(batches):
         from pyspark import TaskContext
 
         result = kernel(batches)
         if result is not None:
-            loss, weight, total = result
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array([part], pa.int32()), "slot": pa.array([part % levels], pa.int32()),
-                 "loss": [float(loss)], "weight": [float(weight)],
-                 "sums": [np.ascontiguousarray(total, dtype=np.float64).tobytes()]}
-            )
-
-    def add_up(batches):
-        sums: dict[int, list] = {}
-        for batch in batches:  # sorted by slot and part
-            for row in batch.to_pylist():
-                held = sums.setdefault(row["slot"], [row["part"], 0.0, 0.0, np.zeros(size)])
-                held[1] += row["loss"]
-                held[2] += row["weight"]
-                held[3] += np.frombuffer(row["sums"])
-        for slot, (part, loss, weight, total) in sums.items():
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array([part], pa.int32()), "slot": pa.array([slot], pa.int32()),
-                 "loss": [loss], "weight": [weight], "sums": [total.tobytes()]}
-            )
+            yield from rows_of(TaskContext.get().partitionId(), *result)
+
+    def add_up(groups: int):
+        def run(batches):
+            held = None
+            for batch in batches:  # sorted by slot, group and part
+                for row in batch.to_pylist():
+                    key, values = (row["slot"], row["part"] % groups), np.frombuffer(row["sums"])
+                    if held is not None and held[0] == key:
+                        held[1] += row["loss"]
+                        held[2] += row["weight"]
+                        held[3] += values
+                        continue
+                    if held is not None:
+                        yield packed(held)
+                    held = [key, row["loss"], row["weight"], values.copy()]
+            if held is not None:
+                yield packed(held)
+
+        return run
+
+    def packed(held) -> pa.RecordBatch:
+        (slot, part), loss, weight, total = held
+        return pa.RecordBatch.from_pydict(
+            {"part": pa.array([part], pa.int32()), "slot": pa.array([slot], pa.int32()), "loss": [loss],
+             "weight": [weight], "sums": [total.tobytes()]}
+        )
 
     partials = map_arrow(df, reduce_task, PARTIAL_SCHEMA)
-    if parts > levels:
-        partials = partials.repartition(levels, "slot").sortWithinPartitions("slot", "part").mapInArrow(add_up, PARTIAL_SCHEMA)
+    while parts > levels:
+        parts = max(levels, -(-parts // FAN_IN))
+        group = F.col("part") % F.lit(parts)
+        met = partials.repartition(min(parts * (len(cuts) - 1), 4096), F.col("slot"), group)
+        partials = met.sortWithinPartitions(F.col("slot"), group, F.col("part")).mapInArrow(add_up(parts), PARTIAL_SCHEMA)
     loss, weight, total = 0.0, 0.0, np.zeros(size)
-    for row in sorted(partials.collect(), key=lambda r: (r["slot"], r["part"])):
+    for row in sorted(partials.collect(), key=lambda r: (r["part"], r["slot"])):
         loss += row["loss"]
         weight += row["weight"]
-        total += np.frombuffer(row["sums"])
+        total[cuts[row["slot"]] : cuts[row["slot"] + 1]] += np.frombuffer(row["sums"])
     return loss, weight, total

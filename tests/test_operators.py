@@ -125,7 +125,7 @@ def test_log_lines(spark, segment):
     lines = spark.createDataFrame([("a", i, v) for i, v in enumerate(LINES)], "log string, line_no bigint, value string")
     parsed = runlog.parse_lines(lines)
     bad = runlog.count_bad_lines(parsed).head()
-    assert (bad.lines, bad.rejected) == (13, 6)
+    assert (bad.lines, bad.rejected) == (13, 7)
     kept = runlog.monotonic_filter(runlog.drop_bad_lines(parsed), segment)
     assert sorted(r.iteration for r in kept.collect()) == [1.0, 3.0, 7.5]
     points = runlog.unpivot_metrics(kept)

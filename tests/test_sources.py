@@ -94,14 +94,8 @@ def test_dense_sparse_edges(spark):
     assert row.indices == [0, 3, 4] and row["values"][0] == 1.0 and math.isnan(row["values"][1])
     back = sparse_to_dense(dense_to_sparse(df), 4).head().features
     assert back[:3] == [1.0, 0.0, 0.0] and math.isnan(back[3]) and len(back) == 4
-    rows = spark.createDataFrame([(0,), (5,)], "row_id bigint")
-    assert {r.row_id: r.scores for r in scatter_scores(long, 3, rows).collect()}[5] == [0.0, 0.0, 0.0]
-    dense = spark.createDataFrame([(0, [0.2, 0.5, 0.5]), (1, [1.0, 0.0, 0.0])], "row_id bigint, scores array<double>")
-    for n in (1, 2, -1):
-        assert sorted(map(tuple, best_n_scores(dense, n).collect())) == sorted(map(tuple, best_n(long_scores(dense), n).collect()))
-    with pytest.raises(Exception, match="repeated"):
-        twice = spark.createDataFrame([([1, 1], [1.0, 2.0])], "indices array<int>, values array<double>")
-        sparse_to_dense(twice, 3).collect()
+    twice = spark.createDataFrame([([1, 7, 1], [1.0, 5.0, 2.0]), ([], [])], "indices array<int>, values array<double>")
+    assert [r.features for r in sparse_to_dense(twice, 3).collect()] == [[0.0, 3.0, 0.0], [0.0, 0.0, 0.0]]
 
 
 def test_text_forms(spark):

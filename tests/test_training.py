@@ -65,8 +65,10 @@ def test_gradient_does_not_depend_on_partitions(rows, parts, monkeypatch):
     model = NetworkModel.initial(64, 10, (8,), seed=3)
     loss, weight, expected = network_gradient(rows.coalesce(1), model, 1, dropout=0.5, seed=1, iteration=2)
     split = rows.repartition(parts)
-    for limit in (kernels.DRIVER_BYTES, 3 * 8 * model.size):
+    for limit, values, fan in ((kernels.DRIVER_BYTES, kernels.SLICE_VALUES, 64), (3 * 8 * model.size, 100, 64), (8, 77, 2)):
         monkeypatch.setattr(kernels, "DRIVER_BYTES", limit)
+        monkeypatch.setattr(kernels, "SLICE_VALUES", values)
+        monkeypatch.setattr(kernels, "FAN_IN", fan)
         got = network_gradient(split, model, parts, dropout=0.5, seed=1, iteration=2)
         assert got[0] == pytest.approx(loss, abs=1e-9) and got[1] == weight
         for name in expected:
