@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradloom.operators.ordering import dense_positions
 from gradloom.session import BROADCAST_ROWS, map_arrow, reliable_checkpoint
@@ -67,18 +69,59 @@ def _apply_in_place(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return map_arrow(df, translate, df.schema)
 
 
-def text_features(df: DataFrame, text: str = "text", row_id: str = "row_id") -> tuple[DataFrame, DataFrame]:
+# Largest vocabulary of words that is shipped, by the bytes of its words.
+BROADCAST_WORD_BYTES = 64 * 1024 * 1024
+
+
+def text_features(
+    df: DataFrame, text: str = "text", row_id: str = "row_id", broadcast_bytes: int = BROADCAST_WORD_BYTES
+) -> tuple[DataFrame, DataFrame]:
     """Bag of words: sparse word counts of every text, and the word vocabulary behind them.
 
-    Counts are formed per (row, word) before words meet their positions, so a word found in every text costs
-    one entry per text, and the adaptive join splits it. The counts are checkpointed: texts are taken apart once,
-    though counts serve the vocabulary and the entries.
+    A text is one row, so its words are counted where it lies; only distinct words are shuffled, once, for the
+    vocabulary. Words then meet their positions in place if the vocabulary is small enough to travel, else by a join that
+    splits a word found in every text. Both ways give entries in the order of positions.
     """
-    words = df.select(
-        F.col(row_id).alias("row_id"),
-        F.explode(F.filter(F.split(F.lower(text), r"[ \t\r\n]+"), lambda w: w != "")).alias("feature"),
-    )
-    counts = reliable_checkpoint(words.groupBy("row_id", "feature").agg(F.count("*").cast("double").alias("value")))
-    vocabulary = dense_positions(counts.select("feature").distinct(), ["feature"])
-    entries = counts.join(vocabulary, "feature").select("row_id", F.col("position").alias("col"), "value")
-    return from_triples(entries, df.select(F.col(row_id).alias("row_id"))), vocabulary
+    words = F.filter(F.split(F.lower(text), r"[ \t\r\n]+"), lambda w: w != "")
+    rows = df.select(F.col(row_id).alias("row_id"), F.coalesce(words, F.array().cast("array<string>")).alias("words"))
+    counted = map_arrow(rows, _count_words, T.StructType([rows.schema["row_id"]]).add("words", T.ArrayType(T.StringType())).add("values", T.ArrayType(T.DoubleType())))
+    vocabulary = dense_positions(counted.select(F.explode("words").alias("feature")).distinct(), ["feature"])
+    size = vocabulary.agg(F.sum(F.octet_length("feature") + 8)).head()[0] or 0
+    if size <= broadcast_bytes:
+        known = pa.array([r[0] for r in vocabulary.select("feature").orderBy("position").collect()], pa.string())
+        shipped = df.sparkSession.sparkContext.broadcast(known)
+
+        def translate(batches):
+            for batch in batches:
+                place = pc.index_in(batch.column("words").flatten(), shipped.value).to_numpy(zero_copy_only=False)
+                values = batch.column("values").flatten().to_numpy(zero_copy_only=False)
+                lengths = batch.column("words").value_lengths().to_numpy(zero_copy_only=False)
+                order = np.lexsort((place, np.repeat(np.arange(batch.num_rows), lengths)))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row_id"), *(pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (place[order].astype(np.int32), values[order]))],
+                    names=["row_id", "indices", "values"],
+                )
+
+        schema = T.StructType([counted.schema["row_id"]]).add("indices", T.ArrayType(T.IntegerType())).add("values", T.ArrayType(T.DoubleType()))
+        return map_arrow(counted, translate, schema), vocabulary
+    entries = counted.select("row_id", F.inline(F.arrays_zip("words", "values"))).withColumnRenamed("words", "feature")
+    entries = entries.join(vocabulary, "feature").select("row_id", F.col("position").alias("col"), F.col("values").alias("value"))
+    return from_triples(entries, counted.select("row_id")), vocabulary
+
+
+def _count_words(batches):
+    """Distinct words of every row and how often each stands there."""
+    for batch in batches:
+        lists = batch.column("words")
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        width = max(len(coded.dictionary), 1)
+        keys, counts = np.unique(rows * width + codes, return_counts=True)
+        offsets = pa.array(np.searchsorted(keys, np.arange(batch.num_rows + 1) * width).astype(np.int32))
+        words = coded.dictionary.take(pa.array(keys % width))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row_id"), pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.float64)))],
+            names=["row_id", "words", "values"],
+        )

@@ -47,9 +47,12 @@ class TrainingRows:
 
     @classmethod
     def cached(cls, rows: DataFrame, width: int, size: int | None = None) -> TrainingRows:
-        """Kept in executor memory, spilling to their disks; tables of known, small size in few partitions."""
-        if size is not None and size // PARTITION_BYTES < rows.sparkSession.sparkContext.defaultParallelism:
-            rows = rows.coalesce(max(1, size // PARTITION_BYTES))
+        """Kept in executor memory, spilling to their disks.
+
+        Batches of known size lie in the order of their numbers, so a step reads the cached blocks of its batch only.
+        """
+        if size is not None:
+            rows = rows.repartitionByRange(max(1, size // PARTITION_BYTES), "batch_id").sortWithinPartitions("batch_id")
         return cls(*persist_balanced(rows, 8 * width))
 
     @classmethod
@@ -57,7 +60,7 @@ class TrainingRows:
         """Written to one folder per group of batches, so that an iteration opens its own files only."""
         per_group = max(1, steps * GROUP_BYTES // size)
         grouped = rows.withColumn("batch_group", F.floor(F.col("batch_id") / F.lit(per_group)))
-        grouped.write.partitionBy("batch_group").parquet(path)
+        grouped.repartitionByRange("batch_group", "batch_id").write.partitionBy("batch_group").parquet(path)
         parts = max(1, min(size, GROUP_BYTES) // PARTITION_BYTES) * 2
         return cls(rows.sparkSession.read.parquet(path), parts, per_group)
 

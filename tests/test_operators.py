@@ -73,9 +73,10 @@ def test_categoricals(spark):
     assert sorted((r.u, r.v) for r in rows) == [([0.0, 0.0], [0.0]), ([0.0, 1.0], [1.0]), ([1.0, 0.0], [1.0])]
 
 
-def test_text_features(spark):
+@pytest.mark.parametrize("shipped", [0, 1 << 20])
+def test_text_features(spark, shipped):
     df = spark.createDataFrame([(0, "The cat  the\ndog"), (1, "")], "row_id bigint, text string")
-    rows, vocabulary = text_features(df)
+    rows, vocabulary = text_features(df, broadcast_bytes=shipped)
     words = {r.position: r.feature for r in vocabulary.collect()}
     got = {r.row_id: {words[i]: v for i, v in zip(r.indices, r["values"])} for r in rows.collect()}
     assert got == {0: {"the": 2.0, "cat": 1.0, "dog": 1.0}, 1: {}}

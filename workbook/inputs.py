@@ -131,9 +131,11 @@ UPDATE_RULES = {
 
 
 def softmax_chain(
-    steps: int, rates=None, rule: str = "SGD", mu: float = 0.0, decay: float = 0.0, class_weights=None, tag: str = ""
+    steps: int, rates=None, rule: str = "SGD", mu: float = 0.0, decay: float = 0.0, class_weights=None, tag: str = "",
+    batches=None,
 ) -> str:
-    """CTEs ``w<tag>0`` … ``w<tag><steps>``: the weights (f, k, w) after every full-batch step from zero."""
+    """CTEs ``w<tag>0`` … ``w<tag><steps>``: the weights (f, k, w) after every step from zero, over all rows of ``tr`` or
+    over the rows that ``batches`` (SQL with the step's number) names for each step."""
     rates = rates or [1.0] * steps
     cw = "1.0" if class_weights is None else f"{list(map(float, class_weights))}[label + 1]"
     first, second, change = UPDATE_RULES[rule]
@@ -142,11 +144,12 @@ def softmax_chain(
     ]
     for t in range(steps):
         values = {"mu": mu, "lr": rates[t], "t": t + 1}
-        parts.append(probabilities(f"p{tag}{t}", f"w{tag}{t}", "tr"))
+        rows = "tr" if batches is None else batches.format(t=t)
+        parts.append(probabilities(f"p{tag}{t}", f"w{tag}{t}", rows))
         parts.append(
             f"g{tag}{t} AS (SELECT f, k, sum(v * (p - (label = k)::INT) * {cw}) / any_value(total) AS g "
-            f"FROM tr JOIN (SELECT row_id, k, p FROM p{tag}{t}) q USING (row_id), "
-            f"(SELECT sum({cw}) AS total FROM tr WHERE f = 64) n GROUP BY f, k)"
+            f"FROM {rows} JOIN (SELECT row_id, k, p FROM p{tag}{t}) q USING (row_id), "
+            f"(SELECT sum({cw}) AS total FROM {rows} WHERE f = 64) n GROUP BY f, k)"
         )
         parts.append(
             f"u{tag}{t} AS (SELECT f, k, w, m, s, g + CASE WHEN f < 64 THEN {decay} * w ELSE 0 END AS g "

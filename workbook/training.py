@@ -262,11 +262,18 @@ def c20_training_log(spark, sf_dir):
     return log.select("iteration", "metric", R6("value").alias("value"))
 
 
+def c21_minibatches(spark, sf_dir):
+    """Ten steps of 128 rows each, several times around the training rows."""
+    model = SoftmaxRegression(NCLASSES)
+    model.fit(training_rows(spark, sf_dir), solver=SolverConfig(iterations=10, base_lr=0.5, momentum=0.5), batch_size=128)
+    return weight_rows(spark, model.model.weights)
+
+
 QUERIES = [
     c01_softmax_gradient, c02_fit_softmax, c03_fit_mlp, c04_boosted_binary, c05_boosted_multiclass,
     c06_boosted_squared, c07_boosted_logistic_target, c08_dart, c09_linear_booster, c10_booster_parameters,
     c11_solver_rules, c12_lr_schedule, c13_weight_decay, c14_periodic_evaluation, c15_snapshots, c16_resume,
-    c17_start_from_snapshot, c18_refit, c19_regression, c20_training_log,
+    c17_start_from_snapshot, c18_refit, c19_regression, c20_training_log, c21_minibatches,
 ]
 
 
@@ -500,4 +507,9 @@ SELECT f::INT AS f, 0 AS k, round(w, 6) + 0.0 AS w FROM r2""",
     + " UNION ALL ".join(
         f"SELECT {t + 1}::DOUBLE AS iteration, 'train_loss' AS metric, {_loss_sql(t)} AS value" for t in (1, 2)
     ),
+    "c21_minibatches": f"""
+WITH {X_SQL}, place AS (
+  SELECT row_id, (row_number() OVER (ORDER BY md5('0:' || row_id), row_id) - 1) // 128 AS b FROM tr WHERE f = 64),
+bt AS MATERIALIZED (SELECT tr.*, b, (SELECT max(b) + 1 FROM place) AS bs FROM tr JOIN place USING (row_id)),
+{softmax_chain(10, [0.5] * 10, mu=0.5, batches="(SELECT * EXCLUDE (b, bs) FROM bt WHERE b = {t} % bs)")} {_weights_sql("w10")}""",
 }
