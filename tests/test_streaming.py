@@ -84,3 +84,41 @@ def test_idle_logs_end_once(spark, tmp_path):
         assert rows.where(~F.col("ended")).count() == 3
     finally:
         query.stop()
+
+
+def test_growing_files_are_followed(spark, tmp_path, monkeypatch):
+    """Files that grow between triggers, in the middle of a line too, give each line once, whatever the ranges."""
+    from gradloom.streaming import growing
+
+    monkeypatch.setattr(growing, "RANGE_BYTES", 7)
+    monkeypatch.setattr(growing, "LOOK_BACK_BYTES", 5)
+    (tmp_path / "in").mkdir()
+    sink, progress = scratch_path(spark, "sink"), scratch_path(spark, "progress")
+    lines = "log string, file_path string, line_no bigint, value string"
+    steps = [
+        {"x-1.txt": "first\nsecond line, longer than a range\nthi", "x-2.txt": ""},
+        {"x-1.txt": "rd\n\n", "x-2.txt": "été\nopen"},
+        {"x-2.txt": " end\n", "x-3.txt": "new\n"},
+    ]
+    for step in steps:
+        for name, text in step.items():
+            with (tmp_path / "in" / name).open("a") as file:
+                file.write(text)
+        drain(growing.stream_growing_logs(spark, str(tmp_path / "in")), sink, progress)
+    found = {}
+    for r in spark.read.schema(lines).parquet(sink).orderBy("line_no").collect():
+        found.setdefault(r.log.rsplit("/", 1)[1], []).append(r.value)
+    assert found == {
+        "x-1.txt": ["first", "second line, longer than a range", "third", ""], "x-2.txt": ["été", "open end"], "x-3.txt": ["new"],
+    }
+
+
+def test_growing_log_is_filtered_as_it_grows(spark, tmp_path):
+    from gradloom.streaming.growing import stream_growing_logs
+
+    sink, progress, file = scratch_path(spark, "sink"), scratch_path(spark, "progress"), tmp_path / "logs.json"
+    for part in ([1, 2, None], [2, 3], [1, 9]):
+        with file.open("a") as out:
+            out.write("".join(f"{{'iteration': {i}, 'mcll': 1.5}}\n" if i is not None else "noise\n" for i in part))
+        drain(follow(stream_growing_logs(spark, str(file))), sink, progress)
+    assert sorted(r.iteration for r in spark.read.schema(FOLLOWED).parquet(sink).collect()) == [1.0, 2.0, 3.0, 9.0]

@@ -11,6 +11,7 @@ from gradloom.session import scratch_path
 from gradloom.sources.journals import read_call_history, read_run_logs
 from gradloom.sources.svmlight import read_svmlight, read_svmlight_unlabelled, write_svmlight
 from gradloom.sources.tables import from_dense, from_triples, materialize_features, read_csv_features
+from gradloom.streaming.growing import stream_growing_logs
 from gradloom.streaming.runlogs import drain, stream_run_logs
 from workbook.inputs import (
     LINES_SQL,
@@ -136,15 +137,31 @@ def a13_call_history(spark, sf_dir):
     return read_call_history(spark, path, "event_id bigint, user_id bigint, event_type string, value double")
 
 
+def a14_follow_growing_logs(spark, sf_dir):
+    """The same lines through the source that reads files by byte ranges as they grow."""
+    stream = stream_growing_logs(spark, written_logs(spark, sf_dir))
+    sink = scratch_path(spark, "streamed")
+    drain(stream, sink, scratch_path(spark, "progress"))
+    lines = spark.read.schema("log string, file_path string, line_no bigint, value string").parquet(sink)
+    log = F.regexp_extract("file_path", LOG_FOLDER_PATTERN, 1)
+    return lines.groupBy(log.alias("log")).agg(F.count("*").alias("lines"), F.sum(F.length("value")).alias("chars"))
+
+
 QUERIES = [
     a01_read_svmlight, a02_read_svmlight_unlabelled, a03_row_ids, a04_write_svmlight, a05_dense_source,
     a06_triples_source, a07_csv_features, a08_materialized_features, a09_feature_vocabulary, a10_dataset_bundle,
-    a11_read_run_logs, a12_stream_run_logs, a13_call_history,
+    a11_read_run_logs, a12_stream_run_logs, a13_call_history, a14_follow_growing_logs,
 ]
 
 _SUMMARY = "count(*) FILTER (abs(v) >= 0.3)::INT AS entries, round(coalesce(sum(v) FILTER (abs(v) >= 0.3), 0), 6) AS total"
 _PLACE = "(dense_rank() OVER (ORDER BY row_id) - 1)"
 
+_STREAMED = f"""
+WITH {LINES_SQL}, t AS (
+  SELECT log, '{{''iteration'': ' || (iteration::BIGINT) || ', ''' || metric || ''': ' ||
+         CASE WHEN event_type = 'error' THEN '' ELSE value::VARCHAR || '}}' END AS text FROM lines)
+SELECT log, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM t GROUP BY log"""
+
 SQL = {
     "a01_read_svmlight": f"""
 WITH {SPARSE_SQL}, n AS (SELECT *, {_PLACE} AS place FROM e)
@@ -178,10 +195,7 @@ UNION ALL SELECT 'val_2', row_id, label FROM s WHERE NOT test""",
     "a11_read_run_logs": f"""
 WITH {LINES_SQL}
 SELECT log, row_number() OVER (PARTITION BY log ORDER BY line_no) - 1 AS place, iteration FROM lines""",
-    "a12_stream_run_logs": f"""
-WITH {LINES_SQL}, t AS (
-  SELECT log, '{{''iteration'': ' || (iteration::BIGINT) || ', ''' || metric || ''': ' ||
-         CASE WHEN event_type = 'error' THEN '' ELSE value::VARCHAR || '}}' END AS text FROM lines)
-SELECT log, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM t GROUP BY log""",
+    "a12_stream_run_logs": _STREAMED,
+    "a14_follow_growing_logs": _STREAMED,
     "a13_call_history": "SELECT event_id, user_id, event_type, value FROM events",
 }
