@@ -34,6 +34,8 @@ SPLIT_SCHEMA = "output int, node int, feature int, bin int, gain double, gl doub
 
 @dataclass(frozen=True)
 class BoosterParams:
+    """The names of the settings, but for ``reg_lambda`` and ``reg_alpha``, which also go by their own."""
+
     eta: float = 0.3
     gamma: float = 0.0
     max_depth: int = 6

@@ -17,7 +17,7 @@ ROW_VALUES = 1_000_000
 
 SNAPSHOT_SCHEMA = "run string, iteration bigint, name string, shape array<int>, chunk int, values array<double>"
 LOG_SCHEMA = "log string, iteration double, split string, metric string, value double"
-RUN_SCHEMA = "run string, number int"
+RUN_SCHEMA = "run string, number int, prefix string"
 # Run of snapshots that no fit wrote.
 GIVEN = "given"
 
@@ -32,11 +32,14 @@ class RunFolder:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def start_run(self, name: str) -> str:
-        """Register a new run, ``<name>_<number>``; numbers count the runs of the folder."""
+    def start_run(self, name: str, prefix: str | None = None) -> str:
+        """Register a new run, ``<name>_<number>``; numbers count the runs of the folder.
+
+        Folders of its snapshots begin with ``prefix``.
+        """
         number = 1 + max((r["number"] for r in self._runs()), default=0)
         run = f"{name or 'run'}_{number}"
-        local_table(self.spark, [(run, number)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        local_table(self.spark, [(run, number, prefix or "")], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
         return run
 
     def _runs(self) -> list:
@@ -59,7 +62,8 @@ class RunFolder:
         table.write.mode("overwrite").parquet(self.snapshot_path(iteration, run))
 
     def snapshot_path(self, iteration: int, run: str = GIVEN) -> str:
-        return f"{self.path}/snapshots/{run}/iter_{iteration:09d}"
+        prefix = next((r["prefix"] for r in self._runs() if r["run"] == run), "")
+        return f"{self.path}/snapshots/{run}/{prefix}iter_{iteration:09d}"
 
     def snapshots(self) -> DataFrame:
         """All snapshots: ``run``, ``iteration``, ``name``, ``shape``, ``chunk``, ``values``."""

@@ -16,21 +16,24 @@ EPSILON = 1e-8
 
 @dataclass(frozen=True)
 class SolverConfig:
-    """How to train: number of iterations, update rule, schedule, evaluation and snapshot intervals."""
+    """How to train: number of iterations, update rule, schedule, evaluation and snapshot intervals.
+
+    Fixed values: names and order of the settings, which callers give by position.
+    """
 
     iterations: int = 10
+    snapshot: int | None = None
+    snapshot_prefix: str | None = None
     solver_type: str = "SGD"
-    base_lr: float = 0.01
+    test_interval: int | None = None
+    test_initialization: bool = True
     lr_policy: str | None = None
+    base_lr: float = 0.01
     gamma: float | None = None
     stepsize: int | None = None
-    power: float | None = None
     momentum: float | None = None
     weight_decay: float | None = None
-    test_interval: int | None = None
-    test_initialization: bool = True
-    snapshot: int | None = None
-    snapshot_prefix: str | None = None
+    power: float | None = None
     iter_size: int = 1
 
     def rate(self, iteration: int) -> float:

@@ -124,7 +124,7 @@ class NeuralNetwork:
         folder = self._folder(spark)
         folder.append_call("fit", solver)
         going_on = self._start(folder, train)
-        run = going_on or folder.start_run(self.name)
+        run = going_on or folder.start_run(self.name, solver.snapshot_prefix)
 
         rows, batches = self._prepare(train, solver, batch_size)
         checks = validation_bundle(validation_data)

@@ -13,6 +13,7 @@ from gradloom.plans.repository import RunFolder
 from gradloom.plans.solver import RULES, SolverConfig, SolverState, solver_step
 from gradloom.plans.training import NeuralNetwork, SoftmaxRegression
 from gradloom.plans.wide_softmax import WideSoftmaxRegression
+from gradloom.sources.svmlight import read_svmlight, write_svmlight
 from gradloom.sources.tables import from_dense
 
 pytestmark = pytest.mark.filterwarnings("ignore")
@@ -336,6 +337,29 @@ def test_a_refit_in_a_used_folder_is_what_reloads(rows):
     assert started.predict(rows).exceptAll(fewer.predict(rows)).count() > 0
 
 
+def test_snapshots_carry_their_prefix(rows):
+    model = SoftmaxRegression(10)
+    model.fit(rows, solver=SolverConfig(2, 1, "night-"), batch_size=None)
+    folder = RunFolder(rows.sparkSession, model.repository)
+    assert folder.snapshot_path(2, "run_1").endswith("/run_1/night-iter_000000002")
+    loaded = SoftmaxRegression(10, repository=model.repository)
+    loaded.predict(rows)
+    assert loaded.model.weights["w0"] == pytest.approx(model.model.weights["w0"], abs=0)
+
+
+@pytest.mark.parametrize("kind", ["dense", "svmlight"])
+def test_perceptron_with_default_batches_learns(spark, rows, tmp_path, kind):
+    """The usual settings: batches of 128 rows, dropout of one half, 500 steps with momentum."""
+    train = rows
+    if kind == "svmlight":
+        write_svmlight(dense_to_sparse(rows), str(tmp_path / "x.svm"))
+        train = read_svmlight(spark, str(tmp_path / "x.svm"))
+    model = NeuralNetwork(10, layers=[50])
+    solver = SolverConfig(iterations=500, base_lr=0.1, gamma=0.1, stepsize=50, momentum=0.9)
+    model.fit(train, solver=solver)
+    assert accuracy(model, train) > 0.7
+
+
 def test_labels_outside_the_classes_raise(spark, rows):
     odd = rows.withColumn("label", F.when(F.col("label") == 3, -1).otherwise(F.col("label")))
     with pytest.raises(Exception, match="whole numbers from 0 to 9"):
