@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes handled at once; a single longer text is handled alone. Bounds a task's memory to a few dozen times this.
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False

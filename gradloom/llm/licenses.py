@@ -9,8 +9,8 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import Texts, slices
-from gradloom.session import map_arrow
 
 # Notices as their licenses tell users to write them.
 NOTICES = {

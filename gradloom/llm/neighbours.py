@@ -12,7 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradloom.functions.hashing import seeded_md5
-from gradloom.session import map_arrow, scratch_path
+from gradloom.llm.batches import map_arrow
+from gradloom.session import scratch_path
 
 # The codebooks are fitted on at most this many vectors, in seeded hash order.
 FIT_VECTORS, FIT_ROUNDS = 20_000, 10

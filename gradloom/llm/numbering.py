@@ -8,8 +8,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import local_ranks
-from gradloom.session import map_arrow, reliable_checkpoint
+from gradloom.session import reliable_checkpoint
 
 
 def number_in_groups(df: DataFrame, group: str, out: str) -> DataFrame:

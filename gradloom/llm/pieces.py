@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import Texts, mix, sequence, slices
-from gradloom.session import map_arrow
 
 MODEL = "piece_bpe_32k.model"
 # The mark that stands for a space, and the code that stands for a mark in the text itself.

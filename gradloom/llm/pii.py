@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import slices
-from gradloom.session import map_arrow, reliable_checkpoint
+from gradloom.session import reliable_checkpoint
 
 # The kinds in the order of the contract, and the digits each needs.
 KINDS = ("email", "ip", "card", "phone")

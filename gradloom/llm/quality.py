@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradloom.functions.hashing import seeded_md5
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import (
     Texts, Words, mix, segment_sums, slices, window_hashes, windows_inside,
 )
-from gradloom.session import map_arrow
 
 WINDOW = 5
 # Fixed values of the rules.

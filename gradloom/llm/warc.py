@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradloom.session import map_arrow
+from gradloom.llm.batches import map_arrow
+
 
 # Fixed values of the formats: gzip magic with the deflate method, header and record ends of WARC 1.1.
 MAGIC = b"\x1f\x8b\x08"
