@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import slices
 from gradloom.llm.numbering import number_placed
-from gradloom.session import map_arrow, reliable_checkpoint
+from gradloom.session import reliable_checkpoint
 
 SEQUENCE_TOKENS = 1024
 # Closes every document.
@@ -27,26 +28,34 @@ RUN_LIMIT = 2_000
 
 
 @functools.lru_cache(maxsize=1)
-def encoders():
-    """The vocabulary in ``tokenizers``, which defines the ids, and the same one in ``tiktoken``, which is faster."""
+def plain_encoder():
+    """The vocabulary in ``tokenizers``, which defines the ids."""
     import public_tokenizers
-    import regex
-    import tiktoken
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
     slow.encode_special_tokens = True
+    return slow
+
+
+@functools.lru_cache(maxsize=1)
+def fast_encoder():
+    """The same vocabulary in ``tiktoken``, which is faster, and what finds the texts that it must not have."""
+    import public_tokenizers
+    import regex
+    import tiktoken
+
     with open(public_tokenizers.path(RANKS), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     odd = regex.compile(rf"[^\x00-\u{PLAIN_LIMIT - 1:04x}]|\S{{{RUN_LIMIT}}}")
-    return slow, fast, odd
+    return fast, odd
 
 
 def token_ids(text: str) -> np.ndarray:
     """Ids of a text as unsigned 32-bit numbers, without the closing one."""
-    slow, fast, odd = encoders()
-    ids = slow.encode(text, add_special_tokens=False).ids if odd.search(text) else fast.encode_ordinary(text)
+    fast, odd = fast_encoder()
+    ids = plain_encoder().encode(text, add_special_tokens=False).ids if odd.search(text) else fast.encode_ordinary(text)
     return np.array(ids, dtype="<u4")
 
 
@@ -81,7 +90,8 @@ def shortest_pack_first(histogram: dict[int, int], limit: int) -> list[tuple[lis
     """Patterns (lengths in the order they were placed) and how many packs follow each.
 
     Lengths are placed longest first, always on the shortest pack there is, for all packs of one pattern at once. Where the
-    length does not fit on the shortest pack it fits on none, and new packs are opened. The work follows the number of
+    length does not fit on the shortest pack it fits on none, and packs are opened, each for as many pieces of this length
+    as it holds: the next piece goes on the pack just opened, which is then the shortest. The work follows the number of
     distinct lengths, not of documents.
     """
     counts: list[int] = []
@@ -97,7 +107,11 @@ def shortest_pack_first(histogram: dict[int, int], limit: int) -> list[tuple[lis
         left = histogram[length]
         while left:
             if not heap or heap[0][0] + length > limit:
-                put([length], length, left)
+                each = limit // length
+                if left >= each:
+                    put([length] * each, length * each, left // each)
+                if left % each:
+                    put([length] * (left % each), length * (left % each), 1)
                 break
             total, shortest = heapq.heappop(heap)
             taken = min(left, counts[shortest])
