@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import Texts, Words, mix, sequence, slices, window_hashes, windows_inside
-from gradloom.session import map_arrow, reliable_checkpoint, scratch_path
+from gradloom.session import reliable_checkpoint, scratch_path
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -23,6 +24,8 @@ LEVEL_GROWTH = 1.5
 SPARE_BLOCKS = 2
 # Largest group that one task compares by itself, in sets and in shingles; a larger one is compared in blocks of these sizes.
 GROUP_SETS, GROUP_SHINGLES = 1024, 2_000_000
+# Rows of a few numbers that are broadcast after counting them; more are shuffled.
+SHIPPED_ROWS = 200_000
 LEVEL_CODES = sequence(1 << 40, 64)
 
 
@@ -160,19 +163,20 @@ def link_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "sets")
-    signatures(documents, percent).write.parquet(f"{path}/signed")
+    # Written once, so a row (and below, a class) keeps its number whatever is recomputed later.
+    signatures(documents, percent).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     same = ["n_shingles", "sig_a", "sig_b"]
     (
         signed.where("n_shingles > 0")
         .groupBy(*same)
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.min("row").alias("row"))
         .withColumn("node", F.monotonically_increasing_id())
         .write.parquet(f"{path}/classes")
     )
-    # Written once, so a class keeps its number whatever is recomputed later.
     classes = spark.read.parquet(f"{path}/classes")
-    members = reliable_checkpoint(_groups(classes))
+    entries = signed.select("row", "keys").join(classes.select("row", "node"), "row").select("node", F.explode("keys").alias("key"))
+    members = reliable_checkpoint(_groups(entries))
     sets = _candidate_sets(documents, classes, members, f"{path}/candidates")
     links = reliable_checkpoint(_links(members, sets, percent))
     labels = components(links)
@@ -187,12 +191,11 @@ def link_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _groups(classes: DataFrame) -> DataFrame:
-    """(center, node) rows: all classes on an inverted list, under the one of them that meets most others on all its lists.
+def _groups(entries: DataFrame) -> DataFrame:
+    """(center, node) rows from (node, key) ones: all classes on an inverted list, under the one of them that meets most others on all its lists.
 
     Lists are never gathered: their lengths and centers are aggregates, combined in map tasks first, and joined back.
     """
-    entries = classes.select("node", F.explode("keys").alias("key"))
     lengths = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     listed = reliable_checkpoint(entries.join(lengths, "key"))
     meets = listed.groupBy("node").agg(F.sum("n").alias("meets"))
@@ -204,6 +207,8 @@ def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame
     """node, size and items (sorted 64-bit hashes) of every class in a group, from the text of one of its documents."""
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one")
     same = F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (_text_key() == F.col("one.text_key"))
+    if wanted.limit(SHIPPED_ROWS + 1).count() <= SHIPPED_ROWS:
+        wanted = F.broadcast(wanted)  # a few numbers a row; texts then stay where they are
     texts = documents.select("doc_id", "text").join(wanted, same).select("node", "text")
 
     def build(batches):

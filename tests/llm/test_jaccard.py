@@ -30,7 +30,7 @@ def corpus(seed=0):
 
 @pytest.mark.parametrize("shipped", [0, 1_000_000])
 def test_components_equal_all_pairs(spark, monkeypatch, shipped):
-    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", shipped)
+    monkeypatch.setattr(jaccard, "SHIPPED_ROWS", shipped)
     texts = corpus()
     ids = AWKWARD_IDS + list(range(100, 100 + len(texts) - len(AWKWARD)))
     found = link_components(documents(spark, texts, ids).repartition(4)).collect()
