@@ -15,6 +15,9 @@ from gradloom.llm.pii import redact
 from gradloom.llm.quality import fit_line_field, judge_quality
 from gradloom.session import scratch_path
 
+# Near-duplicates of this stage: width of a shingle and shared shingles in a hundred.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the line field keep."""
@@ -25,12 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates: the one with the smallest doc_id.
 
-    Links are those of the operator's contract: shingles of three words, 90 of 100 shared.
+    Documents link when 80 of 100 of their shingles of five words are shared.
     Rows that go are named, not those that stay, so the table that is joined stays small in a clean corpus. A doc_id that
     stands on several rows keeps one of them. Rows without a doc_id stay where nothing with one is like them.
     """
     found = scratch_path(spark, "components")
-    link_components(docs).write.parquet(found)
+    link_components(docs, NEAR_PERCENT, NEAR_WORDS).write.parquet(found)
     found = spark.read.parquet(found)
     gone = found.where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id").distinct()
     if gone.limit(SHIPPED_ROWS + 1).count() <= SHIPPED_ROWS:

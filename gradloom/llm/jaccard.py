@@ -29,15 +29,15 @@ SHIPPED_ROWS = 200_000
 LEVEL_CODES = sequence(1 << 40, 64)
 
 
-def shingle_sets(column: pa.Array) -> list[np.ndarray]:
-    """The distinct shingle hashes of every text, sorted: lower-cased words in threes, or all words if fewer."""
+def shingle_sets(column: pa.Array, width: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The distinct shingle hashes of every text, sorted: runs of ``width`` lower-cased words, or all words if fewer."""
     words = Words(Texts(column))
     hashes = words.hashes(lower=True)
-    shingles = window_hashes(hashes, SHINGLE_WORDS)
+    shingles = window_hashes(hashes, width)
     bounds, out = words.bounds.tolist(), []
     for low, high in zip(bounds, bounds[1:]):
-        if high - low >= SHINGLE_WORDS:
-            out.append(np.unique(shingles[low : high - SHINGLE_WORDS + 1]))
+        if high - low >= width:
+            out.append(np.unique(shingles[low : high - width + 1]))
         elif high > low:
             with np.errstate(over="ignore"):
                 out.append(mix(window_hashes(hashes[low:high], high - low) + np.uint64(high - low)))
@@ -64,6 +64,20 @@ def boundary(percent: int, scan_cost: float = SCAN_COST) -> int:
     return size
 
 
+def block_count(least: int, apart: int) -> int:
+    """Blocks for sets of ``least`` items or more that differ in at most ``apart``.
+
+    So many that nearly every set fills more than ``apart`` blocks (three deviations), and thus need not list empty ones.
+    """
+    blocks = apart + 1 + SPARE_BLOCKS
+    while True:
+        load = least / blocks
+        empty = blocks * math.exp(-load)
+        if blocks - apart - 1 >= empty + 3 * math.sqrt(empty * (1 - (1 + load) * math.exp(-load))):
+            return blocks
+        blocks += 1 + blocks // 50
+
+
 class Index:
     """The keys of a set. Two linked sets share a key; what shares a key is then compared."""
 
@@ -75,6 +89,9 @@ class Index:
         self.starts = [self.first]
         while self.starts[-1] < 1 << 40:
             self.starts.append(int(self.starts[-1] * LEVEL_GROWTH) + 1)
+        # Most that linked sets of a level differ in, and its blocks; a set of the level before may be listed there too.
+        self.apart = [most_apart(2 * (end - 1), percent) for end in self.starts[1:]]
+        self.blocks = [block_count(-(-percent * start // 100), k) for start, k in zip(self.starts, self.apart)]
 
     def keys(self, items: np.ndarray) -> np.ndarray:
         found = []
@@ -100,29 +117,28 @@ class Index:
     def block_keys(self, items: np.ndarray, level: int) -> np.ndarray:
         """The set cut into blocks by hash; one key per block, of all its items.
 
-        Linked sets of a level differ in at most k items, so of k + 1 + ``SPARE_BLOCKS`` blocks more than
-        ``SPARE_BLOCKS`` are the same. Lists are kept per block, not per item: a block is as rare as its items
-        together, so no shared passage makes a list as long as the corpus. Empty blocks are listed only by sets that have
-        more than ``SPARE_BLOCKS`` of them.
+        Linked sets of a level differ in at most k items and so in at most k blocks: a set that fills more than k blocks
+        shares a filled one with each set that it links with, and lists no empty ones. ``block_count`` makes that the rule.
+        Lists are kept per block, not per item: a block is as rare as its items together.
         """
-        blocks = most_apart(2 * (self.starts[level + 1] - 1), self.percent) + 1 + SPARE_BLOCKS
+        blocks = self.blocks[level]
         at = ((items >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         sums = np.zeros(blocks, np.uint64)
         np.add.at(sums, at, mix(items))
         filled = np.bincount(at, minlength=blocks) > 0
-        listed = np.flatnonzero(filled) if blocks - filled.sum() <= SPARE_BLOCKS else np.arange(blocks)
+        listed = np.flatnonzero(filled) if filled.sum() > self.apart[level] else np.arange(blocks)
         with np.errstate(over="ignore"):
             return mix(sums[listed] + mix(listed.astype(np.uint64) + LEVEL_CODES[level]))
 
 
-def signatures(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def signatures(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, text_key, n_shingles, sig_a, sig_b (128 bits that equal sets share) and the index keys of every row."""
     index = Index(percent)
 
     def sign(batches):
         for whole in batches:
             for batch in slices(whole.select(["doc_id", "text_key", "text"])):
-                sets = shingle_sets(batch.column("text"))
+                sets = shingle_sets(batch.column("text"), width)
                 keys = [index.keys(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
@@ -134,13 +150,14 @@ def signatures(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return map_arrow(
-        documents.select("doc_id", _text_key().alias("text_key"), "text"),
+        documents.select("doc_id", text_key().alias("text_key"), "text"),
         sign,
         f"doc_id {kind}, text_key bigint, n_shingles bigint, sig_a bigint, sig_b bigint, keys array<bigint>",
     )
 
 
-def _text_key():
+def text_key():
+    """Digest that, next to the doc_id, names a row and its exact copies."""
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
@@ -151,20 +168,25 @@ def _signed(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (a, b)]
 
 
-def link_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link_components(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
-    Two documents link when 100 * |A and B| >= percent * |A or B|. The steps: equal sets become one class; classes write
+    Two documents link when 100 * |A and B| >= percent * |A or B|, in shingles of ``width`` words. The steps: equal sets become one class; classes write
     their keys (``Index``); keys that two classes share make groups around the class that meets most others; each group is
     compared exactly, and only links that join something new come out; components of the links are labelled.
     No pair of a group is ever a row. Null and wordless texts have no shingles and link with nothing: their component is
     their own doc_id. Repeated rows link with each other; rows without a doc_id take the smallest one of their
     component, or null. An empty table gives no rows.
     """
+    return link_rows(documents, percent, width).select("doc_id", "n_shingles", "component_id")
+
+
+def link_rows(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
+    """``link_components`` with text_key of every row, and comp: a number of its component, null where it has no shingles."""
     spark = documents.sparkSession
     path = scratch_path(spark, "sets")
     # Written once, so a row (and below, a class) keeps its number whatever is recomputed later.
-    signatures(documents, percent).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{path}/signed")
+    signatures(documents, percent, width).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{path}/signed")
     signed = spark.read.parquet(f"{path}/signed")
     same = ["n_shingles", "sig_a", "sig_b"]
     (
@@ -177,17 +199,17 @@ def link_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = spark.read.parquet(f"{path}/classes")
     entries = signed.select("row", "keys").join(classes.select("row", "node"), "row").select("node", F.explode("keys").alias("key"))
     members = reliable_checkpoint(_groups(entries))
-    sets = _candidate_sets(documents, classes, members, f"{path}/candidates")
+    sets = _candidate_sets(documents, classes, members, f"{path}/candidates", width)
     links = reliable_checkpoint(_links(members, sets, percent))
     labels = components(links)
     named = classes.select(*same, "node", "least").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "comp", "left").select(*same, "component_id")
-    rows = signed.select("doc_id", *same)
+    found = named.join(smallest, "comp", "left").select(*same, "comp", "component_id")
+    rows = signed.select("doc_id", "text_key", *same)
     return (
         rows.join(found, same, "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id")
+        .select("doc_id", "text_key", "n_shingles", "component_id", "comp")
     )
 
 
@@ -203,10 +225,10 @@ def _groups(entries: DataFrame) -> DataFrame:
     return listed.select("key", "node").join(center, "key").select("center", "node").distinct()
 
 
-def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, path: str) -> DataFrame:
+def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, path: str, width: int) -> DataFrame:
     """node, size and items (sorted 64-bit hashes) of every class in a group, from the text of one of its documents."""
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one")
-    same = F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (_text_key() == F.col("one.text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (text_key() == F.col("one.text_key"))
     if wanted.limit(SHIPPED_ROWS + 1).count() <= SHIPPED_ROWS:
         wanted = F.broadcast(wanted)  # a few numbers a row; texts then stay where they are
     texts = documents.select("doc_id", "text").join(wanted, same).select("node", "text")
@@ -214,7 +236,7 @@ def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame
     def build(batches):
         for whole in batches:
             for batch in slices(whole):
-                sets = shingle_sets(batch.column("text"))
+                sets = shingle_sets(batch.column("text"), width)
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 items = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, items], names=["node", "size", "items"])

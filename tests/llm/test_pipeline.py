@@ -1,9 +1,14 @@
 """The pipeline's stages, each against what a plain version leaves."""
 
+import random
+
+import numpy as np
+import pytest
 from helpers import AWKWARD, DOCS, component_rows, documents, measures, private_spans, sentence
 
 import corpus_pipeline
 from gradloom.llm import quality
+from gradloom.llm.jaccard import Index
 
 
 def write(spark, path, texts, ids=None):
@@ -56,3 +61,49 @@ def test_empty_tables(spark, tmp_path):
 def test_stages_name_the_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near-duplicates", "personal data", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and quality.CONTENT_SHARE == 0.5
+
+
+def near_components(texts, width, percent):
+    """The first of all that each text is linked with, by comparing all pairs."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
+    above = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                low, high = sorted((above[i], above[j]))
+                above = [low if x == high else x for x in above]
+    return above
+
+
+def test_near_duplicates_by_five_words_and_eighty_percent(spark, tmp_path):
+    rng, texts = random.Random(5), []
+    for k, size in enumerate((6, 9, 12, 14, 20, 33, 60, 100, 100, 250, 700, 2000)):
+        base = sentence(size, 50 + k)
+        texts.append(base)
+        for edits in (1, 2, 4, 8, 20, 50):
+            words = base.split()
+            for at in rng.sample(range(size), min(edits, size // 10 + 1)):
+                words[at] = f"new{rng.random()}"
+            texts += [" ".join(words), base + " tail" * (edits % 5)]
+    words = sentence(100, 99).split()
+    changed = [w if i not in (30, 70) else "changed" for i, w in enumerate(words)]
+    texts += [" ".join(words), " ".join(changed)]
+    above = near_components(texts, 5, 80)
+    assert above[-1] == len(texts) - 2 and near_components(texts[-2:], 3, 90) == [0, 1]
+    rows = corpus_pipeline.deduplicate(spark, documents(spark, texts).repartition(3), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(set(above))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_long_sets_list_no_empty_blocks(percent):
+    index, rng = Index(percent), np.random.default_rng(percent)
+    for size in (30, 100, 999, 20_000):
+        for _ in range(5):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            b = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            near = np.sort(np.concatenate([a[size * (100 - percent) // (100 + percent) :], b[: size * (100 - percent) // (100 + percent)]]))
+            assert not np.intersect1d(index.keys(a), index.keys(b)).size
+            assert np.intersect1d(index.keys(a), index.keys(near)).size
