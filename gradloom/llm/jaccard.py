@@ -156,9 +156,9 @@ def signatures(documents: DataFrame, percent: int = PERCENT, width: int = SHINGL
     )
 
 
-def text_key():
+def text_key(text="text"):
     """Digest that, next to the doc_id, names a row and its exact copies."""
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
 def _signed(sets: list[np.ndarray]) -> list[pa.Array]:

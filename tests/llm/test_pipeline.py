@@ -107,3 +107,26 @@ def test_long_sets_list_no_empty_blocks(percent):
             near = np.sort(np.concatenate([a[size * (100 - percent) // (100 + percent) :], b[: size * (100 - percent) // (100 + percent)]]))
             assert not np.intersect1d(index.keys(a), index.keys(b)).size
             assert np.intersect1d(index.keys(a), index.keys(near)).size
+
+
+def test_rows_go_only_for_copies_of_their_own(spark, tmp_path):
+    a, b, c, d, e, f = (sentence(30, 200 + i) for i in range(6))
+    rows = [
+        (1, a), (None, a), (None, b),  # a copy and a unique text, both without a doc_id
+        (2, c), (3, c + " tail"), (3, d), (9, d),  # one of the texts of 3 is a copy, the other one is not
+        (4, e), (4, e + " tail"), (4, f), (8, f + " tail"),  # 4 comes first in two components
+        (None, "x " + sentence(30, 210)), (None, sentence(30, 210)), (None, sentence(30, 210)),  # near copies, none with a doc_id
+        (None, ""), (None, None), (5, ""), (6, ""), (6, ""),
+    ]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(3)
+    left = corpus_pipeline.deduplicate(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in left.collect()]
+    ids = [i for i, _ in left if i is not None]
+    assert sorted(ids) == [1, 2, 3, 4, 5, 6, 8] or sorted(ids) == [1, 2, 3, 4, 5, 6]
+    assert (1, a) in left and (2, c) in left and (3, d) in left
+    without = [t for i, t in left if i is None]
+    assert b in without and a not in without and without.count("") == without.count(None) == 1 and len(without) == 4
+    assert sum(sentence(30, 210) in (t or "") for t in without) == 1
+    four = next(t for i, t in left if i == 4)
+    assert (four[: len(e)] == e and (8, f + " tail") in left) or (four == f and 8 not in ids)
