@@ -159,3 +159,11 @@ def test_unequal_words_of_one_hash_stay_apart(monkeypatch):
     monkeypatch.setattr(pieces, "mix", lambda z: real(z) & np.uint64(0) if z.shape != (2,) and z.dtype == np.uint64 else real(z))
     kind, first = pieces._distinct(np.array([1, 2, 1, 3, 1, 2]), np.array([0, 2, 4]), np.array([2, 2, 2]))
     assert kind[0] != kind[1] and len(first) >= 2
+
+
+def test_added_tokens_in_a_text_are_one_id(spark):
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "<|endoftext |> <|ENDOFTEXT|>", "é漢<|endoftext|>"]
+    assert reference_ids(texts[0]) == [437, 220, 50256, 1306] == token_ids(texts[0]).tolist()
+    for text in texts:
+        assert token_ids(text).tolist() == reference_ids(text)
+    check_packing(packed_documents(documents(spark, texts)).collect(), dict(enumerate(texts)), 1024)
