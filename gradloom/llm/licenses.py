@@ -84,6 +84,10 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _span(pairs: list[tuple[int, int]]) -> int:
+    return pairs[-1][0] + 1 - pairs[0][0]
+
+
 class Notice:
     """A notice ready for scanning."""
 
@@ -93,6 +97,9 @@ class Notice:
         # An alignment that covers enough lacks fewer words than this.
         self.spare = len(self.words) - least * len(self.words)
         self.needed = least * len(self.words)
+        self.spots: dict[bytes, list[int]] = {}
+        for spot, word in enumerate(self.words):
+            self.spots.setdefault(word, []).append(spot)
         self.longest_first = sorted(self.counts, key=lambda w: (-len(w), w))
 
     def may_stand_in(self, lowered: bytes) -> bool:
@@ -106,28 +113,38 @@ class Notice:
         return True
 
     def best(self, text: list[bytes], places: dict[bytes, list[int]]) -> list[tuple[int, int]]:
-        """The alignment with the most words, the first of those; none if too few words are at hand.
+        """The alignment with the most words, of those the tightest and then the first; none if too few words are at hand.
 
         Windows around every place of the rarest words are aligned. These words are so many that an alignment that
-        covers enough holds one of them, so no place is passed over.
+        covers enough holds one of them, so no place is passed over. Each place is also taken as fixed, for every spot of its
+        word in the notice, and the words before and behind it are aligned up to the places where the word stands in
+        the next copies: copies that follow each other closely do not take each other's anchors.
         """
         if sum(min(n, len(places.get(w, ()))) for w, n in self.counts.items()) < self.needed:
             return []
         rare, mass = [], 0
         for word in sorted(self.counts, key=lambda w: (len(places.get(w, ())), w)):
-            rare += places.get(word, ())
+            rare += [(at, n, word) for n, at in enumerate(places.get(word, ()))]
             mass += self.counts[word]
             if mass > self.spare:
                 break
         found: list[tuple[int, int]] = []
-        reach = 2 * len(self.words)
-        for at in sorted(rare):
-            low, high = max(0, at - reach), min(len(text), at + reach + 1)
-            got = align(text, low, high, self.words, 0, len(self.words))
-            if len(got) > len(found):
-                found = got
-                if len(found) == len(self.words):
-                    break
+        size = len(self.words)
+        for at, n, word in sorted(rare):
+            low, high = max(0, at - 2 * size), min(len(text), at + 2 * size + 1)
+            tries = [align(text, low, high, self.words, 0, size)]
+            spots, same = self.spots[word], places[word]
+            for k, spot in enumerate(spots):
+                before, behind = n - k - 1, n - k + len(spots)
+                first = max(low, same[before] + 1) if before >= 0 else low
+                last = min(high, same[behind]) if behind < len(same) else high
+                head = align(text, first, at, self.words, 0, spot)
+                tries.append([*head, (at, spot), *align(text, at + 1, last, self.words, spot + 1, size)])
+            for got in tries:
+                if got and (not found or (-len(got), _span(got)) < (-len(found), _span(found))):
+                    found = got
+            if found and len(found) == _span(found) == size:
+                break
         return found
 
 

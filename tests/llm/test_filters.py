@@ -210,3 +210,14 @@ def test_url_plans_hold_no_python(spark):
     frame = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
     plan = urls.filter_urls(frame)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("copies", [2, 3])
+def test_adjacent_copies_of_a_notice_are_found(spark, copies):
+    names = sorted(licenses.NOTICES)
+    texts = ["a b " + " ".join([licenses.NOTICES[n]] * copies) + " c d" for n in names]
+    damaged = licenses.NOTICES["GPL-3.0"].replace("work is", "fine work is").replace("version", "in its version")
+    texts.append("a b " + f"{damaged}\n" * copies + "c d")
+    rows = licenses.scan_licenses(documents(spark, texts)).collect()
+    assert {(r["doc_id"], r["license"], r["coverage"]) for r in rows} == {(i, n, 1.0) for i, n in enumerate([*names, "GPL-3.0"])}
+    assert all(r["end_word"] - r["start_word"] <= 3 + len(licenses.words_of(licenses.NOTICES[r["license"]].encode())) for r in rows)
