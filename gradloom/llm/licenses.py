@@ -1,7 +1,8 @@
-"""License scans: patience alignment of license notices with the words of a text."""
+"""License scans: patience alignment of license notices and whole license texts with the words of a text."""
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -9,6 +10,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gradloom.llm import license_texts
 from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import Texts, slices
 
@@ -21,6 +23,11 @@ NOTICES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# Whole texts of licenses; in the table they are called "… text".
+TEXTS = {f"{name} text": text for name, text in license_texts.TEXTS.items()}
+TEMPLATES = NOTICES | TEXTS
+# Notices of more words are long ones: what a good alignment holds already is not taken as a place of its own.
+LONG_WORDS = 60
 # Share of a notice's words that must be aligned.
 LEAST_COVERAGE = 0.8
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -100,10 +107,14 @@ class Notice:
         self.spots: dict[bytes, list[int]] = {}
         for spot, word in enumerate(self.words):
             self.spots.setdefault(word, []).append(spot)
+        fewest = sorted(map(len, self.words))[: math.ceil(self.needed - 1e-9)]
+        self.least_bytes = sum(fewest) + len(fewest) - 1
         self.longest_first = sorted(self.counts, key=lambda w: (-len(w), w))
 
     def may_stand_in(self, lowered: bytes) -> bool:
         """Whether enough of the words occur as byte runs, in a look that ends early for nearly all texts."""
+        if len(lowered) < self.least_bytes:
+            return False
         lacking = 0
         for word in self.longest_first:
             if word not in lowered:
@@ -118,7 +129,9 @@ class Notice:
         Windows around every place of the rarest words are aligned. These words are so many that an alignment that
         covers enough holds one of them, so no place is passed over. Each place is also taken as fixed, for every spot of its
         word in the notice, and the words before and behind it are aligned up to the places where the word stands in
-        the next copies: copies that follow each other closely do not take each other's anchors.
+        the next copies: copies that follow each other closely do not take each other's anchors. Windows that hold fewer
+        words of the notice than needed, or than found already, are not aligned. A long notice is taken at words that
+        stand in it once, and places inside an alignment that covers enough are not tried again.
         """
         if sum(min(n, len(places.get(w, ()))) for w, n in self.counts.items()) < self.needed:
             return []
@@ -129,11 +142,25 @@ class Notice:
             if mass > self.spare:
                 break
         found: list[tuple[int, int]] = []
-        size = len(self.words)
+        size, held, begin, end, mass = len(self.words), Counter(), 0, 0, 0
+        long, done = size > LONG_WORDS, set()
         for at, n, word in sorted(rare):
             low, high = max(0, at - 2 * size), min(len(text), at + 2 * size + 1)
+            for w in text[end:high]:
+                if w in self.counts:
+                    mass += held[w] < self.counts[w]
+                    held[w] += 1
+            for w in text[begin:low]:
+                if w in self.counts:
+                    held[w] -= 1
+                    mass -= held[w] < self.counts[w]
+            begin, end = low, high
+            if mass < self.needed or mass < len(found) or at in done:
+                continue
             tries = [align(text, low, high, self.words, 0, size)]
             spots, same = self.spots[word], places[word]
+            if long and len(spots) > 1:
+                spots = []
             for k, spot in enumerate(spots):
                 before, behind = n - k - 1, n - k + len(spots)
                 first = max(low, same[before] + 1) if before >= 0 else low
@@ -143,6 +170,8 @@ class Notice:
             for got in tries:
                 if got and (not found or (-len(got), _span(got)) < (-len(found), _span(found))):
                     found = got
+                if long and len(got) >= self.needed:
+                    done.update(i for i, _ in got)
             if found and len(found) == _span(found) == size:
                 break
         return found
@@ -155,7 +184,7 @@ def scan_licenses(documents: DataFrame, notices: dict[str, str] | None = None, l
     exclusive. A text may hold several licenses. Whole texts are read; null and empty ones give no rows, repeated rows
     give theirs again. The list of notices is the caller's and goes to every task.
     """
-    book = [Notice(name, text, least) for name, text in sorted((notices or NOTICES).items())]
+    book = [Notice(name, text, least) for name, text in sorted((TEMPLATES if notices is None else notices).items())]
 
     def scan(batches):
         for whole in batches:

@@ -221,3 +221,28 @@ def test_adjacent_copies_of_a_notice_are_found(spark, copies):
     rows = licenses.scan_licenses(documents(spark, texts)).collect()
     assert {(r["doc_id"], r["license"], r["coverage"]) for r in rows} == {(i, n, 1.0) for i, n in enumerate([*names, "GPL-3.0"])}
     assert all(r["end_word"] - r["start_word"] <= 3 + len(licenses.words_of(licenses.NOTICES[r["license"]].encode())) for r in rows)
+
+
+def test_whole_license_texts_with_edits_are_found(spark):
+    texts, paragraphs = [], lambda t: t.split("\n\n")
+    names = sorted(licenses.TEXTS)
+    for name in names:
+        texts.append(f"{sentence(30, 1)}\n{licenses.TEXTS[name]}\n{sentence(30, 2)}")
+    apache, gpl = paragraphs(licenses.TEXTS["Apache-2.0 text"]), paragraphs(licenses.TEXTS["GPL-3.0 text"])
+    texts += [
+        "\n\n".join(apache[:5] + [sentence(200, 3)] + apache[5:]),  # inserted
+        "\n\n".join(apache[:6] + apache[8:]),  # missing
+        "\n\n".join(apache[:4] + [apache[5], apache[4]] + apache[6:]),  # reordered
+        "\n\n".join(gpl[:20] + [gpl[21], gpl[20], sentence(50, 4)] + gpl[22:60] + gpl[62:]),
+        "\n\n".join([licenses.TEXTS["MIT text"]] * 3),
+        "\n\n".join(apache[::-1]),
+    ]
+    found = {(r["doc_id"], r["license"]): r["coverage"] for r in licenses.scan_licenses(documents(spark, texts)).collect()}
+    assert all(found[i, name] == 1.0 for i, name in enumerate(names))
+    n = len(names)
+    assert found[n, "Apache-2.0 text"] == 1.0 and found[n + 4, "MIT text"] == 1.0
+    for doc, name in ((n + 1, "Apache-2.0 text"), (n + 2, "Apache-2.0 text"), (n + 3, "GPL-3.0 text")):
+        assert 0.85 <= found[doc, name] < 1.0
+    assert (n + 5, "Apache-2.0 text") not in found
+    words = [w for w in licenses.words_of(texts[n + 3].encode())]
+    assert licenses.scan_licenses(documents(spark, texts), {}).collect() == [] and len(words) > 4000
