@@ -14,15 +14,20 @@ BATCH_BYTES = 8 * 1024 * 1024
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
-    """``gradloom.session.map_arrow`` with batches of ``BATCH_BYTES`` at most; a smaller setting of the session stays.
-
-    Python workers serve many tasks, so each task gives the memory it freed back to the system when it ends.
-    """
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The same table; Arrow batches of its session hold ``BATCH_BYTES`` at most. A smaller setting stays."""
     conf = df.sparkSession.conf
     held = conf.get(BATCH_CONF).removesuffix("b")
     if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
         conf.set(BATCH_CONF, str(BATCH_BYTES))
+    return df
+
+
+def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
+    """``gradloom.session.map_arrow`` in ``bounded_batches``.
+
+    Python workers serve many tasks, so each task gives the memory it freed back to the system when it ends.
+    """
 
     def run(batches):
         try:
@@ -33,4 +38,4 @@ def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
             if trim is not None:
                 trim(0)
 
-    return session.map_arrow(df, run, schema)
+    return session.map_arrow(bounded_batches(df), run, schema)

@@ -10,23 +10,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradloom.llm.batches import map_arrow
-from gradloom.llm.kernels import Texts, Words, mix, sequence, slices, window_hashes, windows_inside
+from gradloom.llm.batches import bounded_batches, map_arrow
+from gradloom.llm.kernels import Texts, Words, mix, sequence, slices, window_hashes
+from gradloom.llm.meeting import screened_members
+from gradloom.plans.kernels import sum_partials
 from gradloom.session import reliable_checkpoint, scratch_path
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 # What reading one entry of an inverted list and checking it costs, in units of writing one key.
 SCAN_COST = 4
-# A level of the index holds sets whose sizes differ by this factor at most.
-LEVEL_GROWTH = 1.5
-# Blocks beyond the pigeonhole's need, so that a set with this many empty blocks need not list them.
-SPARE_BLOCKS = 2
+# Measured lists longer than this do not move the boundary further: subsets of a set stay below some 2,000.
+LONGEST_SCAN = 64
+# Cells of the table of counts, as a power of two: 2 MB for every task, 1 MB broadcast.
+COUNT_BITS = 18
+# Tables of counts that the driver adds up itself.
+COUNTS_BYTES = 8 * 1024 * 1024
+# Bits of a parity, as powers of two.
+MIN_PARITY, MAX_PARITY = 6, 17
 # Largest group that one task compares by itself, in sets and in shingles; a larger one is compared in blocks of these sizes.
 GROUP_SETS, GROUP_SHINGLES = 1024, 2_000_000
 # Rows of a few numbers that are broadcast after counting them; more are shuffled.
 SHIPPED_ROWS = 200_000
-LEVEL_CODES = sequence(1 << 40, 64)
+LIST_CODE = sequence(1 << 40, 1)[0]
 
 
 def shingle_sets(column: pa.Array, width: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -46,7 +52,7 @@ def shingle_sets(column: pa.Array, width: int = SHINGLE_WORDS) -> list[np.ndarra
     return out
 
 
-def most_apart(total: int, percent: int) -> int:
+def most_apart(total, percent: int):
     """Largest symmetric difference of two linked sets whose sizes add up to ``total``."""
     return (100 - percent) * total // (100 + percent)
 
@@ -57,51 +63,75 @@ def subset_count(size: int, percent: int) -> int:
 
 
 def boundary(percent: int, scan_cost: float = SCAN_COST) -> int:
-    """Largest size for which writing all subsets costs less than writing the blocks and scanning their lists."""
+    """Largest size for which writing all subsets costs less than listing the rarest items and scanning these lists.
+
+    A list is read twice (for its length and for its members); two lists more than needed are reckoned for sets that
+    differ in size.
+    """
     size = 1
-    while subset_count(size + 1, percent) <= 2 * scan_cost * (most_apart(2 * (size + 1), percent) + 1 + SPARE_BLOCKS):
+    while subset_count(size + 1, percent) <= 2 * scan_cost * (listed_items(size + 1, percent) + 2):
         size += 1
     return size
 
 
-def block_count(least: int, apart: int) -> int:
-    """Blocks for sets of ``least`` items or more that differ in at most ``apart``.
+def listed_items(size: int, percent: int) -> int:
+    """Items of a set of which one at least is in every set that links with it."""
+    return size - -(-percent * size // 100) + 1
+
+
+class ShingleCounts:
+    """How often shingles occur, by hash cell: one table of fixed size for a corpus of any size.
 
-    So many that nearly every set fills more than ``apart`` blocks (three deviations), and thus need not list empty ones.
+    Cells of common shingles stand out whatever else falls into them, which is what the order of prefixes needs; any
+    order that all sets share gives right results.
     """
-    blocks = apart + 1 + SPARE_BLOCKS
-    while True:
-        load = least / blocks
-        empty = blocks * math.exp(-load)
-        if blocks - apart - 1 >= empty + 3 * math.sqrt(empty * (1 - (1 + load) * math.exp(-load))):
-            return blocks
-        blocks += 1 + blocks // 50
+
+    def __init__(self, cells: np.ndarray):
+        self.cells = cells
+        total = float(cells.sum())
+        # Length of the list that a random occurrence is on, beyond what chance puts into its cell.
+        self.list_length = max(1.0, float((cells.astype(np.float64) ** 2).sum()) / total - total / len(cells)) if total else 1.0
+
+    def of(self, items: np.ndarray) -> np.ndarray:
+        return self.cells[(items >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+
+
+def count_shingles(documents: DataFrame, width: int = SHINGLE_WORDS) -> ShingleCounts:
+    """Count the shingles of all documents; tasks send one table each, and these are added up on the executors."""
+    cells = 1 << COUNT_BITS
+
+    def count(batches):
+        total = np.zeros(cells)
+        for whole in batches:
+            for batch in slices(whole):
+                items = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column("text"), width)])
+                total += np.bincount((items >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=cells)
+        return 0.0, 0.0, total
+
+    texts = bounded_batches(documents.select("text"))
+    _, _, total = sum_partials(texts, count, texts.rdd.getNumPartitions(), cells, COUNTS_BYTES)
+    return ShingleCounts(np.minimum(total, 2**32 - 1).astype(np.uint32))
 
 
 class Index:
-    """The keys of a set. Two linked sets share a key; what shares a key is then compared."""
+    """The keys of a set. Two linked sets share a key; what shares a key is then compared.
 
-    def __init__(self, percent: int = PERCENT):
-        self.percent = percent
-        self.boundary = boundary(percent)
+    Small sets are listed under subsets of themselves, large ones on the inverted lists of their rarest shingles. The
+    boundary lies where writing subsets would cost more than writing and scanning lists, whose length is measured.
+    """
+
+    def __init__(self, percent: int = PERCENT, counts: ShingleCounts | None = None):
+        self.percent, self.counts = percent, counts
+        self.boundary = boundary(percent) if counts is None else boundary(percent, min(counts.list_length, LONGEST_SCAN))
         # Sets this large can link with a set beyond the boundary.
         self.first = -(-percent * (self.boundary + 1) // 100)
-        self.starts = [self.first]
-        while self.starts[-1] < 1 << 40:
-            self.starts.append(int(self.starts[-1] * LEVEL_GROWTH) + 1)
-        # Most that linked sets of a level differ in, and its blocks; a set of the level before may be listed there too.
-        self.apart = [most_apart(2 * (end - 1), percent) for end in self.starts[1:]]
-        self.blocks = [block_count(-(-percent * start // 100), k) for start, k in zip(self.starts, self.apart)]
 
     def keys(self, items: np.ndarray) -> np.ndarray:
         found = []
         if len(items) <= self.boundary:
             found.append(self.subset_keys(items))
         if len(items) >= self.first:
-            level = int(np.searchsorted(self.starts, len(items), side="right")) - 1
-            found.append(self.block_keys(items, level))
-            if 100 * len(items) >= self.percent * self.starts[level + 1]:
-                found.append(self.block_keys(items, level + 1))
+            found.append(self.list_keys(items))
         return np.concatenate(found)
 
     def subset_keys(self, items: np.ndarray) -> np.ndarray:
@@ -114,28 +144,67 @@ class Index:
                 out.append(mix(total - np.array(dropped, np.uint64)) + np.uint64(len(items) - d))
         return np.concatenate(out)
 
-    def block_keys(self, items: np.ndarray, level: int) -> np.ndarray:
-        """The set cut into blocks by hash; one key per block, of all its items.
+    def list_keys(self, items: np.ndarray) -> np.ndarray:
+        """The inverted lists of the rarest items, one item more than a linked set may lack: linked sets share one of them.
 
-        Linked sets of a level differ in at most k items and so in at most k blocks: a set that fills more than k blocks
-        shares a filled one with each set that it links with, and lists no empty ones. ``block_count`` makes that the rule.
-        Lists are kept per block, not per item: a block is as rare as its items together.
+        Rare by ``counts``, then by hash. A passage that many documents share comes last and is on nobody's lists, unless a
+        text holds little else.
         """
-        blocks = self.blocks[level]
-        at = ((items >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-        sums = np.zeros(blocks, np.uint64)
-        np.add.at(sums, at, mix(items))
-        filled = np.bincount(at, minlength=blocks) > 0
-        listed = np.flatnonzero(filled) if filled.sum() > self.apart[level] else np.arange(blocks)
+        need = listed_items(len(items), self.percent)
+        if self.counts is not None:
+            items = items[np.argsort(self.counts.of(items), kind="stable")[:need]]
         with np.errstate(over="ignore"):
-            return mix(sums[listed] + mix(listed.astype(np.uint64) + LEVEL_CODES[level]))
+            return mix(items[:need] + LIST_CODE)
+
 
+def parity(items: np.ndarray) -> bytes:
+    """Bits that say of how many items, even or odd, fell there; about two bits an item.
 
-def signatures(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, text_key, n_shingles, sig_a, sig_b (128 bits that equal sets share) and the index keys of every row."""
-    index = Index(percent)
+    Sets that differ in k items differ in k bits at most, whatever their sizes: fewer bits of one side fold together.
+    """
+    bits = 1 << max(MIN_PARITY, min(MAX_PARITY, int(len(items)).bit_length() + 1))
+    odd = np.bincount((items >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(percent: int):
+    """A screen over parities: no pair that links is held back."""
+
+    def screen(sizes_a, sketches_a, sizes_b, sketches_b):
+        widths_a, widths_b = (np.array([len(s) for s in side]) for side in (sketches_a, sketches_b))
+        total = sizes_a[:, None] + sizes_b[None, :]
+        allowed = most_apart(total, percent)
+        good = 100 * np.minimum(sizes_a[:, None], sizes_b[None, :]) >= percent * np.maximum(sizes_a[:, None], sizes_b[None, :])
+        for wide_a in np.unique(widths_a):
+            for wide_b in np.unique(widths_b):
+                at_a, at_b = np.flatnonzero(widths_a == wide_a), np.flatnonzero(widths_b == wide_b)
+                if not good[np.ix_(at_a, at_b)].any():
+                    continue
+                width = min(wide_a, wide_b)
+                a = _folded([sketches_a[i] for i in at_a], width)
+                b = _folded([sketches_b[j] for j in at_b], width)
+                apart = np.zeros((len(a), len(b)), np.int64)
+                for k in range(a.shape[1]):
+                    apart += np.bitwise_count(a[:, k, None] ^ b[None, :, k])
+                good[np.ix_(at_a, at_b)] &= apart <= allowed[np.ix_(at_a, at_b)]
+        return good
+
+    return screen
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    words = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1, width // 8)
+    return np.bitwise_xor.reduce(words, axis=1)
+
+
+def signatures(
+    documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS, counts: ShingleCounts | None = None
+) -> DataFrame:
+    """doc_id, text_key, n_shingles, sig_a, sig_b (128 bits that equal sets share), index keys and parity of every row."""
+    shipped = documents.sparkSession.sparkContext.broadcast(Index(percent, counts))
 
     def sign(batches):
+        index = shipped.value
         for whole in batches:
             for batch in slices(whole.select(["doc_id", "text_key", "text"])):
                 sets = shingle_sets(batch.column("text"), width)
@@ -143,16 +212,17 @@ def signatures(documents: DataFrame, percent: int = PERCENT, width: int = SHINGL
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
                 sizes = pa.array([len(s) for s in sets], pa.int64())
+                sketch = pa.array([parity(s) for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], sizes, *_signed(sets), lists],
-                    names=["doc_id", "text_key", "n_shingles", "sig_a", "sig_b", "keys"],
+                    [*batch.columns[:2], sizes, *signed(sets), lists, sketch],
+                    names=["doc_id", "text_key", "n_shingles", "sig_a", "sig_b", "keys", "sketch"],
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return map_arrow(
         documents.select("doc_id", text_key().alias("text_key"), "text"),
         sign,
-        f"doc_id {kind}, text_key bigint, n_shingles bigint, sig_a bigint, sig_b bigint, keys array<bigint>",
+        f"doc_id {kind}, text_key bigint, n_shingles bigint, sig_a bigint, sig_b bigint, keys array<bigint>, sketch binary",
     )
 
 
@@ -161,7 +231,8 @@ def text_key(text="text"):
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
-def _signed(sets: list[np.ndarray]) -> list[pa.Array]:
+def signed(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two sums of hashes that name a set."""
     with np.errstate(over="ignore"):
         a = [mix(s).sum(dtype=np.uint64) for s in sets]
         b = [mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets]
@@ -172,8 +243,8 @@ def link_components(documents: DataFrame, percent: int = PERCENT, width: int = S
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
     Two documents link when 100 * |A and B| >= percent * |A or B|, in shingles of ``width`` words. The steps: equal sets become one class; classes write
-    their keys (``Index``); keys that two classes share make groups around the class that meets most others; each group is
-    compared exactly, and only links that join something new come out; components of the links are labelled.
+    their keys (``Index``); keys that two classes share make groups around their smallest class; each group is
+    screened by sketches, then compared exactly, and only links that join something new come out; components are labelled.
     No pair of a group is ever a row. Null and wordless texts have no shingles and link with nothing: their component is
     their own doc_id. Repeated rows link with each other; rows without a doc_id take the smallest one of their
     component, or null. An empty table gives no rows.
@@ -185,47 +256,48 @@ def link_rows(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE
     """``link_components`` with text_key of every row, and comp: a number of its component, null where it has no shingles."""
     spark = documents.sparkSession
     path = scratch_path(spark, "sets")
+    counts = count_shingles(documents, width)
     # Written once, so a row (and below, a class) keeps its number whatever is recomputed later.
-    signatures(documents, percent, width).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{path}/signed")
-    signed = spark.read.parquet(f"{path}/signed")
-    same = ["n_shingles", "sig_a", "sig_b"]
+    signatures(documents, percent, width, counts).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{path}/signed")
+    rows = spark.read.parquet(f"{path}/signed")
+    classes = equal_sets(rows, f"{path}/classes")
+    named = rows.join(classes.select("row", "node"), "row")
+    entries = named.select("node", F.explode("keys").alias("key"))
+    members = screened_members(entries, named.select("node", F.col("n_shingles").alias("size"), "sketch"), may_link(percent))
+    sets = candidate_sets(documents, classes, members, f"{path}/candidates", width)
+    return labelled_rows(rows, classes, reliable_checkpoint(links_in_groups(members, sets, percent)))
+
+
+SAME = ["n_shingles", "sig_a", "sig_b"]
+
+
+def equal_sets(rows: DataFrame, path: str, *kept) -> DataFrame:
+    """Classes of equal, filled sets, written with a number (node), the smallest doc_id, one (doc_id, text_key) and one row."""
     (
-        signed.where("n_shingles > 0")
-        .groupBy(*same)
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.min("row").alias("row"))
+        rows.where("n_shingles > 0")
+        .groupBy(*SAME)
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.min("row").alias("row"), *kept)
         .withColumn("node", F.monotonically_increasing_id())
-        .write.parquet(f"{path}/classes")
+        .write.parquet(path)
     )
-    classes = spark.read.parquet(f"{path}/classes")
-    entries = signed.select("row", "keys").join(classes.select("row", "node"), "row").select("node", F.explode("keys").alias("key"))
-    members = reliable_checkpoint(_groups(entries))
-    sets = _candidate_sets(documents, classes, members, f"{path}/candidates", width)
-    links = reliable_checkpoint(_links(members, sets, percent))
+    return rows.sparkSession.read.parquet(path)
+
+
+def labelled_rows(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id and comp of every row, from links (a, b) between classes."""
     labels = components(links)
-    named = classes.select(*same, "node", "least").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = classes.select(*SAME, "node", "least").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "comp", "left").select(*same, "comp", "component_id")
-    rows = signed.select("doc_id", "text_key", *same)
+    found = named.join(smallest, "comp", "left").select(*SAME, "comp", "component_id")
     return (
-        rows.join(found, same, "left")
+        rows.select("doc_id", "text_key", *SAME)
+        .join(found, SAME, "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .select("doc_id", "text_key", "n_shingles", "component_id", "comp")
     )
 
 
-def _groups(entries: DataFrame) -> DataFrame:
-    """(center, node) rows from (node, key) ones: all classes on an inverted list, under the one of them that meets most others on all its lists.
-
-    Lists are never gathered: their lengths and centers are aggregates, combined in map tasks first, and joined back.
-    """
-    lengths = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    listed = reliable_checkpoint(entries.join(lengths, "key"))
-    meets = listed.groupBy("node").agg(F.sum("n").alias("meets"))
-    center = listed.join(meets, "node").groupBy("key").agg(F.max_by("node", F.struct("meets", -F.col("node"))).alias("center"))
-    return listed.select("key", "node").join(center, "key").select("center", "node").distinct()
-
-
-def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, path: str, width: int) -> DataFrame:
+def candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame, path: str, width: int) -> DataFrame:
     """node, size and items (sorted 64-bit hashes) of every class in a group, from the text of one of its documents."""
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one")
     same = F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (text_key() == F.col("one.text_key"))
@@ -249,7 +321,7 @@ def _candidate_sets(documents: DataFrame, classes: DataFrame, members: DataFrame
 LINKS = "a bigint, b bigint"
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def links_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect what a group holds.
 
     A group of bounded size is compared in one task. In a larger one every set is compared with the center first; sets that

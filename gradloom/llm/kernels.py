@@ -79,10 +79,13 @@ def segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Where the words of ``texts`` start and end; words ``bounds[i]:bounds[i + 1]`` are those of row i."""
+    """Where the words of ``texts`` start and end; words ``bounds[i]:bounds[i + 1]`` are those of row i.
 
-    def __init__(self, texts: Texts):
-        inside = IS_WORD[texts.data]
+    ``is_word`` says which bytes are inside of words.
+    """
+
+    def __init__(self, texts: Texts, is_word: np.ndarray = IS_WORD):
+        inside = is_word[texts.data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -96,15 +99,16 @@ class Words:
     def row_of(self) -> np.ndarray:
         return np.repeat(np.arange(self.texts.rows), np.diff(self.bounds))
 
-    def hashes(self, lower: bool) -> np.ndarray:
-        """One hash per word, of its bytes (A-Z as a-z if ``lower``)."""
+    def hashes(self, lower: bool, seed: int = 0) -> np.ndarray:
+        """One hash per word, of its bytes (A-Z as a-z if ``lower``); another ``seed`` tells other words apart."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
         lengths = self.ends - self.starts
         heads = np.cumsum(lengths) - lengths
         place = np.arange(int(lengths.sum())) - np.repeat(heads, lengths)
         longest = int(lengths.max())
-        codes = PLACE_CODES if longest <= len(PLACE_CODES) else sequence(1 << 20, longest) | np.uint64(1)
+        ready = not seed and longest <= len(PLACE_CODES)
+        codes = PLACE_CODES if ready else sequence((1 << 20) + (seed << 40), longest) | np.uint64(1)
         with np.errstate(over="ignore"):
             spread = (LOWER_CODES if lower else BYTE_CODES)[self.texts.data[self.inside]] * codes[place]
             return mix(np.add.reduceat(spread, heads) + lengths.astype(np.uint64))

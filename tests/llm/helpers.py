@@ -35,16 +35,16 @@ AWKWARD = [
 AWKWARD_IDS = [0, 1, 2, 3, 4, 5, 6, 6, 8, 9, None, 11]
 
 
-def shingles(text):
+def shingles(text, width=3):
     words = WORD.findall((text or "").translate(LOWER))
-    if len(words) >= 3:
-        return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+    if len(words) >= width:
+        return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
     return {tuple(words)} if words else set()
 
 
-def component_rows(rows, percent=90):
+def component_rows(rows, percent=90, width=3):
     """(doc_id, n_shingles, component_id) of (doc_id, text) rows, by comparing all pairs."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, width) for _, t in rows]
     above = list(range(len(rows)))
 
     def top(i):

@@ -9,7 +9,7 @@ from workbook.compare import differences, duck
 
 def test_all_operators_are_registered():
     names = {q.__name__ for q in corpus.QUERIES}
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names}
     assert names | {"pipeline"} <= set(book.queries())
     assert set(corpus.SQL) <= names
 
