@@ -96,16 +96,17 @@ def check_broadcast(size: int, what: str) -> None:
 
 
 def sum_partials(
-    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], tuple[float, float, np.ndarray] | None], parts: int, size: int
+    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], tuple[float, float, np.ndarray] | None], parts: int, size: int,
+    driver_bytes: int = DRIVER_BYTES,
 ) -> tuple[float, float, np.ndarray]:
     """Run ``kernel`` once per task and add up what the tasks return: (loss, weight, array of ``size``).
 
     Rows never move: each task reduces its own rows to one array. When all arrays together would be too much for the
-    driver, they are cut into slices and added up by further tasks first, ``FAN_IN`` arrays at a time, so that no task
+    driver (``driver_bytes``), they are cut into slices and added up by further tasks first, ``FAN_IN`` arrays at a time, so that no task
     reads more than so many slices of ``SLICE_VALUES`` however many tasks there were or however large the model is. Arrays
     are added in task order, so a result does not depend on which task ends first.
     """
-    levels = max(1, DRIVER_BYTES // max(8 * size, 1))
+    levels = max(1, driver_bytes // max(8 * size, 1))
     cuts = [*range(0, max(size, 1), SLICE_VALUES), size]
 
     def rows_of(part: int, loss: float, weight: float, total: np.ndarray):
