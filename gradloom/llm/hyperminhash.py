@@ -33,6 +33,8 @@ ASKED = np.stack([
     np.r_[i, [j for j in np.argsort(sequence((i + 1) << 44, REGISTERS)) if j != i]] for i in range(REGISTERS)
 ])
 BAND_CODES = sequence(1 << 52, REGISTERS // BAND)
+# Pairs whose registers are laid side by side at once.
+COMPARED = 1 << 15
 
 
 def registers(items: np.ndarray) -> np.ndarray:
@@ -80,30 +82,32 @@ def chance(sizes: np.ndarray) -> np.ndarray:
     return np.array([_chance(int(q)) for q in found])[back]
 
 
-def estimates(sizes_a: np.ndarray, table_a: np.ndarray, sizes_b: np.ndarray, table_b: np.ndarray) -> np.ndarray:
-    """Jaccard of all pairs: the share of equal registers without those that collide by chance."""
-    equal = np.zeros((len(table_a), len(table_b)), np.int32)
-    for k in range(REGISTERS):
-        equal += table_a[:, k, None] == table_b[None, :, k]
-    lucky = (chance(sizes_a)[:, None] + chance(sizes_b)[None, :]) / 2.0
+def estimates(equal: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
+    """Jaccard of pairs: the share of equal registers without those that collide by chance."""
+    lucky = (chance(sizes_a) + chance(sizes_b)) / 2.0
     return (equal / REGISTERS - lucky) / (1.0 - lucky)
 
 
-def estimate_screen(percent: int):
+class EstimateScreen:
     """Which pairs may link: sizes exactly, the estimate with a margin of ``DEVIATIONS``."""
-    wanted = percent / 100
-    least = wanted - DEVIATIONS * np.sqrt(wanted * (1.0 - wanted) / REGISTERS)
 
-    def screen(sizes_a, sketches_a, sizes_b, sketches_b):
-        small, large = np.minimum(sizes_a[:, None], sizes_b[None, :]), np.maximum(sizes_a[:, None], sizes_b[None, :])
-        good = 100 * small >= percent * large
-        if not good.any():
-            return good
-        tables = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, REGISTERS) for s in (sketches_a, sketches_b))
-        table_a, table_b = tables
-        return good & (estimates(sizes_a, table_a, sizes_b, table_b) >= least)
+    def __init__(self, percent: int):
+        self.percent, wanted = percent, percent / 100
+        self.least = wanted - DEVIATIONS * np.sqrt(wanted * (1.0 - wanted) / REGISTERS)
 
-    return screen
+    def prepare(self, sizes: np.ndarray, sketches: list[bytes]):
+        return sizes, np.frombuffer(b"".join(sketches), np.uint16).reshape(-1, REGISTERS)
+
+    def may_link(self, ready, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        sizes, table = ready
+        good = 100 * np.minimum(sizes[left], sizes[right]) >= self.percent * np.maximum(sizes[left], sizes[right])
+        at = np.flatnonzero(good)
+        for start in range(0, len(at), COMPARED):
+            some = at[start : start + COMPARED]
+            i, j = left[some], right[some]
+            equal = (table[i] == table[j]).sum(axis=1)
+            good[some] = estimates(equal, sizes[i], sizes[j]) >= self.least
+        return good
 
 
 def sketches(documents: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -161,7 +165,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, width: int = S
     rows = spark.read.parquet(f"{path}/sketches")
     classes = equal_sets(rows, f"{path}/classes", F.first("sketch").alias("sketch"))
     held = classes.select("node", F.col("n_shingles").alias("size"), "sketch")
-    members = screened_members(banded(classes), held, estimate_screen(percent))
+    members = screened_members(banded(classes), held, EstimateScreen(percent))
     sets = candidate_sets(documents, classes, members, f"{path}/candidates", width)
     links = reliable_checkpoint(links_in_groups(members, sets, percent))
     found = labelled_rows(rows, classes, links)

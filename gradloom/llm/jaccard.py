@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradloom.llm.batches import bounded_batches, map_arrow
-from gradloom.llm.kernels import Texts, Words, mix, sequence, slices, window_hashes
+from gradloom.llm.kernels import Texts, Words, mix, sequence, slices, window_hashes, windows_inside
 from gradloom.llm.meeting import screened_members
 from gradloom.plans.kernels import sum_partials
 from gradloom.session import reliable_checkpoint, scratch_path
@@ -22,10 +22,12 @@ PERCENT = 90
 SCAN_COST = 4
 # Measured lists longer than this do not move the boundary further: subsets of a set stay below some 2,000.
 LONGEST_SCAN = 64
-# Cells of the table of counts, as a power of two: 2 MB for every task, 1 MB broadcast.
-COUNT_BITS = 18
+# Cells of the tables of shingles and of words, as powers of two: 3 MB for every task, half of it broadcast.
+COUNT_BITS, WORD_BITS = 18, 17
 # Tables of counts that the driver adds up itself.
 COUNTS_BYTES = 8 * 1024 * 1024
+# Eight bytes of parities laid side by side at once.
+COMPARED_WORDS = 1 << 19
 # Bits of a parity, as powers of two.
 MIN_PARITY, MAX_PARITY = 6, 17
 # Largest group that one task compares by itself, in sets and in shingles; a larger one is compared in blocks of these sizes.
@@ -37,18 +39,30 @@ LIST_CODE = sequence(1 << 40, 1)[0]
 
 def shingle_sets(column: pa.Array, width: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """The distinct shingle hashes of every text, sorted: runs of ``width`` lower-cased words, or all words if fewer."""
+    return [items for items, _ in ranked_sets(column, width)]
+
+
+def ranked_sets(column: pa.Array, width: int, counts: ShingleCounts | None = None) -> list[tuple[np.ndarray, np.ndarray | None]]:
+    """``shingle_sets`` with the rarity of every shingle where ``counts`` are given."""
     words = Words(Texts(column))
     hashes = words.hashes(lower=True)
     shingles = window_hashes(hashes, width)
+    ranks = None if counts is None else counts.rarity(hashes, shingles, width)
     bounds, out = words.bounds.tolist(), []
     for low, high in zip(bounds, bounds[1:]):
         if high - low >= width:
-            out.append(np.unique(shingles[low : high - width + 1]))
+            window = slice(low, high - width + 1)
+            if ranks is None:
+                out.append((np.unique(shingles[window]), None))
+            else:
+                items, first = np.unique(shingles[window], return_index=True)
+                out.append((items, ranks[window][first]))
         elif high > low:
             with np.errstate(over="ignore"):
-                out.append(mix(window_hashes(hashes[low:high], high - low) + np.uint64(high - low)))
+                items = mix(window_hashes(hashes[low:high], high - low) + np.uint64(high - low))
+            out.append((items, None if counts is None else np.zeros(1, np.int32)))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append((np.zeros(0, np.uint64), None))
     return out
 
 
@@ -80,37 +94,51 @@ def listed_items(size: int, percent: int) -> int:
 
 
 class ShingleCounts:
-    """How often shingles occur, by hash cell: one table of fixed size for a corpus of any size.
+    """How often words and shingles occur, by hash cell: two tables of fixed size for a corpus of any size.
 
-    Cells of common shingles stand out whatever else falls into them, which is what the order of prefixes needs; any
-    order that all sets share gives right results.
+    ``rarity`` puts a text's shingles in order: those whose cell stands out as common last, the others by how rarely their
+    words would meet by chance. Any order that all sets share gives right results; a good one gives short lists.
     """
 
-    def __init__(self, cells: np.ndarray):
-        self.cells = cells
-        total = float(cells.sum())
+    def __init__(self, words: np.ndarray, shingles: np.ndarray):
+        # Logarithms in sixteenths; sums of them are exact.
+        self.words = np.rint(16 * np.log2(words + 1.0)).astype(np.int32)
+        usual = float(np.median(shingles)) + 1.0
+        high = usual + 6.0 * np.sqrt(usual)
+        self.common = np.where(shingles > high, np.log2(np.maximum(shingles / high, 1.0)) + 1.0, 0.0).astype(np.int32)
+        total = float(shingles.sum())
         # Length of the list that a random occurrence is on, beyond what chance puts into its cell.
-        self.list_length = max(1.0, float((cells.astype(np.float64) ** 2).sum()) / total - total / len(cells)) if total else 1.0
+        self.list_length = max(1.0, float((shingles**2).sum()) / total - total / len(shingles)) if total else 1.0
+
+    def rarity(self, words: np.ndarray, shingles: np.ndarray, width: int) -> np.ndarray:
+        """A rank of every run of ``width`` words, small for rare ones."""
+        at = self.words[_cell(words, WORD_BITS)]
+        n = len(shingles)
+        return sum((at[k : n + k] for k in range(width)), self.common[_cell(shingles, COUNT_BITS)] * np.int32(1 << 20))
+
 
-    def of(self, items: np.ndarray) -> np.ndarray:
-        return self.cells[(items >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+def _cell(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def count_shingles(documents: DataFrame, width: int = SHINGLE_WORDS) -> ShingleCounts:
-    """Count the shingles of all documents; tasks send one table each, and these are added up on the executors."""
-    cells = 1 << COUNT_BITS
+    """Count words and shingles of all documents; tasks send one table each, and these are added up on the executors."""
+    cells = (1 << WORD_BITS) + (1 << COUNT_BITS)
 
     def count(batches):
         total = np.zeros(cells)
         for whole in batches:
             for batch in slices(whole):
-                items = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column("text"), width)])
-                total += np.bincount((items >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=cells)
+                words = Words(Texts(batch.column("text")))
+                hashes = words.hashes(lower=True)
+                shingles = window_hashes(hashes, width)[windows_inside(words.bounds, width, len(hashes) - width + 1)]
+                total[: 1 << WORD_BITS] += np.bincount(_cell(hashes, WORD_BITS), minlength=1 << WORD_BITS)
+                total[1 << WORD_BITS :] += np.bincount(_cell(shingles, COUNT_BITS), minlength=1 << COUNT_BITS)
         return 0.0, 0.0, total
 
     texts = bounded_batches(documents.select("text"))
     _, _, total = sum_partials(texts, count, texts.rdd.getNumPartitions(), cells, COUNTS_BYTES)
-    return ShingleCounts(np.minimum(total, 2**32 - 1).astype(np.uint32))
+    return ShingleCounts(total[: 1 << WORD_BITS], total[1 << WORD_BITS :])
 
 
 class Index:
@@ -126,12 +154,12 @@ class Index:
         # Sets this large can link with a set beyond the boundary.
         self.first = -(-percent * (self.boundary + 1) // 100)
 
-    def keys(self, items: np.ndarray) -> np.ndarray:
+    def keys(self, items: np.ndarray, ranks: np.ndarray | None = None) -> np.ndarray:
         found = []
         if len(items) <= self.boundary:
             found.append(self.subset_keys(items))
         if len(items) >= self.first:
-            found.append(self.list_keys(items))
+            found.append(self.list_keys(items, ranks))
         return np.concatenate(found)
 
     def subset_keys(self, items: np.ndarray) -> np.ndarray:
@@ -144,58 +172,66 @@ class Index:
                 out.append(mix(total - np.array(dropped, np.uint64)) + np.uint64(len(items) - d))
         return np.concatenate(out)
 
-    def list_keys(self, items: np.ndarray) -> np.ndarray:
+    def list_keys(self, items: np.ndarray, ranks: np.ndarray | None = None) -> np.ndarray:
         """The inverted lists of the rarest items, one item more than a linked set may lack: linked sets share one of them.
 
-        Rare by ``counts``, then by hash. A passage that many documents share comes last and is on nobody's lists, unless a
+        Rare by ``ranks``, then by hash. A passage that many documents share comes last and is on nobody's lists, unless a
         text holds little else.
         """
         need = listed_items(len(items), self.percent)
-        if self.counts is not None:
-            items = items[np.argsort(self.counts.of(items), kind="stable")[:need]]
+        if ranks is not None:
+            items = items[np.argsort(ranks, kind="stable")[:need]]
         with np.errstate(over="ignore"):
             return mix(items[:need] + LIST_CODE)
 
 
 def parity(items: np.ndarray) -> bytes:
-    """Bits that say of how many items, even or odd, fell there; about two bits an item.
+    """Bits that say of how many items, even or odd, fell there; one or two bits an item.
 
-    Sets that differ in k items differ in k bits at most, whatever their sizes: fewer bits of one side fold together.
+    Sets that differ in k items differ in k bits at most, whatever their sizes: more bits of one side fold together.
     """
-    bits = 1 << max(MIN_PARITY, min(MAX_PARITY, int(len(items)).bit_length() + 1))
+    bits = 1 << max(MIN_PARITY, min(MAX_PARITY, len(items).bit_length()))
     odd = np.bincount((items >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def may_link(percent: int):
-    """A screen over parities: no pair that links is held back."""
-
-    def screen(sizes_a, sketches_a, sizes_b, sketches_b):
-        widths_a, widths_b = (np.array([len(s) for s in side]) for side in (sketches_a, sketches_b))
-        total = sizes_a[:, None] + sizes_b[None, :]
-        allowed = most_apart(total, percent)
-        good = 100 * np.minimum(sizes_a[:, None], sizes_b[None, :]) >= percent * np.maximum(sizes_a[:, None], sizes_b[None, :])
-        for wide_a in np.unique(widths_a):
-            for wide_b in np.unique(widths_b):
-                at_a, at_b = np.flatnonzero(widths_a == wide_a), np.flatnonzero(widths_b == wide_b)
-                if not good[np.ix_(at_a, at_b)].any():
-                    continue
-                width = min(wide_a, wide_b)
-                a = _folded([sketches_a[i] for i in at_a], width)
-                b = _folded([sketches_b[j] for j in at_b], width)
-                apart = np.zeros((len(a), len(b)), np.int64)
-                for k in range(a.shape[1]):
-                    apart += np.bitwise_count(a[:, k, None] ^ b[None, :, k])
-                good[np.ix_(at_a, at_b)] &= apart <= allowed[np.ix_(at_a, at_b)]
+class ParityScreen:
+    """Which pairs may link by sizes and parities: no pair that links is held back."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def prepare(self, sizes: np.ndarray, sketches: list[bytes]):
+        """Sizes, width class and place of every set, and the sets of each class folded to each smaller one."""
+        widths = np.array([len(s) // 8 for s in sketches])
+        kinds, kind = np.unique(widths, return_inverse=True)
+        place, folded = np.zeros(len(sketches), np.int64), {}
+        for k, wide in enumerate(kinds.tolist()):
+            at = np.flatnonzero(kind == k)
+            place[at] = np.arange(len(at))
+            held = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64)
+            for j, narrow in enumerate(kinds[: k + 1].tolist()):
+                folded[k, j] = np.bitwise_xor.reduce(held.reshape(len(at), wide // narrow, narrow), axis=1)
+        return sizes, kind, place, folded
+
+    def may_link(self, ready, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        sizes, kind, place, folded = ready
+        small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
+        good = 100 * small >= self.percent * large
+        at = np.flatnonzero(good)
+        pair = kind[left[at]] * len(folded) + kind[right[at]]
+        for code in np.unique(pair).tolist():
+            a, b = divmod(code, len(folded))
+            width = folded[min(a, b), min(a, b)].shape[1]
+            some = at[pair == code]
+            step = max(1, COMPARED_WORDS // width)
+            for start in range(0, len(some), step):
+                part = some[start : start + step]
+                one, other = folded[a, min(a, b)][place[left[part]]], folded[b, min(a, b)][place[right[part]]]
+                apart = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+                good[part] = apart <= most_apart(sizes[left[part]] + sizes[right[part]], self.percent)
         return good
 
-    return screen
-
-
-def _folded(sketches: list[bytes], width: int) -> np.ndarray:
-    words = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1, width // 8)
-    return np.bitwise_xor.reduce(words, axis=1)
-
 
 def signatures(
     documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS, counts: ShingleCounts | None = None
@@ -207,8 +243,9 @@ def signatures(
         index = shipped.value
         for whole in batches:
             for batch in slices(whole.select(["doc_id", "text_key", "text"])):
-                sets = shingle_sets(batch.column("text"), width)
-                keys = [index.keys(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
+                ranked = ranked_sets(batch.column("text"), width, index.counts)
+                keys = [index.keys(s, r).view(np.int64) if len(s) else np.zeros(0, np.int64) for s, r in ranked]
+                sets = [s for s, _ in ranked]
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
                 sizes = pa.array([len(s) for s in sets], pa.int64())
@@ -263,7 +300,7 @@ def link_rows(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE
     classes = equal_sets(rows, f"{path}/classes")
     named = rows.join(classes.select("row", "node"), "row")
     entries = named.select("node", F.explode("keys").alias("key"))
-    members = screened_members(entries, named.select("node", F.col("n_shingles").alias("size"), "sketch"), may_link(percent))
+    members = screened_members(entries, named.select("node", F.col("n_shingles").alias("size"), "sketch"), ParityScreen(percent))
     sets = candidate_sets(documents, classes, members, f"{path}/candidates", width)
     return labelled_rows(rows, classes, reliable_checkpoint(links_in_groups(members, sets, percent)))
 
