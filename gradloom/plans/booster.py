@@ -65,16 +65,18 @@ class BoostedModel:
             checks = checks.persist(StorageLevel.MEMORY_AND_DISK)
         done, pending = begun, []
 
-        def after_round(model) -> None:
+        def after_round(model, scored=None) -> None:
             nonlocal done, pending
             done += 1
             last = done == begun + iterations
             self.model = model
             if last or test_interval and done % test_interval == 0:
+                rows = own if checks is None else checks
+                rows = scored() if scored is not None else self.predict_proba(rows)
                 if checks is not None:
-                    pending += [(run, float(done), s, m, v) for s, m, v in self._measure(checks, wanted)]
+                    pending += [(run, float(done), s, m, v) for s, m, v in self._measure(rows, wanted)]
                 else:
-                    pending += [(run, float(done), s, "train_loss", v) for s, _, v in self._measure(own, ("mcll",))]
+                    pending += [(run, float(done), s, "train_loss", v) for s, _, v in self._measure(rows, ("mcll",))]
             if last or save_period and done % save_period == 0:
                 folder.save_snapshot(done, model.arrays(), run)
                 folder.append_log(pending)
@@ -84,14 +86,13 @@ class BoostedModel:
             if booster == "gblinear":
                 train_linear(train, objective, self.nclasses, iterations, base_score, seed, p, self.model, after_round)
             else:
-                train_trees(train, objective, booster, self.nclasses, iterations, base_score, seed, p, self.model, after_round)
+                train_trees(train, objective, booster, self.nclasses, iterations, base_score, seed, p, self.model, after_round, checks)
         finally:
             if checks is not None:
                 checks.unpersist()
         return folder.log().where(F.col("log") == run)
 
-    def _measure(self, checks: DataFrame, metrics: Sequence[str]):
-        scored = self.predict_proba(checks)
+    def _measure(self, scored: DataFrame, metrics: Sequence[str]):
         if self.model.objective.startswith("reg:"):
             error = (F.get("scores", F.lit(0)) - F.col("label")) ** 2
             return [(r[0], "loss", r[1]) for r in scored.groupBy("split").agg(F.avg(error / 2.0)).collect()]

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,25 +15,31 @@ from pyspark.sql import types as T
 from gradloom.functions.hashing import draw, draw_column
 from gradloom.functions.vectors import sparse_to_dense
 from gradloom.plans import objectives
+from gradloom.plans.cells import (
+    ABSENT, MISSING, Binning, Layout, bin_rows, binned_layout, raw_layout, sparse_names, weighted_edges,
+)
+from gradloom.plans.histograms import DriverGrower, ExactGrower, Grower, Rules, TableGrower, lists
 from gradloom.plans.kernels import check_broadcast, feature_width
 from gradloom.session import local_table, map_arrow, persist_balanced, reliable_checkpoint
 
-# One task's histogram buffer; levels with more nodes are done in several passes.
-HISTOGRAM_BYTES = 64 * 1024 * 1024
+# Histograms of a level that the driver holds; larger ones stay on the executors as a table.
+HISTOGRAM_BYTES = 128 * 1024 * 1024
 # Rounds after which rows and their margins are checkpointed, so that a lost executor recomputes no more than these.
 REFRESH_ROUNDS = 10
-# Tasks per pass: each sends one set of histograms, so their number should not grow with the data.
-HISTOGRAM_TASKS = 20_000
+# Tasks per core and pass: each sends one set of histograms, so their number follows the cluster and not the data.
+TASKS_PER_CORE = 4
 # Quantiles asked of one aggregation pass.
 COLUMNS_PER_PASS = 256
-
-HISTOGRAM_SCHEMA = "output int, node int, feature int, part int, g array<double>, h array<double>"
-SPLIT_SCHEMA = "output int, node int, feature int, bin int, gain double, gl double, hl double, g double, h double"
+TREE_METHODS = ("auto", "hist", "approx", "exact")
 
 
 @dataclass(frozen=True)
 class BoosterParams:
-    """The names of the settings, but for ``reg_lambda`` and ``reg_alpha``, which also go by their own."""
+    """The names of the settings, but for ``reg_lambda`` and ``reg_alpha``, which also go by their own.
+
+    ``absent`` says whether entries that sparse rows leave out are 0 or missing; NaN is always missing. ``max_bin`` beyond 255
+    counts as 255.
+    """
 
     eta: float = 0.3
     gamma: float = 0.0
@@ -53,24 +58,32 @@ class BoosterParams:
     skip_drop: float = 0.0
     max_bin: int = 64
     num_feature: int | None = None
+    absent: str = "zero"
 
     @classmethod
     def of(cls, options: dict) -> BoosterParams:
         """From user options; ``lambda`` and ``alpha`` are accepted by these names."""
         renamed = {{"lambda": "reg_lambda", "alpha": "reg_alpha"}.get(k, k): v for k, v in options.items()}
         params = cls(**renamed)
-        if params.tree_method not in ("auto", "hist"):
-            warnings.warn(f"tree_method {params.tree_method!r}: trees are grown from histograms", stacklevel=3)
+        if params.tree_method not in TREE_METHODS:
+            raise ValueError(f"tree_method {params.tree_method!r} is not one of {TREE_METHODS}")
+        if params.absent not in ABSENT:
+            raise ValueError(f"absent {params.absent!r} is not one of {ABSENT}")
         if params.grow_policy != "depthwise":
             raise ValueError("grow_policy must be depthwise")
         if not 2 <= params.max_bin <= 256:
             raise ValueError("max_bin must lie between 2 and 256")
-        return params
+        return replace(params, max_bin=min(params.max_bin, MISSING))
+
+    @property
+    def binned(self) -> bool:
+        """Whether one set of cuts serves all rounds."""
+        return self.tree_method in ("auto", "hist")
 
 
 @dataclass
 class Tree:
-    """Nodes as parallel lists; ``feature`` is -1 at leaves. Rows with bin <= ``bin`` go left."""
+    """Nodes as parallel lists; ``feature`` is -1 at leaves. Rows with bin <= ``bin`` go left, missing ones if ``missing`` is 1."""
 
     feature: list[int] = field(default_factory=lambda: [-1])
     bin: list[int] = field(default_factory=lambda: [0])
@@ -78,29 +91,29 @@ class Tree:
     left: list[int] = field(default_factory=lambda: [0])
     value: list[float] = field(default_factory=lambda: [0.0])
     gain: list[float] = field(default_factory=lambda: [0.0])
+    missing: list[int] = field(default_factory=lambda: [0])
 
-    def split(self, node: int, feature: int, bin: int, threshold: float, gain: float) -> int:
+    def split(self, node: int, feature: int, bin: int, threshold: float, gain: float, missing_left: bool = False) -> int:
         """Turn a leaf into a split; its children are the returned node and the one after it."""
         child = len(self.feature)
         self.feature[node], self.bin[node], self.threshold[node] = feature, bin, threshold
-        self.left[node], self.gain[node] = child, gain
+        self.left[node], self.gain[node], self.missing[node] = child, gain, int(missing_left)
         for _ in range(2):
             for values, empty in ((self.feature, -1), (self.bin, 0), (self.threshold, 0.0), (self.left, 0),
-                                  (self.value, 0.0), (self.gain, 0.0)):
+                                  (self.value, 0.0), (self.gain, 0.0), (self.missing, 0)):
                 values.append(empty)
         return child
 
-    def leaves(self, table: np.ndarray, cuts: Sequence) -> np.ndarray:
-        """Leaf of every row; ``cuts`` are bins for binned rows and thresholds for raw ones."""
-        feature, left, cuts = np.array(self.feature), np.array(self.left), np.array(cuts)
-        node, rows = np.zeros(len(table), dtype=np.int64), np.arange(len(table))
-        while True:
-            inner = feature[node] >= 0
-            if not inner.any():
-                return node
-            at = node[inner]
-            goes_right = ~(table[rows[inner], feature[at]] <= cuts[at])
-            node[inner] = left[at] + goes_right
+    def leaves(self, cells, raw: bool = False) -> np.ndarray:
+        """Leaf of every row, by bins or, for raw cells, by thresholds."""
+        feature, left = np.array(self.feature), np.array(self.left)
+        cuts, missing = np.array(self.threshold if raw else self.bin), np.array(self.missing) > 0
+        node, rows = np.zeros(cells.rows, dtype=np.int64), np.arange(cells.rows)
+        while len(rows := rows[feature[node[rows]] >= 0]):
+            at = node[rows]
+            value, absent = cells.at(rows, feature[at])
+            node[rows] = left[at] + np.where(absent, ~missing[at], ~(value <= cuts[at]))
+        return node
 
 
 def bin_edges(df: DataFrame, width: int, max_bin: int) -> list[np.ndarray]:
@@ -118,44 +131,14 @@ def bin_edges(df: DataFrame, width: int, max_bin: int) -> list[np.ndarray]:
     return edges
 
 
-def bin_rows(df: DataFrame, edges: list[np.ndarray], keep: Sequence[str]) -> DataFrame:
-    """Features as one byte each (``bins``), next to the kept columns; rows stay in place."""
-    shipped = df.sparkSession.sparkContext.broadcast(edges)
-
-    def to_bins(batches):
-        cuts = shipped.value
-        for batch in batches:
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(cuts))
-            bins = np.empty(x.shape, dtype=np.uint8)
-            for j, cut in enumerate(cuts):
-                bins[:, j] = np.searchsorted(cut, x[:, j], side="left")
-            offsets = pa.py_buffer((np.arange(batch.num_rows + 1) * len(cuts)).astype(np.int32))
-            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(bins.tobytes())])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], packed], names=[*keep, "bins"])
-
-    schema = df.select(*keep).schema.add("bins", T.BinaryType())
-    return map_arrow(df.select(*keep, "features"), to_bins, schema)
-
-
-def _bins(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    column = batch.column("bins")
-    _, offsets, data = column.buffers()
-    first = np.frombuffer(offsets, dtype=np.int32)[column.offset]
-    return np.frombuffer(data, dtype=np.uint8)[first : first + batch.num_rows * width].reshape(-1, width)
-
-
-def _lists(column, rows: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
-
-
 Weighted = list[tuple[int, Tree, float]]
 
 
-def _added(margin: np.ndarray, bins: np.ndarray, trees: Weighted) -> np.ndarray:
+def _added(margin: np.ndarray, cells, trees: Weighted, raw: bool) -> np.ndarray:
     """The margins of a batch plus (output, tree, scale) terms."""
     out = margin.copy()
     for output, tree, scale in trees:
-        out[:, output] += scale * np.array(tree.value)[tree.leaves(bins, tree.bin)]
+        out[:, output] += scale * np.array(tree.value)[tree.leaves(cells, raw)]
     return out
 
 
@@ -174,98 +157,8 @@ def leaf_value(g: float, h: float, p: BoosterParams) -> float:
     return p.eta * value
 
 
-def best_splits(rows: DataFrame, growing: list[Tree], active: list[tuple[int, int]], columns: list[np.ndarray],
-                p: BoosterParams, width: int) -> list:
-    """Best split of every active (output, node), found where the histograms meet.
-
-    Each task turns its rows into per-node, per-feature sums; those small rows are shuffled by (output, node,
-    feature), added in task order and scored; the driver gets one row per node.
-    """
-    shipped = rows.sparkSession.sparkContext.broadcast((growing, active, columns))
-    nbins = p.max_bin
-
-    def histograms(batches):
-        from pyspark import TaskContext
-
-        trees, wanted, _ = shipped.value
-        slots = [np.full(len(t.feature), -1, dtype=np.int64) for t in trees]
-        for slot, (output, node) in enumerate(wanted):
-            slots[output][node] = slot
-        cells = len(wanted) * width * nbins
-        sum_g, sum_h, seen = np.zeros(cells), np.zeros(cells), np.zeros(len(wanted), dtype=bool)
-        for batch in batches:
-            bins = _bins(batch, width)
-            g, h = _lists(batch.column("g"), batch.num_rows), _lists(batch.column("h"), batch.num_rows)
-            taken = (h > 0).any(axis=1)  # neither left out by the draw nor of weight 0
-            for output, tree in enumerate(trees):
-                slot = slots[output][tree.leaves(bins, tree.bin)]
-                inside = (slot >= 0) & taken
-                if not inside.any():
-                    continue
-                slot = slot[inside]
-                seen[np.unique(slot)] = True
-                at = ((slot[:, None] * width + np.arange(width)) * nbins + bins[inside]).ravel()
-                sum_g += np.bincount(at, np.repeat(g[inside, output], width), cells)
-                sum_h += np.bincount(at, np.repeat(h[inside, output], width), cells)
-        found = np.flatnonzero(seen)
-        if len(found):
-            n = len(found) * width
-            offsets = pa.array(np.arange(0, n * nbins + 1, nbins, dtype=np.int32))
-            kept_g, kept_h = (s.reshape(len(wanted), -1)[found].ravel() for s in (sum_g, sum_h))
-            pairs = np.array(wanted, dtype=np.int32)[found]
-            yield pa.RecordBatch.from_pydict({
-                "output": np.repeat(pairs[:, 0], width), "node": np.repeat(pairs[:, 1], width),
-                "feature": np.tile(np.arange(width, dtype=np.int32), len(found)),
-                "part": np.full(n, TaskContext.get().partitionId(), dtype=np.int32),
-                "g": pa.ListArray.from_arrays(offsets, pa.array(kept_g)),
-                "h": pa.ListArray.from_arrays(offsets, pa.array(kept_h)),
-            })
-
-    def choose(batches):
-        allowed = shipped.value[2]
-        carry = None
-        for batch in batches:  # sorted by output, node, feature, part
-            keys = np.stack([batch.column(c).to_numpy() for c in ("output", "node", "feature")], axis=1)
-            g, h = _lists(batch.column("g"), batch.num_rows), _lists(batch.column("h"), batch.num_rows)
-            if carry is not None:
-                keys, g, h = np.vstack([carry[0], keys]), np.vstack([carry[1], g]), np.vstack([carry[2], h])
-            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            g, h, keys = np.add.reduceat(g, starts), np.add.reduceat(h, starts), keys[starts]
-            carry = keys[-1:], g[-1:], h[-1:]  # its rows may go on in the next batch
-            if len(keys) > 1:
-                yield from scored(keys[:-1], g[:-1], h[:-1], allowed)
-        if carry is not None:
-            yield from scored(*carry, allowed)
-
-    def scored(keys, g, h, allowed):
-        gl, hl, gt, ht = g.cumsum(axis=1), h.cumsum(axis=1), g.sum(axis=1), h.sum(axis=1)
-        gr, hr = gt[:, None] - gl, ht[:, None] - hl
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = 0.5 * (_gain(gl, hl, p) + _gain(gr, hr, p) - _gain(gt, ht, p)[:, None]) - p.gamma
-        legal = (hl >= p.min_child_weight) & (hr >= p.min_child_weight) & (hl > 0) & (hr > 0)
-        legal &= np.array([np.isin(f, allowed[o]) for o, _, f in keys])[:, None]
-        gain = np.where(legal & np.isfinite(gain), gain, -np.inf)
-        at = gain.argmax(axis=1)
-        pick = np.arange(len(keys)), at
-        yield pa.RecordBatch.from_pydict({
-            "output": keys[:, 0], "node": keys[:, 1], "feature": keys[:, 2], "bin": at.astype(np.int32),
-            "gain": gain[pick], "gl": gl[pick], "hl": hl[pick], "g": gt, "h": ht,
-        })
-
-    sums = map_arrow(rows.select("bins", "g", "h"), histograms, HISTOGRAM_SCHEMA)
-    met = sums.repartition("output", "node", "feature").sortWithinPartitions("output", "node", "feature", "part")
-    splits = met.mapInArrow(choose, SPLIT_SCHEMA)
-    order = F.struct("gain", (-F.col("feature")).alias("f"))
-    best = splits.groupBy("output", "node").agg(F.max_by(F.struct(*splits.columns), order).alias("s")).select("s.*")
-    try:
-        return best.collect()  # one row per active node
-    finally:
-        shipped.destroy()
-
-
-def grow_round(rows: DataFrame, nout: int, edges, p: BoosterParams, seed, round_) -> list[Tree]:
-    """One tree per output, level by level."""
-    width = len(edges)
+def grow_round(rows: DataFrame, layout: Layout, nout: int, width: int, binning: Binning | None, p: BoosterParams, seed, round_, parts) -> list[Tree]:
+    """One tree per output, level by level; without ``binning`` every value is a cut."""
     trees = [Tree() for _ in range(nout)]
     columns = []
     for output in range(nout):
@@ -274,29 +167,48 @@ def grow_round(rows: DataFrame, nout: int, edges, p: BoosterParams, seed, round_
             columns.append(np.sort(order[: max(1, round(p.colsample * width))]))
         else:
             columns.append(np.arange(width))
+    rules = Rules(lambda g, h: _gain(g, h, p), p.min_child_weight, p.gamma, p.max_bin)
+    grower = _grower(nout, width, binning, p)(rows, layout, width, columns, rules, binning.absent if binning and "ids" in layout.columns else None, parts)
     active = [(output, 0) for output in range(nout)]
-    per_pass = max(1, HISTOGRAM_BYTES // (16 * width * p.max_bin))
-    for level in range(p.max_depth):
-        found = []
-        for start in range(0, len(active), per_pass):
-            found += best_splits(rows, trees, active[start : start + per_pass], columns, p, width)
-        active = []
-        for s in sorted(found, key=lambda r: (r["output"], r["node"])):
-            tree, node = trees[s["output"]], s["node"]
-            if level == 0:
-                tree.value[node] = leaf_value(s["g"], s["h"], p)
-            if not s["gain"] > 1e-12:
-                continue
-            threshold = float(edges[s["feature"]][s["bin"]])
-            child = tree.split(node, s["feature"], s["bin"], threshold, s["gain"])
-            tree.value[child] = leaf_value(s["gl"], s["hl"], p)
-            tree.value[child + 1] = leaf_value(s["g"] - s["gl"], s["h"] - s["hl"], p)
-            active += [(s["output"], child), (s["output"], child + 1)]
-        if not active:
-            break
+    whole = dict(zip(active, grower.totals(nout)))
+    built, sibling = active, {}
+    for (output, _), (_, g, h) in whole.items():
+        trees[output].value[0] = leaf_value(g, h, p)
+    try:
+        for level in range(p.max_depth):
+            found = grower.splits(trees, active, whole, built, sibling, level + 1 < p.max_depth)
+            active, built, sibling, children = [], [], {}, {}
+            for (output, node), s in sorted(found.items()):
+                if not s.gain > 1e-12:
+                    continue
+                tree = trees[output]
+                threshold = float(binning.edges[s.feature][s.bin]) if binning else s.threshold
+                child = tree.split(node, s.feature, s.bin, threshold, s.gain, s.missing_left)
+                sides = [(output, child), (output, child + 1)]
+                children[sides[0]], children[sides[1]] = s.left, tuple(t - v for t, v in zip(s.whole, s.left))
+                for side in sides:
+                    _, g, h = children[side]
+                    tree.value[side[1]] = leaf_value(g, h, p)
+                small, large = sorted(sides, key=lambda side: (children[side][0], side))
+                active += sides
+                built.append(small)
+                sibling[large] = ((output, node), small)
+            whole = children
+            if not active:
+                break
+    finally:
+        grower.close()
     return trees
 
 
+def _grower(nout: int, width: int, binning: Binning | None, p: BoosterParams) -> type[Grower]:
+    """Arrays on the driver while those of the widest level stay small, else a table; no histograms without bins."""
+    if binning is None:
+        return ExactGrower
+    level = 24 * nout * 2 ** max(p.max_depth - 1, 0) * width * (p.max_bin + 1)
+    return DriverGrower if level <= HISTOGRAM_BYTES else TableGrower
+
+
 @dataclass
 class TreeEnsemble:
     """``rounds[r][output]`` trees with one scale per round."""
@@ -305,6 +217,7 @@ class TreeEnsemble:
     nout: int
     width: int
     start: float
+    absent: str = "zero"
     edges: list[np.ndarray] = field(default_factory=list)
     rounds: list[list[Tree]] = field(default_factory=list)
     scales: list[float] = field(default_factory=list)
@@ -320,25 +233,25 @@ class TreeEnsemble:
     def arrays(self) -> dict[str, np.ndarray]:
         """Flat tables for a snapshot: one row per node."""
         nodes = [
-            (r, o, n, t.feature[n], t.bin[n], t.threshold[n], t.left[n], t.value[n], t.gain[n])
+            (r, o, n, t.feature[n], t.bin[n], t.threshold[n], t.left[n], t.value[n], t.gain[n], t.missing[n])
             for r, trees in enumerate(self.rounds) for o, t in enumerate(trees) for n in range(len(t.feature))
         ]
         return {
-            "nodes": np.array(nodes, dtype=np.float64).reshape(-1, 9),
+            "nodes": np.array(nodes, dtype=np.float64).reshape(-1, 10),
             "scales": np.array(self.scales, dtype=np.float64),
             "edges": np.concatenate([*self.edges, np.zeros(0)]),
             "cuts": np.array([len(cut) for cut in self.edges], dtype=np.float64),
-            "shape": np.array([objectives.OBJECTIVES.index(self.objective), self.nout, self.width, self.start]),
+            "shape": np.array([objectives.OBJECTIVES.index(self.objective), self.nout, self.width, self.start, ABSENT.index(self.absent)]),
         }
 
     @classmethod
     def from_arrays(cls, arrays: dict[str, np.ndarray]) -> TreeEnsemble:
-        code, nout, width, start = arrays["shape"]
-        model = cls(objectives.OBJECTIVES[int(code)], int(nout), int(width), float(start))
+        code, nout, width, start, *absent = arrays["shape"]  # snapshots of older versions end here
+        model = cls(objectives.OBJECTIVES[int(code)], int(nout), int(width), float(start), ABSENT[int(absent[0])] if absent else "zero")
         model.scales = [float(s) for s in arrays["scales"]]
         model.edges = np.split(arrays["edges"], np.cumsum(arrays["cuts"].astype(int))[:-1])
-        model.rounds = [[Tree([], [], [], [], [], []) for _ in range(model.nout)] for _ in model.scales]
-        for r, o, _, feature, bin_, threshold, left, value, gain in arrays["nodes"]:
+        model.rounds = [[Tree([], [], [], [], [], [], []) for _ in range(model.nout)] for _ in model.scales]
+        for r, o, _, feature, bin_, threshold, left, value, gain, *missing in arrays["nodes"]:
             tree = model.rounds[int(r)][int(o)]
             tree.feature.append(int(feature))
             tree.bin.append(int(bin_))
@@ -346,6 +259,7 @@ class TreeEnsemble:
             tree.left.append(int(left))
             tree.value.append(value)
             tree.gain.append(gain)
+            tree.missing.append(int(missing[0]) if missing else 0)
         return model
 
     def split_table(self, spark: SparkSession) -> DataFrame:
@@ -360,58 +274,112 @@ class TreeEnsemble:
 
 
 def dense_rows(df: DataFrame, width: int) -> DataFrame:
-    """Boosting sees dense rows; absent entries are 0."""
+    """Dense rows of sparse ones; absent entries are 0."""
     return df if "features" in df.columns else sparse_to_dense(df, width)
 
 
+def _score_batch(kept: Sequence[str], batch: pa.RecordBatch, objective: str, margin: np.ndarray) -> pa.RecordBatch:
+    out = objectives.scores(objective, margin)
+    offsets = pa.array(np.arange(0, out.size + 1, out.shape[1], dtype=np.int32))
+    return pa.RecordBatch.from_arrays(
+        [*[batch.column(c) for c in kept], pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))], names=[*kept, "scores"]
+    )
+
+
 def ensemble_scores(df: DataFrame, model: TreeEnsemble) -> DataFrame:
-    """All columns but the features, plus ``scores``."""
+    """All columns but the features, plus ``scores``; sparse rows are looked up as they are."""
     check_broadcast(model.size, "the ensemble")
-    rows = dense_rows(df, model.width)
     shipped = df.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in rows.columns if c != "features"]
+    layout = raw_layout(df, model.width, model.absent)
+    kept = [c for c in df.columns if c not in layout.columns]
 
     def score(batches):
         held = shipped.value
+        terms = held.terms(range(len(held.rounds)))
         for batch in batches:
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, held.width)
-            margin = np.full((batch.num_rows, held.nout), held.start)
-            for trees, scale in zip(held.rounds, held.scales):
-                for output, tree in enumerate(trees):
-                    margin[:, output] += scale * np.array(tree.value)[tree.leaves(x, tree.threshold)]
-            out = objectives.scores(held.objective, margin)
-            offsets = pa.array(np.arange(0, out.size + 1, out.shape[1], dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))],
-                names=[*kept, "scores"],
-            )
-
-    schema = rows.select(*kept).schema.add("scores", T.ArrayType(T.DoubleType()))
-    return map_arrow(rows.select(*kept, "features"), score, schema)
+            cells = layout.cells_of(batch)
+            yield _score_batch(kept, batch, held.objective, _added(np.full((batch.num_rows, held.nout), held.start), cells, terms, True))
+
+    schema = df.select(*kept).schema.add("scores", T.ArrayType(T.DoubleType()))
+    return map_arrow(df.select(*kept, *layout.columns), score, schema)
+
+
+class Margins:
+    """Rows that carry their margin and take in new trees only, so that scoring them costs the same at every round."""
+
+    def __init__(self, rows: DataFrame, keep: Sequence[str], layout: Layout, model: TreeEnsemble):
+        self.rows = rows.select(*keep, *layout.columns, F.array(*[F.lit(model.start)] * model.nout).alias("margin"))
+        self.keep, self.layout, self.objective = list(keep), layout, model.objective
+        self.waiting: Weighted = model.terms(range(len(model.rounds)))
+        self.rounds, self.held = 0, None
+
+    def add(self, terms: Weighted) -> None:
+        self.waiting = self.waiting + terms
+
+    def scores(self) -> DataFrame:
+        """The kept columns and ``scores``, with all trees added so far."""
+        shipped = self.rows.sparkSession.sparkContext.broadcast(self.waiting)
+        layout, kept, objective = self.layout, self.keep, self.objective
+
+        def move(batches):
+            for batch in batches:
+                margin = _added(lists(batch.column("margin"), batch.num_rows), layout.cells_of(batch), shipped.value, layout.raw)
+                column = pa.ListArray.from_arrays(pa.array(np.arange(0, margin.size + 1, margin.shape[1], dtype=np.int32)), pa.array(margin.ravel()))
+                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", column)
+
+        def score(batches):
+            for batch in batches:
+                yield _score_batch(kept, batch, objective, lists(batch.column("margin"), batch.num_rows))
+
+        moved = map_arrow(self.rows, move, self.rows.schema)
+        self.rounds += 1
+        moved = (reliable_checkpoint(moved) if self.rounds % REFRESH_ROUNDS == 0 else moved).persist(StorageLevel.MEMORY_AND_DISK)
+        moved.count()
+        self.close()
+        self.rows, self.held, self.waiting = moved, moved, []
+        return map_arrow(moved, score, moved.select(*kept).schema.add("scores", T.ArrayType(T.DoubleType())))
+
+    def close(self) -> None:
+        if self.held is not None:
+            self.held.unpersist()
+            self.held = None
 
 
 def train_trees(
     train: DataFrame, objective: str, booster: str, nclasses: int, iterations: int, base_score: float, seed: int,
-    p: BoosterParams, model: TreeEnsemble | None = None, after_round=None,
+    p: BoosterParams, model: TreeEnsemble | None = None, after_round=None, checks: DataFrame | None = None,
 ) -> TreeEnsemble:
-    """Grow ``iterations`` rounds on top of ``model``; ``after_round(model)`` sees every finished round."""
+    """Grow ``iterations`` rounds on top of ``model``; ``after_round(model, scored)`` sees every finished round.
+
+    ``scored()`` gives label, split and scores of the rows of ``checks``, or of the training rows without any.
+    """
     nout = objectives.outputs(objective, nclasses)
     width = model.width if model else p.num_feature or feature_width(train)
-    rows = dense_rows(train, width)
+    rows = train if not sparse_names(train) or p.tree_method != "exact" else dense_rows(train, width)
     if model is None:
-        model = TreeEnsemble(objective, nout, width, objectives.start_margin(objective, base_score))
+        model = TreeEnsemble(objective, nout, width, objectives.start_margin(objective, base_score), p.absent)
     weight = F.lit(1.0)
     if p.scale_pos_weight != 1.0:
         weight = F.when(F.col("label") == 1, float(p.scale_pos_weight)).otherwise(1.0)
     keep = (["row_id"] if p.subsample < 1.0 else []) + ["label", "weight"]
     source = rows.withColumn("weight", weight).withColumn("label", F.col("label").cast("double"))
-    edges = model.edges = model.edges or bin_edges(source, width, p.max_bin)
-    if any(len(cut) >= p.max_bin for cut in edges):
-        raise ValueError(f"the model has more cuts than max_bin={p.max_bin} allows")
-    start = F.array(*[F.lit(model.start)] * nout)
-    table = bin_rows(source, edges, keep).coalesce(HISTOGRAM_TASKS).withColumn("margin", start)
-    table, _ = persist_balanced(table, width + 8 * nout + 16)
+    binning = None
+    if p.binned:
+        edges = model.edges or (weighted_edges(source, width, p.max_bin, model.absent) if sparse_names(source) else bin_edges(source, width, p.max_bin))
+        if any(len(cut) >= p.max_bin for cut in edges):
+            raise ValueError(f"the model has more cuts than max_bin={p.max_bin} allows")
+        model.edges, binning = edges, Binning(edges, model.absent)
+        check_broadcast(8 * int(binning.sizes.sum()), "the cuts")
+        source = bin_rows(source, binning, keep, model.absent)
+        layout = binned_layout(source, binning)
+    else:
+        layout = raw_layout(source, width, model.absent)
+    table = source.select(*keep, *layout.columns).withColumn("margin", F.array(*[F.lit(model.start)] * nout))
+    table, parts = persist_balanced(table, width * (8 if layout.raw else 1) + 8 * nout + 16)
+    tasks = TASKS_PER_CORE * train.sparkSession.sparkContext.defaultParallelism
+    parts = min(table.rdd.getNumPartitions(), tasks)
     fresh = model.terms(range(len(model.rounds)))
+    watched = _watched(checks, model, binning, layout)
     try:
         for done in range(iterations):
             round_ = len(model.rounds)
@@ -421,8 +389,8 @@ def train_trees(
                     dropped = [r for r in range(round_) if draw(seed, round_, "drop", r) < p.drop_rate]
             check_broadcast(model.size, "the ensemble")
             cut = done % REFRESH_ROUNDS == REFRESH_ROUNDS - 1
-            table = _advance(table, fresh, model.terms(dropped, -1.0), objective, p, width, seed, round_, cut)
-            trees = grow_round(table, nout, edges, p, seed, round_)
+            table = _advance(table, layout, fresh, model.terms(dropped, -1.0), objective, p, seed, round_, cut)
+            trees = _grown(table, layout, nout, width, binning, model, p, seed, round_, parts, tasks)
             scale, fresh = 1.0, []
             if dropped:
                 scale = 1.0 / (len(dropped) + p.eta)
@@ -433,15 +401,57 @@ def train_trees(
             model.rounds.append(trees)
             model.scales.append(scale)
             fresh += model.terms([round_])
+            if watched is not None:
+                watched.add(fresh)
             if after_round is not None:
-                after_round(model)
+                after_round(model, watched.scores if watched is not None else lambda: _own_scores(table, layout, fresh, objective))
     finally:
         table.unpersist()
+        if watched is not None:
+            watched.close()
     return model
 
 
+def _grown(table, layout: Layout, nout: int, width: int, binning: Binning | None, model: TreeEnsemble, p: BoosterParams, seed, round_, parts, tasks):
+    """The trees of a round. ``approx`` proposes cuts of equal second derivatives anew for each."""
+    if p.tree_method != "approx":
+        return grow_round(table.coalesce(tasks), layout, nout, width, binning, p, seed, round_, parts)
+    weighed = table.withColumn("_h", F.aggregate("h", F.lit(0.0), lambda a, v: a + v))
+    model.edges = weighted_edges(weighed, width, p.max_bin, model.absent, "_h")
+    binning = Binning(model.edges, model.absent)
+    rows = bin_rows(table, binning, ["g", "h"], model.absent).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return grow_round(rows.coalesce(tasks), binned_layout(rows, binning), nout, width, binning, p, seed, round_, parts)
+    finally:
+        rows.unpersist()
+
+
+def _watched(checks: DataFrame | None, model: TreeEnsemble, binning: Binning | None, layout: Layout) -> Margins | None:
+    """Validation rows as their margins; sets in another layout than the training rows are read raw."""
+    if checks is None:
+        return None
+    keep = [c for c in checks.columns if c in ("label", "split", "row_id")]
+    if binning is None:
+        return Margins(checks, keep, raw_layout(checks, model.width, model.absent), model)
+    binned = bin_rows(checks, binning, keep, model.absent)
+    return Margins(binned, keep, binned_layout(binned, binning), model)
+
+
+def _own_scores(table: DataFrame, layout: Layout, fresh: Weighted, objective: str) -> DataFrame:
+    """Scores of the training rows from the margins they carry and the trees of the last round."""
+    shipped = table.sparkSession.sparkContext.broadcast(fresh)
+
+    def score(batches):
+        for batch in batches:
+            margin = _added(lists(batch.column("margin"), batch.num_rows), layout.cells_of(batch), shipped.value, layout.raw)
+            yield _score_batch(["label"], batch, objective, margin)
+
+    scored = map_arrow(table.select("label", *layout.columns, "margin"), score, "label double, scores array<double>")
+    return scored.withColumn("split", F.lit("train"))
+
+
 def _advance(
-    table: DataFrame, fresh: Weighted, without: Weighted, objective: str, p: BoosterParams, width: int, seed: int, round_: int, cut: bool
+    table: DataFrame, layout: Layout, fresh: Weighted, without: Weighted, objective: str, p: BoosterParams, seed: int, round_: int, cut: bool
 ) -> DataFrame:
     """The rows with ``fresh`` trees in their margins, and with the derivatives of the coming round.
 
@@ -455,16 +465,16 @@ def _advance(
     def move(batches):
         added, taken_out = shipped.value
         for batch in batches:
-            bins = _bins(batch, width)
-            margin = _added(_lists(batch.column("margin"), batch.num_rows), bins, added)
+            cells = layout.cells_of(batch)
+            margin = _added(lists(batch.column("margin"), batch.num_rows), cells, added, layout.raw)
             label = batch.column("label").to_numpy(zero_copy_only=False)
             weight = batch.column("weight").to_numpy(zero_copy_only=False)
             if p.subsample < 1.0:
                 weight = weight * (batch.column("drawn").to_numpy(zero_copy_only=False) < p.subsample)
-            g, h = objectives.gradients(objective, _added(margin, bins, taken_out), label, weight)
+            g, h = objectives.gradients(objective, _added(margin, cells, taken_out, layout.raw), label, weight)
             offsets = pa.array(np.arange(0, margin.size + 1, margin.shape[1], dtype=np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in (margin, g, h)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists], names=[*kept, "margin", "g", "h"])
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(v.ravel())) for v in (margin, g, h)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], names=[*kept, "margin", "g", "h"])
 
     schema = T.StructType([table.schema[c] for c in kept])
     for name in ("margin", "g", "h"):
