@@ -265,11 +265,12 @@ class TreeEnsemble:
     def split_table(self, spark: SparkSession) -> DataFrame:
         """All nodes as rows; model-sized."""
         rows = [
-            (r, o, n, t.feature[n], t.threshold[n], t.gain[n], t.value[n], self.scales[r])
+            (r, o, n, t.feature[n], t.threshold[n], t.gain[n], t.value[n], self.scales[r], t.missing[n] > 0)
             for r, trees in enumerate(self.rounds) for o, t in enumerate(trees) for n in range(len(t.feature))
         ]
         return local_table(
-            spark, rows, "round int, output int, node int, feature int, threshold double, gain double, value double, scale double"
+            spark, rows,
+            "round int, output int, node int, feature int, threshold double, gain double, value double, scale double, missing_left boolean",
         )
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from gradloom.functions.hashing import draw
 from gradloom.functions.schedules import rate_column
+from gradloom.functions.vectors import dense_to_sparse
 from gradloom.plans.booster import BoostedModel
+from gradloom.plans.cells import weighted_edges
 from gradloom.plans.network import NetworkModel, network_gradient
 from gradloom.plans.repository import RunFolder
 from gradloom.plans.solver import RULES, SolverConfig
 from gradloom.plans.training import NeuralNetwork, SoftmaxRegression
 from gradloom.session import local_table, scratch_path
+from gradloom.sources.svmlight import read_svmlight, write_svmlight
 from workbook.inputs import (
     NCLASSES,
     WIDTH,
@@ -88,15 +91,16 @@ def _line_features(spark, sf_dir, label, columns, row_id=None):
     return rows.select(*ids, label.alias("label"), F.array(*[F.col(c).cast("double") for c in columns]).alias("features"))
 
 
-def _nodes(spark, model):
+def _nodes(spark, model, *more):
     nodes = model.model.split_table(spark)
     return nodes.select(
         "round", "output", "node", "feature", R6("threshold").alias("threshold"), F.round("gain", 4).alias("gain"),
-        R6("value").alias("value"), R6("scale").alias("scale"),
+        R6("value").alias("value"), R6("scale").alias("scale"), *more,
     )
 
 
 FOUR = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+CUT_BINS = 16
 
 
 def _open_label():
@@ -269,11 +273,45 @@ def c21_minibatches(spark, sf_dir):
     return weight_rows(spark, model.model.weights)
 
 
+def c22_exact_cuts(spark, sf_dir):
+    """Trees on a column of nearly as many values as rows, each of them tried as a cut."""
+    rows = dealt_table(spark, sf_dir, "lineitem", "l_extendedprice", "l_quantity", "l_linestatus").select(
+        _open_label().alias("label"), F.array("l_extendedprice", F.col("l_quantity").cast("double")).alias("features")
+    )
+    model = BoostedModel()
+    model.fit(rows, objective="binary:logistic", iterations=2, max_depth=2, tree_method="exact", test_interval=0)
+    return _nodes(spark, model)
+
+
+def c23_weighted_cuts(spark, sf_dir):
+    """Cuts at even steps of a weight, as ``tree_method="approx"`` proposes them from second derivatives."""
+    rows = dealt_table(spark, sf_dir, "lineitem", *FOUR, "l_extendedprice").select(
+        F.array(*[F.col(c).cast("double") for c in FOUR]).alias("features"), F.col("l_extendedprice").cast("double").alias("w")
+    )
+    edges = weighted_edges(rows, len(FOUR), CUT_BINS, weight="w")
+    cuts = [(f, float(v)) for f, held in enumerate(edges) for v in held]
+    return local_table(spark, cuts, "f int, cut double")
+
+
+def c24_boosted_sparse(spark, sf_dir):
+    """Trees on svmlight rows whose absent entries are missing and go to the better side."""
+    rows = dense_to_sparse(_line_features(spark, sf_dir, _open_label(), FOUR))
+    path = scratch_path(spark, "sparse")
+    write_svmlight(rows, path)
+    model = BoostedModel()
+    model.fit(
+        read_svmlight(spark, path), objective="binary:logistic", iterations=2, max_depth=2, absent="missing",
+        num_feature=len(FOUR), test_interval=0,
+    )
+    return _nodes(spark, model, "missing_left")
+
+
 QUERIES = [
     c01_softmax_gradient, c02_fit_softmax, c03_fit_mlp, c04_boosted_binary, c05_boosted_multiclass,
     c06_boosted_squared, c07_boosted_logistic_target, c08_dart, c09_linear_booster, c10_booster_parameters,
     c11_solver_rules, c12_lr_schedule, c13_weight_decay, c14_periodic_evaluation, c15_snapshots, c16_resume,
-    c17_start_from_snapshot, c18_refit, c19_regression, c20_training_log, c21_minibatches,
+    c17_start_from_snapshot, c18_refit, c19_regression, c20_training_log, c21_minibatches, c22_exact_cuts,
+    c23_weighted_cuts, c24_boosted_sparse,
 ]
 
 
@@ -286,8 +324,11 @@ def _weights_sql(name: str) -> str:
 def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, depth: int, outputs: int = 1, base: float = 0.0,
                eta: float = 0.3, lam: float = 1.0, alpha: float = 0.0, gamma: float = 0.0, child: float = 1.0,
                step: float = 0.0, weight: str = "1.0::DOUBLE", subsample: float = 1.0, colsample: float = 1.0,
-               drop: float | None = None, seed: int = 0) -> str:
-    """Boosting round by round and level by level; every distinct value is tried as a cut."""
+               drop: float | None = None, seed: int = 0, missing: bool = False) -> str:
+    """Boosting round by round and level by level; every distinct value is tried as a cut.
+
+    With ``missing``, null values are tried on either side of each cut.
+    """
     def shrink(g):
         return f"sign({g}) * greatest(abs({g}) - {alpha}, 0)"
 
@@ -312,6 +353,20 @@ def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, dept
     ]
     scales: list[float] = []
 
+    def cumulated(k):
+        """Sums left of every cut and of the whole node; with ``missing`` each cut twice, the missing rows right (side 0) or left."""
+        right = (
+            f"SELECT o, node, f, v, 0 AS side, sum(g) OVER a AS gl, sum(h) OVER a AS hl, sum(g) OVER b AS gt, sum(h) OVER b AS ht FROM v{k} "
+            "WINDOW a AS (PARTITION BY o, node, f ORDER BY v NULLS LAST), b AS (PARTITION BY o, node, f)"
+        )
+        if not missing:
+            return right
+        holes = f"(SELECT o, node, f, g AS gm, h AS hm FROM v{k} WHERE v IS NULL)"
+        return (
+            f"WITH r AS ({right}) SELECT * FROM r WHERE v IS NOT NULL UNION ALL "
+            f"SELECT o, node, f, v, 1, gl + gm, hl + hm, gt, ht FROM r JOIN {holes} USING (o, node, f) WHERE v IS NOT NULL"
+        )
+
     def margins(factors):
         terms = "".join(f" + {f!r}::DOUBLE * coalesce(t{i}.value, 0)" for i, f in enumerate(factors) if f)
         joins = "".join(f" JOIN leaf{i} t{i} USING (id, o)" for i, f in enumerate(factors) if f)
@@ -335,13 +390,12 @@ def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, dept
             parts.append(
                 f"v{k} AS (SELECT o, node, f, v + 0.0 AS v, sum(g) AS g, sum(h) AS h FROM n{k} JOIN g{n} USING (id, o) JOIN x USING (id) "
                 f"WHERE born = {level} GROUP BY ALL), "
-                f"c{k} AS (SELECT o, node, f, v, sum(g) OVER a AS gl, sum(h) OVER a AS hl, sum(g) OVER b AS gt, sum(h) OVER b AS ht FROM v{k} "
-                f"WINDOW a AS (PARTITION BY o, node, f ORDER BY v), b AS (PARTITION BY o, node, f)), "
+                f"c{k} AS ({cumulated(k)}), "
                 f"q{k} AS (SELECT *, 0.5 * ({part('gl', 'hl')} + {part('(gt - gl)', '(ht - hl)')} - {part('gt', 'ht')}) - {gamma} AS gain "
                 f"FROM c{k} WHERE hl >= {child} AND ht - hl >= {child} AND {open_}), "
                 f"s{k} AS MATERIALIZED (SELECT *, {1 if level == 0 else 3} + 2 * (row_number() OVER (PARTITION BY o ORDER BY node) - 1) AS kid FROM ("
-                f"SELECT * FROM q{k} WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY o, node ORDER BY round(gain, 9) DESC, f, v) = 1)), "
-                f"n{n}_{level + 1} AS MATERIALIZED (SELECT n.id, n.o, CASE WHEN s.kid IS NULL OR n.born < {level} THEN n.node ELSE s.kid + (x.v > s.v)::INT END AS node, "
+                f"SELECT * FROM q{k} WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY o, node ORDER BY round(gain, 9) DESC, f, side, v) = 1)), "
+                f"n{n}_{level + 1} AS MATERIALIZED (SELECT n.id, n.o, CASE WHEN s.kid IS NULL OR n.born < {level} THEN n.node ELSE s.kid + coalesce(x.v > s.v, s.side = 0)::INT END AS node, "
                 f"CASE WHEN s.kid IS NULL OR n.born < {level} THEN n.born ELSE {level + 1} END AS born "
                 f"FROM n{k} n LEFT JOIN s{k} s ON n.o = s.o AND n.node = s.node LEFT JOIN x ON x.id = n.id AND x.f = s.f)"
             )
@@ -349,7 +403,7 @@ def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, dept
         for level in range(depth):
             values.append(f"SELECT o, kid, {leaf('gl', 'hl')} FROM s{n}_{level}")
             values.append(f"SELECT o, kid + 1, {leaf('(gt - gl)', '(ht - hl)')} FROM s{n}_{level}")
-        splits = " UNION ALL ".join(f"SELECT o, node, f, v, gain FROM s{n}_{level}" for level in range(depth))
+        splits = " UNION ALL ".join(f"SELECT o, node, f, v, gain, side FROM s{n}_{level}" for level in range(depth))
         parts.append(f"val{n} AS MATERIALIZED (SELECT o, node, any_value(value) AS value FROM ({' UNION ALL '.join(values)}) GROUP BY o, node)")
         parts.append(f"spl{n} AS ({splits})")
         parts.append(f"leaf{n} AS MATERIALIZED (SELECT id, o, value FROM n{n}_{depth} JOIN val{n} USING (o, node))")
@@ -358,7 +412,7 @@ def _trees_sql(label: str, columns: list[str], objective: str, rounds: int, dept
         scales.append(1.0 / (len(dropped) + eta) if dropped else 1.0)
     rows = [
         f"SELECT {n} AS round, o::INT AS output, node::INT AS node, coalesce(f, -1)::INT AS feature, coalesce(round(v, 6), 0)::DOUBLE AS threshold, "
-        f"coalesce(round(gain, 4), 0)::DOUBLE AS gain, round(value, 6) + 0.0 AS value, round({scales[n]!r}::DOUBLE, 6) AS scale "
+        f"coalesce(round(gain, 4), 0)::DOUBLE AS gain, round(value, 6) + 0.0 AS value, round({scales[n]!r}::DOUBLE, 6) AS scale{', coalesce(side, 0) = 1 AS missing_left' if missing else ''} "
         f"FROM val{n} LEFT JOIN spl{n} USING (o, node)"
         for n in range(rounds)
     ]
@@ -465,6 +519,14 @@ WITH {X_SQL}, {softmax_chain(3, [1.0, 1.0, 0.5], mu=0.9, decay=0.01, class_weigh
         _Y, FOUR, "binary:logistic", 2, 2, eta=0.1, lam=2.0, alpha=1.0, gamma=0.01, child=100, step=0.005, subsample=0.7,
         colsample=0.5, seed=4, weight="CASE l_linestatus WHEN 'O' THEN 1.02::DOUBLE ELSE 1::DOUBLE END",
     ),
+    "c22_exact_cuts": _trees_sql(_Y, ["l_extendedprice", "l_quantity"], "binary:logistic", 2, 2),
+    "c23_weighted_cuts": " UNION ALL ".join(
+        f"SELECT DISTINCT {f} AS f, cut FROM (SELECT min(v) AS cut FROM ("
+        f"SELECT v, sum(w) OVER (ORDER BY v) AS upto, sum(w) OVER () AS whole FROM (SELECT {c}::DOUBLE AS v, sum(l_extendedprice) AS w "
+        f"FROM lineitem GROUP BY 1)), range(1, {CUT_BINS}) k(i) WHERE upto >= whole * i / {CUT_BINS} * (1 - 1e-12) GROUP BY i)"
+        for f, c in enumerate(FOUR)
+    ),
+    "c24_boosted_sparse": _trees_sql(_Y, [f"nullif({c}, 0)" for c in FOUR], "binary:logistic", 2, 2, missing=True),
     "c11_solver_rules": f"WITH {X_SQL}, "
     + ", ".join(
         softmax_chain(2, [0.1, 0.1], rule, 0.9 if rule in ("SGD", "NESTEROV") else 0.0, tag=f"_{rule}_") for rule in RULES
