@@ -23,6 +23,16 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front as long as the table has such a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
     """``gradloom.session.map_arrow`` in ``bounded_batches``.
 

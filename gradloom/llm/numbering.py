@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradloom.llm.batches import map_arrow
+from gradloom.llm.batches import map_arrow, unused
 from gradloom.llm.kernels import local_ranks
 from gradloom.session import reliable_checkpoint
 
@@ -25,7 +25,8 @@ def number_in_groups(df: DataFrame, group: str, out: str) -> DataFrame:
 
 def number_placed(checkpointed: DataFrame, group: str, out: str) -> DataFrame:
     """``number_in_groups`` for a table that is checkpointed already."""
-    placed = checkpointed.withColumn("_part", F.spark_partition_id())
+    part, local, start, n = unused(checkpointed, "_part", "_local", "_start", "_n")
+    placed = checkpointed.withColumn(part, F.spark_partition_id())
     at = placed.columns.index(group)
 
     def rank(batches):
@@ -33,15 +34,11 @@ def number_placed(checkpointed: DataFrame, group: str, out: str) -> DataFrame:
         for batch in batches:
             ranks = local_ranks(batch.column(at).to_numpy(zero_copy_only=False), seen)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ranks)], names=[*batch.schema.names, "_local"]
+                [*batch.columns, pa.array(ranks)], names=[*batch.schema.names, local]
             )
 
-    counts = placed.groupBy("_part", group).agg(F.count("*").alias("_n"))
-    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_part", group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    ranked = map_arrow(placed, rank, T.StructType([*placed.schema.fields, T.StructField("_local", T.LongType())]))
-    return (
-        ranked.join(starts, ["_part", group])
-        .withColumn(out, F.col("_start") + F.col("_local"))
-        .drop("_part", "_local", "_start")
-    )
+    counts = placed.groupBy(part, group).agg(F.count("*").alias(n))
+    before = W.partitionBy(group).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(part, group, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    ranked = map_arrow(placed, rank, T.StructType([*placed.schema.fields, T.StructField(local, T.LongType())]))
+    return ranked.join(starts, [part, group]).withColumn(out, F.col(start) + F.col(local)).drop(part, local, start)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradloom.llm.batches import map_arrow
+from gradloom.llm.batches import map_arrow, unused
 from gradloom.llm.kernels import slices
 from gradloom.session import reliable_checkpoint
 
@@ -18,10 +18,14 @@ KINDS = ("email", "ip", "card", "phone")
 CARD_DIGITS, PHONE_DIGITS, IP_PART = (14, 19), (10, 15), 255
 # Kind of what only contexts find.
 FOUND = "id"
-# Rounds over the graph of patterns and instances; what a pattern needs to be trusted; what an instance needs.
-ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 4, 0.8, 0.8
-# Shortest identifier looked at, in characters.
-MIN_IDENTIFIER = 6
+# What a pattern needs to be trusted (distinct surfaces, confidence); what an instance needs.
+MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 4, 0.8, 0.8
+# What a candidate that nothing speaks for counts against a pattern, where a plain word counts one.
+OPEN_WEIGHT = 0.5
+# Shortest identifier looked at and shortest assigned secret that is a seed, in characters.
+MIN_IDENTIFIER, MIN_SECRET = 6, 16
+# Context words that are broadcast after counting them; more are shuffled.
+SHIPPED_WORDS = 200_000
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -32,12 +36,14 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 WORD = re.compile(r"[^ \t-\r]+")
 HAS_DIGIT = re.compile("[0-9]")
 NOT_DIGIT = re.compile("[^0-9]")
+SECRET = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_+/=.-]+")
+ASSIGNED = ("=", ":")
 EDGE = "\"'()[]{}<>.,;:!?*#$%&|"
 
 FOUND_SCHEMA = (
     "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, "
     "base array<struct<start:bigint,kind:int,end:bigint>>, "
-    "mentions array<struct<start:bigint,end:bigint,surface:string,seed:boolean,patterns:array<string>>>"
+    "mentions array<struct<start:bigint,end:bigint,surface:string,seed:boolean,secret:boolean,patterns:array<string>>>"
 )
 
 
@@ -93,7 +99,8 @@ def luhn(digits: str) -> bool:
 def mentions_of(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     """Identifiers with their lexical patterns: base matches as seeds, and other words that hold a digit as candidates.
 
-    A pattern is one of: the word before, the two words before, the word after, the words around; lower case, without
+    A candidate that has the look of a secret (``MIN_SECRET`` characters or more, letters and digits) and stands behind ``=``
+    or ``:`` is marked: it supports patterns as a seed does, but comes out only where a pattern is trusted. A pattern is one of: the word before, the two words before, the word after, the words around; lower case, without
     punctuation at word ends unless a word is nothing else. Where base matches overlap, the first one is the seed.
     """
     if not spans and not HAS_DIGIT.search(text):
@@ -125,7 +132,9 @@ def mentions_of(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         behind = _plain(text[slice(*words[after])]) if after < len(words) else "$"
         far, near = before[-2:]
         patterns = [f"{near} _", f"{far} {near} _", f"_ {behind}", f"{near} _ {behind}"]
-        rows.append({"start": start, "end": end, "surface": text[start:end].lower(), "seed": seed, "patterns": patterns})
+        assigned = i > 0 and text[slice(*words[i - 1])].endswith(ASSIGNED)
+        secret = not seed and assigned and end - start >= MIN_SECRET and SECRET.fullmatch(text, start, end) is not None
+        rows.append({"start": start, "end": end, "surface": text[start:end].lower(), "seed": seed, "secret": secret, "patterns": patterns})
     return rows
 
 
@@ -153,7 +162,7 @@ def scan_documents(documents: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in FOUND_SCHEMA.split(", ")]
     text = pa.string()
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-    mention = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("surface", text), ("seed", pa.bool_()), ("patterns", pa.list_(text))])
+    mention = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("surface", text), ("seed", pa.bool_()), ("secret", pa.bool_()), ("patterns", pa.list_(text))])
     kinds = [pa.int64()] * 4 + [text, pa.list_(span), pa.list_(mention)]
 
     def scan(batches):
@@ -168,52 +177,82 @@ def scan_documents(documents: DataFrame) -> DataFrame:
     return map_arrow(rows, scan, f"doc_id {kind}, text_key bigint, {FOUND_SCHEMA}")
 
 
-def trusted_mentions(mentions: DataFrame) -> DataFrame:
-    """Of (surface, seed, pattern, …) rows, the candidates that trusted patterns reach.
+def context_words(patterns: DataFrame, texts: DataFrame) -> DataFrame:
+    """pattern and context: how often its rarest context word stands in the texts, so how many words its slot may hold at most.
 
-    The graph joins patterns with the distinct surfaces they were seen around. A pattern's confidence is the summed score of
-    its surfaces over their number plus one; it is trusted with ``MIN_SEEDS`` surfaces of score ``MIN_SCORE`` or more
-    and ``MIN_CONFIDENCE``. A surface scores one minus the product of (1 - confidence) over its trusted patterns;
-    seeds score 1. Each round scores patterns from surfaces and surfaces from patterns, so patterns that seeds
-    support find identifiers, and these support further patterns. Both sums are combined in map tasks first.
+    Words of the texts are cut and stripped as those of patterns; places before the first and behind the last word count as
+    everywhere. Only words that patterns name are counted, in map tasks first.
     """
-    edges = reliable_checkpoint(
-        mentions.groupBy("pattern", "surface").agg(F.max(F.col("seed").cast("double")).alias("seed"))
-    )
-    scored = edges.withColumn("score", F.col("seed"))
-    for _ in range(ROUNDS):
+    named = patterns.select("pattern", F.explode(F.split("pattern", " ")).alias("word")).where("word NOT IN ('_', '^', '$')").distinct()
+    wanted = reliable_checkpoint(named.select("word").distinct())
+    few = wanted.limit(SHIPPED_WORDS + 1).count() <= SHIPPED_WORDS
+    words = texts.select(F.explode(F.split(F.lower("text"), "[ \\t-\\r]+")).alias("raw")).where("raw <> ''")
+    stripped = F.btrim("raw", F.lit(EDGE))
+    words = words.select(F.when(stripped == "", F.col("raw")).otherwise(stripped).alias("word"))
+    counts = words.join(F.broadcast(wanted) if few else wanted, "word", "left_semi").groupBy("word").count()
+    return named.join(counts, "word").groupBy("pattern").agg(F.min("count").alias("context"))
+
+
+def trusted_mentions(mentions: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of (surface, seed, secret, pattern, ...) rows, the candidates whose surface trusted patterns reach, wherever they stand.
+
+    The graph joins patterns with the surfaces they were seen around. A pattern's confidence is the number of its mentions,
+    each times the score of its surface, over that number, one, the plain words that stand in its context (``context_words``) and
+    ``OPEN_WEIGHT`` of the candidates that are not accepted: what often has plain words in its slot is never trusted. It is trusted with ``MIN_SEEDS`` surfaces of score ``MIN_SCORE`` or more and
+    ``MIN_CONFIDENCE``. A surface scores one minus the product of (1 - confidence) over its trusted patterns; base matches and
+    assigned secrets score 1 for patterns. Rounds score patterns from surfaces and surfaces from patterns; scores only grow, and
+    rounds end when no further surface is accepted. Sums are combined in map tasks first.
+    """
+    seed = (F.col("seed") | F.col("secret")).cast("double")
+    edges = mentions.groupBy("pattern", "surface").agg(F.max(seed).alias("seed"), F.max("seed").alias("base"), F.count("*").alias("c"))
+    # Patterns that no round can trust: too few surfaces altogether.
+    several = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("seed").alias("seeds")).where(F.col("n") >= MIN_SEEDS)
+    edges = reliable_checkpoint(edges.join(several.select("pattern"), "pattern"))
+    context = context_words(edges.groupBy("pattern").agg(F.sum("c").alias("c")), texts)
+    total = edges.groupBy("pattern").agg(F.sum("c").alias("all")).join(context, "pattern")
+    # Nor those whose slot holds plain words for the most part.
+    total = total.select("pattern", "all", F.greatest("all", "context").alias("n")).where(F.col("all") >= MIN_CONFIDENCE * (F.col("n") + 1))
+    edges = reliable_checkpoint(edges.join(total.select("pattern", "n"), "pattern"))
+    scored, known = edges.withColumn("score", F.col("seed")), -1
+    while True:
         confidence = (
-            scored.groupBy("pattern")
-            .agg(F.sum("score").alias("sum"), F.count("*").alias("n"), F.sum((F.col("score") >= MIN_SCORE).cast("int")).alias("seeds"))
-            .select("pattern", (F.col("sum") / (F.col("n") + 1)).alias("confidence"), "seeds")
+            scored.groupBy("pattern", "n")
+            .agg(
+                F.sum(F.col("c") * F.col("score")).alias("sum"), F.sum("c").alias("all"),
+                F.sum((F.col("score") >= MIN_SCORE).cast("int")).alias("seeds"),
+            )
+            .withColumn("against", F.col("n") - F.col("all") + OPEN_WEIGHT * (F.col("all") - F.col("sum")))
+            .select("pattern", (F.col("sum") / (F.col("sum") + F.col("against") + 1)).alias("confidence"), "seeds")
             .where((F.col("seeds") >= MIN_SEEDS) & (F.col("confidence") >= MIN_CONFIDENCE))
             .select("pattern", "confidence")
         )
-        trusted = reliable_checkpoint(confidence)
         doubt = F.exp(F.sum(F.ln(1 - F.col("confidence"))))
-        found = edges.where("seed = 0").join(trusted, "pattern").groupBy("surface").agg((1 - doubt).alias("found"))
+        found = edges.where("NOT base").join(confidence, "pattern").groupBy("surface").agg((1 - doubt).alias("found"))
+        found = reliable_checkpoint(found.where(F.col("found") >= MIN_SCORE))
+        accepted = found.count()
+        if accepted == known:
+            break
+        known = accepted
         scored = reliable_checkpoint(
-            edges.join(found, "surface", "left").select(
-                "pattern", "surface", "seed", F.greatest("seed", F.coalesce("found", F.lit(0.0))).alias("score")
-            )
+            edges.join(found, "surface", "left").withColumn("score", F.greatest("seed", F.coalesce("found", F.lit(0.0)))).drop("found")
         )
-    accepted = scored.where((F.col("seed") == 0) & (F.col("score") >= MIN_SCORE)).select("surface").distinct()
-    return mentions.where(~F.col("seed")).join(trusted.select("pattern"), "pattern").join(accepted, "surface")
+    return mentions.where(~F.col("seed")).join(found.select("surface"), "surface")
 
 
-def find_personal_data(documents: DataFrame) -> DataFrame:
+def find_personal_data(documents: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, text_key, counts and digest of base matches, and ``spans`` (start, kind, end).
 
     ``spans`` holds all base matches and what contexts add (kind ``len(KINDS)``), by start and kind. A null text has none;
     repeated rows get the same spans; an empty table stays empty. A candidate on top of a base match is never added.
+    Context words are counted in ``texts``, by default those of the documents.
     """
     scanned = reliable_checkpoint(scan_documents(documents))
     mentions = scanned.where(F.size("mentions") > 0).select("doc_id", "text_key", F.explode("mentions").alias("m")).select(
-        "doc_id", "text_key", "m.start", "m.end", "m.surface", "m.seed", F.explode("m.patterns").alias("pattern")
+        "doc_id", "text_key", "m.start", "m.end", "m.surface", "m.seed", "m.secret", F.explode("m.patterns").alias("pattern")
     )
     span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("kind"), F.col("end"))
     extra = (
-        trusted_mentions(mentions)
+        trusted_mentions(mentions, (documents if texts is None else texts).where("text IS NOT NULL"))
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set(span).alias("extra"))
         .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "extra")
@@ -240,12 +279,13 @@ def redact(documents: DataFrame) -> DataFrame:
     """
     may_hold = F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False))
     suspects = documents.where(may_hold)
-    found = find_personal_data(suspects).where(F.size("spans") > 0)
-    spans = found.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(F.first("spans").alias("_spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key(F.col("text")) == F.col("_key"))
-    joined = suspects.join(spans, same, "left").drop("_doc", "_key")
-    schema = joined.drop("_spans").schema
-    at, where = joined.columns.index("text"), joined.columns.index("_spans")
+    found = find_personal_data(suspects, documents).where(F.size("spans") > 0)
+    doc, key, held = unused(documents, "_doc", "_key", "_spans")
+    spans = found.groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).agg(F.first("spans").alias(held))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (text_key(F.col("text")) == F.col(key))
+    joined = suspects.join(spans, same, "left").drop(doc, key)
+    schema = joined.drop(held).schema
+    at, where = joined.columns.index("text"), joined.columns.index(held)
 
     def replace(batches):
         for batch in batches:

@@ -15,6 +15,7 @@ from gradloom.llm.batches import map_arrow
 from gradloom.llm.kernels import (
     Texts, Words, mix, segment_sums, slices, window_hashes, windows_inside,
 )
+from gradloom.session import local_table
 
 WINDOW = 5
 # Fixed values of the rules.
@@ -238,34 +239,49 @@ def _marginals(scores: np.ndarray, step: np.ndarray, places: list[np.ndarray], w
 def fit_line_field(documents: DataFrame, labels: DataFrame) -> LineField:
     """Fit on a bounded sample: the first ``FIT_DOCUMENTS`` labelled documents in seeded hash order, ``FIT_LINES`` lines.
 
-    Lines carry the quality label of their document. Only features of the sample reach the driver. Labels that are null
-    or not 0 or 1, and labels without a document, are left out.
+    Lines carry the quality label of their document. Lines are counted first; documents are taken in hash order while their
+    sum stays within ``FIT_LINES``, and one that does not fit is passed over. Only the features of those taken reach the driver. Of several
+    texts of a doc_id the one with the least digest counts. Labels that are null or not 0 or 1, and labels without a
+    document, are left out; ids may be of any type.
     """
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     some = (
-        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-        .select("doc_id", F.col("quality").cast("int").alias("_y"))
-        .orderBy(seeded_md5(0, F.col("doc_id")), "doc_id")
+        known.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("y"))
+        .select("doc_id", "y", seeded_md5(0, F.col("doc_id")).alias("place"))
+        .orderBy("place", "doc_id")
         .limit(FIT_DOCUMENTS)
     )
-    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("doc_id", "text", "_y")
-
-    def lines(batches):
-        for whole in batches:
-            for batch in slices(whole):
-                found = measure(batch.column("text"))
-                ends = found.line_bounds.tolist()
-                packed = [found.features[a:b][:FIT_LINES].tobytes() for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(packed, pa.binary()), batch.column("_y")], names=["doc_id", "lines", "y"]
-                )
-
-    sequences, held = [], 0
-    for row in sorted(map_arrow(rows, lines, "doc_id bigint, lines binary, y int").collect(), key=lambda r: (r["doc_id"], r["lines"])):
-        features = np.frombuffer(row["lines"]).reshape(-1, len(FEATURES))
-        if held + len(features) <= FIT_LINES:
-            held += len(features)
-            sequences.append((features, row["y"]))
-    return fit_field(sequences)
+    key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
+    rows = documents.select("doc_id", "text", key).join(F.broadcast(some), "doc_id").select("doc_id", "place", "key", "y", "text")
+
+    def lines(kept: bool):
+        def run(batches):
+            for whole in batches:
+                for batch in slices(whole):
+                    found = measure(batch.column("text"))
+                    ends = found.line_bounds
+                    held = [found.features[a:b].tobytes() if kept else None for a, b in zip(ends.tolist(), ends[1:].tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns[:4], pa.array(np.diff(ends).astype(np.int64)), pa.array(held, pa.binary())],
+                        names=["doc_id", "place", "key", "y", "n", "lines"],
+                    )
+
+        return run
+
+    schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, place string, key bigint, y int, n bigint, lines binary"
+    counted = map_arrow(rows, lines(False), schema).groupBy("doc_id", "place").agg(F.min(F.struct("key", "n")).alias("one"))
+    taken, held = [], 0
+    for row in sorted(counted.select("doc_id", "place", "one.*").collect(), key=lambda r: (r["place"], str(r["doc_id"]))):
+        if held + row["n"] <= FIT_LINES:
+            held += row["n"]
+            taken.append((row["place"], row["key"]))
+    if not taken:
+        return fit_field([])
+    chosen = F.broadcast(local_table(documents.sparkSession, taken, "place string, key bigint"))
+    found = map_arrow(rows.join(chosen, ["place", "key"]).select(*rows.columns), lines(True), schema)
+    single = found.groupBy("place", "key").agg(F.first("lines").alias("lines"), F.first("y").alias("y"))
+    features = sorted(single.collect(), key=lambda r: (r["place"], r["key"]))
+    return fit_field([(np.frombuffer(r["lines"]).reshape(-1, len(FEATURES)), r["y"]) for r in features])
 
 
 def judge_quality(documents: DataFrame, field: LineField) -> DataFrame:

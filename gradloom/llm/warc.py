@@ -7,10 +7,11 @@ import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradloom.llm.batches import map_arrow
-
+from gradloom.session import local_table, reliable_checkpoint, scratch_path
 
 # Fixed values of the formats: gzip magic with the deflate method, header and record ends of WARC 1.1.
 MAGIC = b"\x1f\x8b\x08"
@@ -128,9 +129,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     Spark's text source deals files out by byte range and cuts them at gzip magic: each piece is a candidate member and
     belongs to the range it starts in. A task decodes a candidate and takes it as a record if its header is a WARC
     header; where the magic was a chance run inside of compressed bytes, pieces are joined until the member is
-    complete. What a range cannot finish (a chance magic right at its border) is one fragment per range end, and
-    fragments of a file are joined in a second step. Files must not end in ``.gz``, which Spark would unpack whole.
-    Members that are empty or hold no WARC record are skipped; an empty folder gives no rows.
+    complete. A member that a range cannot finish is decoded on with what the next range found before its first record
+    (one join of neighbouring ranges). Where that does not end it, the next range began inside of it and may have
+    taken members of an archive in its payload for its own: such a range is scanned again from the true end of the open
+    member, until all ranges agree. Files must not end in ``.gz``, which Spark would unpack whole. Members that are empty
+    or hold no WARC record are skipped; an empty folder gives no rows.
     """
     pieces = (
         spark.read.option("lineSep", MAGIC.decode("latin-1"))
@@ -142,93 +145,191 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("start"),
         )
     )
-    parsed = map_arrow(pieces, _scan_ranges, RECORD_SCHEMA + ", file string, start bigint, place int, fragment binary")
+    ranges = reliable_checkpoint(map_arrow(pieces, _range_ends, ENDS_SCHEMA))
+    # The range of a file in which the next piece starts: a window over one row of two numbers per range.
+    behind = W.partitionBy("file").orderBy("start")
+    ranges = ranges.join(reliable_checkpoint(ranges.select("file", "start").withColumn("next", F.lead("start").over(behind))), ["file", "start"])
     names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-    joined = parsed.where(F.col("file").isNotNull()).groupBy("file").applyInPandas(_join_fragments, RECORD_SCHEMA)
-    return parsed.where(F.col("file").isNull()).select(*names).unionByName(joined)
+    redone, tails = None, None
+    while True:
+        border = _borders(ranges, tails)
+        # A member that is still open: the range it runs into is redone. All before the first such range of a file is settled.
+        still = border.where("fragment IS NOT NULL").select("file", "start", "fragment")
+        ready = [tuple(r) for r in still.groupBy("file").agg(F.min("start").alias("start")).limit(REDONE_FILES).collect()]
+        if not ready:
+            break
+        again = local_table(spark, ready, "file string, start bigint")
+        carried = {(r["file"], r["start"]): bytes(r["fragment"]) for r in still.join(F.broadcast(again), ["file", "start"]).collect()}
+        written = scratch_path(spark, "redone")
+        shipped = spark.sparkContext.broadcast(carried)
+        found = map_arrow(pieces.join(F.broadcast(again), ["file", "start"]).select(*pieces.columns), _scan_on(shipped), FOUND_SCHEMA)
+        found.write.parquet(written)
+        new = spark.read.parquet(written)
+        redone = new if redone is None else redone.unionByName(new)
+        tails = redone.where("start IS NOT NULL").select("file", "start", F.col("fragment").alias("settled"))
+    done = set()
+    if tails is not None:
+        done = {(r["file"], r["start"]) for r in tails.select("file", "start").collect()}
+    shipped_done = spark.sparkContext.broadcast(done)
+    records = map_arrow(pieces, _scan_records(shipped_done), RECORD_SCHEMA).unionByName(border.where("fragment IS NULL").select(*names))
+    return records if redone is None else records.unionByName(redone.where("start IS NULL").select(*names))
+
+
+ENDS_SCHEMA = "file string, start bigint, head binary, tail binary"
+FOUND_SCHEMA = RECORD_SCHEMA + ", file string, start bigint, fragment binary"
+# Files of which a range is scanned again at once; each brings its open member to the driver.
+REDONE_FILES = 64
+
+
+def _borders(ranges: DataFrame, tails: DataFrame | None) -> DataFrame:
+    """Records that end behind their range, and what is open even then (``fragment``) at which range."""
+    ends = ranges.select("file", F.col("start").alias("own"), F.col("next").alias("start"), "tail")
+    heads = ranges.select("file", "start", "head")
+    if tails is not None:
+        settled = tails.select("file", F.col("start").alias("own"), "settled")
+        ends = ends.join(F.broadcast(settled), ["file", "own"], "left").withColumn(
+            "tail", F.when(F.col("settled").isNotNull(), F.col("settled")).otherwise(F.col("tail"))
+        )
+        heads = heads.join(F.broadcast(tails.select("file", "start")), ["file", "start"], "left_anti")
+    met = ends.where(F.length("tail") > 0).join(heads, ["file", "start"]).select("file", "start", "tail", "head")
+
+    def join(batches):
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                scan = RangeScan(False)
+                for piece in (bytes(row["tail"]) + bytes(row["head"])).split(MAGIC)[1:]:
+                    scan.feed(piece)
+                rows += [record for record in map(_parsed, scan.records) if record]
+                if scan.open:
+                    rows.append({"file": row["file"], "start": row["start"], "fragment": row["tail"]})
+            yield _rows(rows)
+
+    return reliable_checkpoint(map_arrow(met, join, FOUND_SCHEMA))
 
 
 class RangeScan:
-    """Pieces of one byte range in order: finished records, and the bytes at both ends that belong elsewhere."""
+    """Pieces of one byte range in order: finished records, the bytes before the first of them, and an open member."""
 
     def __init__(self, at_start: bool):
         self.records: list[bytes] = []
-        self.head, self.tail = b"", b""
         self.at_start, self.inside = at_start, False
-        self._open = None
+        self._head: list[bytes] = []
+        self._open, self._raw = None, []
+
+    @property
+    def head(self) -> bytes:
+        return b"".join(self._head)
+
+    @property
+    def open(self) -> bool:
+        return self._open is not None
+
+    @property
+    def tail(self) -> bytes:
+        """The bytes of the member that has not ended."""
+        return b"".join(self._raw) if self.open else b""
 
     def feed(self, piece: bytes) -> None:
         if self.at_start:  # what stands before the first magic of a file
             self.at_start = False
-            self.head += piece
+            self._head.append(piece)
             return
-        raw = MAGIC + piece
-        if self._open is not None:
-            before = self._raw
-            if self._decode(raw):
-                return
-            self._outside(before)
-        self._open, self._lead, self._parts, self._raw = zlib.decompressobj(31), b"", [], b""
-        if not self._decode(raw):
-            self._outside(raw)
-
-    def _outside(self, raw: bytes) -> None:
-        """Bytes that start no member: before the first record of a range they end a member of an earlier range."""
-        if not self.inside:
-            self.head += raw
+        waiting = [MAGIC + piece]
+        while waiting:
+            raw = waiting.pop()
+            if self._open is None:
+                self._open, self._lead, self._parts, self._raw = zlib.decompressobj(31), b"", [], []
+            self._raw.append(raw)
+            if not self._decode(raw):
+                # No member begins where one was taken to: the pieces behind that place are looked at again.
+                tried, self._open, self._raw = self._raw, None, []
+                if not self.inside:  # before the first record of a range they end a member of an earlier range
+                    self._head.append(tried[0])
+                waiting += tried[:0:-1]
 
     def _decode(self, raw: bytes) -> bool:
         """Feed bytes to the open candidate; False if it proves to be none."""
         try:
             data = self._open.decompress(raw)
         except zlib.error:
-            self._open = None
             return False
-        self._raw += raw
         self._lead = (self._lead + data[:5])[:5]
         if not b"WARC/".startswith(self._lead):
-            self._open = None
             return False
         self._parts.append(data)
         if self._open.eof:
             if self._lead:
                 self.records.append(b"".join(self._parts))
-            self.inside, self._open = True, None
+            self.inside, self._open, self._raw = True, None, []
         return True
 
-    def finish(self) -> None:
-        if self._open is not None:
-            self.tail = self._raw
-
 
-def _scan_ranges(batches):
+def _scans(batches, begin):
+    """(range, scan, whether the range is over) after every batch and range; ``begin(range)`` gives the scan of a new one."""
     scan, at = None, None
     for batch in batches:
-        out = []
         for piece, file, start in zip(*(c.to_pylist() for c in batch.columns)):
             if (file, start) != at:
                 if scan is not None:
-                    out += _leftovers(scan, at)
-                scan, at = RangeScan(start == 0), (file, start)
+                    yield at, scan, True
+                at = (file, start)
+                scan = begin(at)
             scan.feed(piece)
-            out += [_parsed(data) for data in scan.records]
-            scan.records.clear()
-        yield _rows([row for row in out if row])
+        if scan is not None:
+            yield at, scan, False
     if scan is not None:
-        yield _rows(_leftovers(scan, at))
+        yield at, scan, True
+
 
+def _range_ends(batches):
+    for (file, start), scan, over in _scans(batches, lambda at: RangeScan(at[1] == 0)):
+        scan.records.clear()
+        if over:
+            yield pa.RecordBatch.from_pydict({
+                "file": [file], "start": pa.array([start], pa.int64()),
+                "head": pa.array([scan.head], pa.binary()), "tail": pa.array([scan.tail], pa.binary()),
+            })
 
-def _leftovers(scan: RangeScan, at: tuple[str, int]) -> list[dict]:
-    scan.finish()
-    ends = [(0, scan.head), (1, scan.tail)]
-    return [{"file": at[0], "start": at[1], "place": place, "fragment": data} for place, data in ends if data]
+
+def _scan_records(done):
+    """Kernel: the records that start in a range and end there, but for ranges that are ``done``."""
+    names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
+
+    def run(batches):
+        for (file, start), scan, _ in _scans(batches, lambda at: RangeScan(at[1] == 0)):
+            rows = [] if (file, start) in done.value else [row for row in map(_parsed, scan.records) if row]
+            scan.records.clear()
+            yield _rows(rows).select(names)
+
+    return run
+
+
+def _scan_on(carried):
+    """Kernel: all records of ranges that begin inside of a member, from that member on, and what is open at their ends."""
+
+    def begin(at):
+        scan = RangeScan(False)
+        for piece in carried.value[at[0], at[1]].split(MAGIC)[1:]:
+            scan.feed(piece)
+        return scan
+
+    def run(batches):
+        for (file, start), scan, over in _scans(batches, begin):
+            rows = [row for row in map(_parsed, scan.records) if row]
+            scan.records.clear()
+            if over:
+                rows.append({"file": file, "start": start, "fragment": scan.tail})
+            yield _rows(rows)
+
+    return run
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     kinds = {
         "page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(),
         "payload_bytes": pa.int64(), "payload_digest": pa.string(), "payload": pa.binary(),
-        "file": pa.string(), "start": pa.int64(), "place": pa.int32(), "fragment": pa.binary(),
+        "file": pa.string(), "start": pa.int64(), "fragment": pa.binary(),
     }
     return pa.RecordBatch.from_pydict({k: pa.array([r.get(k) for r in rows], t) for k, t in kinds.items()})
 
@@ -253,18 +354,3 @@ def _parsed(data: bytes) -> dict | None:
         "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest(),
         "payload": None if revisit else payload,
     }
-
-
-def _join_fragments(frame):
-    """Members cut by range borders: the tail of a range and the heads that follow it. One group is the few fragments of a file."""
-    import pandas as pd
-
-    scan = RangeScan(False)
-    for fragment in frame.sort_values(["start", "place"])["fragment"]:
-        for i, piece in enumerate(bytes(fragment).split(MAGIC)):
-            if i:
-                scan.feed(piece)
-    rows = [row for row in map(_parsed, scan.records) if row]
-    names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-    out = pd.DataFrame([[r[n] for n in names] for r in rows], columns=names)
-    return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})

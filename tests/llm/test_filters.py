@@ -51,6 +51,64 @@ def test_contexts_find_unseen_identifiers(spark):
     assert out[21]["text"] == texts[21] and out[3]["n_chars"] == len(out[3]["text"])
 
 
+def test_contexts_tell_secrets_from_plain_numbers(spark):
+    """Seeds and unseen identifiers share contexts; stop words stand before seeds and plain words alike."""
+    rng, texts, planted = random.Random(1), [], set()
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    for i in range(100):
+        texts.append(f'{sentence(4, i)} token = "{hexes(30)}a1" of {sentence(6, 1100 + i)} of 10.0.0.{i} the end of {sentence(3, 1200 + i)} of it')
+    for i in range(30):  # the same context, but no look of a secret
+        word = f"k{i}-{hexes(4)}"
+        planted.add((len(texts), word))
+        texts.append(f"{sentence(4, 300 + i)} token = {word} of {sentence(5, 400 + i)}")
+    decoys = len(texts)
+    texts += [f"{sentence(3, 500 + i)} of {10**11 + i} items of {sentence(4, 600 + i)} chapter {i}a{i}b{i} of it" for i in range(60)]
+    held = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(documents(spark, texts)).collect()}
+    found = {(d, texts[d][s["start"] : s["end"]]) for d, spans in held.items() for s in spans if s["kind"] == 4}
+    secrets = {(i, texts[i].split('"')[1]) for i in range(100)}
+    assert len(secrets & found) >= 97 and len(planted & found) >= 27  # digits inside of a few are a card number
+    assert not [f for f in found if f[0] >= decoys] and found <= secrets | planted
+
+
+def test_accepted_surfaces_are_marked_everywhere(spark):
+    texts = [f"{sentence(5, i)} account 10.0.0.{i} holds" for i in range(20)]
+    texts += ["account ZX-9917-Q holds", "also zx-9917-q elsewhere", "AB-9917-Q elsewhere"]
+    held = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(documents(spark, texts)).collect()}
+    assert [len(held[i]) for i in (20, 21, 22)] == [1, 1, 0]
+
+
+def test_redaction_does_not_mind_column_names(spark):
+    docs = documents(spark, ["x 10.0.0.1", "plain"]).selectExpr("*", "'k' AS _spans", "1 AS _doc", "2 AS text_key")
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and {r["text"] for r in out.collect()} == {"x <IP>", "plain"}
+
+
+def test_sample_of_the_field_is_bounded_and_takes_any_id(spark, monkeypatch):
+    from gradloom.llm import quality
+
+    rows = [(f"d{i}", "\n".join(["word " * 12 if i % 2 else "| # |"] * 30)) for i in range(40)] + [("huge", "a line\n" * 5000)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id string, text string")
+    labels = spark.createDataFrame([(d, int(d != "huge" and int(d[1:]) % 2), 0) for d, _ in rows], "doc_id string, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "FIT_LINES", 300)
+    monkeypatch.setattr(quality, "fit_field", lambda held: seen.extend(len(lines) for lines, _ in held))
+    quality.fit_line_field(docs, labels)
+    assert seen == [30] * 10
+
+
+def test_glued_documents_get_a_share_between(spark):
+    rng = random.Random(2)
+    good = ["\n".join(" ".join(rng.choice(["the", "river", "runs", "under", "old", "bridge", "slowly"]) for _ in range(12)) + "." for _ in range(20)) for _ in range(60)]
+    junk = ["\n".join(" | ".join(rng.choice(["HOME", "###", "LOGIN", "$$$", "<<>>", "MENU"]) for _ in range(4)) for _ in range(20)) for _ in range(60)]
+    docs = documents(spark, good + junk)
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    field = quality.fit_line_field(docs, labels)
+    glued = documents(spark, [f"{good[i]}\n{junk[i]}" for i in range(20)])
+    for r in quality.judge_quality(glued, field).collect():
+        good_words, junk_words = len(good[r["doc_id"]].split()), len(junk[r["doc_id"]].split())
+        assert abs(r["content_share"] - good_words / (good_words + junk_words)) < 0.1
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = documents(spark, AWKWARD, AWKWARD_IDS)
     out = pii.redact(docs)

@@ -144,6 +144,35 @@ def test_chance_magic_at_any_border_loses_no_record(spark, tmp_path):
         assert sorted((r["page_id"], r["payload_digest"]) for r in found) == want, size
 
 
+def test_archives_inside_of_payloads_are_not_taken_apart(spark, tmp_path, monkeypatch):
+    """A payload that is an archive itself, longer than many ranges, with another one inside, cut at every place."""
+
+    def record(page, body, level):
+        row = {"page_id": page, "url": "u", "digest": hashlib.sha256(body).hexdigest(), "record_type": "response", "refers_to": None, "payload": body}
+        return warc._gzip(warc._record(row), level)
+
+    nested = b"".join(record(99, bytes([65 + i]) * 30, 9) for i in range(3))
+    deeper = record(98, nested + b"tail", 0) + nested
+    bodies = [b"first", nested, b"between" * 9, deeper + nested[:150], b"last"]
+    monkeypatch.setattr(warc, "REDONE_FILES", 1)
+    for name, files in (("one", [bodies]), ("two", [bodies[:2], bodies[3:]])):
+        Path(tmp_path, name).mkdir()
+        want = []
+        for k, held in enumerate(files):
+            Path(tmp_path, name, f"part-{k}").write_bytes(b"".join(record(10 * k + i, b, 0) for i, b in enumerate(held)))
+            want += [(10 * k + i, hashlib.sha256(b).hexdigest()) for i, b in enumerate(held)]
+        for size in (400, 1500) if name == "one" else (700,):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            spark.conf.set("spark.sql.files.minPartitionNum", 1)
+            try:
+                found = warc.read_warc(spark, f"{tmp_path}/{name}").collect()
+            finally:
+                for conf in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+                    spark.conf.unset(f"spark.sql.files.{conf}")
+            assert sorted((r["page_id"], r["payload_digest"]) for r in found) == sorted(want), (name, size)
+
+
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
