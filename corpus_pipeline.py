@@ -42,14 +42,14 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay = elected(rows).select("doc_id", "text_key")
     keys = rows.groupBy("doc_id", "text_key").count()
     gone = _shipped(keys.join(stay, _same(keys, stay), "left_anti").select("doc_id", "text_key"))
-    kept = docs.join(gone, _same(docs, gone), "left_anti")
+    kept = docs.join(gone, _same(docs, gone, text_key(docs["text"])), "left_anti")
     again = keys.where("count > 1")
     again = reliable_checkpoint(again.join(stay, _same(again, stay), "left_semi").select("doc_id", "text_key"))
     if not again.head(1):
         return kept
     again = _shipped(again)
-    single = kept.join(again, _same(kept, again), "left_anti")
-    several = kept.join(again, _same(kept, again), "left_semi")
+    single = kept.join(again, _same(kept, again, text_key(kept["text"])), "left_anti")
+    several = kept.join(again, _same(kept, again, text_key(kept["text"])), "left_semi")
     one = several.groupBy("doc_id", text_key().alias("text_key")).agg(F.min(F.struct(*docs.columns)).alias("row"))
     return single.unionByName(one.select("row.*"))
 
@@ -76,9 +76,9 @@ def elected(rows: DataFrame) -> DataFrame:
         rows = reliable_checkpoint(rows)
 
 
-def _same(left: DataFrame, right: DataFrame):
-    """Whether two rows are of one doc_id, or both of none, and of one text."""
-    own = left["text_key"] if "text_key" in left.columns else text_key(left["text"])
+def _same(left: DataFrame, right: DataFrame, digest=None):
+    """Whether two rows are of one doc_id, or both of none, and of one text; ``digest`` of the left one, if it is no column."""
+    own = left["text_key"] if digest is None else digest
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (own == right["text_key"])
 
 
