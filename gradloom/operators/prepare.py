@@ -114,6 +114,23 @@ def categorical_apply(df: DataFrame, mapping: DataFrame, columns: Sequence[str])
     return df
 
 
+def categorical_entries(df: DataFrame, mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as one sparse row (``indices``, ``values``): one entry per column, whatever the number of its categories.
+
+    Categories of the first column have ids from 0, those of the next one follow. A value that the mapping lacks has no entry.
+    """
+    widths = {r["column"]: r["n"] for r in mapping.groupBy("column").agg(F.count("*").alias("n")).collect()}  # one row per column
+    start, codes = 0, []
+    for i, c in enumerate(columns):
+        places = mapping.where(F.col("column") == c).select(F.col("value").alias(c), (F.col("position") + start).alias(f"_code{i}"))
+        places = F.broadcast(places) if widths.get(c, 0) <= BROADCAST_ROWS else places
+        df = df.withColumn(c, F.col(c).cast("string")).join(places, c, "left")
+        codes.append(f"_code{i}")
+        start += widths.get(c, 0)
+    indices = F.array_compact(F.array(*codes))
+    return df.withColumn("indices", indices).withColumn("values", F.transform("indices", lambda _: F.lit(1.0))).drop(*codes, *columns)
+
+
 def csv_test_split(
     df: DataFrame, test_split: float, shuffle: bool = False, seed: int = 0, row_id: str = "row_id"
 ) -> DataFrame:

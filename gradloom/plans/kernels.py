@@ -39,6 +39,9 @@ class Dense:
     def squared_transposed_times(self, r: np.ndarray) -> np.ndarray:
         return (self.x**2).T @ r
 
+    def columns(self, low: int, high: int) -> np.ndarray:
+        return self.x[:, low:high]
+
 
 class Sparse:
     """A batch of ``indices``/``values`` rows; ids at or beyond the trained width are left out."""
@@ -66,6 +69,12 @@ class Sparse:
         columns = [np.bincount(self.idx, self.val**2 * r[self.row, k], self.width) for k in range(r.shape[1])]
         return np.stack(columns, axis=1)
 
+    def columns(self, low: int, high: int) -> np.ndarray:
+        """A dense block of some features, from the entries that lie in it."""
+        inside = (self.idx >= low) & (self.idx < high)
+        at = self.row[inside] * (high - low) + self.idx[inside] - low
+        return np.bincount(at, self.val[inside], self.rows * (high - low)).reshape(self.rows, high - low)
+
 
 def feature_names(df: DataFrame) -> list[str]:
     if "features" in df.columns:

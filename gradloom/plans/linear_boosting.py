@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from gradloom.functions.hashing import uniform_draws
 from gradloom.plans import objectives
 from gradloom.plans.boosting import BoosterParams
-from gradloom.plans.kernels import Dense, check_broadcast, feature_names, feature_width, matrix, sum_partials
+from gradloom.plans.kernels import check_broadcast, feature_names, feature_width, matrix, sum_partials
 from gradloom.session import map_arrow, persist_balanced
 
 
@@ -94,8 +94,6 @@ def _block_sums(rows, model, change, shift, low, high, parts, p, seed, round_):
     def kernel(batches):
         held, changed, shifted = shipped.value
         total, seen = np.zeros(size), 0.0
-        pick = np.zeros((d, width))
-        pick[np.arange(low, high), np.arange(width)] = 1.0
         for batch in batches:
             x = matrix(batch, d)
             label = batch.column("label").to_numpy(zero_copy_only=False)
@@ -106,7 +104,7 @@ def _block_sums(rows, model, change, shift, low, high, parts, p, seed, round_):
             g, h = objectives.gradients(held.objective, held.margins(x), label, weight)
             if low:
                 g = g + h * (x.times(changed) + shifted)
-            block = x.x[:, low:high] if isinstance(x, Dense) else x.times(pick)
+            block = x.columns(low, high)
             products = [block.T @ (block * h[:, [c]]) for c in range(k)]
             parts_ = [g.sum(axis=0), h.sum(axis=0), block.T @ g, block.T @ h, *products]
             total += np.concatenate([s.ravel() for s in parts_])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradloom.functions.vectors import typed_label
+from gradloom.sources.textlines import with_row_id
 
 
 def from_dense(
@@ -49,8 +50,17 @@ def read_csv_features(
     label_offset: int = 0,
     label_type: str = "int",
 ) -> DataFrame:
-    """CSV rows with an explicit schema, the label shifted and named ``label`` (as ``label_type``), the id named ``row_id``."""
+    """CSV rows with an explicit schema, the label shifted and named ``label`` (as ``label_type``), the id named ``row_id``.
+
+    Without an id, rows are numbered by file and place in the file, as those of other sources are.
+    """
     rows = spark.read.csv(path, schema=schema, sep=separator, header=header, mode="FAILFAST")
+    if id is None and "row_id" not in rows.columns:
+        held = rows.select(
+            F.struct(*rows.columns).alias("_row"), F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
+        )
+        rows = with_row_id(held).select("row_id", "_row.*")
     rows = offset_label(drop_ignored(rows, ignore).withColumnRenamed(label, "label"), label_offset, label_type)
     return keep_id(rows, id) if id else rows
 

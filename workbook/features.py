@@ -18,6 +18,7 @@ from gradloom.operators.prepare import (
     assign_minibatch,
     bounds_of,
     categorical_apply,
+    categorical_entries,
     categorical_fit,
     csv_test_split,
     minmax_apply,
@@ -110,6 +111,15 @@ def b13_categorical_apply(spark, sf_dir):
     return coded.select("o_orderkey", *[text(c) for c in columns])
 
 
+def b19_categorical_entries(spark, sf_dir):
+    """Categories as sparse entries: ids of the second column follow those of the first."""
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_orderpriority", "o_orderstatus"]
+    mapping = categorical_fit(orders.where(F.col("o_orderstatus") != "P"), columns)
+    coded = categorical_entries(orders.select("o_orderkey", *columns), mapping, columns)
+    return coded.select("o_orderkey", F.array_join(F.col("indices").cast("array<string>"), ",").alias("ids"), F.size("values").alias("entries"))
+
+
 def b14_shuffle_rows(spark, sf_dir):
     """Rows in seeded order; the order is kept as the place inside of the ordered partitions."""
     ordered = shuffle_rows(table(spark, sf_dir, "orders").select("o_orderkey"), 5, "o_orderkey")
@@ -143,7 +153,7 @@ QUERIES = [
     b01_dense_to_sparse, b02_sparse_to_text, b03_sparse_to_dense, b04_format_value, b05_standard_scale,
     b06_train_test_split, b07_minmax_fit, b08_minmax_apply, b09_offset_label, b10_drop_ignored, b11_keep_id,
     b12_categorical_fit, b13_categorical_apply, b14_shuffle_rows, b15_csv_test_split, b16_class_weight,
-    b17_assign_minibatch, b18_text_features,
+    b17_assign_minibatch, b18_text_features, b19_categorical_entries,
 ]
 
 _ONE_HOT = (
@@ -187,6 +197,12 @@ b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place, count(*) OVER () AS
       FROM (SELECT DISTINCT o_orderstatus AS v FROM known))
 SELECT o_orderkey, {_ONE_HOT.format(p='a', n='(SELECT max(n) FROM a)')} AS o_orderpriority,
        {_ONE_HOT.format(p='b', n='(SELECT max(n) FROM b)')} AS o_orderstatus
+FROM orders LEFT JOIN a ON a.v = o_orderpriority LEFT JOIN b ON b.v = o_orderstatus""",
+    "b19_categorical_entries": """
+WITH known AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+a AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM (SELECT DISTINCT o_orderpriority AS v FROM known)),
+b AS (SELECT v, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY v) - 1 AS place FROM (SELECT DISTINCT o_orderstatus AS v FROM known))
+SELECT o_orderkey, concat_ws(',', a.place, b.place) AS ids, ((a.place IS NOT NULL)::INT + (b.place IS NOT NULL)::INT)::INT AS entries
 FROM orders LEFT JOIN a ON a.v = o_orderpriority LEFT JOIN b ON b.v = o_orderstatus""",
     "b14_shuffle_rows": """
 SELECT o_orderkey, row_number() OVER (ORDER BY md5('5:' || o_orderkey), o_orderkey) - 1 AS position FROM orders""",

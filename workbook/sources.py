@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gradloom.functions.vectors import dense_to_sparse
-from gradloom.operators.prepare import dataset_bundle
+from gradloom.operators.prepare import csv_test_split, dataset_bundle
 from gradloom.operators.vocabulary import apply_vocabulary, feature_vocabulary
 from gradloom.session import scratch_path
 from gradloom.sources.journals import read_call_history, read_run_logs
@@ -96,6 +96,15 @@ def a07_csv_features(spark, sf_dir):
     )
 
 
+def a15_csv_in_file_order(spark, sf_dir):
+    """Rows of several files without an id, numbered by file and place; the last fraction is held out."""
+    path = scratch_path(spark, "csv")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    part.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey").write.csv(path, header=True)
+    rows = read_csv_features(spark, path, "p_partkey bigint, p_size int, p_retailprice double", "p_size")
+    return csv_test_split(rows, 0.25).select("row_id", "p_partkey", "label", "split")
+
+
 def a08_materialized_features(spark, sf_dir):
     stored = materialize_features(_sparse(spark, sf_dir, 0.3), scratch_path(spark, "features"))
     return _summary(stored, "row_id", "label")
@@ -151,6 +160,7 @@ QUERIES = [
     a01_read_svmlight, a02_read_svmlight_unlabelled, a03_row_ids, a04_write_svmlight, a05_dense_source,
     a06_triples_source, a07_csv_features, a08_materialized_features, a09_feature_vocabulary, a10_dataset_bundle,
     a11_read_run_logs, a12_stream_run_logs, a13_call_history, a14_follow_growing_logs,
+    a15_csv_in_file_order,
 ]
 
 _SUMMARY = "count(*) FILTER (abs(v) >= 0.3)::INT AS entries, round(coalesce(sum(v) FILTER (abs(v) >= 0.3), 0), 6) AS total"
@@ -182,6 +192,9 @@ SELECT row_id, count(*) FILTER (abs(v) >= 0.3)::INT AS entries, (min(i) FILTER (
 FROM e GROUP BY row_id""",
     "a07_csv_features": """
 SELECT p_partkey AS row_id, p_brand, p_type, (p_size - 1)::INT AS label, p_retailprice FROM part""",
+    "a15_csv_in_file_order": """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS place, count(*) OVER () AS parts FROM part)
+SELECT place AS row_id, p_partkey, p_size::INT AS label, CASE WHEN place >= floor(parts * 0.75) THEN 'test' ELSE 'train' END AS split FROM n""",
     "a08_materialized_features": f"WITH {SPARSE_SQL} SELECT row_id, label, {_SUMMARY} FROM e GROUP BY row_id, label",
     "a09_feature_vocabulary": f"""
 WITH {SPARSE_SQL}, s AS (SELECT *, {hash_sql(SPLIT_SEED, 'row_id')} < 200 AS test FROM e WHERE abs(v) >= 0.3),

@@ -15,6 +15,7 @@ from gradloom.plans.network import NetworkModel, network_gradient
 from gradloom.plans.repository import RunFolder
 from gradloom.plans.solver import RULES, SolverConfig
 from gradloom.plans.training import NeuralNetwork, SoftmaxRegression
+from gradloom.plans.wide_network import WideNetwork
 from gradloom.session import local_table, scratch_path
 from gradloom.sources.svmlight import read_svmlight, write_svmlight
 from workbook.inputs import (
@@ -31,6 +32,7 @@ from workbook.inputs import (
 )
 
 R6 = lambda c: F.round(c, 6) + F.lit(0.0)  # noqa: E731 - the sum turns -0.0 into 0.0
+MLP_STEPS = 4
 CLASS_WEIGHTS = [0.5 + 0.25 * k for k in range(NCLASSES)]
 
 
@@ -62,7 +64,7 @@ def c02_fit_softmax(spark, sf_dir):
 
 
 def c03_fit_mlp(spark, sf_dir):
-    """One step of a network with six hidden units from given weights."""
+    """Four steps with momentum of a network with six hidden units from given weights."""
     model = NetworkModel.initial(WIDTH, NCLASSES, (6,), "relu")
     i, j = np.indices((WIDTH, 6))
     model.weights["w0"] = ((7 * i + 11 * j + 3) % 17 - 8) / 40.0
@@ -71,7 +73,8 @@ def c03_fit_mlp(spark, sf_dir):
     folder = RunFolder(spark, scratch_path(spark, "start"))
     folder.save_snapshot(0, {**model.weights, "state.step": np.array([0.0])})
     network = NeuralNetwork(NCLASSES, layers=(6,), dropout=0.0, weights=folder.snapshot_path(0))
-    network.fit(training_rows(spark, sf_dir), solver=SolverConfig(iterations=1, base_lr=0.5), batch_size=None)
+    solver = SolverConfig(iterations=MLP_STEPS, base_lr=0.2, momentum=0.9)
+    network.fit(training_rows(spark, sf_dir), solver=solver, batch_size=None)
     rows = []
     for layer, names in enumerate((("w0", "b0"), ("w1", "b1"))):
         stacked = np.vstack([network.model.weights[n] for n in names])
@@ -306,12 +309,21 @@ def c24_boosted_sparse(spark, sf_dir):
     return _nodes(spark, model, "missing_left")
 
 
+def c25_table_of_weights(spark, sf_dir):
+    """Minibatches with momentum as ``c21_minibatches``, the weights a table that is never collected."""
+    model = WideNetwork(NCLASSES)
+    model.fit(training_rows(spark, sf_dir), SolverConfig(iterations=4, base_lr=0.5, momentum=0.5), batch_size=128)
+    cells = model.table.select(F.col("feature").alias("f"), F.posexplode("w").alias("k", "w"))
+    bias = [(WIDTH, k, float(w)) for k, w in enumerate(model.model.weights["b0"])]
+    return cells.unionByName(local_table(spark, bias, "f int, k int, w double")).select("f", "k", R6("w").alias("w"))
+
+
 QUERIES = [
     c01_softmax_gradient, c02_fit_softmax, c03_fit_mlp, c04_boosted_binary, c05_boosted_multiclass,
     c06_boosted_squared, c07_boosted_logistic_target, c08_dart, c09_linear_booster, c10_booster_parameters,
     c11_solver_rules, c12_lr_schedule, c13_weight_decay, c14_periodic_evaluation, c15_snapshots, c16_resume,
     c17_start_from_snapshot, c18_refit, c19_regression, c20_training_log, c21_minibatches, c22_exact_cuts,
-    c23_weighted_cuts, c24_boosted_sparse,
+    c23_weighted_cuts, c24_boosted_sparse, c25_table_of_weights,
 ]
 
 
@@ -484,31 +496,47 @@ def _loss_sql(t: int) -> str:
     return f"(SELECT round(avg(-ln(p)), 6) + 0.0 FROM p{t} WHERE k = label)"
 
 
-_HIDDEN = f"""
-WITH {X_SQL},
-w0 AS (SELECT f, j, CASE WHEN f = 64 THEN 0 ELSE ((7 * f + 11 * j + 3) % 17 - 8) / 40.0::DOUBLE END AS w
+def _hidden_sql(steps: int, rate: float, mu: float) -> str:
+    """A network of six hidden units, step by step; every weight next to its velocity."""
+    parts = [
+        """w0_0 AS (SELECT f, j, CASE WHEN f = 64 THEN 0 ELSE ((7 * f + 11 * j + 3) % 17 - 8) / 40.0::DOUBLE END AS w, 0::DOUBLE AS m
        FROM range(65) a(f), range(6) b(j)),
-w1 AS (SELECT j, k, CASE WHEN j = 6 THEN 0 ELSE ((5 * j + 3 * k + 1) % 13 - 6) / 20.0::DOUBLE END AS w
+w1_0 AS (SELECT j, k, CASE WHEN j = 6 THEN 0 ELSE ((5 * j + 3 * k + 1) % 13 - 6) / 20.0::DOUBLE END AS w, 0::DOUBLE AS m
        FROM range(7) a(j), range(10) b(k)),
-h0 AS (SELECT row_id, label, j, sum(v * w) AS z FROM tr JOIN w0 USING (f) GROUP BY row_id, label, j),
-h AS (SELECT row_id, label, j, greatest(z, 0) AS a FROM h0
-      UNION ALL SELECT DISTINCT row_id, label, 6, 1::DOUBLE FROM h0),
-p AS (SELECT row_id, k, exp(z) / sum(exp(z)) OVER (PARTITION BY row_id) - (k = label)::INT AS r
-      FROM (SELECT row_id, label, k, sum(a * w) AS z FROM h JOIN w1 USING (j) GROUP BY row_id, label, k)),
-n AS (SELECT count(*) AS n FROM tr WHERE f = 64),
-g1 AS (SELECT j, k, sum(a * r) AS g FROM h JOIN p USING (row_id) GROUP BY j, k),
-back AS (SELECT row_id, j, sum(r * w) AS b FROM p JOIN w1 USING (k) WHERE j < 6 GROUP BY row_id, j),
-g0 AS (SELECT f, j, sum(v * b * (z > 0)::INT) AS g FROM tr JOIN back USING (row_id) JOIN h0 USING (row_id, j) GROUP BY f, j)
-SELECT 0 AS layer, f::INT AS f, j::INT AS k, round(w - 0.5 * g / n, 6) + 0.0 AS w FROM w0 JOIN g0 USING (f, j), n
-UNION ALL
-SELECT 1, j::INT, k::INT, round(w - 0.5 * g / n, 6) + 0.0 FROM w1 JOIN g1 USING (j, k), n"""
+n AS (SELECT count(*) AS n FROM tr WHERE f = 64)"""
+    ]
+    for t in range(steps):
+        parts.append(f"""
+h0_{t} AS MATERIALIZED (SELECT row_id, label, j, sum(v * w) AS z FROM tr JOIN w0_{t} USING (f) GROUP BY row_id, label, j),
+h_{t} AS (SELECT row_id, label, j, greatest(z, 0) AS a FROM h0_{t}
+      UNION ALL SELECT DISTINCT row_id, label, 6, 1::DOUBLE FROM h0_{t}),
+p_{t} AS MATERIALIZED (SELECT row_id, k, exp(z) / sum(exp(z)) OVER (PARTITION BY row_id) - (k = label)::INT AS r
+      FROM (SELECT row_id, label, k, sum(a * w) AS z FROM h_{t} JOIN w1_{t} USING (j) GROUP BY row_id, label, k)),
+g1_{t} AS (SELECT j, k, sum(a * r) AS g FROM h_{t} JOIN p_{t} USING (row_id) GROUP BY j, k),
+back_{t} AS (SELECT row_id, j, sum(r * w) AS b FROM p_{t} JOIN w1_{t} USING (k) WHERE j < 6 GROUP BY row_id, j),
+g0_{t} AS (SELECT f, j, sum(v * b * (z > 0)::INT) AS g FROM tr JOIN back_{t} USING (row_id) JOIN h0_{t} USING (row_id, j) GROUP BY f, j),
+w0_{t + 1} AS MATERIALIZED (SELECT f, j, w - m AS w, m FROM (SELECT f, j, w, {mu} * m + {rate} * g / n AS m FROM w0_{t} JOIN g0_{t} USING (f, j), n)),
+w1_{t + 1} AS MATERIALIZED (SELECT j, k, w - m AS w, m FROM (SELECT j, k, w, {mu} * m + {rate} * g / n AS m FROM w1_{t} JOIN g1_{t} USING (j, k), n))""")
+    return f"""
+WITH {X_SQL}, {", ".join(parts)}
+SELECT 0 AS layer, f::INT AS f, j::INT AS k, round(w, 6) + 0.0 AS w FROM w0_{steps}
+UNION ALL SELECT 1, j::INT, k::INT, round(w, 6) + 0.0 FROM w1_{steps}"""
+
+
+def _minibatch_sql(steps: int) -> str:
+    return f"""
+WITH {X_SQL}, place AS (
+  SELECT row_id, (row_number() OVER (ORDER BY md5('0:' || row_id), row_id) - 1) // 128 AS b FROM tr WHERE f = 64),
+bt AS MATERIALIZED (SELECT tr.*, b, (SELECT max(b) + 1 FROM place) AS bs FROM tr JOIN place USING (row_id)),
+{softmax_chain(steps, [0.5] * steps, mu=0.5, batches="(SELECT * EXCLUDE (b, bs) FROM bt WHERE b = {t} % bs)")} {_weights_sql(f"w{steps}")}"""
+
 
 SQL = {
     "c01_softmax_gradient": f"""
 WITH {X_SQL}, {softmax_chain(1)} SELECT f::INT AS f, k::INT AS k, round(g, 6) + 0.0 AS w FROM g0""",
     "c02_fit_softmax": f"""
 WITH {X_SQL}, {softmax_chain(3, [1.0, 1.0, 0.5], mu=0.9, decay=0.01, class_weights=CLASS_WEIGHTS)} {_weights_sql('w3')}""",
-    "c03_fit_mlp": _HIDDEN,
+    "c03_fit_mlp": _hidden_sql(MLP_STEPS, 0.2, 0.9),
     "c04_boosted_binary": _trees_sql(_Y, FOUR, "binary:logistic", 2, 2),
     "c05_boosted_multiclass": _trees_sql(_CODE, FOUR, "multi:softprob", 2, 2, outputs=3, base=0.5),
     "c06_boosted_squared": _trees_sql("l_quantity", FOUR[1:], "reg:linear", 2, 2, base=25.0),
@@ -569,9 +597,6 @@ SELECT f::INT AS f, 0 AS k, round(w, 6) + 0.0 AS w FROM r2""",
     + " UNION ALL ".join(
         f"SELECT {t + 1}::DOUBLE AS iteration, 'train_loss' AS metric, {_loss_sql(t)} AS value" for t in (1, 2)
     ),
-    "c21_minibatches": f"""
-WITH {X_SQL}, place AS (
-  SELECT row_id, (row_number() OVER (ORDER BY md5('0:' || row_id), row_id) - 1) // 128 AS b FROM tr WHERE f = 64),
-bt AS MATERIALIZED (SELECT tr.*, b, (SELECT max(b) + 1 FROM place) AS bs FROM tr JOIN place USING (row_id)),
-{softmax_chain(10, [0.5] * 10, mu=0.5, batches="(SELECT * EXCLUDE (b, bs) FROM bt WHERE b = {t} % bs)")} {_weights_sql("w10")}""",
+    "c21_minibatches": _minibatch_sql(10),
+    "c25_table_of_weights": _minibatch_sql(4),
 }
