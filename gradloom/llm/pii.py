@@ -208,7 +208,7 @@ def trusted_mentions(mentions: DataFrame, texts: DataFrame) -> DataFrame:
     # Patterns that no round can trust: too few surfaces altogether.
     several = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("seed").alias("seeds")).where(F.col("n") >= MIN_SEEDS)
     edges = reliable_checkpoint(edges.join(several.select("pattern"), "pattern"))
-    context = context_words(edges.groupBy("pattern").agg(F.sum("c").alias("c")), texts)
+    context = reliable_checkpoint(context_words(edges.groupBy("pattern").agg(F.sum("c").alias("c")), texts))
     total = edges.groupBy("pattern").agg(F.sum("c").alias("all")).join(context, "pattern")
     # Nor those whose slot holds plain words for the most part.
     total = total.select("pattern", "all", F.greatest("all", "context").alias("n")).where(F.col("all") >= MIN_CONFIDENCE * (F.col("n") + 1))
