@@ -18,7 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) == 82
+    assert len(QUERIES) == 88
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
