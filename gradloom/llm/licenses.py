@@ -6,6 +6,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -95,6 +96,20 @@ def _span(pairs: list[tuple[int, int]]) -> int:
     return pairs[-1][0] + 1 - pairs[0][0]
 
 
+def common_words(text: list[bytes], low: int, high: int, marks: dict[bytes, int], size: int) -> int:
+    """The most words that text[low:high] and a notice of ``size`` words share in order (their longest common subsequence).
+
+    ``marks`` has a bit per place of a word in the notice; a zero bit of ``rest`` is a step of the common run, so a word of the
+    text costs a few operations on whole numbers of ``size`` bits.
+    """
+    full = rest = (1 << size) - 1
+    for word in text[low:high]:
+        met = rest & marks.get(word, 0)
+        if met:
+            rest = ((rest + met) | (rest - met)) & full
+    return size - rest.bit_count()
+
+
 class Notice:
     """A notice ready for scanning."""
 
@@ -111,6 +126,10 @@ class Notice:
         self.least_bytes = sum(fewest) + len(fewest) - 1
         self.longest_first = sorted(self.counts, key=lambda w: (-len(w), w))
 
+    @cached_property
+    def marks(self) -> dict[bytes, int]:
+        return {word: sum(1 << spot for spot in spots) for word, spots in self.spots.items()}
+
     def may_stand_in(self, lowered: bytes) -> bool:
         """Whether enough of the words occur as byte runs, in a look that ends early for nearly all texts."""
         if len(lowered) < self.least_bytes:
@@ -126,25 +145,28 @@ class Notice:
     def best(self, text: list[bytes], places: dict[bytes, list[int]]) -> list[tuple[int, int]]:
         """The alignment with the most words, of those the tightest and then the first; none if too few words are at hand.
 
-        Windows around every place of the rarest words are aligned. These words are so many that an alignment that
-        covers enough holds one of them, so no place is passed over. Each place is also taken as fixed, for every spot of its
+        Windows around every place of the notice's words are aligned, for a long notice around those of its rarest words: so
+        many that an alignment that covers enough holds one of them. Each place is also taken as fixed, for every spot of its
         word in the notice, and the words before and behind it are aligned up to the places where the word stands in
         the next copies: copies that follow each other closely do not take each other's anchors. Windows that hold fewer
-        words of the notice than needed, or than found already, are not aligned. A long notice is taken at words that
-        stand in it once, and places inside an alignment that covers enough are not tried again.
+        words of the notice than needed, or than found already, are not aligned, nor are those in stretches of text that share
+        fewer with it in order (``common_words``), which no alignment exceeds: words of a license in other order cost a
+        pass over each stretch. A long notice is taken at words that stand in it once, and places inside an alignment that
+        covers enough are not tried again.
         """
         if sum(min(n, len(places.get(w, ()))) for w, n in self.counts.items()) < self.needed:
             return []
-        rare, mass = [], 0
+        size = len(self.words)
+        long, tried, mass = size > LONG_WORDS, [], 0
         for word in sorted(self.counts, key=lambda w: (len(places.get(w, ())), w)):
-            rare += [(at, n, word) for n, at in enumerate(places.get(word, ()))]
+            tried += [(at, n, word) for n, at in enumerate(places.get(word, ()))]
             mass += self.counts[word]
-            if mass > self.spare:
+            if long and mass > self.spare:
                 break
         found: list[tuple[int, int]] = []
-        size, held, begin, end, mass = len(self.words), Counter(), 0, 0, 0
-        long, done = size > LONG_WORDS, set()
-        for at, n, word in sorted(rare):
+        held, begin, end, mass = Counter(), 0, 0, 0
+        done, step, most = set(), 2 * size, {}
+        for at, n, word in sorted(tried):
             low, high = max(0, at - 2 * size), min(len(text), at + 2 * size + 1)
             for w in text[end:high]:
                 if w in self.counts:
@@ -157,6 +179,11 @@ class Notice:
             begin, end = low, high
             if mass < self.needed or mass < len(found) or at in done:
                 continue
+            stretch = low // step  # three steps long, so that it holds the window
+            if stretch not in most:
+                most[stretch] = common_words(text, stretch * step, (stretch + 3) * step + 1, self.marks, size)
+            if most[stretch] < self.needed or most[stretch] < len(found):
+                continue
             tries = [align(text, low, high, self.words, 0, size)]
             spots, same = self.spots[word], places[word]
             if long and len(spots) > 1:

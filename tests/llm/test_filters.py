@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -304,3 +305,86 @@ def test_whole_license_texts_with_edits_are_found(spark):
     assert (n + 5, "Apache-2.0 text") not in found
     words = [w for w in licenses.words_of(texts[n + 3].encode())]
     assert licenses.scan_licenses(documents(spark, texts), {}).collect() == [] and len(words) > 4000
+
+
+def shared_in_order(text, low, high, notice):
+    """Longest common subsequence by the plain table."""
+    above = [0] * (len(notice) + 1)
+    for word in text[low:high]:
+        row = [0]
+        for j, other in enumerate(notice):
+            row.append(above[j] + 1 if word == other else max(above[j + 1], row[-1]))
+        above = row
+    return above[-1]
+
+
+def best_of_all_windows(notice, text):
+    """The best alignment over the windows around every place of the text, with no window passed over."""
+    size, found = len(notice.words), []
+    for at, word in enumerate(text):
+        if word not in notice.counts:
+            continue
+        low, high = max(0, at - 2 * size), min(len(text), at + 2 * size + 1)
+        tries = [licenses.align(text, low, high, notice.words, 0, size)]
+        same = [i for i, w in enumerate(text) if w == word]
+        n, spots = same.index(at), notice.spots[word]
+        for k, spot in enumerate(spots):
+            first = max(low, same[n - k - 1] + 1) if n > k else low
+            last = min(high, same[n - k + len(spots)]) if n - k + len(spots) < len(same) else high
+            head = licenses.align(text, first, at, notice.words, 0, spot)
+            tries.append([*head, (at, spot), *licenses.align(text, at + 1, last, notice.words, spot + 1, size)])
+        for got in tries:
+            if got and (not found or (-len(got), licenses._span(got), got) < (-len(found), licenses._span(found), found)):
+                found = got
+    return found
+
+
+def test_alignments_equal_the_brute_force_window_search():
+    rnd = random.Random(5)
+    covered = 0
+    for n in range(400):
+        letters = [bytes([97 + i]) for i in range(rnd.choice([4, 8, 16]))]
+        notice = licenses.Notice("n", " ".join(w.decode() for w in rnd.choices(letters, k=rnd.randint(3, 12))), 0.8)
+        text = []
+        for _ in range(rnd.randint(0, 4)):
+            copy = [w for w in notice.words if rnd.random() > 0.1]
+            text += rnd.choices([*letters, b"z"], k=rnd.randint(0, 12)) + (copy if n % 3 else rnd.sample(copy, len(copy)))
+        places = {w: [i for i, x in enumerate(text) if x == w] for w in notice.counts if w in text}
+        got, want = notice.best(text, places), best_of_all_windows(notice, text)
+        assert all(text[i] == notice.words[j] for i, j in got) and got == sorted(got)
+        assert len({j for _, j in got}) == len(got) and [j for _, j in got] == sorted(j for _, j in got)
+        assert len(got) <= shared_in_order(text, 0, len(text), notice.words)
+        if len(want) >= notice.needed:
+            covered += 1
+            assert (len(got), licenses._span(got)) == (len(want), licenses._span(want)), (notice.words, text)
+        else:
+            assert len(got) < notice.needed
+    assert covered > 100
+
+
+def test_common_words_are_the_longest_common_subsequence():
+    rnd = random.Random(6)
+    for _ in range(200):
+        notice = licenses.Notice("n", " ".join(rnd.choices("abcdef", k=rnd.randint(1, 70))), 0.8)
+        text = [c.encode() for c in rnd.choices("abcdefg", k=rnd.randint(0, 60))]
+        low, high = rnd.randint(0, 5), rnd.randint(0, 80)
+        got = licenses.common_words(text, low, high, notice.marks, len(notice.words))
+        assert got == shared_in_order(text, low, high, notice.words)
+    for _ in range(200):  # with distinct words on both sides patience finds the longest run
+        words = [str(i).encode() for i in range(12)]
+        text, notice = rnd.sample(words, 10), rnd.sample(words, 10)
+        anchors = [(i, notice.index(w)) for i, w in enumerate(text) if w in notice]
+        assert len(licenses._increasing(anchors)) == shared_in_order(text, 0, 10, notice)
+
+
+def test_words_of_a_license_in_other_order_cost_one_pass():
+    words = licenses.words_of(licenses.TEXTS["GPL-3.0 text"].encode())
+    turned = [w for p in licenses.TEXTS["GPL-3.0 text"].split("\n\n")[::-1] for w in licenses.words_of(p.encode())]
+    for text in [random.Random(1).sample(words * 4, 4 * len(words)), turned, turned * 4]:
+        book = [licenses.Notice(n, t, 0.8) for n, t in licenses.TEXTS.items() if n.startswith("GPL")]
+        places = {}
+        for at, word in enumerate(text):
+            places.setdefault(word, []).append(at)
+        begun = time.process_time()
+        assert all(len(notice.best(text, places)) < notice.needed for notice in book)
+        assert time.process_time() - begun < 5  # half a second measured; aligning every window took 18 to 50
