@@ -18,9 +18,9 @@ from gradloom.session import scratch_path
 # The codebooks are fitted on at most this many vectors, in seeded hash order.
 FIT_VECTORS, FIT_ROUNDS = 20_000, 10
 LEAST_CENTROIDS, MOST_CENTROIDS = 32, 1024
-# A query visits cells until they hold this share of all vectors, and this many. On vectors without structure, recall
+# A query visits cells until they hold this share of all vectors. On vectors without structure, recall
 # follows the share; the value is the smallest round one that gives 0.9 on nearly isotropic vectors.
-VISIT_SHARE, VISIT_LEAST = 0.5, 2_000
+VISIT_SHARE = 0.5
 # Rows of one block of entries, and of queries, that a task compares.
 BLOCK = 8_192
 # Scores this close to the last place are computed exactly, so that rounding decides no place.
@@ -152,7 +152,7 @@ def nearest_neighbours(df: DataFrame, asks: Column, k: int = 5, id_name: str = "
     counts = np.zeros((len(books[0]), len(books[1])), dtype=np.int64)
     for row in coded.groupBy("i", "j").count().collect():  # at most one row per pair of centroids
         counts[row["i"], row["j"]] = row["count"]
-    best = _ranked_entries(coded, books, counts, max(VISIT_LEAST, int(VISIT_SHARE * total)), told["q"] or 0, k + 1)
+    best = _ranked_entries(coded, books, counts, max(k + 1, math.ceil(VISIT_SHARE * total)), told["q"] or 0, k + 1)
 
     found = best.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias(id_name))
     queries = rows.where("asks").select("id", "vector").distinct().join(entries.select("vector", F.col("entry").alias("query")), "vector")

@@ -225,11 +225,10 @@ def test_cells_are_visited_by_summed_distance():
         assert (neighbours.traverse(left, right, counts, wanted).ravel() == want).all()
 
 
-@pytest.mark.parametrize("visits", [0.5])
-def test_recall_on_the_given_vectors(spark, sf_dir, visits, monkeypatch):
-    monkeypatch.setattr(neighbours, "VISIT_LEAST", 0)
+@pytest.mark.parametrize("table", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_vectors(spark, sf_dir, table, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 100)
-    frame = spark.read.parquet(f"{sf_dir}/../sf0.1/embeddings.parquet")
+    frame = spark.read.parquet(f"{sf_dir}/../{table}/embeddings.parquet")
     found = {}
     for r in neighbours.nearest_neighbours(frame, F.col("vec_id") % 50 == 0).collect():
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
