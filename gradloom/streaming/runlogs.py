@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,11 +16,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from gradloom.functions.logs import LINE_SCHEMA, log_name, roll_number
 from gradloom.operators.ordering import earlier_max
 from gradloom.operators.runlog import drop_bad_lines, parse_lines
-from gradloom.session import attach, local_table
+from gradloom.session import attach, local_table, map_arrow
 from gradloom.sources.journals import log_glob
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Lines of a log's share of a trigger that its task holds in memory; the others wait in the state store, in segments of
+# so many line numbers, and come back one segment at a time.
+HELD_LINES, SEGMENT_LINES = 100_000, 50_000
+# What orders the lines of a file.
+PLACE = ["file_path", "block", "line_no"]
 
 FOLLOWED = T.StructType([T.StructField("log", T.StringType()), *LINE_SCHEMA, T.StructField("ended", T.BooleanType())])
 
@@ -25,40 +33,77 @@ FOLLOWED = T.StructType([T.StructField("log", T.StringType()), *LINE_SCHEMA, T.S
 def stream_run_logs(
     spark: SparkSession, path: str, pattern: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """``log``, ``file_path``, ``line_no``, ``value`` of every new log file under ``path``.
+    """``log``, ``file_path``, ``block``, ``line_no``, ``value`` of every line of new log files under ``path``.
 
     A file is a log, named by its path, unless ``pattern`` takes the log from the path. Writers that roll files then
-    number their names; a file is read whole, so its lines keep their numbers, and the files of one trigger follow
-    each other by those numbers. With ``files_per_trigger`` the source hands files out in order of their
-    modification time, so a log's files must then have been finished one after the other.
+    number their names; a file is read in one trigger, by as many tasks as it has splits, and the files of one trigger
+    follow each other by those numbers. ``block`` is the byte at which a line's split begins, and ``line_no`` its place in the
+    split: in the file, if that has one split only. With ``files_per_trigger`` the source hands files out in order of their
+    modification time, so a log's files must then have been finished one after the other. Empty files have no lines.
     """
-    reader = spark.readStream.option("recursiveFileLookup", True)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("lineSep", "\n")
     glob = log_glob(spark, path)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    files = reader.text(path, wholetext=True)
-    lines = files.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("line_no", "value"),
-    )
-    return lines.select(log_name(F.col("file_path"), pattern).alias("log"), "file_path", "line_no", "value")
+    file, block = F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")
+    lines = reader.text(path).select(file, block, F.lit(0).alias("line_no"), "value")
+    numbered = map_arrow(lines, number_in_splits, lines.schema)
+    return numbered.select(log_name(F.col("file_path"), pattern).alias("log"), "file_path", "block", "line_no", "value")
+
+
+def number_in_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``line_no`` as the place of a line in its split; a task reads split after split, each from its start."""
+    split, place = None, 0
+    for batch in batches:
+        files, blocks = batch.column("file_path"), batch.column("block").to_numpy()
+        fresh = np.r_[True, blocks[1:] != blocks[:-1]]
+        if batch.num_rows > 1:
+            fresh[1:] |= pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(fresh)
+        at = np.arange(batch.num_rows) - np.repeat(starts, np.diff(np.r_[starts, batch.num_rows]))
+        for n, start in enumerate(starts.tolist()):
+            named = (files[start].as_py(), int(blocks[start]))
+            end = starts[n + 1] if n + 1 < len(starts) else batch.num_rows
+            if named == split:
+                at[start:end] += place
+            split, place = named, int(at[end - 1]) + 1
+        yield batch.set_column(batch.schema.get_field_index("line_no"), "line_no", pa.array(at, pa.int32()))
+
+
+def rising_in_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leave out lines with an earlier line of their file in the same batch that has their iteration or more.
+
+    Such lines never pass ``rising_iterations``, and the first line of a file always stays, so timers see every file.
+    """
+    for batch in batches:
+        lines = batch.select(["log", *PLACE, "iteration"]).to_pandas().sort_values(["log", *PLACE], kind="stable")
+        files = [lines["log"], lines["file_path"]]
+        peak = lines["iteration"].groupby(files, sort=False, dropna=False).cummax()
+        before = peak.groupby(files, sort=False, dropna=False).shift()
+        kept = lines.index[(before.isna() | (lines["iteration"] > before)).to_numpy()]
+        yield batch.take(pa.array(np.sort(kept.to_numpy())))
 
 
 def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
     """The processor behind ``follow``; a local class, so that it travels by value to every kind of worker."""
+    held_lines, segment_lines = HELD_LINES, SEGMENT_LINES
+    place = ["roll", "file_path", "block", "segment"]
 
     class RisingIterations(StatefulProcessor):
         """Per log, remembers the largest iteration seen and lets only larger ones pass.
 
-        With a timeout, a processing-time timer is renewed by every batch of lines; when it fires the run is over.
+        What a trigger brings of a log is cut into segments that follow the log's order. Beyond ``HELD_LINES`` segments wait
+        in the state store and are taken back one by one, so memory does not grow with the trigger. With a timeout, a
+        processing-time timer is renewed by every batch of lines; when it fires the run is over.
         """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
             self.top = handle.getValueState("top", "iteration double")
             self.timer = handle.getValueState("timer", "at bigint")
+            self.waiting = handle.getMapState("waiting", "piece bigint", "lines binary")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             if timeout_ms is not None:
@@ -67,14 +112,40 @@ def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
                 due = timerValues.getCurrentProcessingTimeInMs() + timeout_ms
                 self.handle.registerTimer(due)
                 self.timer.update((due,))
-            lines = pd.concat(list(rows))  # one micro-batch of a log
-            lines = lines.sort_values(["roll", "file_path", "line_no"], kind="stable")
-            top = self.top.get()[0] if self.top.exists() else 0.0
-            before = lines["iteration"].cummax().shift(fill_value=top).clip(lower=top)
-            kept = lines[lines["iteration"] > before]
-            if len(kept):
-                self.top.update((float(kept["iteration"].iloc[-1]),))
-                yield kept.assign(log=key[0], ended=False)[FOLLOWED.names]
+            pieces, held, stored = {}, 0, 0  # by place: frames, or numbers of stored pieces
+            for frame in rows:
+                cut = frame.assign(segment=frame["line_no"] // segment_lines)
+                for at, piece in cut.groupby(place, sort=False, dropna=False):
+                    pieces.setdefault(at, []).append(piece)
+                    held += len(piece)
+                if held > held_lines:
+                    for at, parts in pieces.items():
+                        fresh = [p for p in parts if not isinstance(p, int)]
+                        if fresh:
+                            table = pa.Table.from_pandas(pd.concat(fresh), preserve_index=False)
+                            sink = pa.BufferOutputStream()
+                            with pa.ipc.new_stream(sink, table.schema) as out:
+                                out.write_table(table)
+                            self.waiting.updateValue((stored,), (sink.getvalue().to_pybytes(),))
+                            pieces[at] = [p for p in parts if isinstance(p, int)] + [stored]
+                            stored += 1
+                    held = 0
+            start = top = self.top.get()[0] if self.top.exists() else 0.0
+            for at in sorted(pieces):
+                segment = pd.concat([self.taken(p) if isinstance(p, int) else p for p in pieces.pop(at)])
+                segment = segment.sort_values("line_no", kind="stable")
+                before = segment["iteration"].cummax().shift(fill_value=top).clip(lower=top)
+                kept = segment[segment["iteration"] > before]
+                if len(kept):
+                    top = float(kept["iteration"].iloc[-1])
+                    yield kept.assign(log=key[0], ended=False)[FOLLOWED.names]
+            if top > start:
+                self.top.update((top,))
+
+        def taken(self, piece: int) -> pd.DataFrame:
+            raw = self.waiting.getValue((piece,))[0]
+            self.waiting.removeKey((piece,))
+            return pa.ipc.open_stream(raw).read_pandas()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             self.timer.clear()
@@ -87,18 +158,25 @@ def rising_iterations(timeout_ms: int | None) -> StatefulProcessor:
     return RisingIterations()
 
 
+def _with_block(lines: DataFrame) -> DataFrame:
+    """Lines of sources that number them along the whole file are of one block."""
+    return lines if "block" in lines.columns else lines.withColumn("block", F.lit(0).cast("bigint"))
+
+
 def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
     """Accepted lines of streamed logs, one state per log; with ``timeout`` (seconds, usually
     ``IDLE_SECONDS``) also an ``ended`` row per idle run.
 
-    One task orders what a trigger brings of a log; ``follow_in_batches`` has no such limit, and no timers.
+    Tasks that read lines leave out those that an earlier line of their file outdoes (``rising_in_place``); one task per
+    log orders the others, segment by segment. ``follow_in_batches`` shares that work too, and has no timers.
     """
     spark = lines.sparkSession
     attach(spark)
     if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
         spark.conf.set(STATE_STORE, ROCKSDB)  # per-key state with timers needs this store
-    wanted = drop_bad_lines(parse_lines(lines)).withColumn("roll", roll_number(F.col("file_path")).cast("double"))
-    return wanted.groupBy("log").transformWithStateInPandas(
+    wanted = drop_bad_lines(parse_lines(_with_block(lines))).withColumn("roll", roll_number(F.col("file_path")).cast("double"))
+    rising = map_arrow(wanted, rising_in_place, wanted.schema)
+    return rising.groupBy("log").transformWithStateInPandas(
         statefulProcessor=rising_iterations(None if timeout is None else int(timeout * 1000)),
         outputStructType=FOLLOWED,
         outputMode="Append",
@@ -109,7 +187,7 @@ def follow(lines: DataFrame, timeout: float | None = None) -> DataFrame:
 def follow_in_batches(lines: DataFrame, folder: str) -> DataFrame:
     """Process everything there is as ``follow`` does, however large a single log, and return all accepted lines.
 
-    Every trigger is an ordinary batch: lines are filtered file by file with carried maxima, so a log of any
+    Every trigger is an ordinary batch: lines are filtered split by split with carried maxima, so a log of any
     length is shared by many tasks. The largest iteration per log is a table with one version per trigger; a
     trigger that is repeated after a failure reads the version before it and overwrites its own output. Call it
     again with the same ``folder`` (in shared storage) to go on where it ended.
@@ -123,9 +201,9 @@ def follow_in_batches(lines: DataFrame, folder: str) -> DataFrame:
         return spark.read.schema(tops).parquet(f"{folder}/tops/{number}")
 
     def one_trigger(batch: DataFrame, number: int) -> None:
-        fresh = drop_bad_lines(parse_lines(batch))
+        fresh = drop_bad_lines(parse_lines(_with_block(batch)))
         known = version(number - 1)
-        place = F.struct(roll_number(F.col("file_path")), F.col("file_path"))
+        place = F.struct(roll_number(F.col("file_path")), F.col("file_path"), F.col("block"))
         seen = earlier_max(fresh, "log", ["line_no"], "iteration", place, "_seen")
         floor = F.coalesce(F.greatest("_seen", "top"), F.lit(0.0))
         passed = seen.join(known, "log", "left").where(F.col("iteration") > F.greatest(floor, F.lit(0.0)))

@@ -2,6 +2,7 @@ import os
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from gradloom.functions.logs import ROLLED_FILE_PATTERN
 from gradloom.operators import runlog
 from gradloom.session import scratch_path
 from gradloom.sources.journals import read_run_logs
+from gradloom.streaming import runlogs
 from gradloom.streaming.runlogs import FOLLOWED, drain, follow, follow_in_batches, stream_run_logs
 
 
@@ -67,6 +69,61 @@ def test_log_in_many_files_of_one_trigger(spark, tmp_path):
         assert sorted(r.iteration for r in kept.collect()) == expected
 
 
+def rising(values, top=0):
+    out = []
+    for v in values:
+        if v > top:
+            top = v
+            out.append(float(v))
+    return out
+
+
+def test_a_long_file_is_followed_by_its_splits(spark, tmp_path, monkeypatch):
+    """One log of many splits in one trigger, with more lines than its task holds; a second trigger goes on from the first."""
+    monkeypatch.setattr(runlogs, "HELD_LINES", 40)
+    monkeypatch.setattr(runlogs, "SEGMENT_LINES", 25)
+    rng = random.Random(3)
+    values = [rng.randint(1, 300) + i for i in range(3000)]
+    put(tmp_path, "hot-0002.txt", values[:2000])
+    put(tmp_path, "hot-0010.txt", values[2000:2600])
+    (tmp_path / "empty-0001.txt").write_text("")
+    sink, progress = scratch_path(spark, "sink"), scratch_path(spark, "progress")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = scratch_path(spark, "raw")
+        drain(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), raw, scratch_path(spark, "progress"))
+        rows = spark.read.schema("log string, file_path string, block bigint, line_no int, value string").parquet(raw)
+        assert rows.select("block").distinct().count() > 5
+        lines = [r.value for r in rows.orderBy("file_path", "block", "line_no").collect()]
+        assert lines == [f"{{'iteration': {v}, 'mcll': 1.5}}" for v in values[:2600]]
+        drain(follow(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN)), sink, progress)
+        put(tmp_path, "hot-0011.txt", values[2600:])
+        drain(follow(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN)), sink, progress)
+        shared = follow_in_batches(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), scratch_path(spark, "s"))
+        assert sorted(r.iteration for r in shared.collect()) == rising(values)
+    finally:
+        for conf in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{conf}")
+    assert sorted(r.iteration for r in spark.read.schema(FOLLOWED).parquet(sink).collect()) == rising(values)
+
+
+def test_outdone_lines_stay_behind_where_they_are_read():
+    rng = random.Random(4)
+    for _ in range(30):
+        n = rng.randint(0, 60)
+        place = [(rng.choice("ab"), rng.choice("xy"), rng.choice([0, 64]), i) for i in range(n)]
+        rng.shuffle(place)
+        value = [float(rng.randint(-3, 9)) for _ in range(n)]
+        names = ["log", "file_path", "block", "line_no"]
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int32()]
+        columns = [pa.array([p[i] for p in place], k) for i, k in enumerate(kinds)]
+        batch = pa.RecordBatch.from_arrays([*columns, pa.array(value, pa.float64())], names=[*names, "iteration"])
+        (kept,) = runlogs.rising_in_place([batch])
+        want = [(*p, v) for p, v in zip(place, value) if all(w < v for q, w in zip(place, value) if q[:2] == p[:2] and q[2:] < p[2:])]
+        assert [tuple(r.values()) for r in kept.to_pylist()] == want
+
+
 def test_idle_logs_end_once(spark, tmp_path):
     put(tmp_path, "a-0001.txt", [1, 2])
     put(tmp_path, "b-0001.txt", [1])
