@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradloom.session import BROADCAST_ROWS, local_table
+from gradloom import session
+from gradloom.operators.ordering import prefix_sum
+from gradloom.session import local_table, reliable_checkpoint
+
+# Splits whose counts are added up on the driver; those of more are added up where they lie.
+DRIVER_SPLITS = 10_000
+# Bytes of a row of the split table besides its path.
+SPLIT_BYTES = 40
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None, keep: Column | None = None) -> DataFrame:
@@ -25,37 +32,25 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None, keep: Co
 def with_row_id(
     lines: DataFrame,
     out: str = "row_id",
-    group: Callable[[str], Hashable] | None = None,
-    order: Callable[[str], tuple] | None = None,
+    group: Callable[[Column], Column] | None = None,
+    order: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Number lines 0, 1, 2, … by file path and place in the file.
 
-    ``order`` gives files another order than that of their paths. With ``group`` numbers start afresh for every
-    value it takes from a path.
+    ``order`` gives files another order than that of their paths, equal ones going by path. With ``group`` numbers start
+    afresh for every value it takes from a path.
 
-    The first pass counts lines per file split. That table has one row per split, the same number the driver
-    holds when it plans the scan. The second pass adds the split's offset to the place inside the split, so no
-    row moves unless the split table is too large to broadcast.
+    The first pass counts lines per file split. Up to ``DRIVER_SPLITS`` counts are added up on the driver, more by a
+    distributed prefix sum. The second pass adds the split's offset to the place inside the split. No line moves
+    as long as the split table can be broadcast (``BROADCAST_BYTES``, checked: some two million splits).
     """
-    spark = lines.sparkSession
-    splits = (
-        lines.groupBy("file_path", "block")
-        .agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
-        .collect()
-    )
-    named = [(group(r["file_path"]) if group else "", r) for r in splits]
-    place_of = order or (lambda path: (path,))
-    offsets, start, previous = [], 0, None
-    for name, row in sorted(named, key=lambda x: (x[0], place_of(x[1]["file_path"]), x[1]["block"])):
-        if name != previous:
-            start, previous = 0, name
-        offsets.append((row["file_path"], row["block"], start - row["first_seq"], row["first_seq"], row["n"]))
-        start += row["n"]
-    table = local_table(
-        spark, offsets, "file_path string, block bigint, shift bigint, first_seq bigint, n bigint"
+    splits = lines.groupBy("file_path", "block").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
+    path = F.col("file_path")
+    keyed = splits.withColumn("_group", F.lit("") if group is None else group(path)).withColumn(
+        "_order", F.lit("") if order is None else order(path)
     )
-    if len(offsets) <= BROADCAST_ROWS // 10:
-        table = F.broadcast(table)
+    few = keyed.limit(DRIVER_SPLITS + 1).collect()
+    table = _added_up(lines.sparkSession, few) if len(few) <= DRIVER_SPLITS else _prefix_sums(keyed, group is not None)
     place = F.col("seq") - F.col("first_seq")
     moved = F.raise_error(F.lit("file splits changed between counting and numbering; read the files again"))
     return (
@@ -63,3 +58,24 @@ def with_row_id(
         .withColumn(out, F.when(place.between(0, F.col("n") - 1), F.col("seq") + F.col("shift")).otherwise(moved))
         .drop("block", "seq", "shift", "first_seq", "n")
     )
+
+
+def _added_up(spark: SparkSession, splits: list) -> DataFrame:
+    offsets, start, previous = [], 0, None
+    for row in sorted(splits, key=lambda r: (r["_group"], r["_order"], r["file_path"], r["block"])):
+        if row["_group"] != previous:
+            start, previous = 0, row["_group"]
+        offsets.append((row["file_path"], row["block"], start - row["first_seq"], row["first_seq"], row["n"]))
+        start += row["n"]
+    return F.broadcast(local_table(spark, offsets, "file_path string, block bigint, shift bigint, first_seq bigint, n bigint"))
+
+
+def _prefix_sums(keyed: DataFrame, grouped: bool) -> DataFrame:
+    summed = prefix_sum(keyed, ["_group", "_order", "file_path", "block"], "n", "_before")
+    if grouped:
+        starts = summed.groupBy("_group").agg(F.min("_before").alias("_start"))
+        summed = summed.join(starts, "_group").withColumn("_before", F.col("_before") - F.col("_start"))
+    shift = (F.col("_before") - F.col("first_seq")).alias("shift")
+    table = reliable_checkpoint(summed.select("file_path", "block", shift, "first_seq", "n"))
+    size = table.agg(F.sum(F.octet_length("file_path") + SPLIT_BYTES)).head()[0]
+    return F.broadcast(table) if size <= session.BROADCAST_BYTES else table

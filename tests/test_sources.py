@@ -1,9 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from gradloom import session
 from gradloom.functions.logs import ROLLED_FILE_PATTERN, log_name
 from gradloom.functions.vectors import (
     class_weight,
@@ -17,6 +19,7 @@ from gradloom.functions.vectors import (
 from gradloom.operators.scores import best_n, best_n_scores, long_scores, scatter_scores
 from gradloom.operators.vocabulary import apply_vocabulary, feature_vocabulary
 from gradloom.session import scratch_path
+from gradloom.sources import textlines
 from gradloom.sources.journals import read_run_logs
 from gradloom.sources.svmlight import read_svmlight, read_svmlight_unlabelled, write_svmlight
 from gradloom.sources.tables import from_dense, from_triples, materialize_features, read_csv_features, with_targets
@@ -76,6 +79,36 @@ def test_row_ids_follow_files_and_splits(spark, tmp_path):
     assert [r.m for r in fresh] == [2999, 0, 1999]
 
 
+def test_many_splits_are_added_up_where_they_lie(spark, tmp_path, monkeypatch):
+    rng = random.Random(0)
+    for i in (2, 10, 1):
+        for log in "ab":
+            write_file(tmp_path, f"{log}-{i}.txt", "".join(f"{log}{i}:{j}{'x' * rng.randint(0, 40)}\n" for j in range(rng.randint(0, 900))))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        near = [sorted(map(tuple, f().collect())) for f in (lambda: with_row_id(read_lines(spark, str(tmp_path))), lambda: read_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN))]
+        monkeypatch.setattr(textlines, "DRIVER_SPLITS", 3)
+        far = [with_row_id(read_lines(spark, str(tmp_path))), read_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN)]
+        assert [sorted(map(tuple, f.collect())) for f in far] == near
+        monkeypatch.setattr(session, "BROADCAST_BYTES", 10)
+        assert sorted(map(tuple, with_row_id(read_lines(spark, str(tmp_path))).collect())) == near[0]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_no_line_moves_for_a_hundred_thousand_splits(spark):
+    splits, held = 120_000, 2
+    place = F.col("id").cast("bigint")
+    lines = spark.range(splits * held, numPartitions=8).select(
+        F.concat(F.lit("f"), F.lpad((place / held / 100).cast("int").cast("string"), 6, "0")).alias("file_path"),
+        ((place / held).cast("int") % 100).cast("bigint").alias("block"), place.alias("seq"), place.alias("value"),
+    )
+    numbered = with_row_id(lines)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning(file_path" not in plan.split("BroadcastExchange")[0]
+    assert numbered.where("row_id = value").count() == splits * held
+
+
 def test_changed_splits_fail_loudly(spark, tmp_path):
     path = write_file(tmp_path, "a.txt", "x\n" * 2000)
     numbered = with_row_id(read_lines(spark, path))
