@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from gradloom.functions.hashing import hash_thousandth
 from gradloom.functions.vectors import constant_array
 from gradloom.operators.ordering import before_hash_position, dense_positions, kth_smallest, number_by_hash
-from gradloom.session import BROADCAST_ROWS
+from gradloom.session import shipped_if_small
+
+
+# Bytes of a category in a join besides its value.
+CATEGORY_BYTES = 40
 
 
 @dataclass(frozen=True)
@@ -100,12 +104,11 @@ def categorical_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def categorical_apply(df: DataFrame, mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One-hot arrays under the old names; a value the mapping lacks becomes all zeros."""
-    widths = {r["column"]: r["n"] for r in mapping.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    widths, sizes = _category_counts(mapping)
     for c in columns:
         width = widths.get(c, 0)
         codes = mapping.where(F.col("column") == c).select(F.col("value").alias(c), F.col("position").alias("_code"))
-        if width <= BROADCAST_ROWS:
-            codes = F.broadcast(codes)
+        codes = shipped_if_small(codes, sizes.get(c, 0))
         one_hot = F.transform(
             F.sequence(F.lit(0), F.lit(width - 1)) if width else F.array().cast("array<int>"),
             lambda i: F.when(i == F.col("_code"), 1.0).otherwise(0.0),
@@ -114,17 +117,23 @@ def categorical_apply(df: DataFrame, mapping: DataFrame, columns: Sequence[str])
     return df
 
 
+def _category_counts(mapping: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """Categories of each column, and the bytes they take in a join; one row per column."""
+    size = F.sum(F.octet_length("value") + CATEGORY_BYTES)
+    rows = mapping.groupBy("column").agg(F.count("*").alias("n"), size.alias("size")).collect()
+    return {r["column"]: r["n"] for r in rows}, {r["column"]: r["size"] for r in rows}
+
+
 def categorical_entries(df: DataFrame, mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns as one sparse row (``indices``, ``values``): one entry per column, whatever the number of its categories.
 
     Categories of the first column have ids from 0, those of the next one follow. A value that the mapping lacks has no entry.
     """
-    widths = {r["column"]: r["n"] for r in mapping.groupBy("column").agg(F.count("*").alias("n")).collect()}  # one row per column
+    widths, sizes = _category_counts(mapping)
     start, codes = 0, []
     for i, c in enumerate(columns):
         places = mapping.where(F.col("column") == c).select(F.col("value").alias(c), (F.col("position") + start).alias(f"_code{i}"))
-        places = F.broadcast(places) if widths.get(c, 0) <= BROADCAST_ROWS else places
-        df = df.withColumn(c, F.col(c).cast("string")).join(places, c, "left")
+        df = df.withColumn(c, F.col(c).cast("string")).join(shipped_if_small(places, sizes.get(c, 0)), c, "left")
         codes.append(f"_code{i}")
         start += widths.get(c, 0)
     indices = F.array_compact(F.array(*codes))

@@ -64,6 +64,11 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shipped_if_small(df: DataFrame, size: int) -> DataFrame:
+    """Broadcast a side of a join whose bytes, counted before, are few; else it is shuffled."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a plain scan out over all cores if it comes in fewer partitions; larger tables stay as they are.
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gradloom import session
 from gradloom.functions.schedules import rate_at, rate_column
 from gradloom.operators import metrics, runlog
 from gradloom.operators.ordering import dense_positions, number_by_hash, prefix_sum, shuffle_rows
@@ -11,6 +12,7 @@ from gradloom.operators.prepare import (
     assign_minibatch,
     bounds_of,
     categorical_apply,
+    categorical_entries,
     categorical_fit,
     csv_test_split,
     mark_smoothed,
@@ -73,6 +75,44 @@ def test_categoricals(spark):
     assert sorted((r.u, r.v) for r in rows) == [([0.0, 0.0], [0.0]), ([0.0, 1.0], [1.0]), ([1.0, 0.0], [1.0])]
 
 
+def test_category_maps_of_any_size_give_the_same_rows(spark, monkeypatch):
+    """Long values count by their bytes: a map beyond the bound is joined by a shuffle."""
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, rng.choice("abc") * 900, rng.choice(["x", None, "z"])) for i in range(200)], "id int, u string, v string")
+    mapping = categorical_fit(df.where("id > 2"), ["u", "v"]).cache()
+
+    def rows():
+        dense, sparse = (f(df, mapping, ["u", "v"]) for f in (categorical_apply, categorical_entries))
+        plan = dense._jdf.queryExecution().executedPlan().toString()
+        return [sorted(map(tuple, f.collect())) for f in (dense, sparse)], "BroadcastHashJoin" in plan
+
+    small, shipped = rows()
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 1000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large, still = rows()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert small == large and shipped and still  # the short column still travels, the long one does not
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 28])
+def test_idle_runs_of_long_logs_are_cut_by_lines(spark, monkeypatch, broadcast_bytes):
+    rng = random.Random(2)
+    times = {"hot": [rng.uniform(0, 3000) for _ in range(900)], "burst": [5.0 + rng.random() for _ in range(400)], "short": [1.0, 50.0], None: [3.0] * 5}
+    lines = spark.createDataFrame([(log, t) for log, ts in times.items() for t in ts], "log string, at double").repartition(7)
+    plain = {r.log: r for r in runlog.idle_runs(lines.where("log IS NOT NULL"), 10.0).collect()}
+    monkeypatch.setattr(runlog, "SEGMENT_LINES", 50)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", broadcast_bytes)
+    cut = {r.log: r for r in runlog.idle_runs(lines.where("log IS NOT NULL"), 10.0).collect()}
+    assert cut == plain and set(cut) == {"hot", "burst", "short"}
+    for log, row in cut.items():
+        ts = sorted(times[log])
+        gaps = [a for a, b in zip(ts, ts[1:]) if b - a > 10.0]
+        assert (row.gaps, row.last_line) == (len(gaps), gaps[0] if gaps else ts[-1])
+
+
 @pytest.mark.parametrize("shipped", [0, 1 << 20])
 def test_text_features(spark, shipped):
     df = spark.createDataFrame([(0, "The cat  the\ndog"), (1, "")], "row_id bigint, text string")
