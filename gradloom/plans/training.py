@@ -37,6 +37,16 @@ PARTITION_BYTES = 64 * 1024**2
 GROUP_BYTES = 1024**3
 
 
+def log_rows(scored: DataFrame, run: str, iteration: int, metrics: Sequence[str], nclasses: int | None) -> list[tuple]:
+    """The log rows of scored validation sets; without classes the mean of half the squared error."""
+    if nclasses is None:
+        error = F.aggregate(F.zip_with("scores", "targets", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, e: s + e)
+        found = [(r[0], "loss", r[1]) for r in scored.groupBy("split").agg(F.avg(error / 2.0)).collect()]
+    else:
+        found = measure(scored, metrics, nclasses)
+    return [(run, float(iteration), split, metric, value) for split, metric, value in found]
+
+
 @dataclass
 class TrainingRows:
     """Rows an estimator goes over again and again."""
@@ -205,14 +215,7 @@ class NeuralNetwork:
         return TrainingRows.stored(visited, size, steps, scratch_path(train.sparkSession, "batches")), batches
 
     def _measure(self, run: str, iteration: int, checks: DataFrame, metrics: Sequence[str]) -> list[tuple]:
-        if self.regression:
-            error = F.aggregate(
-                F.zip_with("scores", "targets", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, e: s + e
-            )
-            found = network_scores(checks, self.model).groupBy("split").agg(F.avg(error / 2.0)).collect()
-            return [(run, float(iteration), r[0], "loss", r[1]) for r in found]
-        found = measure(network_scores(checks, self.model), metrics, self.nclasses)
-        return [(run, float(iteration), split, metric, value) for split, metric, value in found]
+        return log_rows(network_scores(checks, self.model), run, iteration, metrics, None if self.regression else self.nclasses)
 
     # -- state ------------------------------------------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,9 @@ from gradloom.functions.vectors import dense_to_sparse, predicted_class
 from gradloom.operators.ordering import number_by_hash
 from gradloom.plans.kernels import feature_names, sum_partials
 from gradloom.plans.network import NetworkModel, batch_gradient, checked_classes, forward, softmax
+from gradloom.plans.repository import RunFolder, latest_path, load_arrays
 from gradloom.plans.solver import SolverConfig, SolverState, solver_step
+from gradloom.plans.training import log_rows
 from gradloom.session import map_arrow, scratch_path
 
 # The moment arrays that each update rule keeps.
@@ -44,15 +47,20 @@ class WideNetwork:
     The first layer lies in a table by feature, next to the moments of the update rule; layers above it are small and lie on
     the driver. Entries are cached in the partitions of their features and rows in those of their ids, once. A step moves
     two things: the sums of value times weight from features to rows, and the sums of value times residual from rows to
-    features, both added up in map tasks first. Every step writes the table to ``repository``, which cuts the lineage.
+    features, both added up in map tasks first. Every step writes the table to ``repository``, which cuts the lineage; the
+    table before goes unless it belongs to a snapshot.
+
+    ``repository`` also holds snapshots and log, as that of ``NeuralNetwork`` does. ``resume`` goes on from the latest
+    snapshot, with its moments; features that come new get first weights then.
     """
 
     def __init__(
         self, outputs: int, layers: Sequence[int] = (), activation: str = "relu", dropout: float = 0.0, regression: bool = False,
-        repository: str = "", seed: int = 0,
+        repository: str = "", seed: int = 0, resume: bool = False, name: str = "",
     ):
         self.model = NetworkModel.initial(0, outputs, layers, activation, regression, seed)
-        self.dropout, self.repository, self.seed = dropout, repository, seed
+        self.dropout, self.repository, self.seed, self.resume, self.name = dropout, repository, seed, resume, name
+        self.run = ""
         self.state = SolverState()
         self.table: DataFrame | None = None  # feature, w and the moments, arrays as wide as the first layer
         self.losses: list[float] = []
@@ -67,15 +75,23 @@ class WideNetwork:
     def fit(
         self, train: DataFrame, solver: SolverConfig | None = None, batch_size: int | None = None,
         class_weights: Sequence[float] | None = None, start: NetworkModel | None = None,
+        validation_data: Sequence[DataFrame] = (), metrics: Sequence[str] = ("mcll", "accp"),
     ) -> WideNetwork:
         """Train; ``start`` gives the first weights, by default zeros or, with hidden layers, uniform draws by feature.
 
         ``losses`` holds the mean loss of every step. Rules, schedules, weight decay (not of biases), batches and dropout are those
-        of ``NeuralNetwork``, and so are the weights.
+        of ``NeuralNetwork``, and so are the weights, the snapshots and the rows of ``log()``.
         """
         solver = solver or SolverConfig()
         spark = train.sparkSession
         self.repository = self.repository or scratch_path(spark, "wide")
+        folder = RunFolder(spark, self.repository)
+        folder.append_call("fit", solver)
+        if self.resume and self.table is None and folder.latest() is not None:
+            self._load(folder)
+        self.run = self.run or folder.start_run(self.name, solver.snapshot_prefix)
+        checks = [v.withColumn("split", F.lit(f"val_{i}")).persist(StorageLevel.MEMORY_AND_DISK) for i, v in enumerate(validation_data, 1)]
+        pending: list[tuple] = []
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows, batches = self._batched(train, solver, batch_size)
         rows = rows.repartition(parts, "row_id").persist(StorageLevel.MEMORY_AND_DISK)
@@ -84,18 +100,70 @@ class WideNetwork:
         )
         entries = entries.withColumnRenamed("indices", "feature").repartition(parts, "feature").persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            features = entries.select("feature").distinct()
             if self.table is None:
-                self._keep(self._first(entries.select("feature").distinct(), start, solver), 0)
+                self._keep(self._first(features, start, solver), 0)
+            else:
+                self._extend(features, solver)
             if start is not None:
                 self.model.weights = {n: w for n, w in start.weights.items() if n != "w0"} | {"w0": self.model.weights["w0"]}
                 self.model.weights = {n: self.model.weights[n] for n in start.weights}
-            for _ in range(solver.iterations):
+            if checks and solver.test_initialization:
+                pending += self._measure(checks, metrics)
+            last, kept = self.state.step + solver.iterations, True
+            while self.state.step < last:
+                before = self._place
                 self._step(rows, entries, solver, batches, class_weights, parts)
+                if not kept:
+                    self._drop(spark, before)
+                done = self.state.step
+                pending.append((self.run, float(done), "train", "train_loss", self.losses[-1]))
+                if checks and (done == last or solver.test_interval and done % solver.test_interval == 0):
+                    pending += self._measure(checks, metrics)
+                kept = bool(done == last or solver.snapshot and done % solver.snapshot == 0)
+                if kept:
+                    moments = {f"state.{k}": v for k, v in self.state.moments.items()}
+                    folder.save_snapshot(done, {**self.model.weights, **moments, "state.step": np.array([float(done)])}, self.run)
+                    folder.append_log(pending)
+                    pending = []
         finally:
-            rows.unpersist()
-            entries.unpersist()
+            for held in (rows, entries, *checks):
+                held.unpersist()
         return self
 
+    def log(self) -> DataFrame:
+        """``log``, ``iteration``, ``split``, ``metric``, ``value`` of this run."""
+        return RunFolder(self.table.sparkSession, self.repository).log().where(F.col("log") == self.run)
+
+    def _measure(self, checks: Sequence[DataFrame], metrics: Sequence[str]) -> list[tuple]:
+        # Row ids may stand in several sets, so each is scored by itself.
+        scored = reduce(DataFrame.unionByName, [self.predict_proba(v) for v in checks])
+        return log_rows(scored, self.run, self.state.step, metrics, None if self.model.regression else self.model.outputs)
+
+    def _load(self, folder: RunFolder) -> None:
+        """The latest snapshot: what lies on the driver, and the table written at that step."""
+        path = latest_path(folder)
+        self.run, step = folder.latest()
+        arrays = load_arrays(folder.spark, path)
+        self.model.weights = {n: arrays[n] for i in range(self.model.depth) for n in (f"w{i}", f"b{i}")}
+        self.state = SolverState(int(arrays["state.step"][0]), {n[6:]: a for n, a in arrays.items() if n.startswith("state.") and n != "state.step"})
+        self._place = self._table_path(step)
+        self.table = folder.spark.read.parquet(self._place)
+
+    def _extend(self, features: DataFrame, solver: SolverConfig) -> None:
+        """First weights for features that the table lacks."""
+        new = features.join(self.table, "feature", "left_anti")
+        if new.head(1):
+            table = self.table.unionByName(self._first(new, None, solver))
+            self._keep(table, self.state.step, "extended/")
+
+    def _table_path(self, step: int, folder: str = "") -> str:
+        return f"{self.repository}/first_layer/{self.run}/{folder}iter_{step:09d}"
+
+    def _drop(self, spark, place: str) -> None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def _batched(self, train: DataFrame, solver: SolverConfig, batch_size: int | None) -> tuple[DataFrame, int]:
         answer = "targets" if self.model.regression else "label"
         rows = train.select("row_id", answer, *feature_names(train))
@@ -134,10 +202,10 @@ class WideNetwork:
             schema = schema.add(name, T.ArrayType(T.DoubleType()))
         return schema
 
-    def _keep(self, table: DataFrame, step: int) -> None:
-        path = f"{self.repository}/first_layer/iter_{step:09d}"
-        table.write.mode("overwrite").parquet(path)
-        self.table = table.sparkSession.read.parquet(path)
+    def _keep(self, table: DataFrame, step: int, folder: str = "") -> None:
+        self._place = self._table_path(step, folder)
+        table.write.mode("overwrite").parquet(self._place)
+        self.table = table.sparkSession.read.parquet(self._place)
 
     def _sums(self, entries: DataFrame, parts: int) -> DataFrame:
         """row_id and z, the products of its entries with the first layer."""
@@ -244,6 +312,8 @@ class WideNetwork:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """The rows with ``scores`` instead of their features; features never trained on have weight 0."""
+        if self.table is None:
+            self._load(RunFolder(df.sparkSession, self.repository))
         kept = [c for c in df.columns if c not in ("features", "indices", "values")]
         rows = dense_to_sparse(df) if "features" in df.columns else df
         entries = rows.select("row_id", F.inline(F.arrays_zip("indices", "values")))
