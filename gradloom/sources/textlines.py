@@ -17,9 +17,16 @@ DRIVER_SPLITS = 10_000
 SPLIT_BYTES = 40
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None, keep: Column | None = None) -> DataFrame:
-    """``value``, ``file_path``, ``block`` and a sequence that counts the kept lines along each file split."""
-    reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
+def read_lines(
+    spark: SparkSession, path: str, glob: str | None = None, keep: Column | None = None, nested: bool = False
+) -> DataFrame:
+    """``value``, ``file_path``, ``block`` and a sequence that counts the kept lines along each file split.
+
+    With ``nested`` files of folders below ``path`` belong to it, whatever the folders' names.
+    """
+    reader = spark.read.option("recursiveFileLookup", nested)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
     lines = reader.text(path)
     return (lines if keep is None else lines.where(keep)).select(
         "value",

@@ -228,3 +228,30 @@ def test_run_logs(spark, tmp_path):
     assert read_run_logs(spark, str(tmp_path / "deep")).count() == 2
     names = spark.createDataFrame([("/x/my-run-12.txt",), ("/x/plain.txt",)], "p string").select(log_name(F.col("p"), ROLLED_FILE_PATTERN).alias("n"))
     assert [r.n for r in names.collect()] == ["my-run", "plain"]
+
+
+def test_run_logs_of_folders_below_and_later_batches(spark, tmp_path):
+    """Logs that tasks write themselves come back whole and in order, also those of a second batch in the same folder."""
+    from workbook.inputs import LOG_FOLDER_PATTERN, in_line_order, write_logs
+
+    lines = spark.range(400).select((F.col("id") % 3).cast("string").alias("log"), F.col("id").alias("line_no"), F.format_string("é %d", "id").alias("value"))
+    path = str(tmp_path / "logs")
+    write_logs(in_line_order(lines.where("line_no < 250")), path)
+    write_logs(in_line_order(lines.where("line_no >= 250")), path, 1)
+    got = read_run_logs(spark, path, LOG_FOLDER_PATTERN).orderBy("log", "line_no").collect()
+    want = [(str(log), n, f"é {i}") for log in range(3) for n, i in enumerate(range(log, 400, 3))]
+    assert [(r.log, r.line_no, r.value) for r in got] == want
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from gradloom.sources.journals import LOOKED_AT, log_glob
+
+    for i in range(LOOKED_AT + 20):
+        (tmp_path / f"{i}.json").write_text("{}\n")
+    assert log_glob(spark, str(tmp_path)) is None
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "a.txt").write_text("1\n")
+    assert log_glob(spark, str(tmp_path)) is None
+    (tmp_path / "z.txt").write_text("1\n")
+    assert log_glob(spark, str(tmp_path)) == "*.txt"
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 10_000
