@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gradloom.sources.journals import LOG_GLOB
 
 SOURCE = "growing_logs"
-# Bytes of one file that one task reads.
+# Bytes that one task reads, of one file or of many short ones.
 RANGE_BYTES = 32 * 1024 * 1024
+# What opening a file counts for among these bytes.
+OPEN_BYTES = 64 * 1024
 # Step in which a task looks back for the start of its first line.
 LOOK_BACK_BYTES = 64 * 1024
 
@@ -20,17 +22,23 @@ def growing_source() -> type:
 
     from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-    range_bytes, look_back, glob = RANGE_BYTES, LOOK_BACK_BYTES, LOG_GLOB
+    range_bytes, open_bytes, look_back, glob = RANGE_BYTES, OPEN_BYTES, LOOK_BACK_BYTES, LOG_GLOB
 
     def opened(path: str):
         from pyarrow import fs
 
         return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
-    class Range(InputPartition):
+    class Range:
         def __init__(self, file: str, low: int, high: int):
             self.file, self.low, self.high = file, low, high
 
+    class Ranges(InputPartition):
+        """What one task reads: ``range_bytes`` at most, of one file or of many short ones."""
+
+        def __init__(self, ranges: list):
+            self.ranges = ranges
+
     class GrowingReader(DataSourceStreamReader):
         """Offsets are file sizes. A batch holds the lines whose ends lie between two sizes, so a line that is still
         being written waits for a later batch, and a batch that is repeated holds the same lines."""
@@ -54,14 +62,24 @@ def growing_source() -> type:
             return named or files
 
         def partitions(self, start: dict, end: dict) -> list:
-            out = []
+            out, held = [], 0
             for file, high in sorted(end.items()):
-                low = start.get(file, 0)
-                out += [Range(file, at, min(at + range_bytes, high)) for at in range(low, high, range_bytes)]
-            return out
-
-        def read(self, part):
+                for at in range(start.get(file, 0), high, range_bytes):
+                    part = Range(file, at, min(at + range_bytes, high))
+                    cost = part.high - part.low + open_bytes
+                    if not out or held + cost > range_bytes + open_bytes:
+                        out.append([])
+                        held = 0
+                    out[-1].append(part)
+                    held += cost
+            return [Ranges(ranges) for ranges in out]
+
+        def read(self, partition):
             store, _ = opened(self.path)
+            for part in partition.ranges:
+                yield from self.lines(store, part)
+
+        def lines(self, store, part):
             with store.open_input_file(part.file) as file:
                 begin = part.low
                 while begin > 0:  # back to the line that part.low lies in
