@@ -179,3 +179,35 @@ def test_growing_log_is_filtered_as_it_grows(spark, tmp_path):
             out.write("".join(f"{{'iteration': {i}, 'mcll': 1.5}}\n" if i is not None else "noise\n" for i in part))
         drain(follow(stream_growing_logs(spark, str(file))), sink, progress)
     assert sorted(r.iteration for r in spark.read.schema(FOLLOWED).parquet(sink).collect()) == [1.0, 2.0, 3.0, 9.0]
+
+
+def test_short_growing_files_share_a_task(tmp_path, monkeypatch):
+    from gradloom.streaming import growing
+
+    monkeypatch.setattr(growing, "RANGE_BYTES", 400)
+    monkeypatch.setattr(growing, "OPEN_BYTES", 30)
+    for i in range(50):
+        (tmp_path / f"log-{i:02d}.txt").write_text(f"line {i}\n")
+    (tmp_path / "long-1.txt").write_text("word\n" * 300)
+    reader = growing.growing_source()({"path": str(tmp_path)}).streamReader(None)
+    parts = reader.partitions({}, reader.latestOffset())
+    assert len(parts) < 12
+    assert all(sum(r.high - r.low for r in p.ranges) <= 400 for p in parts)
+    values = [row[3] for p in parts for row in reader.read(p)]
+    assert values == [f"line {i}" for i in range(50)] + ["word"] * 300
+
+
+def test_small_files_of_a_trigger_share_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runlogs, "TASKS_PER_CORE", 1)
+    for i in range(120):
+        put(tmp_path, f"log{i}-0001.txt", [1, i % 5, 3])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = scratch_path(spark, "raw")
+        drain(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), raw, scratch_path(spark, "progress"))
+        assert len([f for f in os.listdir(raw) if f.endswith(".parquet")]) <= spark.sparkContext.defaultParallelism
+        assert spark.read.parquet(raw).count() == 360
+    finally:
+        for conf in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{conf}")
