@@ -211,3 +211,21 @@ def test_small_files_of_a_trigger_share_tasks(spark, tmp_path, monkeypatch):
     finally:
         for conf in ("maxPartitionBytes", "openCostInBytes"):
             spark.conf.unset(f"spark.sql.files.{conf}")
+
+
+@pytest.mark.parametrize("held", [5, 100_000])
+def test_logs_that_share_a_key_are_told_apart(spark, tmp_path, monkeypatch, held):
+    monkeypatch.setattr(runlogs, "LOG_BUCKETS", 2)
+    monkeypatch.setattr(runlogs, "HELD_LINES", held)
+    rng = random.Random(5)
+    sink, progress, values = scratch_path(spark, "sink"), scratch_path(spark, "progress"), {}
+    for roll in (9, 10):
+        for i in range(12):
+            part = [rng.randint(1, 20) + roll for _ in range(6)]
+            values.setdefault(f"log{i}x", []).extend(part)
+            put(tmp_path, f"log{i}x-{roll}.txt", part)
+        drain(follow(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN)), sink, progress)
+    got = {}
+    for r in spark.read.schema(FOLLOWED).parquet(sink).orderBy("log", "iteration").collect():
+        got.setdefault(r.log, []).append(r.iteration)
+    assert got == {log: rising(part) for log, part in values.items()}
