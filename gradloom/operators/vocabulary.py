@@ -78,50 +78,71 @@ def text_features(
 ) -> tuple[DataFrame, DataFrame]:
     """Bag of words: sparse word counts of every text, and the word vocabulary behind them.
 
-    A text is one row, so its words are counted where it lies; only distinct words are shuffled, once, for the
+    A text is one row, so its words are counted where it lies; only the distinct words of a batch of texts leave it, for the
     vocabulary. Words then meet their positions in place if the vocabulary is small enough to travel, else by a join that
     splits a word found in every text. Both ways give entries in the order of positions.
     """
-    words = F.filter(F.split(F.lower(text), r"[ \t\r\n]+"), lambda w: w != "")
-    rows = df.select(F.col(row_id).alias("row_id"), F.coalesce(words, F.array().cast("array<string>")).alias("words"))
-    counted = map_arrow(rows, _count_words, T.StructType([rows.schema["row_id"]]).add("words", T.ArrayType(T.StringType())).add("values", T.ArrayType(T.DoubleType())))
-    vocabulary = dense_positions(counted.select(F.explode("words").alias("feature")).distinct(), ["feature"])
+    rows = df.select(F.col(row_id).alias("row_id"), F.coalesce(F.lower(text), F.lit("")).alias("text"))
+    words = map_arrow(rows.select("text"), _distinct_words, "feature string").distinct()
+    vocabulary = dense_positions(words, ["feature"])
     size = vocabulary.agg(F.sum(F.octet_length("feature") + 8)).head()[0] or 0
+    row_ids = T.StructType([rows.schema["row_id"]])
     if size <= broadcast_bytes:
         known = pa.array([r[0] for r in vocabulary.select("feature").orderBy("position").collect()], pa.string())
         shipped = df.sparkSession.sparkContext.broadcast(known)
 
         def translate(batches):
             for batch in batches:
-                place = pc.index_in(batch.column("words").flatten(), shipped.value).to_numpy(zero_copy_only=False)
-                values = batch.column("values").flatten().to_numpy(zero_copy_only=False)
-                lengths = batch.column("words").value_lengths().to_numpy(zero_copy_only=False)
-                order = np.lexsort((place, np.repeat(np.arange(batch.num_rows), lengths)))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                lists, coded = _coded_words(batch)
+                found = pc.index_in(coded.dictionary, shipped.value).to_numpy(zero_copy_only=False)
+                offsets, place, counts = _counted(lists, found[coded.indices.to_numpy(zero_copy_only=False)], max(len(shipped.value), 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row_id"), *(pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (place[order].astype(np.int32), values[order]))],
+                    [batch.column("row_id"), *(pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (place.astype(np.int32), counts))],
                     names=["row_id", "indices", "values"],
                 )
 
-        schema = T.StructType([counted.schema["row_id"]]).add("indices", T.ArrayType(T.IntegerType())).add("values", T.ArrayType(T.DoubleType()))
-        return map_arrow(counted, translate, schema), vocabulary
+        schema = row_ids.add("indices", T.ArrayType(T.IntegerType())).add("values", T.ArrayType(T.DoubleType()))
+        return map_arrow(rows, translate, schema), vocabulary
+    counted = map_arrow(rows, _count_words, row_ids.add("words", T.ArrayType(T.StringType())).add("values", T.ArrayType(T.DoubleType())))
     entries = counted.select("row_id", F.inline(F.arrays_zip("words", "values"))).withColumnRenamed("words", "feature")
     entries = entries.join(vocabulary, "feature").select("row_id", F.col("position").alias("col"), F.col("values").alias("value"))
     return from_triples(entries, counted.select("row_id")), vocabulary
 
 
+def _coded_words(batch):
+    """The words of every text of a batch as lists, and all of them in a row as codes of distinct ones."""
+    texts = batch.column("text")
+    for blank in "\t\r\n":
+        texts = pc.replace_substring(texts, blank, " ")
+    lists = pc.split_pattern(texts, " ")
+    flat = lists.flatten()
+    filled = pc.not_equal(flat, "")
+    ends = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+    starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    flat = flat.filter(filled)
+    return pa.ListArray.from_arrays(pa.array(ends[starts].astype(np.int32)), flat), flat.dictionary_encode()
+
+
+def _counted(lists, codes, width):
+    """Distinct codes of every list in their order, how often each stands there, and the bounds of the lists."""
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    keys, counts = np.unique(rows * width + codes.astype(np.int64), return_counts=True)
+    offsets = pa.array(np.searchsorted(keys, np.arange(len(lists) + 1) * width).astype(np.int32))
+    return offsets, keys % width, counts.astype(np.float64)
+
+
+def _distinct_words(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([_coded_words(batch)[1].dictionary], names=["feature"])
+
+
 def _count_words(batches):
     """Distinct words of every row and how often each stands there."""
     for batch in batches:
-        lists = batch.column("words")
-        coded = lists.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-        width = max(len(coded.dictionary), 1)
-        keys, counts = np.unique(rows * width + codes, return_counts=True)
-        offsets = pa.array(np.searchsorted(keys, np.arange(batch.num_rows + 1) * width).astype(np.int32))
-        words = coded.dictionary.take(pa.array(keys % width))
+        lists, coded = _coded_words(batch)
+        offsets, codes, counts = _counted(lists, coded.indices.to_numpy(zero_copy_only=False), max(len(coded.dictionary), 1))
+        words = coded.dictionary.take(pa.array(codes))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row_id"), pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.float64)))],
+            [batch.column("row_id"), pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(counts))],
             names=["row_id", "words", "values"],
         )

@@ -227,3 +227,24 @@ def test_history_and_latest(spark):
     chunks = {r.chunk: (r.iterations, r["values"]) for r in runlog.measure_history(points, 10).collect()}
     assert chunks == {0: ([1.0, 5.0], [0.1, 0.2]), 1: ([12.0], [0.3])}
     assert runlog.latest_measure(points).head().value == 0.3
+
+
+def test_words_are_cut_and_counted_in_a_batch(spark):
+    """Only distinct words of a batch leave it; runs of the four blanks part words, other white space does not."""
+    import pyarrow as pa
+
+    from gradloom.operators import vocabulary
+
+    texts = ["a  b\ta", "", " \r\n", "b\x0bc b", "a"]
+    batch = pa.RecordBatch.from_pydict({"row_id": pa.array(range(5), pa.int64()), "text": texts})
+    (words,) = vocabulary._distinct_words([batch])
+    assert sorted(words.column("feature").to_pylist()) == ["a", "b", "b\x0bc"]
+    (counted,) = vocabulary._count_words([batch])
+    got = [dict(zip(r["words"], r["values"])) for r in counted.to_pylist()]
+    assert got == [{"a": 2.0, "b": 1.0}, {}, {}, {"b\x0bc": 1.0, "b": 1.0}, {"a": 1.0}]
+    rows = spark.createDataFrame([*enumerate(texts), (5, None)], "doc_id long, text string")
+    for limit in (0, 1000):
+        features, known = vocabulary.text_features(rows, "text", "doc_id", limit)
+        place = {r.position: r.feature for r in known.collect()}
+        found = {r.row_id: {place[i]: v for i, v in zip(r.indices, r["values"])} for r in features.collect()}
+        assert found == {**dict(enumerate(got)), 5: {}}
