@@ -16,11 +16,11 @@ def _entries(df: DataFrame, tokens: str, base: int) -> DataFrame:
 
 
 def _tokens():
-    return F.filter(F.split(_body(), r"[ \t]+"), lambda t: t != "")
+    return F.filter(F.split(F.replace(_body(), F.lit("\t"), F.lit(" ")), " "), lambda t: t != "")
 
 
 def _body():
-    return F.trim(F.split_part(F.col("value"), F.lit("#"), F.lit(1)))
+    return F.trim(F.substring_index("value", "#", 1))
 
 
 def read_svmlight(spark: SparkSession, path: str, zero_based: bool = True, label_type: str = "int") -> DataFrame:
@@ -28,7 +28,7 @@ def read_svmlight(spark: SparkSession, path: str, zero_based: bool = True, label
 
     ``label_type="double"`` keeps labels as they stand in the file; with ``int`` a label like 2.7 raises.
     """
-    lines = with_row_id(read_lines(spark, path, keep=F.translate(_body(), "\t", "") != "")).withColumn("_tokens", _tokens())
+    lines = with_row_id(read_lines(spark, path, keep=F.replace(_body(), F.lit("\t"), F.lit("")) != "")).withColumn("_tokens", _tokens())
     label = typed_label(F.get("_tokens", F.lit(0)).cast("double"), label_type)
     rows = lines.withColumn("label", label).withColumn("_tokens", F.slice("_tokens", 2, F.greatest(F.size("_tokens"), F.lit(1))))
     rows = _entries(rows, "_tokens", 0 if zero_based else 1)
