@@ -229,3 +229,60 @@ def test_logs_that_share_a_key_are_told_apart(spark, tmp_path, monkeypatch, held
     for r in spark.read.schema(FOLLOWED).parquet(sink).orderBy("log", "iteration").collect():
         got.setdefault(r.log, []).append(r.iteration)
     assert got == {log: rising(part) for log, part in values.items()}
+
+
+def test_lines_that_cannot_pass_leave_before_a_trigger_keeps_them(spark, tmp_path, monkeypatch):
+    """Of each file only lines that rise in it go on to be cached, exchanged and joined, and the result is the same."""
+    rng = random.Random(6)
+    values = {f"log{i}-{roll}.txt": [rng.randint(1, 50) + 10 * roll for _ in range(80)] for i in range(5) for roll in (8, 9, 10)}
+    for name, part in values.items():
+        put(tmp_path, name, part)
+    gone_on, whole = [], runlogs.earlier_max
+
+    def counted(lines, *rest):
+        gone_on.append(lines.count())
+        return whole(lines, *rest)
+
+    monkeypatch.setattr(runlogs, "earlier_max", counted)
+    kept = follow_in_batches(stream_run_logs(spark, str(tmp_path), ROLLED_FILE_PATTERN), scratch_path(spark, "s"))
+    got = {}
+    for r in kept.orderBy("log", "iteration").collect():
+        got.setdefault(r.log, []).append(r.iteration)
+    assert got == {f"log{i}": rising([v for roll in (8, 9, 10) for v in values[f"log{i}-{roll}.txt"]]) for i in range(5)}
+    assert gone_on == [sum(len(rising(part)) for part in values.values())]
+
+
+def test_local_files_give_the_lines_of_the_text_reader(spark, tmp_path):
+    texts = {
+        "a b%20#é-1.txt": b"\xef\xbb\xbfone\r\n\n\xefnot utf-8\xff\nopen end", "b-1.txt": b"\n\n", "c-1.txt": b"", "d-1.txt": b"x\n",
+        "e-1.txt": b"".join(b"w" * (i % 40) + b"\n" for i in range(300)),
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    want = spark.read.option("lineSep", "\n").text(str(tmp_path)).select(F.col("_metadata.file_path").alias("file"), F.hex("value").alias("v"))
+    want = sorted((r.file, r.v) for r in want.collect())
+    for most in ("64", "128MB"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            raw = scratch_path(spark, "raw")
+            drain(stream_run_logs(spark, str(tmp_path)).withColumn("v", F.hex("value")), raw, scratch_path(spark, "progress"))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        rows = spark.read.parquet(raw).orderBy("file_path", "block", "line_no").collect()
+        assert sorted((r.file_path, r.v) for r in rows) == want
+        assert all(r.log == r.file_path for r in rows)
+        long = [bytes.fromhex(r.v) for r in rows if r.file_path.endswith("e-1.txt")]
+        assert long == texts["e-1.txt"].split(b"\n")[:-1]
+        places = [(r.file_path, r.block, r.line_no) for r in rows]
+        assert len(set(places)) == len(places)
+
+
+def test_splits_of_a_file_hold_each_line_once(tmp_path):
+    rng = random.Random(7)
+    for _ in range(60):
+        text = bytes(rng.choice(b"ab\n") for _ in range(rng.randint(0, 60)))
+        (tmp_path / "x.txt").write_bytes(text)
+        step = rng.randint(1, 12)
+        got = [runlogs.lines_between(str(tmp_path / "x.txt"), at, min(at + step, len(text))) for at in range(0, max(len(text), 1), step)]
+        want = text.split(b"\n")
+        assert [line for part in got for line in part] == (want if want[-1] else want[:-1])
